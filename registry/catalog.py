@@ -132,17 +132,17 @@ QUERIES: dict[str, Query] = {
         revenue.totals_from_months(_month_points(spark, sf_dir)).withColumn("aov", F.round("aov", 4))
     ),
     # Customers
-    "customer_segments": _on_transactions(customers.customer_segments, yearly_accounts=True),
+    "customer_segments": _on_transactions(customers.customer_segments, priced=False, yearly_accounts=True),
     "lines_by_customer_type": _on_transactions(_lines_by_type, yearly_accounts=True),
     "top_customers": _on_transactions(customers.top_customers),
     # Cohorts
-    "customer_cohorts": _on_transactions(cohorts.customer_cohorts, yearly_accounts=True),
-    "purchase_months": _on_transactions(cohorts.purchase_months, yearly_accounts=True),
-    "month_numbers": _on_transactions(cohorts.month_numbers, yearly_accounts=True),
-    "cohort_counts": _on_transactions(cohorts.cohort_counts, yearly_accounts=True),
-    "cohort_retention": _on_transactions(cohorts.cohort_retention, yearly_accounts=True),
-    "cohort_matrix": _on_transactions(_cohort_matrix, yearly_accounts=True),
-    "lifetime_retention": _on_transactions(cohorts.cohort_retention),
+    "customer_cohorts": _on_transactions(cohorts.customer_cohorts, priced=False, yearly_accounts=True),
+    "purchase_months": _on_transactions(cohorts.purchase_months, priced=False, yearly_accounts=True),
+    "month_numbers": _on_transactions(cohorts.month_numbers, priced=False, yearly_accounts=True),
+    "cohort_counts": _on_transactions(cohorts.cohort_counts, priced=False, yearly_accounts=True),
+    "cohort_retention": _on_transactions(cohorts.cohort_retention, priced=False, yearly_accounts=True),
+    "cohort_matrix": _on_transactions(_cohort_matrix, priced=False, yearly_accounts=True),
+    "lifetime_retention": _on_transactions(cohorts.cohort_retention, priced=False),
     # Products
     "top_products": _on_transactions(products.top_products),
     # Filtered summary

@@ -17,56 +17,73 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def transactions(
-    spark: SparkSession, sf_dir: str, country: bool = False, yearly_accounts: bool = False
+    spark: SparkSession,
+    sf_dir: str,
+    priced: bool = True,
+    country: bool = False,
+    yearly_accounts: bool = False,
 ) -> DataFrame:
     """Order lines as the canonical fact table.
 
     Returned lines are cancellations with negative quantity; every tenth
-    customer is anonymous. ``country`` adds the country and an owner per nation,
-    and is left off by queries that need neither. ``yearly_accounts`` gives a
-    customer a new account each year, so that one-time customers are common.
+    customer is anonymous. Dimensions are joined only for queries that use them:
+    ``priced`` adds product, price and revenue, ``country`` the country and an
+    owner per nation. ``yearly_accounts`` gives a customer a new account each
+    year, so that one-time customers are common.
     """
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
-    sold = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).join(
-        orders, F.col("l_orderkey") == F.col("o_orderkey")
-    )
-    place = []
-    if country:
-        customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-        nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-        sold = sold.join(customers, F.col("o_custkey") == F.col("c_custkey")).join(
-            nations, F.col("c_nationkey") == F.col("n_nationkey")
-        )
-        place = [F.col("n_name").alias("country"), F.col("c_nationkey").alias("owner_id")]
+    sold = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     returned = F.col("l_returnflag") == "R"
     order = F.col("o_orderkey").cast("string")
-    quantity = F.when(returned, -F.col("l_quantity")).otherwise(F.col("l_quantity"))
+    # Quantities are whole pieces; the detour avoids a text round trip per line.
+    pieces = F.col("l_quantity").cast("bigint")
+    quantity = F.when(returned, -pieces).otherwise(pieces)
     account = F.col("o_custkey").cast("string")
     if yearly_accounts:
         account = F.concat(account, F.lit("-"), F.year("o_orderdate").cast("string"))
-    return sold.select(
+    columns = [
         F.when(returned, F.concat(F.lit("C"), order)).otherwise(order).alias("invoice_no"),
         F.col("l_partkey").cast("string").alias("stock_code"),
-        F.col("p_name").alias("description"),
         quantity.cast(QUANTITY).alias("quantity"),
         F.col("o_orderdate").alias("invoice_date"),
-        F.col("p_retailprice").cast(PRICE).alias("unit_price"),
         F.when(F.col("o_custkey") % 10 != 0, account).alias("customer_id"),
-        (quantity.cast("decimal(10,0)") * F.col("p_retailprice").cast("decimal(10,4)"))
-        .cast(MONEY)
-        .alias("revenue"),
         returned.alias("is_cancellation"),
-        *place,
-    )
+    ]
+    if priced:
+        # Prices become decimals once per part, not once per line.
+        parts = table(spark, sf_dir, "part").select(
+            "p_partkey", "p_name", F.col("p_retailprice").cast("decimal(10,4)").alias("price")
+        )
+        sold = sold.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        columns += [
+            F.col("p_name").alias("description"),
+            F.col("price").cast(PRICE).alias("unit_price"),
+            (quantity.cast("decimal(10,0)") * F.col("price")).cast(MONEY).alias("revenue"),
+        ]
+    if country:
+        customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+        nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+        sold = sold.join(customers, F.col("o_custkey") == F.col("c_custkey")).join(
+            nations, F.col("c_nationkey") == F.col("n_nationkey")
+        )
+        columns += [F.col("n_name").alias("country"), F.col("c_nationkey").alias("owner_id")]
+    return sold.select(*columns)
 
 
 def raw_retail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dirty sheet: missing descriptions, odd prices and repeated rows."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_returnflag")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
+    parts = table(spark, sf_dir, "part").select(
+        "p_partkey",
+        "p_name",
+        F.when(F.col("p_partkey") % 97 == 0, F.lit(0))
+        .when(F.col("p_partkey") % 101 == 0, F.lit(-1))
+        .otherwise(F.col("p_retailprice"))
+        .cast(PRICE)
+        .alias("price"),
+    )
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     returned = F.col("l_returnflag") == "R"
@@ -83,11 +100,7 @@ def raw_retail(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(F.col("l_orderkey") % 53 != 0, F.col("p_name")).alias("Description"),
             F.when(returned, -quantity).otherwise(quantity).alias("Quantity"),
             F.col("o_orderdate").alias("InvoiceDate"),
-            F.when(F.col("l_partkey") % 97 == 0, F.lit(0))
-            .when(F.col("l_partkey") % 101 == 0, F.lit(-1))
-            .otherwise(F.col("p_retailprice"))
-            .cast(PRICE)
-            .alias("UnitPrice"),
+            F.col("price").alias("UnitPrice"),
             F.when(F.col("o_custkey") % 10 != 0, F.col("o_custkey")).alias("CustomerID"),
             F.col("n_name").alias("Country"),
         )

@@ -5,30 +5,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot from this share of the total weight on, so there are at most
-# HOT_KEYS_AT_MOST of them, whatever the data: that bounds what is broadcast.
-HOT_KEYS_AT_MOST = 1000
+# This many of the heaviest keys are broadcast, whatever the data. Any other key
+# is lighter than each of them and so holds less than 1/1000 of the weight.
+HOT_KEYS = 1000
 
 
-def hot_keys(per_key: DataFrame, weight: str) -> DataFrame:
-    """The rows of ``per_key`` whose key carries over 1/1000 of all weight."""
-    total = per_key.agg(F.sum(weight).alias("total")).scalar()
-    return per_key.where(F.col(weight) * HOT_KEYS_AT_MOST > total)
+def hot_keys(per_key: DataFrame, key: str, weight: str) -> DataFrame:
+    """The heaviest keys. Keys are unique, so the order and the choice are fixed."""
+    return per_key.orderBy(F.desc(weight), F.asc(key)).limit(HOT_KEYS)
 
 
 def join_per_key(rows: DataFrame, per_key: DataFrame, key: str, weight: str, how: str = "inner") -> DataFrame:
-    """Join ``rows`` to ``per_key``, which has unique keys and their row counts.
+    """Join ``rows`` to ``per_key``, which has unique keys and their ``weight``.
 
-    Rows of hot keys, and in a left join rows without a key, meet a broadcast of
-    the hot keys where they are and are never shuffled. Only the others go
-    through the shuffle, where no key holds more than 1/1000 of the weight.
+    The weight must be no less than the number of ``rows`` a key has. Rows of hot
+    keys, and in a left join rows without a key, meet a broadcast of the hot keys
+    where they are and are never shuffled. Only the others go through the
+    shuffle, where no key holds 1/1000 of the weight. Both parts read ``rows``:
+    cheap when it ends in an aggregation, whose shuffle they share.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join: {how}")
-    hot = hot_keys(per_key, weight)
-    found = hot.withColumn("_hot", F.lit(True)).drop(weight)
-    stay = rows.join(F.broadcast(found), key, how)
-    stay = stay.where(F.col("_hot") if how == "inner" else F.col("_hot") | F.col(key).isNull())
-    move = rows.where(F.col(key).isNotNull()).join(F.broadcast(hot.select(key)), key, "left_anti")
-    move = move.join(per_key.drop(weight), key, how)
-    return stay.drop("_hot").unionByName(move)
+    # Always true, but it makes both uses of per_key need the weight, so that
+    # they are the same aggregation and Spark computes it once.
+    per_key = per_key.where(F.col(weight) > 0)
+    looked_up = [c for c in per_key.columns if c not in (key, weight)]
+    # One struct of everything looked up, again so that both uses are the same.
+    hot = hot_keys(per_key, key, weight).select(
+        key, F.struct(F.lit(True).alias("found"), *looked_up).alias("_hot")
+    )
+    # An anti join for the second part would be pushed below an aggregation in
+    # ``rows`` and compute it twice; with a marked outer join both parts share it.
+    marked = rows.join(F.broadcast(hot), key, "left")
+    stays = F.col("_hot").isNotNull()
+    if how == "left":
+        stays = stays | F.col(key).isNull()
+    stay = marked.where(stays).select(*rows.columns, *[F.col(f"_hot.{c}").alias(c) for c in looked_up])
+    move = marked.where(F.col("_hot").isNull() & F.col(key).isNotNull()).select(*rows.columns)
+    moved = move.join(per_key.drop(weight), key, how)
+    return stay.unionByName(moved)

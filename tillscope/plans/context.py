@@ -25,8 +25,7 @@ def context_totals(transactions: DataFrame) -> DataFrame:
 
 def context_products(transactions: DataFrame, rows: int = 10) -> DataFrame:
     """(product, revenue) of the best products."""
-    named = uncancelled(transactions).where(F.col("description").isNotNull())
-    products = named.groupBy("description").agg(F.sum("revenue").alias("revenue"))
+    products = uncancelled(transactions).groupBy("description").agg(F.sum("revenue").alias("revenue"))
     return best_named(products, rows).withColumnRenamed("description", "product")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillscope.functions.numbers import percentage
@@ -10,18 +10,21 @@ from tillscope.operators.joins import join_per_key
 from tillscope.plans.lines import known_customers, purchases
 
 
+def _customer_type(invoices: Column) -> Column:
+    return F.when(invoices == 1, "One-time").otherwise("Repeat")
+
+
 def customer_types(transactions: DataFrame) -> DataFrame:
     """(customer_id, customer_type, lines) per customer with a purchase.
 
-    Lines are merged per customer and invoice first, which spreads a customer
-    with most lines over all tasks; what remains per customer is a count.
+    The distinct count merges lines per customer and invoice first, which spreads
+    a customer with most lines over all tasks; what then meets per customer is
+    one count per task.
     """
-    invoices = purchases(transactions).groupBy("customer_id", "invoice_no").agg(F.count("*").alias("lines"))
-    frequency = invoices.groupBy("customer_id").agg(
-        F.count("invoice_no").alias("invoices"), F.sum("lines").alias("lines")
+    return purchases(transactions).groupBy("customer_id").agg(
+        _customer_type(F.count_distinct("invoice_no")).alias("customer_type"),
+        F.count("*").alias("lines"),
     )
-    kind = F.when(F.col("invoices") == 1, "One-time").otherwise("Repeat")
-    return frequency.select("customer_id", kind.alias("customer_type"), "lines")
 
 
 def customer_segments(transactions: DataFrame) -> DataFrame:
@@ -34,9 +37,18 @@ def customer_segments(transactions: DataFrame) -> DataFrame:
     )
 
 
-def lines_with_type(transactions: DataFrame, types: DataFrame | None = None) -> DataFrame:
-    """Every line with its customer's type, null for customers without one."""
-    types = customer_types(transactions) if types is None else types
+def lines_with_type(transactions: DataFrame) -> DataFrame:
+    """Every line with its customer's type, null for customers without a purchase."""
+    bought = ~F.col("is_cancellation")
+    kind = _customer_type(F.count_distinct(F.when(bought, F.col("invoice_no"))))
+    types = (
+        known_customers(transactions)
+        .groupBy("customer_id")
+        .agg(
+            F.when(F.count_if(bought) > 0, kind).alias("customer_type"),
+            F.count("*").alias("lines"),
+        )
+    )
     return join_per_key(transactions, types, "customer_id", "lines", how="left")
 
 

@@ -27,12 +27,17 @@ def top_products(transactions: DataFrame, rows: int = 10) -> DataFrame:
 
 
 def best_named(products: DataFrame, rows: int) -> DataFrame:
-    """The first rows of (description, revenue) that have a description."""
+    """The first rows of (description, revenue) that have a description.
+
+    The unnamed group is sorted last and dropped after the limit. Dropping it
+    before would push the filter into the scan, and the total of all products
+    could then no longer share this aggregation.
+    """
     return (
-        products.where(F.col("description").isNotNull())
-        .select("description", F.coalesce("revenue", F.lit(0)).alias("revenue"))
-        .orderBy(F.desc("revenue"), F.asc("description"))
+        products.select("description", F.coalesce("revenue", F.lit(0)).alias("revenue"))
+        .orderBy(F.col("description").isNull(), F.desc("revenue"), F.asc("description"))
         .limit(rows)
+        .where(F.col("description").isNotNull())
     )
 
 
