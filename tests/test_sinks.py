@@ -1,0 +1,152 @@
+from __future__ import annotations
+
+import json
+from datetime import date
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import tuples
+from tillscope.operators import clean, profile
+from tillscope.schemas import RAW_RETAIL, TENANT_TRANSACTIONS, TRANSACTIONS
+from tillscope.session import ensure_checkpoint_dir
+from tillscope.sinks import writers
+from tillscope.sinks.results import api_rows, json_rows
+from tillscope.sources import tables
+from tillscope.sources.files import read_raw_retail
+
+CSV = "order_id,customer_id,date,product,qty,price,country\n"
+
+
+def upload(tmp_path, name, *rows):
+    file = tmp_path / name
+    file.write_text(CSV + "\n".join(rows) + "\n")
+    return str(file)
+
+
+def owners(spark, path):
+    rows = spark.read.parquet(path).groupBy("owner_id").agg(F.count("*"), F.sum("revenue"))
+    return {r[0]: (r[1], float(r[2])) for r in rows.collect()}
+
+
+def test_upload_replaces_one_owner_only(spark, tmp_path):
+    store = str(tmp_path / "store")
+    first = upload(tmp_path, "first.csv", "1,a,2024-01-01,pen,2,3,UK", "2,a,2024-01-02,pen,1,3,UK")
+    receipt = writers.ingest_upload(spark, first, store, owner_id=1)
+    assert receipt["rows"] == 2 and receipt["filename"] == "first.csv" and len(receipt["preview"]) == 2
+    writers.ingest_upload(spark, upload(tmp_path, "other.csv", "9,b,2024-01-01,bag,1,50,FR"), store, owner_id=2)
+    assert owners(spark, store) == {1: (2, 9.0), 2: (1, 50.0)}
+    writers.ingest_upload(spark, upload(tmp_path, "again.csv", "3,a,2024-02-01,cup,4,5,UK"), store, owner_id=1)
+    assert owners(spark, store) == {1: (1, 20.0), 2: (1, 50.0)}
+    stored = tables.tenant_rows(spark.read.parquet(store), 2)
+    assert set(stored.columns) == set(TENANT_TRANSACTIONS.fieldNames())
+    assert "PartitionFilters: [isnotnull(owner_id" in stored._jdf.queryExecution().executedPlan().toString()
+    assert tables.as_transactions(stored).columns == [*TRANSACTIONS.fieldNames(), "owner_id"]
+
+
+def test_refused_uploads_change_nothing(spark, tmp_path):
+    store = str(tmp_path / "store")
+    writers.ingest_upload(spark, upload(tmp_path, "good.csv", "1,a,2024-01-01,pen,2,3,UK"), store, owner_id=1)
+    bad = upload(tmp_path, "bad.csv", "1,a,2024-01-01,pen,0,3,UK", ",a,2024-01-01,pen,1,-3,UK")
+    with pytest.raises(ValueError, match="missing order IDs.; .*negative quantities.; .*negative prices."):
+        writers.ingest_upload(spark, bad, store, owner_id=1)
+    header_only = upload(tmp_path, "empty.csv")
+    with pytest.raises(ValueError, match="empty"):
+        writers.ingest_upload(spark, header_only, store, owner_id=1)
+    unknown = tmp_path / "unknown.csv"
+    unknown.write_text("a,b\n1,2\n")
+    with pytest.raises(ValueError, match="Could not detect required columns: order_id, customer_id, date"):
+        writers.ingest_upload(spark, str(unknown), store, owner_id=1)
+    assert owners(spark, store) == {1: (1, 6.0)}
+
+
+def test_loose_headers_and_returns(spark, tmp_path):
+    file = tmp_path / "raw.csv"
+    file.write_text("InvoiceNo,CustomerID,InvoiceDate,Description,Quantity,UnitPrice\n1,a,12/1/2010 8:26,pen,-2,3\n")
+    with pytest.raises(ValueError, match="order_id"):
+        writers.ingest_upload(spark, str(file), str(tmp_path / "s"), owner_id=1)
+    writers.ingest_upload(spark, str(file), str(tmp_path / "s"), owner_id=1, strict=False, allow_returns=True)
+    row = spark.read.parquet(str(tmp_path / "s")).first()
+    assert row["is_cancellation"] and float(row["revenue"]) == -6.0 and row["country"] == "Unknown"
+    assert row["invoice_date"].isoformat() == "2010-12-01T08:26:00"
+
+
+def test_demo_table_is_made_once(spark):
+    spark.sql(f"drop table if exists {tables.PUBLIC_TABLE}")
+    assert tables.table_columns(spark, tables.PUBLIC_TABLE) == set()
+    assert writers.ensure_demo_table(spark) is True
+    assert writers.ensure_demo_table(spark) is False
+    assert tables.table_columns(spark, tables.PUBLIC_TABLE) == set(TRANSACTIONS.fieldNames())
+    assert tables.source_rows(spark).count() == 15686
+    spark.sql(f"drop table {tables.PUBLIC_TABLE}")
+
+
+def test_source_of_a_known_caller(spark, lines):
+    spark.sql(f"drop table if exists {tables.TENANT_TABLE}")
+    fact = lines(("1", "A", "2024-01-01", "x", 1, {"owner": 1}), ("2", "A", "2024-01-01", "x", 5, {"owner": 2}))
+    fact.drop("stock_code").write.partitionBy("owner_id").saveAsTable(tables.TENANT_TABLE)
+    mine = tables.source_rows(spark, owner_id=2)
+    assert [(r["invoice_no"], r["stock_code"]) for r in mine.collect()] == [("2", None)]
+    spark.sql(f"drop table {tables.TENANT_TABLE}")
+
+
+def test_result_shapes(spark):
+    df = spark.createDataFrame([(date(2024, 3, 1), Decimal("1.50"), None, 2)], "month date, revenue decimal(10,2), gap string, n long")
+    assert tuples(api_rows(df)) == [("2024-03", 1.5, None, 2)]
+    assert json.loads(json_rows(df).first()[0]) == {"month": "2024-03", "revenue": 1.5, "gap": None, "n": 2}
+
+
+def test_defaults(spark):
+    df = spark.createDataFrame([(None, "a"), ("USD", "b")], "currency string, other string")
+    assert tuples(writers.with_defaults(df)) == [("GBP", "a"), ("USD", "b")]
+
+
+def test_clean_and_write(spark, tmp_path):
+    sheet = tmp_path / "sheet.csv"
+    sheet.write_text(
+        "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
+        "1,A,\"pen, blue\",2,2010-12-01 08:26:00,1.25,17850.0,UK\n"
+        "1,A,\"pen, blue\",2,2010-12-01 08:26:00,1.25,17850.0,UK\n"
+        "C2,A,pen,-1,2010-12-02 08:00:00,1.25,,UK\n"
+        "3,A,,1,2010-12-02 08:00:00,1.25,17850.0,UK\n"
+        "4,A,pen,1,2010-12-02 08:00:00,0,17850.0,UK\n"
+        "5,A,pen,1,2010-12-02 08:00:00,-1,17850.0,UK\n"
+    )
+    raw = read_raw_retail(spark, str(sheet))
+    assert raw.schema.fieldNames() == RAW_RETAIL.fieldNames()
+    fact = clean.to_transactions(clean.clean(raw))
+    assert [(f.name, f.dataType) for f in fact.schema] == [(f.name, f.dataType) for f in TRANSACTIONS]
+    rows = {r["invoice_no"]: r for r in fact.collect()}
+    assert set(rows) == {"1", "C2"}
+    assert rows["1"]["customer_id"] == "17850" and float(rows["1"]["revenue"]) == 2.5
+    assert rows["C2"]["is_cancellation"] and rows["C2"]["customer_id"] is None
+    for file_format in ("csv", "parquet"):
+        target = str(tmp_path / file_format)
+        writers.write_cleaned(clean.clean(raw), target, file_format)
+        reader = spark.read.option("header", True).option("escape", '"')
+        assert reader.format(file_format).load(target).count() == 2
+    parts = profile.profile_raw(raw)
+    assert parts["shape"].first()["columns"] == 8 and parts["duplicates"].first()[0] == 1
+    assert {r["column"] for r in parts["describe"].collect()} == {"Quantity", "UnitPrice", "CustomerID"}
+    assert parts["cancelled_quantity"].first()["count"] == 1
+    assert parts["cancellation_sample"].count() == 1 and parts["head"].count() == 5
+    assert parts["describe_times"].first()["min"].isoformat() == "2010-12-01T08:26:00"
+    assert [r["type"] for r in parts["dtypes"].collect()][0] == "string"
+    steps = profile.profile_cleaning(clean.price_lines(raw), clean.clean(raw))
+    assert tuples(steps["price_signs"]) == [(1, 1, 2)] and tuples(steps["price_signs_after"]) == [(0, 0, 2)]
+    assert steps["rows_remaining"].first()["rows"] == 2
+    assert steps["negative_prices"].count() == steps["zero_prices"].count() == 1
+    assert steps["extreme_revenue"].count() == 0
+
+
+def test_dedupe_filters_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    spark.createDataFrame([], RAW_RETAIL).write.parquet(path)
+    plan = clean.clean(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    scan = plan[plan.index("PushedFilters"):]
+    assert "IsNotNull(Description)" in scan and "GreaterThan(UnitPrice" in scan
+
+
+def test_checkpoint_dir_is_kept(spark):
+    assert ensure_checkpoint_dir(spark) == ensure_checkpoint_dir(spark)

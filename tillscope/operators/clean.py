@@ -17,7 +17,7 @@ def price_lines(raw: DataFrame) -> DataFrame:
     """
     return (
         raw.dropDuplicates()
-        .na.drop(subset=["Description"])
+        .where(F.col("Description").isNotNull())
         .withColumn("CustomerID", F.col("CustomerID").try_cast("decimal(20,0)").cast("bigint"))
         .withColumn("Revenue", (F.col("Quantity") * F.col("UnitPrice")).cast(MONEY))
         .withColumn("IsCancellation", by_invoice_prefix(F.col("InvoiceNo")))
