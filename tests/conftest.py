@@ -13,13 +13,12 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from pyspark.sql import SparkSession
-
     from tillscope.session import local_session
 
     warehouse = tmp_path_factory.mktemp("warehouse")
-    SparkSession.builder.config("spark.sql.warehouse.dir", str(warehouse))
-    session = local_session(8, shuffle_partitions=4, memory="4g")
+    session = local_session(
+        8, shuffle_partitions=4, memory="4g", conf={"spark.sql.warehouse.dir": str(warehouse)}
+    )
     yield session
     session.stop()
 

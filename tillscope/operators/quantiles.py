@@ -30,10 +30,14 @@ def exact_quantiles(
     """(column, probability, value), interpolated linearly between neighbours."""
     counts = value_counts(df, columns)
 
-    # One row per profiled column, so its size is set by the schema.
+    # One row per profiled column, so its size is set by the schema. The filter is
+    # always true: it keeps the counts in this use too, so that both uses of them
+    # are the same aggregation and Spark computes it once.
     steps = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    bounds = counts.groupBy("column").agg(F.percentile_approx("value", steps).alias("bounds"))
-    placed = counts.join(F.broadcast(bounds), "column").select(
+    bounds = (
+        counts.where(F.col("n") > 0).groupBy("column").agg(F.percentile_approx("value", steps).alias("bounds"))
+    )
+    placed = counts.where(F.col("n") > 0).join(F.broadcast(bounds), "column").select(
         "column",
         "value",
         "n",

@@ -11,8 +11,13 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
-    spark = (
+def local_session(
+    cores: int | str = "*",
+    shuffle_partitions: int = 8,
+    memory: str = "8g",
+    conf: dict[str, str] | None = None,
+) -> SparkSession:
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tillscope")
         .config("spark.ui.enabled", "false")
@@ -20,8 +25,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
-        .getOrCreate()
     )
+    for name, value in (conf or {}).items():
+        builder = builder.config(name, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
