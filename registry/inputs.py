@@ -12,8 +12,20 @@ from pyspark.sql import functions as F
 from tillscope.schemas import MONEY, PRICE, QUANTITY
 
 
+# Columns in use. A given schema saves Spark a job per table to look it up.
+SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_quantity double, l_returnflag string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz, "
+    "o_orderpriority string",
+    "part": "p_partkey bigint, p_name string, p_retailprice double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def transactions(

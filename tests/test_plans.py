@@ -196,3 +196,23 @@ def test_context_json(lines):
             ],
         },
     }
+
+
+@pytest.mark.parametrize(
+    "filters", [{}, {"segment": "Repeat customers"}, {"segment": "One-time customers", "product": "red widget"}]
+)
+def test_materialized_summary_is_the_same(year_1995, filters):
+    plain = Summary(year_1995, **filters)
+    stored = plain.materialized()
+    assert tuples(stored.totals) == tuples(plain.totals)
+    assert tuples(stored.monthly) == tuples(plain.monthly)
+    assert tuples(stored.top_products()) == tuples(plain.top_products())
+    plan = stored.totals._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" in plan and "Join" not in plan
+
+
+def test_unordered_results_have_the_same_rows(year_1995):
+    for plan in (cohorts.customer_cohorts, cohorts.purchase_months, cohorts.month_numbers):
+        unordered = plan(year_1995, ordered=False)
+        assert "rangepartitioning" not in unordered._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(repr, tuples(unordered))) == sorted(map(repr, tuples(plan(year_1995))))

@@ -15,42 +15,41 @@ from tillscope.functions.numbers import percentage
 from tillscope.plans.lines import purchases
 
 
-def customer_cohorts(transactions: DataFrame) -> DataFrame:
-    """(customer_id, first_purchase_month), earliest cohort first."""
+def customer_cohorts(transactions: DataFrame, ordered: bool = True) -> DataFrame:
+    """(customer_id, first_purchase_month), earliest cohort first.
+
+    This and the next two results have rows per customer. Sorting them all costs
+    another shuffle; ``ordered=False`` leaves it out.
+    """
     first = purchases(transactions).groupBy("customer_id").agg(F.min("invoice_date").alias("first"))
-    return first.select("customer_id", month_start(F.col("first")).alias("first_purchase_month")).orderBy(
-        F.asc_nulls_last("first_purchase_month")
-    )
+    cohorts = first.select("customer_id", month_start(F.col("first")).alias("first_purchase_month"))
+    return cohorts.orderBy(F.asc_nulls_last("first_purchase_month")) if ordered else cohorts
 
 
-def _purchase_months(transactions: DataFrame) -> DataFrame:
+def purchase_months(transactions: DataFrame, ordered: bool = True) -> DataFrame:
+    """Distinct (customer_id, purchase_month)."""
     month = month_start(F.col("invoice_date")).alias("purchase_month")
-    return purchases(transactions).select("customer_id", month).distinct()
+    months = purchases(transactions).select("customer_id", month).distinct()
+    return months.orderBy("customer_id", F.asc_nulls_last("purchase_month")) if ordered else months
 
 
-def purchase_months(transactions: DataFrame) -> DataFrame:
-    """Distinct (customer_id, purchase_month)."""
-    return _purchase_months(transactions).orderBy("customer_id", F.asc_nulls_last("purchase_month"))
+def month_numbers(transactions: DataFrame, ordered: bool = True) -> DataFrame:
+    """Each purchase month with its number of months since the first purchase.
 
-
-def _month_numbers(transactions: DataFrame) -> DataFrame:
-    # The first month per customer is the month of the first purchase, so one
-    # scan replaces a join of cohorts and activity.
+    The first month per customer is the month of the first purchase, so one scan
+    replaces a join of cohorts and activity.
+    """
     first = F.min("purchase_month").over(Window.partitionBy("customer_id"))
-    dated = _purchase_months(transactions).withColumn("first_purchase_month", first)
+    dated = purchase_months(transactions, ordered=False).withColumn("first_purchase_month", first)
     number = months_between_starts(F.col("purchase_month"), F.col("first_purchase_month"))
-    return dated.select("customer_id", "first_purchase_month", "purchase_month", number.alias("month_number"))
-
-
-def month_numbers(transactions: DataFrame) -> DataFrame:
-    """Each purchase month with its number of months since the first purchase."""
-    return _month_numbers(transactions).orderBy("customer_id", F.asc_nulls_last("purchase_month"))
+    numbered = dated.select("customer_id", "first_purchase_month", "purchase_month", number.alias("month_number"))
+    return numbered.orderBy("customer_id", F.asc_nulls_last("purchase_month")) if ordered else numbered
 
 
 def _cohort_counts(transactions: DataFrame) -> DataFrame:
     # Pairs are distinct, so counting rows counts customers.
     return (
-        _month_numbers(transactions)
+        month_numbers(transactions, ordered=False)
         .groupBy("first_purchase_month", "month_number")
         .agg(F.count("*").alias("active_customers"))
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillscope.functions.headers import detect_columns
@@ -32,9 +32,11 @@ def write_cleaned(cleaned: DataFrame, path: str, file_format: str = "parquet") -
         writer.format(file_format).save(path)
 
 
-def replace_owner(records: DataFrame, path: str) -> None:
+def replace_owner(records: DataFrame, path: str) -> int:
     """Replace all rows of the owner in ``records``; other owners' files stay.
 
+    Returns the number of rows, which is counted while they are written.
+
     Rows are written from the tasks they are in: gathering them by owner would
     put an owner with most rows into one task. New files are staged and moved
     into place when the job commits, and lost tasks are simply run again. An
@@ -42,12 +44,15 @@ def replace_owner(records: DataFrame, path: str) -> None:
     """
     if records.isEmpty():
         raise ValueError("Refusing to replace an owner's rows by an empty dataset")
+    written = Observation()
     (
-        records.write.mode("overwrite")
+        records.observe(written, F.count("*").alias("rows"))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("owner_id")
         .parquet(path)
     )
+    return written.get["rows"]
 
 
 def create_if_absent(
@@ -89,15 +94,15 @@ def ingest_upload(
     errors = validation_errors(rows, allow_returns)
     if errors:
         raise ValueError("; ".join(errors))
-    replace_owner(upload_records(rows, owner_id), table_path)
-    return upload_receipt(rows, csv_path)
+    stored = replace_owner(upload_records(rows, owner_id), table_path)
+    return upload_receipt(rows, stored, csv_path)
 
 
-def upload_receipt(rows: DataFrame, filename: str, preview: int = 5) -> dict[str, object]:
+def upload_receipt(rows: DataFrame, stored: int, filename: str, preview: int = 5) -> dict[str, object]:
     """Row count, columns and a short preview; only the preview reaches the driver."""
     return {
         "filename": filename.rsplit("/", 1)[-1],
-        "rows": rows.count(),
+        "rows": stored,
         "columns": rows.columns,
         "preview": [r.asDict() for r in rows.limit(preview).collect()],
         "message": "Dataset uploaded and ready for analysis",
