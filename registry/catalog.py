@@ -91,7 +91,7 @@ def _quality_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _preview_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = quality.preview_scan(inputs.preview_upload(spark, sf_dir))
-    return quality.scan_verdicts(report, "Loaded preview rows")
+    return quality.scan_verdicts(report, "preview_rows")
 
 
 def _describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

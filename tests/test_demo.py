@@ -55,6 +55,9 @@ def test_top_lists(demo):
     assert {r["share"] for r in Summary(demo).top_products().collect()} == {20.0}
     ranked = products.with_rank(Summary(demo).top_products()).orderBy("rank").collect()
     assert [(r["rank"], r["name"]) for r in ranked][:2] == [("01", "Linen lounge shirt"), ("02", "Classic leather tote")]
+    best = Summary(demo).top_products()
+    assert [r["name"] for r in products.visible_products(best, "Hand-poured candle").collect()] == ["Hand-poured candle"]
+    assert products.visible_products(best, "All products").count() == 5
 
 
 def test_cohorts(demo):

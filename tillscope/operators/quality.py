@@ -12,10 +12,13 @@ from tillscope.functions.headers import detect_columns, field_coverage, preview_
 from tillscope.functions.numbers import is_finite, quality_score, rounded_percent, to_number
 from tillscope.operators.profile import row_copies
 from tillscope.schemas import (
+    PASSING_SCORE,
     PREVIEW_REQUIRED,
     REQUIRED_COLUMNS,
     UPLOAD_ALIASES,
     VALIDATION_MESSAGES,
+    VERDICT_LABELS,
+    VERDICT_TEXTS,
 )
 
 COPIES = "_copies"
@@ -222,75 +225,85 @@ def catalog_health(spark: SparkSession, table: str = "transactions") -> DataFram
     return table_health(spark.table(table), table)
 
 
+def _sentence(*parts: Column | str) -> Column:
+    """Texts and values run together; counts are written without separators."""
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+
+
+def _text(name: str) -> Column:
+    return F.lit(VERDICT_TEXTS[name])
+
+
 def _grouped(number: Column) -> Column:
+    """A count with thousands separators."""
     return F.format_number(number, 0)
 
 
-def _plain(number: Column) -> Column:
-    """A score as written by a browser: 100, not 100.0."""
-    return F.regexp_replace(number.cast("string"), r"\.0$", "")
+def _plain(score: Column) -> Column:
+    """A score without a needless decimal: 100, not 100.0."""
+    return F.regexp_replace(score.cast("string"), r"\.0$", "")
 
 
 def _complete(score: Column) -> Column:
-    return F.coalesce(F.concat(_plain(score), F.lit("% complete")), F.lit("no score"))
+    return F.coalesce(_sentence(_plain(score), "% complete"), _text("no_score"))
+
 
+def _mapped(found: Column, expected: Column, word: str, missing: Column) -> Column:
+    lacking = F.when(F.size(missing) > 0, _sentence(" · missing ", F.array_join(missing, ", ")))
+    return _sentence(found, "/", expected, word, F.coalesce(lacking, F.lit("")))
 
-def _missing(names: Column) -> Column:
-    listed = F.concat(F.lit(" · missing "), F.array_join(names, ", "))
-    return F.when(F.size(names) > 0, listed).otherwise(F.lit(""))
+
+def _state(*cases: tuple[Column, str], otherwise: str) -> Column:
+    state = F
+    for condition, name in cases:
+        state = state.when(condition, name)
+    return state.otherwise(otherwise)
 
 
 def _verdicts(report: DataFrame, checks: list[tuple[str, Column, Column]]) -> DataFrame:
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("position"),
-                F.lit(label).alias("label"),
-                value.alias("value"),
-                state.alias("state"),
-            )
-            for i, (label, value, state) in enumerate(checks)
-        ]
-    )
-    return report.select(F.inline(cells))
+    """One row per check; the report itself is one row."""
+    cells = [
+        F.struct(
+            F.lit(i).alias("position"),
+            F.lit(VERDICT_LABELS[label]).alias("label"),
+            value.alias("value"),
+            state.alias("state"),
+        )
+        for i, (label, value, state) in enumerate(checks)
+    ]
+    return report.select(F.inline(F.array(*cells)))
 
 
-def scan_verdicts(report: DataFrame, rows_label: str = "CSV rows validated") -> DataFrame:
+def scan_verdicts(report: DataFrame, rows_label: str = "csv_rows") -> DataFrame:
     """(position, label, value, state) for a csv_quality or preview_scan report."""
-    c = F.col
-    anomalies = c("incomplete") + c("duplicateRows") + c("invalidDates") + c("invalidNumbers")
+    rows, columns, missing, quality = (F.col(c) for c in ("rows", "columns", "missing", "quality"))
+    counts = [F.col(c) for c in ("incomplete", "duplicateRows", "invalidDates", "invalidNumbers")]
+    incomplete, duplicates, dates, numbers = counts
+    labels = F.col("mapped") + F.size(missing)
     return _verdicts(
         report,
         [
             (
                 rows_label,
-                F.concat(
-                    _grouped(c("rows")), F.lit(" rows · "), c("columns").cast("string"),
-                    F.lit(" columns · "), _complete(c("quality")),
-                ),
-                F.when(c("quality") >= 90, "pass").otherwise("warn"),
+                _sentence(_grouped(rows), " rows · ", columns, " columns · ", _complete(quality)),
+                _state((quality >= PASSING_SCORE, "pass"), otherwise="warn"),
             ),
             (
-                "Required fields mapped",
-                F.concat(
-                    c("mapped").cast("string"), F.lit("/"), (c("mapped") + F.size("missing")).cast("string"),
-                    F.lit(" mapped"), _missing(c("missing")),
-                ),
-                F.when(F.size("missing") > 0, "warn").otherwise("pass"),
+                "fields",
+                _mapped(F.col("mapped"), labels, " mapped", missing),
+                _state((F.size(missing) > 0, "warn"), otherwise="pass"),
             ),
             (
-                "Data anomalies",
-                F.concat(
-                    c("incomplete").cast("string"), F.lit(" incomplete · "),
-                    c("duplicateRows").cast("string"), F.lit(" duplicate rows · "),
-                    c("invalidDates").cast("string"), F.lit(" invalid dates · "),
-                    c("invalidNumbers").cast("string"), F.lit(" invalid numeric values"),
+                "anomalies",
+                _sentence(
+                    incomplete, " incomplete · ", duplicates, " duplicate rows · ",
+                    dates, " invalid dates · ", numbers, " invalid numeric values",
                 ),
-                F.when(anomalies > 0, "warn").otherwise("pass"),
+                _state((any_of([c > 0 for c in counts]), "warn"), otherwise="pass"),
             ),
             (
-                "Cancellations / returns",
-                F.concat(_grouped(c("cancellations")), F.lit(" flagged in active data")),
+                "returns",
+                _sentence(_grouped(F.col("cancellations")), VERDICT_TEXTS["flagged_active"]),
                 F.lit("info"),
             ),
         ],
@@ -299,84 +312,64 @@ def scan_verdicts(report: DataFrame, rows_label: str = "CSV rows validated") ->
 
 def health_verdicts(report: DataFrame) -> DataFrame:
     """(position, label, value, state) for a table_health report."""
-    c = F.col
-    connected = c("status") == "connected"
-    exists = c("status") != "dataset_missing"
-    scored = c("quality_score").isNotNull()
-    mapped = F.concat(
-        c("columns_mapped").cast("string"), F.lit("/"), c("columns_expected").cast("string"),
-        F.lit(" present"), _missing(c("missing_columns")),
+    status, score, rows = F.col("status"), F.col("quality_score"), F.col("rows_analyzed")
+    incomplete, expected, missing = F.col("incomplete_rows"), F.col("columns_expected"), F.col("missing_columns")
+    connected, absent, empty = (status == s for s in ("connected", "dataset_missing", "dataset_empty"))
+    mapped = _mapped(F.col("columns_mapped"), expected, " present", missing)
+    cancelled = _grouped(F.col("cancellations"))
+    lacking = F.size(missing) > 0
+
+    def known(condition: Column, value: Column, fallback: str) -> Column:
+        return F.when(condition, value).otherwise(_text(fallback))
+
+    summary = _sentence(_grouped(rows), " rows · ", expected, " required columns · ", _complete(score))
+    dataset = (
+        F.when(absent, _sentence(F.col("source_table"), VERDICT_TEXTS["not_found"]))
+        .when(empty, _text("empty"))
+        .otherwise(_text("connected"))
     )
-    lacking = F.size("missing_columns") > 0
     return _verdicts(
         report,
         [
             (
-                "Table rows analyzed",
-                F.when(
-                    connected,
-                    F.concat(
-                        _grouped(c("rows_analyzed")), F.lit(" rows · "),
-                        c("columns_expected").cast("string"), F.lit(" required columns · "),
-                        _complete(c("quality_score")),
-                    ),
-                ).otherwise("No dataset rows"),
-                F.when(~connected, "info")
-                .when(c("quality_score") >= 90, "pass")
-                .otherwise("warn"),
-            ),
-            (
-                "Required fields mapped",
-                F.when(connected, mapped).otherwise("Not checked"),
-                F.when(~connected, "info").when(lacking, "fail").otherwise("pass"),
+                "table_rows",
+                known(connected, summary, "no_rows"),
+                _state((~connected, "info"), (score >= PASSING_SCORE, "pass"), otherwise="warn"),
             ),
             (
-                "Data anomalies",
-                F.when(
-                    connected,
-                    F.concat(
-                        c("incomplete_rows").cast("string"),
-                        F.lit(" incomplete · duplicate, date, and numeric checks not reported for table rows"),
-                    ),
-                ).otherwise("Upload a CSV to scan row-level anomalies"),
-                F.when(connected & (c("incomplete_rows") > 0), "warn").otherwise("info"),
+                "fields",
+                known(connected, mapped, "not_checked"),
+                _state((~connected, "info"), (lacking, "fail"), otherwise="pass"),
             ),
             (
-                "Cancellations / returns",
-                F.concat(_grouped(c("cancellations")), F.lit(" flagged in active data")),
-                F.lit("info"),
-            ),
-            (
-                "Dataset",
-                F.when(~exists, F.concat(c("source_table"), F.lit(" table not found")))
-                .when(c("status") == "dataset_empty", "Table exists, no records")
-                .otherwise("Connected"),
-                F.when(~exists, "fail").when(c("status") == "dataset_empty", "warn").otherwise("pass"),
+                "anomalies",
+                known(connected, _sentence(incomplete, VERDICT_TEXTS["table_anomalies"]), "no_scan"),
+                _state((connected & (incomplete > 0), "warn"), otherwise="info"),
             ),
+            ("returns", _sentence(cancelled, VERDICT_TEXTS["flagged_active"]), F.lit("info")),
+            ("dataset", dataset, _state((absent, "fail"), (empty, "warn"), otherwise="pass")),
             (
-                "Required columns",
-                F.when(exists, mapped).otherwise("Not checked"),
-                F.when(~exists, "info").when(lacking, "fail").otherwise("pass"),
+                "columns",
+                known(~absent, mapped, "not_checked"),
+                _state((absent, "info"), (lacking, "fail"), otherwise="pass"),
             ),
             (
-                "Rows analyzed",
-                F.when(exists, _grouped(c("rows_analyzed"))).otherwise("Unavailable"),
-                F.when(exists & (c("rows_analyzed") > 0), "pass").otherwise("info"),
+                "rows",
+                known(~absent, _grouped(rows), "unavailable"),
+                _state((~absent & (rows > 0), "pass"), otherwise="info"),
             ),
             (
-                "Required values",
-                F.when(
-                    scored,
-                    F.concat(
-                        _grouped(c("incomplete_rows")), F.lit(" incomplete rows · "),
-                        _plain(c("quality_score")), F.lit("% complete"),
-                    ),
-                ).otherwise("Not available"),
-                F.when(~scored, "info").when(c("incomplete_rows") > 0, "warn").otherwise("pass"),
+                "values",
+                known(
+                    score.isNotNull(),
+                    _sentence(_grouped(incomplete), " incomplete rows · ", _plain(score), "% complete"),
+                    "not_available",
+                ),
+                _state((score.isNull(), "info"), (incomplete > 0, "warn"), otherwise="pass"),
             ),
             (
-                "Cancellations",
-                F.when(exists, F.concat(_grouped(c("cancellations")), F.lit(" flagged"))).otherwise("Not checked"),
+                "cancellations",
+                known(~absent, _sentence(cancelled, VERDICT_TEXTS["flagged"]), "not_checked"),
                 F.lit("info"),
             ),
         ],

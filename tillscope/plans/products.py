@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillscope.functions.numbers import share
 from tillscope.plans.lines import uncancelled
-from tillscope.schemas import POSTAGE
+from tillscope.schemas import ALL_PRODUCTS, POSTAGE
 
 
 def top_products(transactions: DataFrame, rows: int = 10) -> DataFrame:
@@ -47,6 +47,11 @@ def with_share(best: DataFrame, products: DataFrame) -> DataFrame:
     return best.withColumn("share", share(F.col("revenue"), total))
 
 
+def visible_products(best: DataFrame, product: str | None = None) -> DataFrame:
+    """The one chosen product of a result, or all of them."""
+    return best.where(F.col("name") == product) if product and product != ALL_PRODUCTS else best
+
+
 def with_rank(best: DataFrame) -> DataFrame:
     """Add the two-digit rank label of a short, ordered product list."""
     order = Window.partitionBy().orderBy(F.desc("revenue"), F.asc("name"))
