@@ -56,6 +56,14 @@ def _cohort_matrix(rows: DataFrame) -> DataFrame:
     return cohorts.cohort_matrix(rows, max_month=3)
 
 
+def _wide_matrix(rows: DataFrame) -> DataFrame:
+    return cohorts.cohort_matrix(rows, max_month=5)
+
+
+def _ranked_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return api_rows(products.with_rank(Summary(inputs.transactions(spark, sf_dir)).top_products()))
+
+
 def _joined(report: DataFrame, column: str) -> DataFrame:
     return report.withColumn(column, F.array_join(column, ", "))
 
@@ -142,9 +150,11 @@ QUERIES: dict[str, Query] = {
     "cohort_counts": _on_transactions(cohorts.cohort_counts, priced=False, yearly_accounts=True),
     "cohort_retention": _on_transactions(cohorts.cohort_retention, priced=False, yearly_accounts=True),
     "cohort_matrix": _on_transactions(_cohort_matrix, priced=False, yearly_accounts=True),
+    "cohort_matrix_wide": _on_transactions(_wide_matrix, priced=False, yearly_accounts=True),
     "lifetime_retention": _on_transactions(cohorts.cohort_retention, priced=False),
     # Products
     "top_products": _on_transactions(products.top_products),
+    "ranked_products": _ranked_products,
     # Filtered summary
     "summary_monthly": _summary("monthly"),
     "summary_totals": _summary("totals"),

@@ -234,6 +234,11 @@ def _active(month: int) -> str:
     return f"max(case when month_number = {month} then active_customers end)"
 
 
+def _matrix(months: int) -> str:
+    cells = ", ".join(f"{_percent(_active(m), _active(0))} as m{m}" for m in range(months))
+    return f"with {_transactions(True)}, {COHORTS} select {FIRST}, {cells} from counts group by first_month"
+
+
 MONTHLY_POINTS = f"""with {_transactions()},
     points as (
       select {MONTH} as month, sum(revenue) as revenue, count(distinct invoice_no) as orders
@@ -279,14 +284,16 @@ ORACLES: dict[str, str] = {
         select {FIRST}, month_number, active_customers from counts""",
     "cohort_retention": _retention(True),
     "lifetime_retention": _retention(False),
-    "cohort_matrix": f"""with {_transactions(True)}, {COHORTS}
-        select {FIRST}, {', '.join(f'{_percent(_active(m), _active(0))} as m{m}' for m in range(4))}
-        from counts group by first_month""",
+    "cohort_matrix": _matrix(4),
+    "cohort_matrix_wide": _matrix(6),
     "top_products": f"""with {_transactions()}
         select stock_code, description, cast(total as double) as total_revenue
         from (select stock_code, description, sum(revenue) as total from t
               where is_cancellation = false and description not in ('DOTCOM POSTAGE', 'POSTAGE')
               group by 1, 2 order by total desc nulls first, stock_code nulls last, description nulls last limit 10)""",
+    "ranked_products": "select *, '0' || row_number() over (order by revenue desc, name) as rank from ("
+    + _summary("products")
+    + ")",
     "summary_monthly": _summary("monthly"),
     "summary_totals": _summary("totals"),
     "summary_products": _summary("products"),

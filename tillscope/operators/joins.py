@@ -18,11 +18,12 @@ def hot_keys(per_key: DataFrame, key: str, weight: str) -> DataFrame:
 def join_per_key(rows: DataFrame, per_key: DataFrame, key: str, weight: str, how: str = "inner") -> DataFrame:
     """Join ``rows`` to ``per_key``, which has unique keys and their ``weight``.
 
-    The weight must be no less than the number of ``rows`` a key has. Rows of hot
-    keys, and in a left join rows without a key, meet a broadcast of the hot keys
-    where they are and are never shuffled. Only the others go through the
-    shuffle, where no key holds 1/1000 of the weight. Both parts read ``rows``:
-    cheap when it ends in an aggregation, whose shuffle they share.
+    ``per_key`` must have every key that may be heavy, with a weight no less than
+    its number of ``rows``. Rows of hot keys, and in a left join rows without a
+    key, meet a broadcast of the hot keys where they are and are never shuffled.
+    Only the others go through the shuffle, where no key holds 1/1000 of the
+    weight. Both parts read ``rows``: cheap when it ends in an aggregation, whose
+    shuffle they share.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join: {how}")

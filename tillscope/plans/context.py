@@ -7,20 +7,21 @@ from pyspark.sql import functions as F
 
 from tillscope.plans.lines import uncancelled
 from tillscope.plans.products import best_named
+from tillscope.plans.revenue import order_values
 
 
 def context_totals(transactions: DataFrame) -> DataFrame:
     """One row (revenue, orders, customers).
 
-    Two distinct counts over lines would copy every line once per count, so
-    lines are merged per invoice and customer first.
+    Two distinct counts in one aggregation would copy every line once per count.
+    Orders are merged lines, and customers come from a scan of their column.
     """
-    pairs = uncancelled(transactions).groupBy("invoice_no", "customer_id").agg(F.sum("revenue").alias("revenue"))
-    return pairs.agg(
-        F.coalesce(F.sum("revenue"), F.lit(0)).alias("revenue"),
-        F.count_distinct("invoice_no").alias("orders"),
-        F.count_distinct("customer_id").alias("customers"),
+    lines = uncancelled(transactions)
+    customers = lines.select("customer_id").distinct().agg(F.count("customer_id").alias("customers"))
+    totals = order_values(lines).agg(
+        F.coalesce(F.sum("revenue"), F.lit(0)).alias("revenue"), F.count("invoice_no").alias("orders")
     )
+    return totals.withColumn("customers", customers.scalar())
 
 
 def context_products(transactions: DataFrame, rows: int = 10) -> DataFrame:

@@ -71,8 +71,10 @@ class Summary:
             return self.lines.groupBy(*keys).agg(total)
         known = self.lines.where(F.col("customer_id").isNotNull())
         merged = known.groupBy("customer_id", *keys).agg(total)
-        chosen = self._types.where(F.col("customer_type") == kind).drop("customer_type")
-        kept = join_per_key(merged, chosen, "customer_id", "lines")
+        # Joined to all types and chosen afterwards: a heavy customer of the other
+        # type has to be recognised as heavy too.
+        kept = join_per_key(merged, self._types, "customer_id", "lines")
+        kept = kept.where(F.col("customer_type") == kind).drop("customer_type")
         names = [c for c in kept.columns if c not in ("customer_id", "revenue")]
         return kept.groupBy(*names).agg(total)
 
@@ -92,15 +94,16 @@ class Summary:
     @property
     def monthly(self) -> DataFrame:
         """(month, revenue, orders); an order is counted in each month it touches."""
-        label = month_label(F.col("invoice_date")).alias("month")
+        month = month_start(F.col("invoice_date")).alias("month")
         return (
-            self._revenue_by(label, "invoice_no")
+            self._revenue_by(month, "invoice_no")
             .groupBy("month")
             .agg(
                 F.coalesce(F.sum("revenue"), F.lit(0)).alias("revenue"),
                 F.count("invoice_no").alias("orders"),
             )
             .orderBy(F.asc_nulls_last("month"))
+            .withColumn("month", month_label(F.col("month")))
         )
 
     @property
