@@ -27,6 +27,26 @@ def test_dates_follow_one_format(spark):
     assert got == [datetime(2026, 1, 5), datetime(2026, 2, 28), None, None, None, None]
 
 
+def test_other_formats(spark):
+    texts = ["12/1/2010 8:26", "13/1/2010 8:26", "2010-12-01 08:26", "12/1/2010"]
+    got = values(spark, texts, lambda c: dates.parse_timestamp(c, "M/d/yyyy H:mm"))
+    assert got == [datetime(2010, 12, 1, 8, 26), None, None, None]
+    got = values(spark, ["2010-12-01 08:26:01.25", "2010-12-01T08:26:01"], lambda c: dates.parse_timestamp(c, "yyyy-MM-dd HH:mm:ss"))
+    assert got == [None, None]
+    for day_format, texts in {
+        "d/M/yyyy H:mm": ["29/3/2026 2:30", "1/7/1950 0:00"], "yyyyMMdd": ["20260329", "2026-03-29"]
+    }.items():
+        before = spark.conf.get("spark.sql.session.timeZone")
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+        try:
+            got = values(spark, texts, lambda c: dates.parse_timestamp(c, day_format))
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", before)
+        assert got in (
+            [datetime(2026, 3, 29, 2, 30), datetime(1950, 7, 1)], [datetime(2026, 3, 29), None]
+        )
+
+
 def test_dates_do_not_depend_on_the_zone(spark):
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
