@@ -15,7 +15,7 @@ def values(spark, texts, expression):
 
 
 def test_numbers(spark):
-    texts = ["1,000", " 5 ", "1e3", "inf", "1d", "0x10", "nan", ".5", "-2.", "", None]
+    texts = ["1,000", " 5\t", "1e3", "inf", "1d", "0x10", "nan", ".5", "-2.", "", None]
     assert values(spark, texts, numbers.to_number) == [
         None, 5.0, 1000.0, float("inf"), None, None, None, 0.5, -2.0, None, None
     ]

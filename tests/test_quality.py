@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 import pytest
-from pyspark.sql import functions as F
 
 from registry import inputs
 from tests.conftest import tuples
@@ -67,7 +66,8 @@ def test_empty_upload(spark):
 
 
 def test_customer_is_optional_in_the_preview(spark):
-    df = spark.createDataFrame([("1", "2024-01-01", "p", "1", "2")], "order_id string, date string, product string, qty string, price string")
+    ddl = "order_id string, date string, product string, qty string, price string"
+    df = spark.createDataFrame([("1", "2024-01-01", "p", "1", "2")], ddl)
     assert quality.csv_quality(df).first()["quality"] == 100.0
     assert standardize(df).first()["customer_id"] is None
 
@@ -79,7 +79,8 @@ def test_clashing_names(spark):
 
 
 def test_standardize_replaces_revenue_and_refuses_gaps(spark):
-    df = spark.createDataFrame([("1", "2024-01-01", "p", "3", "2", "99")], "order_id string, date string, product string, qty string, price string, revenue string")
+    ddl = "order_id string, date string, product string, qty string, price string, revenue string"
+    df = spark.createDataFrame([("1", "2024-01-01", "p", "3", "2", "99")], ddl)
     assert standardize(df).first()["revenue"] == 6.0
     with pytest.raises(ValueError, match="unit_price"):
         standardize(df.drop("price"))

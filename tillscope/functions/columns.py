@@ -26,8 +26,16 @@ def count_where(condition: Column, weight: Column | None = None) -> Column:
     return F.coalesce(F.sum(F.when(condition, weight)), F.lit(0)).cast("bigint")
 
 
+WHITE_SPACE = " \t\n\r\f\v\u00a0\ufeff"
+
+
+def stripped(column: Column) -> Column:
+    """Text without white space of any kind around it; plain trim only takes spaces."""
+    return F.trim(column.cast("string"), F.lit(WHITE_SPACE))
+
+
 def blank(column: Column) -> Column:
-    return F.trim(F.coalesce(column.cast("string"), F.lit(""))) == ""
+    return F.coalesce(stripped(column), F.lit("")) == ""
 
 
 def na_to_null(column: Column, tokens: list[str]) -> Column:

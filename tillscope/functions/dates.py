@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillscope.functions.columns import named
+from tillscope.functions.columns import named, stripped
 
 # Tried in this order against the first value present; month comes before day
 # when both readings are possible.
@@ -70,7 +70,7 @@ ISO_PATTERNS = {
 
 def parse_timestamp(column: Column, date_format: str) -> Column:
     """Zone-free timestamp; null where the text does not fit the format."""
-    text = F.trim(column.cast("string"))
+    text = stripped(column)
     if date_format in ISO_PATTERNS:
         return F.when(text.rlike(ISO_PATTERNS[date_format]), text.try_cast("timestamp_ntz"))
     # Read as UTC and counted from the epoch, so that a daylight-saving gap of the
@@ -103,7 +103,7 @@ BROWSER_FORMATS = [
 
 def looks_like_date(column: Column) -> Column:
     """Whether a lenient, browser-like reading of the text gives a date."""
-    text = F.trim(column)
+    text = stripped(column)
     return F.coalesce(
         text.try_cast("timestamp_ntz"), *[parse_timestamp(text, f) for f in BROWSER_FORMATS]
     ).isNotNull()

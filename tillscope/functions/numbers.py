@@ -5,13 +5,15 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tillscope.functions.columns import stripped
+
 # A JVM cast would also take "1d" or "2f"; only plain decimal notation counts.
 PLAIN_NUMBER = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?)$"
 
 
 def to_number(column: Column) -> Column:
     """Double, or null where the text is not a number."""
-    text = F.trim(column.cast("string"))
+    text = stripped(column)
     return F.when(text.rlike(PLAIN_NUMBER), text.try_cast("double"))
 
 

@@ -20,6 +20,7 @@ from tillscope.schemas import (
     VERDICT_LABELS,
     VERDICT_TEXTS,
 )
+from tillscope.sources.tables import PUBLIC_TABLE, tenant_rows
 
 COPIES = "_copies"
 
@@ -218,11 +219,14 @@ def _unread_health(spark: SparkSession, status: str, source_table: str, missing:
     )
 
 
-def catalog_health(spark: SparkSession, table: str = "transactions") -> DataFrame:
+def catalog_health(
+    spark: SparkSession, table: str = PUBLIC_TABLE, owner_id: int | None = None
+) -> DataFrame:
     """The health report by table name; a table that is not there is reported too."""
     if not spark.catalog.tableExists(table):
         return _unread_health(spark, "dataset_missing", table, sorted(REQUIRED_COLUMNS))
-    return table_health(spark.table(table), table)
+    rows = spark.table(table)
+    return table_health(rows if owner_id is None else tenant_rows(rows, owner_id), table)
 
 
 def _sentence(*parts: Column | str) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillscope.functions.columns import na_to_null, named
+from tillscope.functions.columns import na_to_null, named, stripped
 from tillscope.schemas import NA_TOKENS, RAW_RETAIL
 
 OVERFLOW = "_overflow"
@@ -63,7 +63,7 @@ def nulls_from_text(rows: DataFrame) -> DataFrame:
 
 
 def preview_cell(column: Column) -> Column:
-    return F.regexp_replace(F.trim(F.coalesce(column, F.lit(""))), '^"|"$', "")
+    return F.regexp_replace(stripped(F.coalesce(column, F.lit(""))), '^"|"$', "")
 
 
 def preview_text(rows: DataFrame) -> DataFrame:
