@@ -52,14 +52,14 @@ def test_join_broadcasts_hot_keys_only(spark, skewed):
         join_per_key(df, per_key, "key", "w", "full")
 
 
-@pytest.mark.parametrize("buckets", [2, 16, 128])
-def test_quantiles_match_numpy(spark, buckets):
-    rng = random.Random(buckets)
+@pytest.mark.parametrize("fan", [2, 5, 16])
+def test_quantiles_match_numpy(spark, fan):
+    rng = random.Random(fan)
     a = [None if rng.random() < 0.1 else round(rng.gauss(0, 50), 2) for _ in range(700)]
     b = [7.0] * 300 + [float(rng.randrange(5)) for _ in range(400)]
     df = spark.createDataFrame(list(zip(a, b)), "a double, b double")
     probabilities = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
-    got = {(r[0], float(r[1])): r[2] for r in exact_quantiles(df, ["a", "b"], probabilities, buckets).collect()}
+    got = {(r[0], float(r[1])): r[2] for r in exact_quantiles(df, ["a", "b"], probabilities, fan).collect()}
     for name, data in (("a", [x for x in a if x is not None]), ("b", b)):
         for p in probabilities:
             assert got[(name, p)] == pytest.approx(np.quantile(data, p), abs=1e-9)
@@ -70,9 +70,8 @@ def test_quantiles_match_numpy(spark, buckets):
 def test_quartiles_property(spark, data):
     present = [float(x) for x in data if x is not None]
     df = spark.createDataFrame([(None if x is None else float(x),) for x in data], "v double")
-    got = {float(r[1]): r[2] for r in exact_quantiles(df, ["v"], [0.25, 0.5, 0.75], 4).collect()}
-    if not present:
-        assert got == {}
+    got = {float(r[1]): r[2] for r in exact_quantiles(df, ["v"], [0.25, 0.5, 0.75], 2).collect()}
+    assert len(got) == (3 if present else 0)
     for p, v in got.items():
         assert v == pytest.approx(np.quantile(present, p), rel=1e-9, abs=1e-6)
 

@@ -2,17 +2,20 @@
 
 Spark's exact ``percentile`` keeps every distinct value of a column in a single
 aggregation buffer. Here equal values are counted first, the distinct values are
-split into buckets, and only the buckets that hold a wanted position are ordered.
+split into some hundred buckets of about equal size, and only the buckets that
+hold a wanted position are ordered. Rough bounds would make buckets uneven, never
+wrong.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillscope.functions.columns import named
 
-BUCKETS = 128
+# Buckets are found in two steps of this many comparisons: 16 * 16 buckets.
+FAN = 16
 
 
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -25,7 +28,7 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def exact_quantiles(
-    df: DataFrame, columns: list[str], probabilities: list[float], buckets: int = BUCKETS
+    df: DataFrame, columns: list[str], probabilities: list[float], fan: int = FAN
 ) -> DataFrame:
     """(column, probability, value), interpolated linearly between neighbours."""
     counts = value_counts(df, columns)
@@ -33,18 +36,27 @@ def exact_quantiles(
     # One row per profiled column, so its size is set by the schema. The filter is
     # always true: it keeps the counts in this use too, so that both uses of them
     # are the same aggregation and Spark computes it once.
-    steps = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    bounds = (
-        counts.where(F.col("n") > 0).groupBy("column").agg(F.percentile_approx("value", steps).alias("bounds"))
+    counts = counts.where(F.col("n") > 0)
+    buckets = fan * fan
+    steps = F.expr("array(" + ", ".join(f"{i / buckets!r}D" for i in range(1, buckets)) + ")")
+    bounds = counts.groupBy("column").agg(
+        F.percentile_approx("value", steps, 10 * buckets).alias("bounds")
     )
-    placed = counts.where(F.col("n") > 0).join(F.broadcast(bounds), "column").select(
-        "column",
-        "value",
-        "n",
-        F.size(F.filter("bounds", lambda b: b < F.col("value"))).alias("bucket"),
+    last = F.lit(fan * (fan - 1))
+    every = F.transform(F.sequence(F.lit(fan), last, F.lit(fan)), lambda i: F.element_at("bounds", i))
+    bounds = bounds.withColumn("coarse", every)
+
+    def below(candidates: Column) -> Column:
+        return F.size(F.filter(candidates, lambda b: b < F.col("value")))
+
+    placed = (
+        counts.join(F.broadcast(bounds), "column")
+        .withColumn("group", below(F.col("coarse")))
+        .withColumn("bucket", F.col("group") * fan + below(F.slice("bounds", F.col("group") * fan + 1, fan)))
+        .select("column", "value", "n", "bucket")
     )
 
-    # At most buckets rows per column from here on.
+    # At most one row per column and bucket from here on.
     in_order = Window.partitionBy("column").orderBy("bucket")
     whole = Window.partitionBy("column")
     totals = (
@@ -63,7 +75,7 @@ def exact_quantiles(
         .withColumn("high", F.ceil("position").cast("bigint"))
     )
 
-    def inside(spot: str, start, length):
+    def inside(spot: str, start: Column, length: Column) -> Column:
         return (F.col(spot) >= start) & (F.col(spot) < start + length)
 
     spots = spots.where(
