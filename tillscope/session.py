@@ -6,6 +6,9 @@ here overrides it; ``local_session`` is for tests and the benchmark.
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -33,19 +36,27 @@ def local_session(
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Directory for ``checkpoint()``: the cluster's shared one, else a local one.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``.
 
-    A machine-local folder is only ever picked for a local master, where the
-    driver and the executors are one process.
+    Where it is unset, a local folder is made once per session, but only for a
+    master whose driver and executors are one process.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        shared = tempfile.mkdtemp(prefix="tillscope-shared-")
+        atexit.register(shutil.rmtree, shared, ignore_errors=True)
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return shared.rstrip("/")
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Sets the folder for ``checkpoint()`` where none is set yet."""
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="tillscope-checkpoint-")
+    shared = shared_folder(spark)
     spark.sparkContext.setCheckpointDir(shared)
     return shared
