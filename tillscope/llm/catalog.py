@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tillscope.llm import mixing
+from tillscope.llm import mixing, simhash
 
 LLM_QUERIES = {
     "op1_mixing": mixing.query,
+    "op10_simhash": simhash.query,
 }
 
 LLM_ORACLES: dict[str, str] = {}
