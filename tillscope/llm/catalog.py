@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tillscope.llm import mixing, simhash
+from tillscope.llm import mixing, nbsvm, simhash
 
 LLM_QUERIES = {
     "op1_mixing": mixing.query,
+    "op2_quality": nbsvm.query,
     "op10_simhash": simhash.query,
 }
 
