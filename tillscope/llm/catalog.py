@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tillscope.llm import decontam, mixing, nbsvm, simhash
+from tillscope.llm import decontam, mixing, nbsvm, pii, simhash
 
 LLM_QUERIES = {
     "op1_mixing": mixing.query,
     "op2_quality": nbsvm.query,
+    "op4_pii": pii.query,
     "op8_decontamination": decontam.query,
     "op10_simhash": simhash.query,
 }
