@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tillscope.llm import decontam, mixing, nbsvm, pii, simhash
+from tillscope.llm import decontam, lm, mixing, nbsvm, pii, simhash
 
 LLM_QUERIES = {
     "op1_mixing": mixing.query,
     "op2_quality": nbsvm.query,
     "op4_pii": pii.query,
+    "op7_language_model": lm.query,
     "op8_decontamination": decontam.query,
     "op10_simhash": simhash.query,
 }
