@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillscope.llm import decontam, lm, mixing, nbsvm, pii, simhash
+from tillscope.llm import crosspolytope, decontam, lm, mixing, nbsvm, pii, simhash
 
 LLM_QUERIES = {
     "op1_mixing": mixing.query,
@@ -10,6 +10,7 @@ LLM_QUERIES = {
     "op4_pii": pii.query,
     "op7_language_model": lm.query,
     "op8_decontamination": decontam.query,
+    "op9_embeddings": crosspolytope.query,
     "op10_simhash": simhash.query,
 }
 
