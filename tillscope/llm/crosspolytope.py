@@ -162,7 +162,7 @@ def _links(group: pd.DataFrame, probes: int, cosine: float) -> pd.DataFrame:
     a = np.array(edges, dtype=np.int64).reshape(-1, 2)
     id_ = np.concatenate([*found_ids, a[:, 0]]).astype(np.int64)
     copies = np.concatenate([*found_counts, np.zeros(len(a))]).astype(np.int64)
-    other = pd.array(np.concatenate([np.zeros(len(id_) - len(a)), a[:, 1]]).astype(np.int64), dtype="Int64")
+    other = pd.array(np.concatenate([np.zeros(len(id_) - len(a), dtype=np.int64), a[:, 1]]), dtype="Int64")
     other[: len(id_) - len(a)] = pd.NA
     return pd.DataFrame({"id": id_, "copies": copies, "other": other})
 
