@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tillscope.llm import crosspolytope, decontam, lm, mixing, nbsvm, pii, simhash
+from tillscope.llm import crosspolytope, decontam, lm, mixing, nbsvm, pii, simhash, warc
 
 LLM_QUERIES = {
     "op1_mixing": mixing.query,
     "op2_quality": nbsvm.query,
+    "op3_warc": warc.query,
     "op4_pii": pii.query,
     "op7_language_model": lm.query,
     "op8_decontamination": decontam.query,
