@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from tillscope.llm import crosspolytope, decontam, lm, mixing, nbsvm, pii, simhash, warc
+from tillscope.llm import crosspolytope, decontam, lm, mixing, nbsvm, pii, quotes, simhash, warc
 
 LLM_QUERIES = {
     "op1_mixing": mixing.query,
     "op2_quality": nbsvm.query,
     "op3_warc": warc.query,
     "op4_pii": pii.query,
+    "op5_quotations": quotes.query,
     "op7_language_model": lm.query,
     "op8_decontamination": decontam.query,
     "op9_embeddings": crosspolytope.query,
     "op10_simhash": simhash.query,
 }
 
-LLM_ORACLES: dict[str, str] = {}
+LLM_ORACLES = {
+    "op5_quotations": quotes.ORACLE,
+}
