@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillscope.llm import crosspolytope, decontam, lm, mixing, nbsvm, pii, quotes, simhash, warc
+from tillscope.llm import crosspolytope, decontam, lm, mixing, nbsvm, pii, quotes, simhash, toxicity, warc
 
 LLM_QUERIES = {
     "op1_mixing": mixing.query,
@@ -10,6 +10,7 @@ LLM_QUERIES = {
     "op3_warc": warc.query,
     "op4_pii": pii.query,
     "op5_quotations": quotes.query,
+    "op6_toxicity": toxicity.query,
     "op7_language_model": lm.query,
     "op8_decontamination": decontam.query,
     "op9_embeddings": crosspolytope.query,
