@@ -161,7 +161,7 @@ class Network:
         a, o = self.attention, self.output
         weights = np.stack([f @ a[:HIDDEN] + b @ a[HIDDEN:] for f, b in zip(forward, backward)])
         weights = np.exp(np.where(mask, weights - weights.max(axis=0), -1e9))
-        weights /= weights.sum(axis=0)
+        weights /= np.maximum(weights.sum(axis=0), 1e-30)  # nothing is read of a window without words
         values = np.stack([f @ o[:HIDDEN] + b @ o[HIDDEN:] for f, b in zip(forward, backward)])
         return (weights * values).sum(axis=0) + self.offset[0], weights, values
 
