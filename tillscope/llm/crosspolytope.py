@@ -26,6 +26,8 @@ from tillscope.llm.components import connected_components
 COSINE = 0.93
 #: Tables, rotations joined in the key of each, and buckets of a table that a vector goes into.
 TABLES, ROTATIONS, PROBES = 8, 2, 2
+#: Shorter vectors are padded to 2**LEAST_BITS coordinates, where signs make enough rotations.
+LEAST_BITS = 4
 SEED = 29
 #: Vectors of a bucket that meet in one task at most; larger buckets go in pairs of such blocks.
 BLOCK = 1024
@@ -58,7 +60,7 @@ def bucket_codes(units: np.ndarray, tables: int, rotations: int, probes: int, se
     A miss takes the second-greatest coordinate in some of the rotations; the subsets
     with the least loss of magnitude come first.
     """
-    size = 1 << max(1, (units.shape[1] - 1).bit_length())
+    size = 1 << max(LEAST_BITS, (units.shape[1] - 1).bit_length())
     padded = np.zeros((len(units), size))
     padded[:, : units.shape[1]] = units
     codes = np.zeros((len(units), tables, probes), dtype=np.int64)
