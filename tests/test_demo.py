@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -119,3 +120,10 @@ def test_large_month_is_split(spark):
     assert rows.count() == rows.select("invoice_no").distinct().count() == orders + 2
     last = rows.where("invoice_no = 'DEMO-2024-03-00002'").first()
     assert last["customer_id"] == f"C-REP-{(orders + 2 - 3198) % 5215 + 1:05d}"
+
+
+def test_numbers_beyond_five_digits_stay_whole(spark):
+    months = spark.createDataFrame([(2024, 1, Decimal(150000), 150_000)], "year int, month_no int, month_revenue decimal(20,2), order_count bigint")
+    rows = generate_transactions(months, one_time_customers=150_000)
+    counted = rows.agg(F.countDistinct("invoice_no").alias("invoices"), F.countDistinct("customer_id").alias("customers"), F.max(F.length("invoice_no")).alias("width")).first()
+    assert (counted.invoices, counted.customers, counted.width) == (150_000, 150_000, len("DEMO-2024-01-150000"))

@@ -9,7 +9,10 @@ from tillscope.schemas import (
     DEMO_COUNTRIES,
     DEMO_MONTHS,
     DEMO_ONE_TIME_CUSTOMERS,
+    DEMO_DAYS,
+    DEMO_PREFIXES,
     DEMO_PRODUCTS,
+    DEMO_PRODUCT_STEP,
     DEMO_REPEAT_CUSTOMERS,
     MONEY,
     PRICE,
@@ -65,8 +68,13 @@ def generate_transactions(
     """
     orders = _order_indexes(months)
     index, number, month = F.col("order_index"), F.col("order_number"), F.col("month_no")
-    product = (index * 7 + month) % len(DEMO_PRODUCTS)
-    digits = lambda value, width: F.lpad(value.cast("string"), width, "0")
+    product = (index * DEMO_PRODUCT_STEP + month) % len(DEMO_PRODUCTS)
+
+    def digits(value: Column, width: int) -> Column:
+        """At least ``width`` digits; greater numbers keep all of theirs."""
+        text = value.cast("string")
+        return F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0"))
+
     first_day = F.make_timestamp_ntz(
         F.col("year"), month, F.lit(1), F.lit(0), F.lit(0), F.lit(0).cast("decimal(16,6)")
     )
@@ -74,15 +82,15 @@ def generate_transactions(
     repeat = (number - one_time_customers - 1) % repeat_customers + 1
     return orders.select(
         F.concat(
-            F.lit("DEMO-"), F.col("year").cast("string"), F.lit("-"), digits(month, 2), F.lit("-"), digits(index, 5)
+            F.lit(DEMO_PREFIXES["invoice"]), F.col("year").cast("string"), F.lit("-"), digits(month, 2), F.lit("-"), digits(index, 5)
         ).alias("invoice_no"),
-        F.concat(F.lit("SKU-"), digits(product + 1, 2)).alias("stock_code"),
+        F.concat(F.lit(DEMO_PREFIXES["product"]), digits(product + 1, 2)).alias("stock_code"),
         _choice(DEMO_PRODUCTS, product).alias("description"),
         F.lit(1).cast(QUANTITY).alias("quantity"),
-        (first_day + F.make_dt_interval(days=(index % 28).cast("int"))).alias("invoice_date"),
+        (first_day + F.make_dt_interval(days=(index % DEMO_DAYS).cast("int"))).alias("invoice_date"),
         price.alias("unit_price"),
-        F.when(number <= one_time_customers, F.concat(F.lit("C-ONE-"), digits(number, 5)))
-        .otherwise(F.concat(F.lit("C-REP-"), digits(repeat, 5)))
+        F.when(number <= one_time_customers, F.concat(F.lit(DEMO_PREFIXES["one_time"]), digits(number, 5)))
+        .otherwise(F.concat(F.lit(DEMO_PREFIXES["repeat"]), digits(repeat, 5)))
         .alias("customer_id"),
         _choice(DEMO_COUNTRIES, (index + month) % len(DEMO_COUNTRIES)).alias("country"),
         price.cast(MONEY).alias("revenue"),
