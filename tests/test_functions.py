@@ -61,20 +61,38 @@ def test_dates_do_not_depend_on_the_zone(spark):
 
 
 @pytest.mark.parametrize(
-    "first, expected",
+    "texts, expected",
     [
-        ("2026-01-05", "yyyy-MM-dd"),
-        ("12/1/2010 8:26", "M/d/yyyy H:mm"),
-        ("13/01/2026", "d/M/yyyy"),
-        ("2026-01-05T10:00:00", "yyyy-MM-dd'T'HH:mm:ss"),
-        ("nonsense", "yyyy-MM-dd"),
+        (["2026-01-05"], "yyyy-MM-dd"),
+        (["12/1/2010 8:26"], "M/d/yyyy H:mm"),
+        (["13/01/2026", "01/02/2026"], "d/M/yyyy"),
+        (["01/02/2026"], "M/d/yyyy"),
+        (["2026-01-05T10:00:00"], "yyyy-MM-dd'T'HH:mm:ss"),
+        (["TBC", "1/15/2024", "2/15/2024"], "M/d/yyyy"),
+        (["nonsense"], "yyyy-MM-dd"),
+        (["2024-01-15T10:00:00", "2024-01-15T10:00:00.123"], dates.ISO_TIME),
+        (["2024-01-15T10:00:00Z", "2024-01-15 10:00:00+02:00"], dates.ISO_ZONED),
     ],
 )
-def test_format_comes_from_the_first_value(spark, first, expected):
-    df = spark.createDataFrame([(None,), (first,)], "d string").coalesce(1)
+@pytest.mark.parametrize("parts", [1, 3])
+def test_format_comes_from_the_whole_column(spark, texts, expected, parts):
+    df = spark.createDataFrame([(None,), *[(t,) for t in texts]], "d string").repartition(parts)
     assert dates.infer_date_format(df, "d") == expected
 
 
+def test_iso_fractions_and_offsets(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        texts = ["2024-01-15T10:00:00Z", "2024-01-15T10:00:00.25+0230", "2024-03-10 02:30:00-05:00", "2024-01-15", "x"]
+        got = values(spark, texts, lambda c: dates.parse_timestamp(c, dates.ISO_ZONED))
+        assert got == [datetime(2024, 1, 15, 10), datetime(2024, 1, 15, 7, 30, 0, 250000), datetime(2024, 3, 10, 7, 30), None, None]
+        local = values(spark, ["2024-03-10T02:30:00.123", "2024-01-15"], lambda c: dates.parse_timestamp(c, dates.ISO_TIME))
+        assert local == [datetime(2024, 3, 10, 2, 30, 0, 123000), datetime(2024, 1, 15)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_lenient_dates(spark):
     texts = ["2026", "1/31/2026", "Jan 5, 2026", "13/40/2026", "soon"]
     assert values(spark, texts, dates.looks_like_date) == [True, True, True, False, False]

@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 from tillscope.functions.columns import named, stripped
 
-# Tried in this order against the first value present; month comes before day
-# when both readings are possible.
+# ISO times whose fraction may have any length, without and with an offset or Z.
+# Times with an offset are taken to UTC.
+ISO_TIME, ISO_ZONED = "ISO time", "ISO time with offset"
+
+# The format that fits most values of a column is its format. Of equally good ones
+# the first in this order is taken, so month comes before day when both always fit.
 DATE_FORMATS = [
     "yyyy-MM-dd",
     "yyyy-MM-dd HH:mm:ss",
@@ -28,6 +32,8 @@ DATE_FORMATS = [
     "yyyyMMdd",
     "d MMM yyyy",
     "MMM d, yyyy",
+    ISO_TIME,
+    ISO_ZONED,
 ]
 
 
@@ -65,7 +71,9 @@ ISO_PATTERNS = {
     "yyyy-MM-dd HH:mm:ss": r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$",
     "yyyy-MM-dd'T'HH:mm:ss": r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$",
     "yyyy-MM-dd HH:mm:ss.SSSSSS": r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\.\d{6}$",
+    ISO_TIME: r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?$",
 }
+ZONED_PATTERN = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})$"
 
 
 def parse_timestamp(column: Column, date_format: str) -> Column:
@@ -73,6 +81,11 @@ def parse_timestamp(column: Column, date_format: str) -> Column:
     text = stripped(column)
     if date_format in ISO_PATTERNS:
         return F.when(text.rlike(ISO_PATTERNS[date_format]), text.try_cast("timestamp_ntz"))
+    if date_format == ISO_ZONED:
+        # with its offset in the text, the instant does not depend on the session's zone
+        colon = F.regexp_replace(text, r"([+-]\d{2})(\d{2})$", "$1:$2")
+        instant = F.when(text.rlike(ZONED_PATTERN), colon.try_cast("timestamp"))
+        return F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch_ntz())
     # Read as UTC and counted from the epoch, so that a daylight-saving gap of the
     # session's zone cannot move the time.
     instant = F.try_to_timestamp(F.concat(text, F.lit(" +0000")), F.lit(date_format + " xx"))
@@ -80,18 +93,18 @@ def parse_timestamp(column: Column, date_format: str) -> Column:
 
 
 def infer_date_format(df: DataFrame, column: str) -> str:
-    """Format of the first value present, as a CSV reader would settle on it.
+    """The format that fits most values of the column, from one aggregation over all of them.
 
-    Looks at one value only; the format then holds for the whole column.
+    Equal texts merge before they are parsed. One stray value does not matter, and
+    neither does the order or the partitioning of the rows.
     """
     text = named(column)
-    sample = df.where(text.isNotNull()).select(text.alias("v")).limit(1)
-    fits = sample.select(
-        F.coalesce(
-            *[F.when(parse_timestamp(F.col("v"), f).isNotNull(), F.lit(f)) for f in DATE_FORMATS]
-        ).alias("format")
+    counted = df.where(text.isNotNull()).groupBy(text.alias("v")).agg(F.count("*").alias("n"))
+    fits = counted.agg(
+        *[F.sum(F.when(parse_timestamp(F.col("v"), f).isNotNull(), F.col("n"))) for f in DATE_FORMATS]
     ).first()
-    return fits["format"] if fits and fits["format"] else DATE_FORMATS[0]
+    best = max(range(len(DATE_FORMATS)), key=lambda i: (fits[i] or 0, -i))
+    return DATE_FORMATS[best]
 
 
 # Notations a browser reads besides ISO ones.
