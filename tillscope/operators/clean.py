@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillscope.functions.cancellations import by_invoice_prefix
 from tillscope.schemas import MONEY, PRICE, QUANTITY, TRANSACTIONS
 
 
+def _whole_number(number: Column) -> Column:
+    """The number as an integer; null unless it is a whole number that one can hold."""
+    exact = number.try_cast("decimal(38,10)")
+    return F.when(exact == F.floor(exact), exact.try_cast("bigint"))
+
+
 def price_lines(raw: DataFrame) -> DataFrame:
     """Distinct described rows with customer number, revenue and cancellation flag.
 
@@ -18,7 +24,7 @@ def price_lines(raw: DataFrame) -> DataFrame:
     return (
         raw.dropDuplicates()
         .where(F.col("Description").isNotNull())
-        .withColumn("CustomerID", F.col("CustomerID").try_cast("decimal(20,0)").cast("bigint"))
+        .withColumn("CustomerID", _whole_number(F.col("CustomerID")))
         .withColumn("Revenue", (F.col("Quantity") * F.col("UnitPrice")).cast(MONEY))
         .withColumn("IsCancellation", by_invoice_prefix(F.col("InvoiceNo")))
     )

@@ -5,12 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillscope.schemas import TRANSACTIONS
+from tillscope.schemas import TENANT_TRANSACTIONS, TRANSACTIONS
 
 PUBLIC_TABLE = "transactions"
 TENANT_TABLE = "user_transactions"
 
 
+def ensure_tenant_table(spark: SparkSession, table: str = TENANT_TABLE) -> None:
+    """Creates the tenants' table, a partition per owner, unless it exists."""
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table} ({TENANT_TRANSACTIONS.toDDL()}) "
+        "USING parquet PARTITIONED BY (owner_id)"
+    )
+
+
 def table_columns(spark: SparkSession, table: str) -> set[str]:
     """Column names, empty for a table that does not exist."""
     if not spark.catalog.tableExists(table):
@@ -36,7 +44,8 @@ def as_transactions(tenant: DataFrame) -> DataFrame:
 
 
 def source_rows(spark: SparkSession, owner_id: int | None = None) -> DataFrame:
-    """The public table, or one tenant's rows for a known caller."""
+    """The public table, or one tenant's rows for a known caller, who may have none yet."""
     if owner_id is None:
         return spark.table(PUBLIC_TABLE)
+    ensure_tenant_table(spark)
     return as_transactions(tenant_rows(spark.table(TENANT_TABLE), owner_id))
