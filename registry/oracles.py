@@ -357,7 +357,9 @@ ORACLES: dict[str, str] = {
         union all select 2, 'quantity_missing', 'Some rows have missing quantities.', count(*) filter (where q is null) from typed
         union all select 3, 'price_missing', 'Some rows have missing prices.', count(*) filter (where p is null) from typed
         union all select 4, 'quantity_not_positive', 'Some rows have zero or negative quantities.', count(*) filter (where q <= 0) from typed
-        union all select 5, 'price_not_positive', 'Some rows have zero or negative prices.', count(*) filter (where p <= 0) from typed""",
+        union all select 5, 'price_not_positive', 'Some rows have zero or negative prices.', count(*) filter (where p <= 0) from typed
+        union all select 6, 'number_not_stored', 'Some rows have numbers too large to store.',
+               count(*) filter (where abs(q) >= 1e14 or abs(p) >= 1e14 or abs(q * p) >= 1e16) from typed""",
     "upload_standardize": f"""with {UPLOAD}
         select order_id as invoice_no, customer_id, product as description, q as quantity, d as invoice_date,
                p as unit_price, 'Unknown' as country,
@@ -417,15 +419,15 @@ ORACLES: dict[str, str] = {
           from months, lateral (select unnest(generate_series(1, n)) as i)
         ),
         priced as (select *, cast((cents * 200 + n) // (2 * n) as double) / 10000 as price, (i * 7 + m) % 5 as r from numbered)
-        select 'DEMO-' || y || '-' || lpad(cast(m as varchar), 2, '0') || '-' || lpad(cast(i as varchar), 5, '0') as invoice_no,
+        select 'DEMO-' || y || '-' || lpad(cast(m as varchar), 2, '0') || '-' || format('{:05d}', i) as invoice_no,
                'SKU-' || lpad(cast(r + 1 as varchar), 2, '0') as stock_code,
                case r when 0 then 'Sterling silver pendant' when 1 then 'Classic leather tote'
                       when 2 then 'Ceramic coffee set' when 3 then 'Linen lounge shirt' else 'Hand-poured candle' end as description,
                1.0::double as quantity,
                make_timestamp(y, m, 1, 0, 0, 0) + to_days(cast(i % 28 as integer)) as invoice_date,
                price as unit_price,
-               case when k <= 3197 then 'C-ONE-' || lpad(cast(k as varchar), 5, '0')
-                    else 'C-REP-' || lpad(cast((k - 3198) % 5215 + 1 as varchar), 5, '0') end as customer_id,
+               case when k <= 3197 then 'C-ONE-' || format('{:05d}', k)
+                    else 'C-REP-' || format('{:05d}', (k - 3198) % 5215 + 1) end as customer_id,
                case (i + m) % 3 when 0 then 'United Kingdom' when 1 then 'United States' else 'Germany' end as country,
                price as revenue, false as is_cancellation
         from priced""",

@@ -25,53 +25,79 @@ def upload(tmp_path, name, *rows):
     return str(file)
 
 
-def owners(spark, path):
-    rows = spark.read.parquet(path).groupBy("owner_id").agg(F.count("*"), F.sum("revenue"))
+def owners(spark):
+    rows = spark.table(tables.TENANT_TABLE).groupBy("owner_id").agg(F.count("*"), F.sum("revenue"))
     return {r[0]: (r[1], float(r[2])) for r in rows.collect()}
 
 
-def test_upload_replaces_one_owner_only(spark, tmp_path):
-    store = str(tmp_path / "store")
+@pytest.fixture
+def store(spark):
+    spark.sql(f"drop table if exists {tables.TENANT_TABLE}")
+    yield
+    spark.sql(f"drop table if exists {tables.TENANT_TABLE}")
+
+
+def test_upload_replaces_one_owner_only(spark, tmp_path, store):
     first = upload(tmp_path, "first.csv", "1,a,2024-01-01,pen,2,3,UK", "2,a,2024-01-02,pen,1,3,UK")
-    receipt = writers.ingest_upload(spark, first, store, owner_id=1)
+    receipt = writers.ingest_upload(spark, first, owner_id=1)
     assert receipt["rows"] == 2 and receipt["filename"] == "first.csv" and len(receipt["preview"]) == 2
-    writers.ingest_upload(spark, upload(tmp_path, "other.csv", "9,b,2024-01-01,bag,1,50,FR"), store, owner_id=2)
-    assert owners(spark, store) == {1: (2, 9.0), 2: (1, 50.0)}
-    writers.ingest_upload(spark, upload(tmp_path, "again.csv", "3,a,2024-02-01,cup,4,5,UK"), store, owner_id=1)
-    assert owners(spark, store) == {1: (1, 20.0), 2: (1, 50.0)}
-    stored = tables.tenant_rows(spark.read.parquet(store), 2)
+    writers.ingest_upload(spark, upload(tmp_path, "other.csv", "9,b,2024-01-01,bag,1,50,FR"), owner_id=2)
+    assert owners(spark) == {1: (2, 9.0), 2: (1, 50.0)}
+    writers.ingest_upload(spark, upload(tmp_path, "again.csv", "3,a,2024-02-01,cup,4,5,UK"), owner_id=1)
+    assert owners(spark) == {1: (1, 20.0), 2: (1, 50.0)}
+    stored = tables.tenant_rows(spark.table(tables.TENANT_TABLE), 2)
     assert set(stored.columns) == set(TENANT_TRANSACTIONS.fieldNames())
-    assert "PartitionFilters: [isnotnull(owner_id" in stored._jdf.queryExecution().executedPlan().toString()
+    assert "owner_id" in stored._jdf.queryExecution().executedPlan().toString().partition("PartitionFilters: [")[2][:60]
     assert tables.as_transactions(stored).columns == [*TRANSACTIONS.fieldNames(), "owner_id"]
 
 
-def test_refused_uploads_change_nothing(spark, tmp_path):
-    store = str(tmp_path / "store")
-    writers.ingest_upload(spark, upload(tmp_path, "good.csv", "1,a,2024-01-01,pen,2,3,UK"), store, owner_id=1)
+def test_refused_uploads_change_nothing(spark, tmp_path, store):
+    writers.ingest_upload(spark, upload(tmp_path, "good.csv", "1,a,2024-01-01,pen,2,3,UK"), owner_id=1)
     bad = upload(tmp_path, "bad.csv", "1,a,2024-01-01,pen,0,3,UK", ",a,2024-01-01,pen,1,-3,UK")
     with pytest.raises(ValueError, match="missing order IDs.; .*negative quantities.; .*negative prices."):
-        writers.ingest_upload(spark, bad, store, owner_id=1)
+        writers.ingest_upload(spark, bad, owner_id=1)
+    large = upload(tmp_path, "large.csv", "1,a,2024-01-01,pen,1000000000000000,2,UK")
+    with pytest.raises(ValueError, match="^Some rows have numbers too large to store.$"):
+        writers.ingest_upload(spark, large, owner_id=1)
+    product = upload(tmp_path, "product.csv", "1,a,2024-01-01,pen,90000000000000,90000000000000,UK")
+    with pytest.raises(ValueError, match="too large"):
+        writers.ingest_upload(spark, product, owner_id=1)
     header_only = upload(tmp_path, "empty.csv")
     with pytest.raises(ValueError, match="empty"):
-        writers.ingest_upload(spark, header_only, store, owner_id=1)
+        writers.ingest_upload(spark, header_only, owner_id=1)
     unknown = tmp_path / "unknown.csv"
     unknown.write_text("a,b\n1,2\n")
     with pytest.raises(ValueError, match="Could not detect required columns: order_id, customer_id, date"):
-        writers.ingest_upload(spark, str(unknown), store, owner_id=1)
-    assert owners(spark, store) == {1: (1, 6.0)}
+        writers.ingest_upload(spark, str(unknown), owner_id=1)
+    assert owners(spark) == {1: (1, 6.0)}
 
 
-def test_loose_headers_and_returns(spark, tmp_path):
+def test_loose_headers_and_returns(spark, tmp_path, store):
     file = tmp_path / "raw.csv"
     file.write_text("InvoiceNo,CustomerID,InvoiceDate,Description,Quantity,UnitPrice\n1,a,12/1/2010 8:26,pen,-2,3\n")
     with pytest.raises(ValueError, match="order_id"):
-        writers.ingest_upload(spark, str(file), str(tmp_path / "s"), owner_id=1)
-    writers.ingest_upload(spark, str(file), str(tmp_path / "s"), owner_id=1, strict=False, allow_returns=True)
-    row = spark.read.parquet(str(tmp_path / "s")).first()
+        writers.ingest_upload(spark, str(file), owner_id=1)
+    writers.ingest_upload(spark, str(file), owner_id=1, strict=False, allow_returns=True)
+    row = spark.table(tables.TENANT_TABLE).first()
     assert row["is_cancellation"] and float(row["revenue"]) == -6.0 and row["country"] == "Unknown"
     assert row["invoice_date"].isoformat() == "2010-12-01T08:26:00"
 
 
+def test_from_upload_to_reports_without_any_table(spark, tmp_path, store):
+    from tillscope import reports
+
+    new = reports.health_report(spark, owner_id=9).first()
+    assert (new.status, new.source_table) == ("dataset_empty", tables.TENANT_TABLE)
+    writers.ingest_upload(spark, upload(tmp_path, "a.csv", "1,a,2024-01-15T10:00:00Z,pen,2,3,UK", "2,a,2024-02-02T10:00:00.5Z,cup,1,4,UK"), owner_id=5)
+    writers.ingest_upload(spark, upload(tmp_path, "b.csv", "1,b,2024-01-01,bag,1,50,FR"), owner_id=6)
+    mine = reports.summary_report(spark, owner_id=5)
+    assert tuples(mine["totals"]) == [(10.0, 2, 5.0)]
+    assert tuples(mine["monthly_revenue"]) == [("2024-01", 6.0, 1), ("2024-02", 4.0, 1)]
+    assert reports.health_report(spark, owner_id=6).first().rows_analyzed == 1
+    asked = json.loads(reports.question_report(spark, "Which?", owner_id=6).first()["context"])
+    assert asked["data"]["totals"] == {"revenue": "50.0000", "orders": 1, "customers": 1}
+
+
 def test_demo_table_is_made_once(spark):
     spark.sql(f"drop table if exists {tables.PUBLIC_TABLE}")
     assert tables.table_columns(spark, tables.PUBLIC_TABLE) == set()

@@ -12,8 +12,11 @@ from tillscope.functions.headers import detect_columns, field_coverage, preview_
 from tillscope.functions.numbers import is_finite, quality_score, rounded_percent, to_number
 from tillscope.operators.profile import row_copies
 from tillscope.schemas import (
+    MONEY,
     PASSING_SCORE,
     PREVIEW_REQUIRED,
+    PRICE,
+    QUANTITY,
     REQUIRED_COLUMNS,
     UPLOAD_ALIASES,
     VALIDATION_MESSAGES,
@@ -40,10 +43,17 @@ def missing_upload_columns(columns: list[str], need_customer: bool = True) -> li
 def validation_report(standardized: DataFrame, allow_returns: bool = False) -> DataFrame:
     """(position, rule, message, rows) for the upload rules, from one pass.
 
-    A number a decimal column cannot hold (infinity) counts as missing.
-    ``allow_returns`` lets negative quantities through.
+    Infinity counts as missing. Numbers are also held against the decimal columns they
+    will be stored in, their product included. ``allow_returns`` lets negative
+    quantities through.
     """
     quantity, price = F.col("quantity"), F.col("unit_price")
+    both = is_finite(quantity) & is_finite(price)
+    too_large = (
+        (is_finite(quantity) & quantity.try_cast(QUANTITY).isNull())
+        | (is_finite(price) & price.try_cast(PRICE).isNull())
+        | (both & F.col("revenue").try_cast(MONEY).isNull())
+    )
     broken = {
         "order_id_missing": F.col("order_id").isNull(),
         "date_missing": F.col("date").isNull(),
@@ -51,6 +61,7 @@ def validation_report(standardized: DataFrame, allow_returns: bool = False) -> D
         "price_missing": ~is_finite(price),
         "quantity_not_positive": quantity == 0 if allow_returns else quantity <= 0,
         "price_not_positive": price <= 0,
+        "number_not_stored": too_large,
     }
     counted = standardized.agg(
         F.array(
@@ -69,7 +80,7 @@ def validation_report(standardized: DataFrame, allow_returns: bool = False) -> D
 
 
 def validation_errors(standardized: DataFrame, allow_returns: bool = False) -> list[str]:
-    """Messages of the rules that any row breaks, in order; six rows reach the driver."""
+    """Messages of the rules that any row breaks, in order; a row per rule reaches the driver."""
     report = validation_report(standardized, allow_returns)
     return [r["message"] for r in report.orderBy("position").collect() if r["rows"] > 0]
 

@@ -10,7 +10,7 @@ from tillscope.functions.columns import named
 from tillscope.functions.dates import infer_date_format, parse_timestamp
 from tillscope.functions.headers import detect_columns
 from tillscope.functions.numbers import to_number
-from tillscope.schemas import MONEY, PRICE, QUANTITY, UPLOAD_ALIASES
+from tillscope.schemas import MESSAGES, MONEY, PRICE, QUANTITY, UPLOAD_ALIASES
 
 
 def rename_detected(df: DataFrame, column_map: dict[str, str]) -> DataFrame:
@@ -36,7 +36,7 @@ def standardize(
     column_map = detect_columns(df.columns) if column_map is None else column_map
     absent = [f for f in UPLOAD_ALIASES if f not in column_map and f != "customer_id"]
     if absent:
-        raise ValueError("Could not detect required columns: " + ", ".join(absent))
+        raise ValueError(MESSAGES["undetected"] + ", ".join(absent))
     date_format = date_format or infer_date_format(df, column_map["date"])
     named_rows = rename_detected(df, column_map)
     if "customer_id" not in column_map:

@@ -23,7 +23,8 @@ def customer_cohorts(transactions: DataFrame, ordered: bool = True) -> DataFrame
     """
     first = purchases(transactions).groupBy("customer_id").agg(F.min("invoice_date").alias("first"))
     cohorts = first.select("customer_id", month_start(F.col("first")).alias("first_purchase_month"))
-    return cohorts.orderBy(F.asc_nulls_last("first_purchase_month")) if ordered else cohorts
+    # With the customer in the order, the customers of one month can be split among tasks.
+    return cohorts.orderBy(F.asc_nulls_last("first_purchase_month"), "customer_id") if ordered else cohorts
 
 
 def purchase_months(transactions: DataFrame, ordered: bool = True) -> DataFrame:

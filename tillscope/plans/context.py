@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tillscope.plans.lines import uncancelled
 from tillscope.plans.products import best_named
 from tillscope.plans.revenue import order_values
+from tillscope.schemas import MESSAGES
 
 
 def context_totals(transactions: DataFrame) -> DataFrame:
@@ -34,7 +35,7 @@ def ask_context(transactions: DataFrame, question: str) -> DataFrame:
     """One row with the question and its metrics as JSON text; amounts are text in it."""
     question = question.strip()
     if not question:
-        raise ValueError("Ask a question about your data")
+        raise ValueError(MESSAGES["no_question"])
     # Ten products at most are gathered into the list.
     entry = F.struct((-F.col("revenue")).alias("order"), F.col("product"), F.col("revenue"))
     listed = context_products(transactions).agg(F.sort_array(F.collect_list(entry)).alias("listed"))

@@ -53,6 +53,6 @@ def visible_products(best: DataFrame, product: str | None = None) -> DataFrame:
 
 
 def with_rank(best: DataFrame) -> DataFrame:
-    """Add the two-digit rank label of a short, ordered product list."""
+    """Add the rank with a zero in front, whatever its digits, to a short, ordered product list."""
     order = Window.partitionBy().orderBy(F.desc("revenue"), F.asc("name"))
     return best.withColumn("rank", F.concat(F.lit("0"), F.row_number().over(order).cast("string")))

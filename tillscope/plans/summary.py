@@ -13,7 +13,7 @@ from tillscope.operators.joins import join_per_key
 from tillscope.plans.customers import customer_types
 from tillscope.plans.lines import uncancelled
 from tillscope.plans.products import best_named, with_share
-from tillscope.schemas import ALL_COUNTRIES, ALL_CUSTOMERS, ALL_PRODUCTS
+from tillscope.schemas import ALL_COUNTRIES, ALL_CUSTOMERS, ALL_PRODUCTS, ONE_TIME, SEGMENT_TYPES
 from tillscope.session import ensure_checkpoint_dir
 from tillscope.sources.tables import tenant_rows
 
@@ -22,7 +22,7 @@ def segment_type(segment: str | None) -> str | None:
     """Customer type a segment choice stands for; None for all customers."""
     if not segment or segment == ALL_CUSTOMERS:
         return None
-    return "Repeat" if segment == "Repeat customers" else "One-time"
+    return SEGMENT_TYPES.get(segment, ONE_TIME)
 
 
 @dataclass(frozen=True)

@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from tillscope.operators.quality import catalog_health
 from tillscope.plans import cohorts, context, customers, products, revenue
 from tillscope.plans.summary import Summary
+from tillscope.schemas import SUMMARY_PARTS
 from tillscope.sinks.results import api_rows
-from tillscope.sources.tables import PUBLIC_TABLE, TENANT_TABLE, source_rows
+from tillscope.sinks.writers import ensure_demo_table
+from tillscope.sources.tables import PUBLIC_TABLE, TENANT_TABLE, ensure_tenant_table, source_rows
 
 
 def _retention(rows: DataFrame) -> DataFrame:
@@ -44,22 +46,25 @@ def summary_report(
     """Totals, monthly revenue and best products of a caller's rows under filters.
 
     A caller's customers are typed by everybody's purchases, as ``Summary`` does
-    by default, so the tenant table is handed over whole and filtered by owner.
+    by default, so the tenant table is handed over whole and filtered by owner. The
+    selected lines are stored once, and the three parts come from them.
     """
-    rows = source_rows(spark) if owner_id is None else spark.table(TENANT_TABLE)
-    summary = Summary(rows, segment, country, product, owner_id)
-    parts = {
-        "totals": summary.totals,
-        "monthly_revenue": summary.monthly,
-        "top_products": summary.top_products(),
-    }
-    return {name: api_rows(part) for name, part in parts.items()}
+    if owner_id is None:
+        rows = source_rows(spark)
+    else:
+        ensure_tenant_table(spark)
+        rows = spark.table(TENANT_TABLE)
+    summary = Summary(rows, segment, country, product, owner_id).materialized()
+    parts = (summary.totals, summary.monthly, summary.top_products())
+    return {name: api_rows(part) for name, part in zip(SUMMARY_PARTS, parts)}
 
 
 def health_report(spark: SparkSession, owner_id: int | None = None) -> DataFrame:
-    """Health of the public table, or of one tenant's rows."""
+    """Health of the public table, or of one tenant's rows; either is made on first use."""
     if owner_id is None:
+        ensure_demo_table(spark)
         return catalog_health(spark, PUBLIC_TABLE)
+    ensure_tenant_table(spark)
     return catalog_health(spark, TENANT_TABLE, owner_id)
 
 

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from tillscope.functions.headers import detect_columns
 from tillscope.operators.quality import missing_upload_columns, validation_errors
 from tillscope.operators.standardize import standardize, upload_records
-from tillscope.schemas import DEFAULTS
+from tillscope.schemas import DEFAULTS, MESSAGES, TENANT_TRANSACTIONS
 from tillscope.sources.demo import demo_transactions
 from tillscope.sources.files import read_upload
-from tillscope.sources.tables import PUBLIC_TABLE
+from tillscope.sources.tables import PUBLIC_TABLE, TENANT_TABLE, ensure_tenant_table
 
 
 def with_defaults(rows: DataFrame, defaults: dict[str, object] = DEFAULTS) -> DataFrame:
@@ -32,25 +32,25 @@ def write_cleaned(cleaned: DataFrame, path: str, file_format: str = "parquet") -
         writer.format(file_format).save(path)
 
 
-def replace_owner(records: DataFrame, path: str) -> int:
-    """Replace all rows of the owner in ``records``; other owners' files stay.
+def replace_owner(records: DataFrame, owner_id: int, table: str = TENANT_TABLE) -> int:
+    """Replace all of the owner's rows in the tenants' table; other owners' files stay.
 
     Returns the number of rows, which is counted while they are written.
 
     Rows are written from the tasks they are in: gathering them by owner would
     put an owner with most rows into one task. New files are staged and moved
     into place when the job commits, and lost tasks are simply run again. An
-    empty frame would leave the old rows, so it is refused.
+    empty frame would leave no row of the owner, so it is refused.
     """
     if records.isEmpty():
         raise ValueError("Refusing to replace an owner's rows by an empty dataset")
+    spark = records.sparkSession
+    ensure_tenant_table(spark, table)
     written = Observation()
-    (
-        records.observe(written, F.count("*").alias("rows"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("owner_id")
-        .parquet(path)
+    columns = [f.name for f in TENANT_TRANSACTIONS if f.name != "owner_id"]
+    rows = records.select(*columns).observe(written, F.count("*").alias("rows"))
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {table} PARTITION (owner_id = {int(owner_id)}) SELECT * FROM {{rows}}", rows=rows
     )
     return written.get["rows"]
 
@@ -72,14 +72,16 @@ def ensure_demo_table(spark: SparkSession) -> bool:
 def ingest_upload(
     spark: SparkSession,
     csv_path: str,
-    table_path: str,
     owner_id: int,
+    table: str = TENANT_TABLE,
     date_format: str | None = None,
     strict: bool = True,
     allow_returns: bool = False,
 ) -> dict[str, object]:
     """Validate a CSV and make it the owner's data; refused as a whole or stored as a whole.
 
+    It goes into the tenants' table, which all reports of the owner read.
+
     The file is read twice, once to validate and once to write, rather than kept
     in memory in between.
     """
@@ -89,12 +91,12 @@ def ingest_upload(
         f for f in missing_upload_columns(raw.columns) if f not in column_map
     ]
     if missing:
-        raise ValueError("Could not detect required columns: " + ", ".join(missing))
+        raise ValueError(MESSAGES["undetected"] + ", ".join(missing))
     rows = standardize(raw, column_map, date_format)
     errors = validation_errors(rows, allow_returns)
     if errors:
         raise ValueError("; ".join(errors))
-    stored = replace_owner(upload_records(rows, owner_id), table_path)
+    stored = replace_owner(with_defaults(upload_records(rows, owner_id)), owner_id, table)
     return upload_receipt(rows, stored, csv_path)
 
 
@@ -105,5 +107,5 @@ def upload_receipt(rows: DataFrame, stored: int, filename: str, preview: int = 5
         "rows": stored,
         "columns": rows.columns,
         "preview": [r.asDict() for r in rows.limit(preview).collect()],
-        "message": "Dataset uploaded and ready for analysis",
+        "message": MESSAGES["uploaded"],
     }
