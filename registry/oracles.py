@@ -32,55 +32,47 @@ def _percent(part: str, whole: str) -> str:
 
 MONTH = "strftime(invoice_date, '%Y-%m')"
 
-TYPES = """
-    types as (
-      select customer_id, case when count(distinct invoice_no) = 1 then 'One-time' else 'Repeat' end as customer_type
-      from t where customer_id is not null and is_cancellation = false group by customer_id
+# A customer with one invoice has the same smallest and greatest invoice.
+KINDS = """
+    kinds as (
+      select customer_id, if(min(invoice_no) = max(invoice_no), 'One-time', 'Repeat') as customer_type
+      from t where not is_cancellation and customer_id is not null group by all
     )"""
 
-COHORTS = """
-    first_months as (
-      select customer_id, date_trunc('month', min(invoice_date)) as first_month
-      from t where customer_id is not null and is_cancellation = false group by customer_id
+# A visit is a month in which a customer buys; the earliest names the cohort.
+VISITS = """
+    visits as (
+      select customer_id, month, min(month) over (partition by customer_id) as cohort
+      from (select distinct customer_id, date_trunc('month', invoice_date) as month
+            from t where not is_cancellation and customer_id is not null)
     ),
-    activity as (
-      select distinct customer_id, date_trunc('month', invoice_date) as active_month
-      from t where customer_id is not null and is_cancellation = false
-    ),
-    numbered as (
-      select customer_id, first_month, active_month,
-             cast((extract(year from active_month) - extract(year from first_month)) * 12
-                  + extract(month from active_month) - extract(month from first_month) as integer) as month_number
-      from first_months join activity using (customer_id)
-    ),
-    counts as (
-      select first_month, month_number, count(distinct customer_id) as active_customers
-      from numbered group by first_month, month_number
-    )"""
+    aged as (select *, cast(date_diff('month', cohort, month) as integer) as age from visits)"""
 
 
 def _summary(part: str, where: str = "", yearly: bool = False) -> str:
-    head = f"""with {_transactions(yearly)}, {TYPES},
-    f as (
-      select t.* from t left join types using (customer_id)
-      where is_cancellation = false {where}
+    lines = f"""with {_transactions(yearly)}, {KINDS},
+    chosen as (select * from t where not is_cancellation {where}),
+    orders as (
+      select invoice_no, date_trunc('month', invoice_date) as month, sum(revenue) as value from chosen group by all
     )"""
     if part == "monthly":
-        body = f"""select {MONTH} as month, cast(coalesce(sum(revenue), 0) as double) as revenue,
-                   count(distinct invoice_no) as orders from f group by 1"""
-    elif part == "totals":
-        body = """select cast(coalesce(sum(revenue), 0) as double) as revenue, count(distinct invoice_no) as orders,
-                  round(coalesce((select avg(o) from (select sum(revenue) as o from f group by invoice_no)), 0), 4) as aov
-                  from f"""
-    else:
-        body = """, total as (select cast(sum(revenue) as double) as total from f),
-                  best as (select description as name, coalesce(sum(revenue), 0) as revenue from f
-                           where description is not null group by 1 order by 2 desc, 1 limit 5)
-                  select name, cast(revenue as double) as revenue,
-                         case when total <> 0 then round(cast(revenue as double) * 100 / total, 1) else 0 end as share
-                  from best, total"""
-        return head + body
-    return head + " " + body
+        return lines + """
+    select strftime(month, '%Y-%m') as month, cast(sum(value) as double) as revenue, count(invoice_no) as orders
+    from orders group by month"""
+    if part == "totals":
+        return lines + """
+    select cast(ifnull(sum(value), 0) as double) as revenue, count(invoice_no) as orders,
+           round(ifnull(avg(value), 0), 4) as aov
+    from (select invoice_no, sum(value) as value from orders group by invoice_no)"""
+    return lines + """,
+    products as (
+      select description as name, cast(sum(revenue) as double) as revenue,
+             cast(sum(sum(revenue)) over () as double) as whole
+      from chosen group by description
+    )
+    select name, revenue, if(whole = 0, 0, round(revenue * 100 / whole, 1)) as share
+    from products where name is not null
+    qualify row_number() over (order by revenue desc, name) <= 5"""
 
 
 def _raw() -> str:
@@ -211,32 +203,31 @@ HEALTH = f"""with {_transactions()},
       from report
     )"""
 
-REPEAT = " and customer_type = 'Repeat'"
-ONE_TIME = " and customer_type = 'One-time'"
+REPEAT = " and customer_id in (select customer_id from kinds where customer_type = 'Repeat')"
+ONE_TIME = " and customer_id in (select customer_id from kinds where customer_type = 'One-time')"
 IN_COUNTRY = f" and country = '{COUNTRY}'"
 OF_PRODUCT = f" and description = '{PRODUCT}'"
 OF_OWNER = f" and owner_id = {OWNER}"
 
-FIRST = "strftime(first_month, '%Y-%m') as first_purchase_month"
-BASE = (
-    "first_value(active_customers) over (partition by first_month order by month_number nulls last)"
-)
+COHORT = "strftime(cohort, '%Y-%m') as first_purchase_month"
 
 
 def _retention(yearly: bool) -> str:
-    return f"""with {_transactions(yearly)}, {COHORTS}
-        select {FIRST}, month_number, active_customers,
-               {_percent('active_customers', 'base')} as retention_percentage
-        from (select *, {BASE} as base from counts)"""
+    return f"""with {_transactions(yearly)}, {VISITS},
+        present as (select cohort, age, count(*) as active_customers from aged group by all),
+        sizes as (select cohort, active_customers as size from present where age = 0)
+        select {COHORT}, age as month_number, active_customers,
+               {_percent('active_customers', 'size')} as retention_percentage
+        from present join sizes using (cohort)"""
 
 
-def _active(month: int) -> str:
-    return f"max(case when month_number = {month} then active_customers end)"
+def _present(month: int) -> str:
+    return f"nullif(count(*) filter (where age = {month}), 0)"
 
 
 def _matrix(months: int) -> str:
-    cells = ", ".join(f"{_percent(_active(m), _active(0))} as m{m}" for m in range(months))
-    return f"with {_transactions(True)}, {COHORTS} select {FIRST}, {cells} from counts group by first_month"
+    cells = ", ".join(f"{_percent(_present(m), _present(0))} as m{m}" for m in range(months))
+    return f"with {_transactions(True)}, {VISITS} select {COHORT}, {cells} from aged group by cohort"
 
 
 MONTHLY_POINTS = f"""with {_transactions()},
@@ -262,26 +253,25 @@ ORACLES: dict[str, str] = {
     "month_totals": MONTHLY_POINTS
     + """select cast(sum(revenue) as double) as revenue, cast(sum(orders) as bigint) as orders,
                round(cast(sum(revenue) as double) / sum(orders), 4) as aov from points""",
-    "customer_segments": f"""with {_transactions(True)}, {TYPES},
-        n as (select customer_type, count(*) as customer_count from types group by 1)
-        select customer_type, customer_count,
-               {_percent('customer_count', 'everyone')} as percentage
-        from n, (select cast(sum(customer_count) as bigint) as everyone from n)""",
-    "lines_by_customer_type": f"""with {_transactions(True)}, {TYPES}
+    "customer_segments": f"""with {_transactions(True)}, {KINDS}
+        select customer_type, count(*) as customer_count,
+               {_percent('count(*)', '(select count(*) from kinds)')} as percentage
+        from kinds group by customer_type""",
+    "lines_by_customer_type": f"""with {_transactions(True)}, {KINDS}
         select customer_type, count(*) as lines, cast(sum(revenue) as double) as revenue
-        from t left join types using (customer_id) group by 1""",
+        from t left join kinds using (customer_id) group by 1""",
     "top_customers": f"""with {_transactions()}
         select customer_id, cast(total as double) as total_revenue
         from (select customer_id, sum(revenue) as total from t where customer_id is not null group by 1
               order by total desc nulls first, customer_id limit 10)""",
-    "customer_cohorts": f"""with {_transactions(True)}, {COHORTS}
-        select customer_id, {FIRST} from first_months""",
-    "purchase_months": f"""with {_transactions(True)}, {COHORTS}
-        select customer_id, strftime(active_month, '%Y-%m') as purchase_month from activity""",
-    "month_numbers": f"""with {_transactions(True)}, {COHORTS}
-        select customer_id, {FIRST}, strftime(active_month, '%Y-%m') as purchase_month, month_number from numbered""",
-    "cohort_counts": f"""with {_transactions(True)}, {COHORTS}
-        select {FIRST}, month_number, active_customers from counts""",
+    "customer_cohorts": f"""with {_transactions(True)}, {VISITS}
+        select distinct customer_id, {COHORT} from visits""",
+    "purchase_months": f"""with {_transactions(True)}, {VISITS}
+        select customer_id, strftime(month, '%Y-%m') as purchase_month from visits""",
+    "month_numbers": f"""with {_transactions(True)}, {VISITS}
+        select customer_id, {COHORT}, strftime(month, '%Y-%m') as purchase_month, age as month_number from aged""",
+    "cohort_counts": f"""with {_transactions(True)}, {VISITS}
+        select {COHORT}, age as month_number, count(*) as active_customers from aged group by all""",
     "cohort_retention": _retention(True),
     "lifetime_retention": _retention(False),
     "cohort_matrix": _matrix(4),
