@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from collections import Counter
+from decimal import Decimal
 
 import numpy as np
 import pytest
@@ -52,14 +53,44 @@ def test_join_broadcasts_hot_keys_only(spark, skewed):
         join_per_key(df, per_key, "key", "w", "full")
 
 
+@pytest.mark.parametrize("salts", [1, 7])
+@pytest.mark.parametrize("hot", [0, 1, 1000])
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_join_salted(spark, skewed, monkeypatch, hot, how, salts):
+    monkeypatch.setattr(joins, "HOT_KEYS", hot)
+    monkeypatch.setattr(joins, "SALTS", salts)
+    df, rows = skewed
+    counts = Counter(k for k, _ in rows if k is not None)
+    known = {k: (k.upper(), c) for k, c in counts.items() if k == "hot" or int(k[1:]) % 2}
+    per_key = spark.createDataFrame([(k, *v) for k, v in known.items()], "key string, label string, w long")
+    got = sorted(map(repr, tuples(joins.join_salted(df, per_key, "key", "w", how))))
+    expected = [(k, n, known[k][0] if k in known else None) for k, n in rows if how == "left" or k in known]
+    assert got == sorted(map(repr, expected))
+
+
+def test_quantiles_of_large_whole_numbers(spark):
+    values = [2**60 + k // 3 for k in range(50)]
+    df = spark.createDataFrame([(v,) for v in values], "v long")
+    got = {r[1]: r[2] for r in exact_quantiles(df, ["v"], [0.5, 1.0], 2, 3).collect()}
+    assert got == {0.5: float(2**60), 1.0: float(2**60)}
+
+
+def test_mean_of_decimals_does_not_depend_on_order(spark):
+    amounts = [Decimal("0.1"), Decimal("1000000000000.7"), Decimal("-1000000000000.3")] * 50
+    df = spark.createDataFrame([(a,) for a in amounts], "v decimal(20,4)")
+    for part in (df.coalesce(1), df.repartition(7), df.orderBy("v")):
+        assert profile.describe(part).first()["mean"] == float(Decimal("0.5") / 3)
+
+
+@pytest.mark.parametrize("sorted_values", [3, 40, 100_000])
 @pytest.mark.parametrize("fan", [2, 5, 16])
-def test_quantiles_match_numpy(spark, fan):
+def test_quantiles_match_numpy(spark, fan, sorted_values):
     rng = random.Random(fan)
     a = [None if rng.random() < 0.1 else round(rng.gauss(0, 50), 2) for _ in range(700)]
     b = [7.0] * 300 + [float(rng.randrange(5)) for _ in range(400)]
     df = spark.createDataFrame(list(zip(a, b)), "a double, b double")
     probabilities = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
-    got = {(r[0], float(r[1])): r[2] for r in exact_quantiles(df, ["a", "b"], probabilities, fan).collect()}
+    got = {(r[0], float(r[1])): r[2] for r in exact_quantiles(df, ["a", "b"], probabilities, fan, sorted_values).collect()}
     for name, data in (("a", [x for x in a if x is not None]), ("b", b)):
         for p in probabilities:
             assert got[(name, p)] == pytest.approx(np.quantile(data, p), abs=1e-9)
@@ -70,7 +101,7 @@ def test_quantiles_match_numpy(spark, fan):
 def test_quartiles_property(spark, data):
     present = [float(x) for x in data if x is not None]
     df = spark.createDataFrame([(None if x is None else float(x),) for x in data], "v double")
-    got = {float(r[1]): r[2] for r in exact_quantiles(df, ["v"], [0.25, 0.5, 0.75], 2).collect()}
+    got = {float(r[1]): r[2] for r in exact_quantiles(df, ["v"], [0.25, 0.5, 0.75], 2, 4).collect()}
     assert len(got) == (3 if present else 0)
     for p, v in got.items():
         assert v == pytest.approx(np.quantile(present, p), rel=1e-9, abs=1e-6)

@@ -159,7 +159,7 @@ def test_clean_and_write(spark, tmp_path):
     assert parts["cancellation_sample"].count() == 1 and parts["head"].count() == 5
     assert parts["describe_times"].first()["min"].isoformat() == "2010-12-01T08:26:00"
     assert [r["type"] for r in parts["dtypes"].collect()][0] == "string"
-    steps = profile.profile_cleaning(clean.price_lines(raw), clean.clean(raw))
+    steps = profile.profile_cleaning(clean.price_lines(raw))
     assert tuples(steps["price_signs"]) == [(1, 1, 2)] and tuples(steps["price_signs_after"]) == [(0, 0, 2)]
     assert steps["rows_remaining"].first()["rows"] == 2
     assert steps["negative_prices"].count() == steps["zero_prices"].count() == 1

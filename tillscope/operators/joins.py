@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillscope.functions.columns import named
+from tillscope.session import stored
+
 # This many of the heaviest keys are broadcast, whatever the data. Any other key
 # is lighter than each of them and so holds less than 1/1000 of the weight.
 HOT_KEYS = 1000
@@ -15,6 +18,36 @@ def hot_keys(per_key: DataFrame, key: str, weight: str) -> DataFrame:
     return per_key.orderBy(F.desc(weight), F.asc(key)).limit(HOT_KEYS)
 
 
+#: Rows of a hot key are spread over this many parts of the shuffle.
+SALTS = 64
+
+
+def join_salted(rows: DataFrame, per_key: DataFrame, key: str, weight: str, how: str = "inner") -> DataFrame:
+    """Join ``rows``, read once, to ``per_key``, which has unique keys and their ``weight``.
+
+    For rows that are costly to read twice. Rows of hot keys, and rows without a key in
+    a left join, get a salt from their content; a hot key is there once for each salt.
+    The 1000 hot keys are broadcast to mark their rows. ``per_key`` is needed twice and
+    is stored, so it is computed once whatever the planner shares.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"unsupported join: {how}")
+    per_key = stored(per_key, "per-key")
+    hot = hot_keys(per_key, key, weight).select(F.col(key).alias("_hot"))
+    spread = F.pmod(F.xxhash64(*[named(c) for c in rows.columns]), F.lit(SALTS)).cast("int")
+    salted = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").withColumn(
+        "_salt", F.when(F.col("_hot").isNotNull() | F.col(key).isNull(), spread).otherwise(F.lit(0))
+    )
+    every = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    looked_up = per_key.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
+    looked_up = looked_up.withColumn(
+        "_salt", F.explode(F.when(F.col("_hot").isNotNull(), every).otherwise(F.array(F.lit(0))))
+    )
+    joined = salted.drop("_hot").join(looked_up.drop("_hot", weight), [key, "_salt"], how)
+    added = [c for c in per_key.columns if c not in (key, weight)]
+    return joined.select(*rows.columns, *added)
+
+
 def join_per_key(rows: DataFrame, per_key: DataFrame, key: str, weight: str, how: str = "inner") -> DataFrame:
     """Join ``rows`` to ``per_key``, which has unique keys and their ``weight``.
 

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillscope.functions.cancellations import by_invoice_prefix
 from tillscope.functions.columns import named
 from tillscope.functions.dates import epoch_seconds, from_epoch_seconds
-from tillscope.operators.quantiles import exact_quantiles
+from tillscope.operators.quantiles import quantiles_of, value_counts
+from tillscope.session import stored
 
 
 def dtypes(df: DataFrame) -> DataFrame:
@@ -55,26 +56,30 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """count, mean, std, min, quartiles and max per numeric column; exact quartiles."""
+    """count, mean, std, min, quartiles and max per numeric column; exact quartiles.
+
+    The rows are read once: everything comes from their value counts. The mean of
+    integers and decimals is exact, so it does not depend on the order of rows.
+    """
     columns = columns or numeric_columns(df)
-    values = df.select(*[F.nanvl(named(c).cast("double"), F.lit(None)).alias(c) for c in columns])
-    moments = values.agg(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(c).alias("column"),
-                    F.count(named(c)).alias("count"),
-                    F.avg(named(c)).alias("mean"),
-                    F.stddev_samp(named(c)).alias("std"),
-                    F.min(named(c)).alias("min"),
-                    F.max(named(c)).alias("max"),
-                )
-                for c in columns
-            ]
-        ).alias("cells")
-    ).select(F.inline("cells"))
+    counts = stored(value_counts(df, columns), "value-counts")
+    rows = F.sum("n")
+    exact = F.try_sum(F.col("exact") * F.col("n")).cast("double") / rows
+    moments = counts.groupBy("column").agg(
+        rows.alias("count"),
+        F.coalesce(exact, F.sum(F.col("value") * F.col("n")) / rows).alias("mean"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+    )
+    moments = stored(moments, "moments")
+    # both sides have one row per profiled column
+    means = F.broadcast(moments.select("column", "count", "mean"))
+    off = F.col("value") - F.col("mean")
+    spread = counts.join(means, "column").groupBy("column").agg(
+        F.sqrt(F.try_divide(F.sum(off * off * F.col("n")), F.max("count") - 1)).alias("std")
+    )
     quartiles = (
-        exact_quantiles(values, columns, [0.25, 0.5, 0.75])
+        quantiles_of(counts, [0.25, 0.5, 0.75])
         .groupBy("column")
         .agg(
             *[
@@ -83,9 +88,11 @@ def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
             ]
         )
     )
-    # Both sides have one row per profiled column.
-    return moments.join(F.broadcast(quartiles), "column", "left").select(
-        "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"
+    every = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    for part in (moments, spread, quartiles):
+        every = every.join(F.broadcast(part), "column", "left")
+    return every.select(
+        "column", F.coalesce("count", F.lit(0)).alias("count"), "mean", "std", "min", "q25", "q50", "q75", "max"
     )
 
 
@@ -148,40 +155,69 @@ def extreme_revenue(priced: DataFrame, threshold: int = 10000, rows: int = 10) -
     )
 
 
+def _counts(df: DataFrame, flag: Column, prices: list[tuple[str, Column]]) -> DataFrame:
+    """One row with every count of a profile: rows, nulls, flags and price signs, from one pass."""
+    price = named("UnitPrice")
+    signs = {"negative_prices": price < 0, "zero_prices": price == 0, "positive_prices": price > 0}
+    nulls = [F.struct(F.lit(c).alias("column"), F.count_if(named(c).isNull()).alias("nulls")) for c in df.columns]
+    flags = [F.struct(F.lit(v).alias("flag"), F.count_if(flag == v).alias("rows")) for v in (False, True)]
+    kept = [
+        F.struct(F.count_if(among).alias("rows"), *[F.count_if(among & sign).alias(n) for n, sign in signs.items()]).alias(name)
+        for name, among in prices
+    ]
+    return stored(df.agg(F.count("*").alias("rows"), F.array(*nulls).alias("nulls"), F.array(*flags).alias("flags"), *kept), "profile")
+
+
+def _flags(counts: DataFrame, name: str) -> DataFrame:
+    shown = counts.select(F.inline("flags")).where(F.col("rows") > 0)
+    return shown.select(F.col("flag").alias(name), "rows").orderBy(F.desc("rows"), F.asc(name))
+
+
 def profile_raw(raw: DataFrame, head: int = 5) -> dict[str, DataFrame]:
-    """Every part of the raw-data profile, each a lazy DataFrame."""
+    """Every part of the raw-data profile. Counts and value counts are taken at once and stored."""
     cancelled = cancelled_rows(raw)
     times = [f.name for f in raw.schema if isinstance(f.dataType, T.TimestampNTZType)]
+    counts = _counts(raw, by_invoice_prefix(named("InvoiceNo")), [])
+    described = describe(cancelled, ["Quantity", "UnitPrice"])
     parts = {
         "head": raw.limit(head),
-        "shape": shape(raw),
+        "shape": counts.select("rows", F.lit(len(raw.columns)).alias("columns")),
         "dtypes": dtypes(raw),
-        "nulls": null_counts(raw),
+        "nulls": counts.select(F.inline("nulls")),
         "duplicates": duplicate_count(raw),
         "describe": describe(raw),
-        "cancellation_flags": cancellation_flags(raw),
+        "cancellation_flags": _flags(counts, "is_cancellation"),
         "cancellation_sample": cancellation_sample(raw),
-        "cancelled_quantity": describe(cancelled, ["Quantity"]),
-        "cancelled_price": describe(cancelled, ["UnitPrice"]),
+        "cancelled_quantity": described.where(F.col("column") == "Quantity"),
+        "cancelled_price": described.where(F.col("column") == "UnitPrice"),
     }
     if times:
         parts["describe_times"] = describe_times(raw, times)
     return parts
 
 
-def profile_cleaning(priced: DataFrame, cleaned: DataFrame) -> dict[str, DataFrame]:
-    """Diagnostics of a cleaning run, from before and after the price filter."""
+def profile_cleaning(priced: DataFrame) -> dict[str, DataFrame]:
+    """Diagnostics of a cleaning run, from before and after the price filter.
+
+    The priced rows are deduplicated and stored once; all counts come from one pass
+    over them.
+    """
+    priced = stored(priced, "priced")
+    every, sellable = F.lit(True), named("UnitPrice") > 0
+    counts = _counts(priced, named("IsCancellation"), [("before", every), ("after", F.coalesce(sellable, F.lit(False)))])
+    signs = ("negative_prices", "zero_prices", "positive_prices")
+    columns = F.lit(len(priced.columns)).alias("columns")
     return {
         "head": priced.limit(5),
-        "shape": shape(priced),
+        "shape": counts.select("rows", columns),
         "dtypes": dtypes(priced),
-        "nulls": null_counts(priced),
-        "price_signs": price_sign_counts(priced),
-        "cancellation_flags": flag_counts(priced, "IsCancellation"),
+        "nulls": counts.select(F.inline("nulls")),
+        "price_signs": counts.select(*[f"before.{s}" for s in signs]),
+        "cancellation_flags": _flags(counts, "IsCancellation"),
         "revenue": describe(priced, ["Revenue"]),
         "negative_prices": negative_price_rows(priced),
         "zero_prices": zero_price_rows(priced),
         "extreme_revenue": extreme_revenue(priced),
-        "rows_remaining": shape(cleaned),
-        "price_signs_after": price_sign_counts(cleaned),
+        "rows_remaining": counts.select("after.rows", columns),
+        "price_signs_after": counts.select(*[f"after.{s}" for s in signs]),
     }

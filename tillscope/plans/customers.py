@@ -6,26 +6,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillscope.functions.numbers import percentage
-from tillscope.operators.joins import join_per_key
+from tillscope.operators.joins import join_salted
 from tillscope.plans.lines import known_customers, purchases
+from tillscope.schemas import ONE_TIME, REPEAT
 
 
-def _customer_type(invoice_no: Column) -> Column:
-    """Type by number of distinct invoices, without counting them.
-
-    A customer has exactly one invoice when the smallest and the greatest number
-    are the same. That needs one shuffle of one row per customer and task, where a
-    distinct count needs two, the first with every invoice. Customers with unnamed
-    invoices only have no number to compare and are not one-time.
-    """
-    return F.when(F.min(invoice_no) == F.max(invoice_no), "One-time").otherwise("Repeat")
+def _customer_type(invoices: Column) -> Column:
+    return F.when(invoices == 1, ONE_TIME).otherwise(REPEAT)
 
 
 def customer_types(transactions: DataFrame) -> DataFrame:
-    """(customer_id, customer_type, lines) per customer with a purchase."""
-    return purchases(transactions).groupBy("customer_id").agg(
-        _customer_type(F.col("invoice_no")).alias("customer_type"),
-        F.count("*").alias("lines"),
+    """(customer_id, customer_type, lines) per customer with a purchase.
+
+    Lines merge by customer and invoice first, in hash aggregations: comparing the
+    smallest and greatest invoice would need one shuffle less, but text has to be
+    sorted for that, every line of it. Unnamed invoices are not counted.
+    """
+    invoices = purchases(transactions).groupBy("customer_id", "invoice_no").agg(F.count("*").alias("lines"))
+    return invoices.groupBy("customer_id").agg(
+        _customer_type(F.count("invoice_no")).alias("customer_type"),
+        F.sum("lines").alias("lines"),
     )
 
 
@@ -42,16 +42,15 @@ def customer_segments(transactions: DataFrame) -> DataFrame:
 def lines_with_type(transactions: DataFrame) -> DataFrame:
     """Every line with its customer's type, null for customers without a purchase."""
     bought = ~F.col("is_cancellation")
-    kind = _customer_type(F.when(bought, F.col("invoice_no")))
-    types = (
-        known_customers(transactions)
-        .groupBy("customer_id")
-        .agg(
-            F.when(F.count_if(bought) > 0, kind).alias("customer_type"),
-            F.count("*").alias("lines"),
-        )
+    invoices = known_customers(transactions).groupBy("customer_id", "invoice_no").agg(
+        F.count("*").alias("lines"), F.count_if(bought).alias("bought")
+    )
+    named = F.when(F.col("bought") > 0, F.col("invoice_no"))
+    types = invoices.groupBy("customer_id").agg(
+        F.when(F.sum("bought") > 0, _customer_type(F.count(named))).alias("customer_type"),
+        F.sum("lines").alias("lines"),
     )
-    return join_per_key(transactions, types, "customer_id", "lines", how="left")
+    return join_salted(transactions, types, "customer_id", "lines", how="left")
 
 
 def top_customers(transactions: DataFrame, rows: int = 10) -> DataFrame:

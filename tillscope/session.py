@@ -10,8 +10,9 @@ import atexit
 import re
 import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(
@@ -52,6 +53,14 @@ def shared_folder(spark: SparkSession) -> str:
     return shared.rstrip("/")
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df`` as a table in the shared folder, computed once; lineage ends there."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Sets the folder for ``checkpoint()`` where none is set yet."""
     current = spark.sparkContext.getCheckpointDir()
