@@ -14,12 +14,15 @@ from tillscope.plans.summary import Summary
 from tillscope.sinks.results import api_rows
 from tillscope.sources.demo import generate_transactions
 from tillscope.sources.files import nulls_from_text
+from tillscope.sources.tables import tenant_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 COUNTRY = "NATION_7"
 PRODUCT = "small ring"
 OWNER = 7
+RANKED = 200
+STAMP = "2026-01-01 12:00:00"
 QUESTION = "Which products should we promote?"
 
 
@@ -89,6 +92,29 @@ def _csv_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _joined(quality.csv_quality(_uploaded(spark, sf_dir)), "missing")
 
 
+def _visible_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    best = Summary(inputs.transactions(spark, sf_dir)).top_products(RANKED)
+    return api_rows(products.visible_products(best, PRODUCT))
+
+
+def _partial_upload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _joined(quality.csv_quality(_uploaded(spark, sf_dir).drop("qty")), "missing")
+
+
+def _dated_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _joined(quality.csv_quality(nulls_from_text(inputs.dated_upload(spark, sf_dir))), "missing")
+
+
+def _large_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = nulls_from_text(inputs.large_upload(spark, sf_dir))
+    return quality.validation_report(standardize.standardize(rows, date_format="yyyy-MM-dd"))
+
+
+def _empty_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nobody = tenant_rows(inputs.transactions(spark, sf_dir, country=True), -1)
+    return _joined(quality.table_health(nobody), "missing_columns")
+
+
 def _preview_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _joined(quality.preview_scan(inputs.preview_upload(spark, sf_dir)), "missing")
 
@@ -121,15 +147,20 @@ def _month_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Summary(inputs.transactions(spark, sf_dir)).monthly
 
 
-def _upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _upsert(spark: SparkSession, sf_dir: str, stamp=None) -> DataFrame:
     return upsert.upsert_latest(
         inputs.account_settings(spark, sf_dir),
         inputs.settings_changes(spark, sf_dir),
         keys=["owner_id"],
         order_column="updated_at",
+        stamp=stamp,
     )
 
 
+def _upsert_stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _upsert(spark, sf_dir, F.expr(f"timestamp_ntz'{STAMP}'"))
+
+
 QUERIES: dict[str, Query] = {
     # Revenue and orders
     "monthly_net_revenue": _on_transactions(revenue.monthly_net_revenue),
@@ -173,6 +204,10 @@ QUERIES: dict[str, Query] = {
     ),
     "tenant_summary_totals": _summary("totals", owner_id=OWNER),
     "tenant_summary_repeat": _summary("totals", segment="Repeat customers", owner_id=OWNER),
+    "tenant_summary_repeat_own": _summary(
+        "totals", segment="Repeat customers", owner_id=OWNER, segment_scope="owner"
+    ),
+    "visible_product": _visible_product,
     # Question context
     "ask_context": lambda spark, sf_dir: context.ask_context(inputs.transactions(spark, sf_dir), QUESTION),
     # Quality
@@ -186,6 +221,10 @@ QUERIES: dict[str, Query] = {
     "upload_standardize": lambda spark, sf_dir: api_rows(
         standardize.upload_records(_standardized(spark, sf_dir), OWNER)
     ),
+    "csv_quality_partial": _partial_upload,
+    "csv_quality_dates": _dated_quality,
+    "validation_large_numbers": _large_numbers,
+    "empty_health": _empty_health,
     # Cleaning and profiling
     "clean_transactions": _on_raw(lambda raw: clean.to_transactions(clean.clean(raw))),
     "profile_shape": _on_raw(profile.shape),
@@ -198,10 +237,12 @@ QUERIES: dict[str, Query] = {
     "revenue_describe": _on_raw(lambda raw: _describe(clean.price_lines(raw), ["Revenue"])),
     "price_sign_counts": _on_raw(lambda raw: profile.price_sign_counts(clean.price_lines(raw))),
     "negative_price_rows": _on_raw(lambda raw: profile.negative_price_rows(clean.price_lines(raw))),
+    "zero_price_rows": _on_raw(lambda raw: profile.zero_price_rows(clean.price_lines(raw))),
     "extreme_revenue": _on_raw(lambda raw: profile.extreme_revenue(clean.price_lines(raw))),
     # Generated lines and upsert
     "demo_transactions": lambda spark, sf_dir: api_rows(
         generate_transactions(inputs.order_months(spark, sf_dir))
     ),
     "upsert_latest": _upsert,
+    "upsert_stamped": _upsert_stamped,
 }

@@ -137,6 +137,34 @@ def raw_upload(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dated_upload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same upload with month-first dates; its first date is none."""
+    event = F.col("event_id")
+    day = F.concat_ws("/", F.month("ts"), F.dayofmonth("ts"), F.year("ts"))
+    dated = F.concat(day, F.lit(" "), F.hour("ts"), F.lit(":"), F.date_format("ts", "mm"))
+    return table(spark, sf_dir, "events").select(
+        (event % 4000).cast("string").alias("order_id"),
+        F.col("user_id").cast("string").alias("customer_id"),
+        F.when(event % 23 == 0, "TBC").otherwise(dated).alias("order_date"),
+        F.col("event_type").alias("product"),
+        (event % 7 + 1).cast("string").alias("qty"),
+        F.col("value").cast("decimal(18,2)").cast("string").alias("unit_price"),
+    )
+
+
+def large_upload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An upload with numbers that the stored columns cannot hold."""
+    event = F.col("event_id")
+    return table(spark, sf_dir, "events").select(
+        event.cast("string").alias("order_id"),
+        F.col("user_id").cast("string").alias("customer_id"),
+        F.date_format("ts", "yyyy-MM-dd").alias("order_date"),
+        F.col("event_type").alias("product"),
+        F.when(event % 43 == 0, "1000000000000000").when(event % 59 == 0, "90000000000000").otherwise("2").alias("qty"),
+        F.when(event % 47 == 0, "123456789012345678").when(event % 59 == 0, "90000000000000").otherwise("3.5").alias("unit_price"),
+    )
+
+
 def preview_upload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An upload with revenue and status as previewed text: missing cells are blank."""
     event = F.col("event_id")

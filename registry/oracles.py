@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from registry.catalog import COUNTRY, OWNER, PRODUCT, QUESTION
+from registry.catalog import COUNTRY, OWNER, PRODUCT, QUESTION, RANKED, STAMP
 
 
 def _transactions(yearly: bool = False) -> str:
@@ -209,6 +209,10 @@ IN_COUNTRY = f" and country = '{COUNTRY}'"
 OF_PRODUCT = f" and description = '{PRODUCT}'"
 OF_OWNER = f" and owner_id = {OWNER}"
 
+REPEAT_OWN = f""" and customer_id in (
+      select customer_id from t where not is_cancellation and owner_id = {OWNER}
+      group by customer_id having count(distinct invoice_no) > 1)"""
+
 COHORT = "strftime(cohort, '%Y-%m') as first_purchase_month"
 
 
@@ -299,6 +303,8 @@ ORACLES: dict[str, str] = {
     "summary_totals_all_filters": _summary("totals", REPEAT + IN_COUNTRY + OF_PRODUCT, True),
     "tenant_summary_totals": _summary("totals", OF_OWNER),
     "tenant_summary_repeat": _summary("totals", REPEAT + OF_OWNER, True),
+    "tenant_summary_repeat_own": _summary("totals", REPEAT_OWN + OF_OWNER, True),
+    "visible_product": f"""select * from ({_summary('products').replace('<= 5', f'<= {RANKED}')}) where name = '{PRODUCT}'""",
     "ask_context": f"""with {_transactions()},
         g as (select * from t where is_cancellation = false),
         totals as (
@@ -337,6 +343,36 @@ ORACLES: dict[str, str] = {
                case when incomplete_rows > 0 then 'warn' else 'pass' end from scored
         union all select 8, 'Cancellations', format('{:,}', cancellations) || ' flagged', 'info' from scored""",
     "csv_quality": UPLOAD_REPORT + f" select {SCAN_COLUMNS} from scored",
+    "csv_quality_partial": f"""with {UPLOAD},
+        p as (select * exclude (qty) from u)
+        select count(*) as rows, 5 as columns, 5 as mapped, 'Quantity, Revenue, Country, Cancellation flag' as missing,
+               0::bigint as incomplete, count(*) - (select count(*) from (select distinct * from p)) as "duplicateRows",
+               0::bigint as "invalidDates", 0::bigint as "invalidNumbers", 0::bigint as cancellations,
+               cast(null as double) as quality from p""",
+    "csv_quality_dates": """with u as (
+          select cast(event_id % 4000 as varchar) as o, user_id, event_type, event_id % 7 as q,
+                 cast(value as decimal(18,2)) as p, if(event_id % 23 = 0, null, date_trunc('minute', ts)) as d
+          from events
+        )
+        select count(*) as rows, 6 as columns, 6 as mapped, 'Revenue, Country, Cancellation flag' as missing,
+               count(*) filter (where d is null) as incomplete,
+               count(*) - (select count(*) from (select distinct * from u)) as "duplicateRows",
+               count(*) filter (where d is null) as "invalidDates", 0::bigint as "invalidNumbers",
+               0::bigint as cancellations,
+               round(100 - count(*) filter (where d is null) / count(*) * 100, 1) as quality from u""",
+    "validation_large_numbers": """with n as (
+          select count(*) filter (where event_id % 43 = 0 or event_id % 47 = 0 or event_id % 59 = 0) as large from events
+        )
+        select 0 as position, 'order_id_missing' as rule, 'Some orders are missing order IDs.' as message, 0 as rows
+        union all select 1, 'date_missing', 'Some rows have missing dates.', 0
+        union all select 2, 'quantity_missing', 'Some rows have missing quantities.', 0
+        union all select 3, 'price_missing', 'Some rows have missing prices.', 0
+        union all select 4, 'quantity_not_positive', 'Some rows have zero or negative quantities.', 0
+        union all select 5, 'price_not_positive', 'Some rows have zero or negative prices.', 0
+        union all select 6, 'number_not_stored', 'Some rows have numbers too large to store.', large from n""",
+    "empty_health": """select 'dataset_empty' as status, 'transactions' as source_table, count(*) as rows_analyzed,
+               9 as columns_mapped, 9 as columns_expected, '' as missing_columns, cast(null as double) as quality_score,
+               0::bigint as cancellations, 0::bigint as incomplete_rows from customer where c_nationkey = -1""",
     "quality_verdicts": UPLOAD_REPORT + _scan_verdicts("CSV rows validated"),
     "preview_scan": PREVIEW_REPORT + f" select {SCAN_COLUMNS} from scored",
     "preview_verdicts": PREVIEW_REPORT + _scan_verdicts("Loaded preview rows"),
@@ -395,6 +431,10 @@ ORACLES: dict[str, str] = {
         select InvoiceNo, StockCode, Description, Quantity, InvoiceDate, cast(UnitPrice as double) as UnitPrice,
                CustomerID, Country, cast(Revenue as double) as Revenue, IsCancellation
         from priced where UnitPrice < 0""",
+    "zero_price_rows": f"""with {_raw()}, {PRICED}
+        select InvoiceNo, StockCode, Description, Quantity, InvoiceDate, cast(UnitPrice as double) as UnitPrice,
+               CustomerID, Country, cast(Revenue as double) as Revenue, IsCancellation
+        from (select * from priced where UnitPrice = 0 order by all nulls last limit 10)""",
     "extreme_revenue": f"""with {_raw()}, {PRICED}
         select InvoiceNo, StockCode, Quantity, cast(UnitPrice as double) as UnitPrice, cast(Revenue as double) as Revenue
         from (select * from priced where abs(Revenue) > 10000
@@ -421,6 +461,15 @@ ORACLES: dict[str, str] = {
                case (i + m) % 3 when 0 then 'United Kingdom' when 1 then 'United States' else 'Germany' end as country,
                price as revenue, false as is_cancellation
         from priced""",
+    "upsert_stamped": f"""with changed as (
+          select o_custkey as owner_id, 'after order ' || o_orderkey as workspace_name, o_orderpriority as currency
+          from orders
+          qualify row_number() over (partition by o_custkey order by 'after order ' || o_orderkey desc, o_orderpriority desc) = 1
+        )
+        select owner_id, workspace_name, currency, timestamp '{STAMP}' as updated_at from changed
+        union all
+        select c_custkey, c_name, c_mktsegment, timestamp '1990-01-01 00:00:00' from customer
+        where c_custkey not in (select owner_id from changed)""",
     "upsert_latest": """with rows as (
           select c_custkey as owner_id, c_name as workspace_name, c_mktsegment as currency,
                  timestamp '1990-01-01 00:00:00' as updated_at, 0 as change from customer

@@ -141,7 +141,9 @@ def negative_price_rows(raw: DataFrame) -> DataFrame:
 
 
 def zero_price_rows(raw: DataFrame, rows: int = 10) -> DataFrame:
-    return raw.where(named("UnitPrice") == 0).limit(rows)
+    """The first rows without a price, in the order of their cells."""
+    order = [named(c).asc_nulls_last() for c in raw.columns]
+    return raw.where(named("UnitPrice") == 0).orderBy(*order).limit(rows)
 
 
 def extreme_revenue(priced: DataFrame, threshold: int = 10000, rows: int = 10) -> DataFrame:
