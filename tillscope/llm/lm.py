@@ -28,7 +28,7 @@ from tillscope.llm.common import remainder, table, written
 
 ORDER = 3
 #: Bytes of text in a block at which it is closed; one document is never parted.
-BLOCK_BYTES = 12_000_000
+BLOCK_BYTES = 4_000_000
 #: Least share of the training tokens of a word in n-grams, and of an n-gram.
 WORD_SHARE, NGRAM_SHARE = 1e-5, 1e-6
 DISCOUNT = 0.5
@@ -102,25 +102,24 @@ def encoded(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(_encode, ENCODED)
 
 
-def _bytes_to_words(frequent: list[bytes]) -> dict[bytes, int]:
-    return {word: number for number, word in enumerate(frequent, 1)}
-
-
 def mapped(blocks: DataFrame, counted: DataFrame, frequent: list[bytes]) -> DataFrame:
     """Gives the words of each block their corpus count and, if frequent, their number from 1."""
-    shared = blocks.sparkSession.sparkContext.broadcast(_bytes_to_words(frequent))
+    spark = blocks.sparkSession
+    numbers = spark.createDataFrame(list(enumerate(frequent, 1)), "number long, frequent binary")
+    # no more rows than 1 / WORD_SHARE; place and number share a long, which halves what is shuffled
+    named = counted.join(F.broadcast(numbers), F.col("word") == F.col("frequent"), "left").select(
+        "block", (F.shiftleft("place", 32) + F.coalesce("number", F.lit(0))).alias("packed"), "count"
+    )
 
     def meet(block: pa.Table, words: pa.Table) -> pa.Table:
-        order = np.argsort(words.column("place").to_numpy())
-        number = shared.value
-        named = [number.get(w, 0) if w is not None else 0 for w in words.column("word").to_pylist()]
+        packed = words.column("packed").to_numpy()
+        order = np.argsort(packed)  # by place
         row = block.select([c.split()[0] for c in _BLOCK.split(", ")])
-        counts = words.column("count").to_numpy()[order]
-        row = row.append_column("counts", _one(counts, pa.int64()))
-        return row.append_column("words", _one(np.array(named, dtype=np.int32)[order], pa.int32()))
+        row = row.append_column("counts", _one(words.column("count").to_numpy()[order], pa.int64()))
+        return row.append_column("words", _one((packed[order] & 0xFFFFFFFF).astype(np.int32), pa.int32()))
 
     left = blocks.drop("vocab", "train").groupBy("block")
-    return left.cogroup(counted.groupBy("block")).applyInArrow(meet, MAPPED)
+    return left.cogroup(named.groupBy("block")).applyInArrow(meet, MAPPED)
 
 
 # --- the automaton ------------------------------------------------------------------
@@ -157,19 +156,18 @@ class Level:
         return np.where(self.keys[at] == keys, at + 1, 0)
 
 
-def _numbers(words: np.ndarray, inner: np.ndarray, levels: list[Level]) -> list[np.ndarray]:
-    """For each order so far, the number of the kept n-gram that ends at each token, or 0.
+def _numbers(words: np.ndarray, inner: np.ndarray, levels: list[Level]) -> np.ndarray:
+    """Number of the longest kind of kept n-gram so far that ends at each token, or 0.
 
     ``inner`` counts the tokens before each one in its document.
     """
-    found = [words.astype(np.int64)]
+    number = words.astype(np.int64)
     for n, level in enumerate(levels, 2):
-        prefix = np.concatenate(([0], found[-1][:-1]))
-        there = (prefix > 0) & (words > 0) & (inner >= n - 1)
+        prefix = np.concatenate(([0], number[:-1]))
+        there = np.flatnonzero((prefix > 0) & (words > 0) & (inner >= n - 1))
         number = np.zeros(len(words), dtype=np.int64)
         number[there] = level.number((prefix[there] << 32) | words[there])
-        found.append(number)
-    return found
+    return number
 
 
 def _ngram_counts(blocks: DataFrame, levels: list[Level]) -> DataFrame:
@@ -184,8 +182,8 @@ def _ngram_counts(blocks: DataFrame, levels: list[Level]) -> DataFrame:
                 held = np.asarray(_list(batch, "held", row).to_pylist(), dtype=bool)
                 words = _list(batch, "words", row).to_numpy()[_list(batch, "codes", row).to_numpy()]
                 starts = np.cumsum(lengths) - lengths
-                inner = np.arange(len(words)) - np.repeat(starts, lengths)
-                last = _numbers(words, inner, shared.value)[-1]
+                inner = (np.arange(len(words)) - np.repeat(starts, lengths)).astype(np.int32)
+                last = _numbers(words, inner, shared.value)
                 # the n-gram that ends here and the one that ended a token before share all but the ends
                 use = (last > 0) & ~np.repeat(held, lengths) & (inner >= len(shared.value) + 1)
                 before = np.concatenate(([0], last[:-1]))
@@ -346,14 +344,18 @@ def language_model_scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
     totals = blocks.select(F.aggregate("train", F.lit(0).cast("long"), lambda a, b: a + b).alias("n"))
     tokens = int(totals.agg(F.sum("n")).first()[0] or 0)
     placed = blocks.select("block", F.posexplode(F.arrays_zip("vocab", "train")).alias("place", "w"))
-    placed = placed.select("block", "place", F.col("w.vocab").alias("word"), F.col("w.train").alias("n"))
     # a row for each block and word, so that no word has more rows than there are blocks
+    placed = placed.select(
+        "block", F.col("w.vocab").alias("word"),
+        (F.shiftleft(F.col("place").cast("long"), 32) + F.col("w.train")).alias("packed"),
+    )
     whole = Window.partitionBy("word")
-    counted = placed.withColumn("count", F.sum("n").over(whole)).withColumn("first", F.min("block").over(whole))
+    count = F.sum(F.col("packed").bitwiseAND(F.lit(0xFFFFFFFF))).over(whole)
+    counted = placed.withColumn("count", count).withColumn("first", F.min("block").over(whole))
     usual = (F.col("count") >= WORD_SHARE * tokens) & (F.col("count") > 0)
     counted = written(
         counted.select(
-            "block", "place", "count", F.when(usual, F.col("word")).alias("word"),
+            "block", F.shiftright("packed", 32).alias("place"), "count", F.when(usual, F.col("word")).alias("word"),
             ((F.col("first") == F.col("block")) & (F.col("count") > 0)).cast("int").alias("type"),
         ),
         "lm-counts",
