@@ -220,10 +220,11 @@ def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     id_ = free_name(docs, "kept_id")
     single = kept.filter("rows = 1").select(F.col("doc_id").alias(id_))
     unnamed = docs.filter(F.col("doc_id").isNull())
-    result = docs.join(single, docs.doc_id == F.col(id_), "left_semi")
+    # merged at every size: the kept ids grow with the documents and are not to be broadcast
+    result = docs.join(single.hint("merge"), docs.doc_id == F.col(id_), "left_semi")
     repeated = kept.filter("rows > 1").select(F.col("doc_id").alias(id_))
     if not repeated.isEmpty():
-        again = docs.join(repeated, docs.doc_id == F.col(id_), "left_semi")
+        again = docs.join(repeated.hint("merge"), docs.doc_id == F.col(id_), "left_semi")
         result = result.unionAll(again.dropDuplicates(["doc_id"]))
     return result.unionAll(unnamed)
 
