@@ -219,7 +219,8 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> Da
     found = contaminated_windows(docs, benchmark, **options).select("doc_id").distinct()
     found = written(found, "contaminated")
     name = free_name(docs, "contaminated_id")
-    found = found.select(F.col("doc_id").alias(name))
+    marks = found.select(F.col("doc_id").alias(name))
+    found = F.broadcast(marks) if found.count() <= BROADCAST_DOCS else marks.hint("merge")
     return docs.join(found, docs.doc_id.eqNullSafe(F.col(name)), "left_anti")
 
 
