@@ -105,27 +105,25 @@ def linked_messages(messages: DataFrame) -> DataFrame:
 def roots(parents: DataFrame) -> DataFrame:
     """message_id, root, depth from message_id, parent_id, by pointer jumping.
 
-    Each round doubles the way to the known ancestor. The side that is looked up has one
-    row per message, so a root with very many descendants is a key that the skew join
-    can split.
+    Each round doubles the way to the known ancestor; messages that have reached their
+    root take no part in later ones. The side that is looked up has one row per message,
+    so a root with very many descendants is a key that the skew join can split.
     """
-    known = written(
-        parents.select("message_id", F.col("parent_id").alias("ancestor"), F.lit(1).cast("long").alias("depth")), "quote-links"
+    known = parents.select(
+        "message_id", F.col("parent_id").alias("ancestor"), F.lit(1).cast("long").alias("depth"), F.lit(True).alias("open")
     )
-    while True:
-        inner = known.select(F.col("message_id").alias("of"), F.col("ancestor").alias("above"), F.col("depth").alias("more"))
-        moved = known.join(inner, F.col("ancestor") == F.col("of"), "left")
-        moved = written(
-            moved.select(
-                "message_id", F.coalesce("above", "ancestor").alias("ancestor"),
-                (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.col("above").isNotNull().alias("moved"),
-            ),
-            "quote-links",
+    known = written(known, "quote-links")
+    while not known.filter("open").isEmpty():
+        inner = known.select(
+            F.col("message_id").alias("of"), F.col("ancestor").alias("above"),
+            F.col("depth").alias("more"), F.col("open").alias("further"),
         )
-        still = moved.drop("moved")
-        if moved.filter("moved").isEmpty():
-            return still.select("message_id", F.col("ancestor").alias("root"), "depth")
-        known = still
+        moved = known.filter("open").join(inner, F.col("ancestor") == F.col("of"), "left").select(
+            "message_id", F.coalesce("above", "ancestor").alias("ancestor"),
+            (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.coalesce("further", F.lit(False)).alias("open"),
+        )
+        known = written(known.filter("not open").unionAll(moved), "quote-links")
+    return known.select("message_id", F.col("ancestor").alias("root"), "depth")
 
 
 def conversations(messages: DataFrame) -> DataFrame:
