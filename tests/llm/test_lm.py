@@ -110,3 +110,24 @@ def test_nothing_to_learn_from(spark):
     got = lm.language_model_scores(docs(spark, [(i, "a b", "s") for i in only_held])).collect()
     assert [(r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in got] == [(3, 0, 0, 0.0)] * 2
     assert lm.language_model_scores(docs(spark, [])).count() == 0
+
+
+def test_rare_ngrams_stay_in_a_large_table(spark):
+    """More than a million training tokens: an n-gram that occurs once still has its arc."""
+    rows = [(i, "f " * 999, "s") for i in range(2000)]
+    train = next(i for i in range(3000, 4000) if not held(i))
+    out = next(i for i in range(5000, 6000) if held(i))
+    rows += [(train, "x y z", "s"), (out, "x y z", "s")]
+    got = {r.doc_id: r for r in lm.language_model_scores(docs(spark, rows)).filter("doc_id >= 3000").collect()}
+    total = got[out].train_tokens
+    assert total > 1_000_000
+    ends = sum(not held(i) for i in range(2000)) + 1
+    one = lambda c: (c + 0.5) / (total + 0.5 * 6)  # noqa: E731  f, x, y, z and the end
+    p = one(1)  # x
+    for count, given in ((1, 2), (1, 3), (ends, 3)):  # y after x, z after x y, the end after y z
+        q = one(count)
+        for _ in range(given - 1):
+            q = 0.5 + 0.5 * q
+        p *= q
+    assert got[out].score == pytest.approx(math.log10(p), abs=1e-6)
+    assert got[train].score == pytest.approx(got[out].score)

@@ -1,27 +1,31 @@
 """Language-model scores by a weighted backoff automaton.
 
 Every text is read once into blocks: a small vocabulary of its own and a number
-per token. Counts go out per block and word and come back as corpus counts, so
-that no task needs the vocabulary of the corpus and no text is shuffled. Frequent
-n-grams become states and arcs of an automaton; what is missing at a state goes
-over its failure arc, at the weight of the mass that smoothing leaves. Scoring
-moves through all documents of a block side by side, from left to right, with one
-state for each.
-
-An arc needs a share of at least ``NGRAM_SHARE`` of the training tokens, so there
-are at most 1 / NGRAM_SHARE of each order, whatever the size of the corpus; that
-bounds the automaton that is broadcast. All other counts stay distributed.
+per token. Each block sends the n-grams it holds, one order after the other, as
+sorted 64-bit keys in ranges of the key space, and gets their corpus counts back,
+so that no task needs the n-grams of the corpus and no text is shuffled. From them
+each block builds the part of the automaton that its own documents can reach:
+n-grams are states and arcs; what is missing at a state goes over its failure arc,
+at the weight of the mass that smoothing leaves in the whole corpus. Scoring moves
+through all documents of a block side by side, from left to right, with one state
+for each.
+
+Every n-gram that occurs ``MIN_COUNT`` times is kept, at every size of the corpus;
+nothing is collected or broadcast. N-grams are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillscope.llm.common import remainder, table, written
@@ -29,17 +33,21 @@ from tillscope.llm.common import remainder, table, written
 ORDER = 3
 #: Bytes of text in a block at which it is closed; one document is never parted.
 BLOCK_BYTES = 4_000_000
-#: Least share of the training tokens of a word in n-grams, and of an n-gram.
-WORD_SHARE, NGRAM_SHARE = 1e-5, 1e-6
+#: Least number of occurrences of an n-gram, the same at every size.
+MIN_COUNT = 1
+#: Least shares of the training tokens for pruned models: an n-gram needs the greater one. None by default.
+WORD_SHARE, NGRAM_SHARE = 0.0, 0.0
+#: N-grams of an order that meet in one task on average, at most, and least number of ranges.
+RANGE_KEYS, RANGES = 4_000_000, 64
 DISCOUNT = 0.5
 PRIOR = 0.5
 HELD_OUT_MODULUS, HELD_OUT = 5, 1
 #: The token behind the last word. No word is empty.
 END = b""
 
-_BLOCK = "block long, doc_ids array<long>, held array<boolean>, lengths array<long>, codes array<int>"
-ENCODED = f"{_BLOCK}, vocab array<binary>, train array<long>"
-MAPPED = f"{_BLOCK}, counts array<long>, words array<int>"
+ENCODED = "block long, doc_ids array<long>, held array<boolean>, lengths array<long>, codes binary, hashes array<long>, n_train long"
+SENT = "range long, block long, packed binary"
+ANSWERED = "block long, n int, range long, types long, packed binary"
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
@@ -50,33 +58,58 @@ def _one(values, kind: pa.DataType) -> pa.ListArray:
 
 
 def _row(columns: dict[str, tuple]) -> pa.RecordBatch:
-    arrays = [pa.array([v], pa.int64()) if k is None else _one(v, k) for v, k in columns.values()]
+    """None stands for a long, bytes for one binary value, other kinds for a list."""
+    single = {None: pa.int64(), bytes: pa.binary()}
+    arrays = [pa.array([v], single[k]) if k in single else _one(v, k) for v, k in columns.values()]
     return pa.RecordBatch.from_arrays(arrays, names=list(columns))
 
 
-def _list(batch: pa.RecordBatch, name: str, row: int) -> pa.Array:
+def _list(batch: pa.Table | pa.RecordBatch, name: str, row: int) -> pa.Array:
     return batch.column(name)[row].values
 
 
+def _pack(*columns: np.ndarray) -> bytes:
+    """Columns of 8-byte values of one length, byte by byte, which compresses the empty high ones away."""
+    planes = [np.ascontiguousarray(c).view(np.uint8).reshape(-1, 8).T for c in columns]
+    raw = np.concatenate(planes).tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unpack(packed: bytes, columns: int) -> list[np.ndarray]:
+    """The columns as int64."""
+    raw = pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True)
+    planes = np.frombuffer(raw, np.uint8).reshape(columns, 8, -1)
+    return [np.ascontiguousarray(c.T).view(np.int64).reshape(-1) for c in planes]
+
+
+def _hash(word: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little", signed=True)
+
+
+def _joined(prefix: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hash of n-grams from the hashes of their prefixes and last words."""
+    x = prefix.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + word.view(np.uint64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (x ^ (x >> np.uint64(31))).view(np.int64)
+
+
 def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part, made = TaskContext.get().partitionId(), 0
     ids, held, lengths, codes, vocab, size = [], [], [], [], {END: 0}, 0
 
     def block() -> pa.RecordBatch:
         numbers = np.concatenate(codes)
-        ends = np.cumsum(lengths)
-        known = np.repeat(~np.array(held, dtype=bool), lengths)
-        train = np.bincount(numbers[known], minlength=len(vocab))
         # frequent words get small numbers, which compress better
         order = np.argsort(-np.bincount(numbers, minlength=len(vocab)), kind="stable")
-        place = np.empty(len(vocab), dtype=np.int32)
-        place[order] = np.arange(len(vocab), dtype=np.int32)
+        place = np.empty(len(vocab), dtype=np.int64)
+        place[order] = np.arange(len(vocab))
         words = list(vocab)
-        assert ends[-1] == len(numbers)
         return _row({
             "block": ((part << 32) + made, None), "doc_ids": (ids, pa.int64()), "held": (held, pa.bool_()),
-            "lengths": (lengths, pa.int64()), "codes": (place[numbers], pa.int32()),
-            "vocab": ([words[i] for i in order], pa.binary()), "train": (train[order], pa.int64()),
+            "lengths": (lengths, pa.int64()), "codes": (_pack(place[numbers]), bytes),
+            "hashes": ([_hash(words[i]) for i in order], pa.int64()),
+            "n_train": (sum(n for n, out in zip(lengths, held) if not out), None),
         })
 
     for batch in batches:
@@ -102,24 +135,130 @@ def encoded(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(_encode, ENCODED)
 
 
-def mapped(blocks: DataFrame, counted: DataFrame, frequent: list[bytes]) -> DataFrame:
-    """Gives the words of each block their corpus count and, if frequent, their number from 1."""
-    spark = blocks.sparkSession
-    numbers = spark.createDataFrame(list(enumerate(frequent, 1)), "number long, frequent binary")
-    # no more rows than 1 / WORD_SHARE; place and number share a long, which halves what is shuffled
-    named = counted.join(F.broadcast(numbers), F.col("word") == F.col("frequent"), "left").select(
-        "block", (F.shiftleft("place", 32) + F.coalesce("number", F.lit(0))).alias("packed"), "count"
-    )
+# --- the counts of the n-grams of a block ----------------------------------------------
+
+@dataclass
+class Grams:
+    """Distinct n-grams of one order in a block.
+
+    ``keys`` are sorted (number of the prefix << 32 | number of the word), numbers
+    count from 1; ``order`` sorts by ``hashes``, and ``train`` counts training documents.
+    """
+
+    keys: np.ndarray
+    hashes: np.ndarray
+    train: np.ndarray
+    order: np.ndarray
+
+
+def _grams(block: pa.Table | pa.RecordBatch, row: int, order: int) -> list[Grams]:
+    """The n-grams of a block up to ``order``. For words ``keys`` are their numbers."""
+    lengths = _list(block, "lengths", row).to_numpy()
+    held = np.asarray(_list(block, "held", row).to_pylist(), dtype=bool)
+    words = _unpack(block.column("codes")[row].as_py(), 1)[0] + 1
+    named = _list(block, "hashes", row).to_numpy()
+    train = np.repeat(~held, lengths)
+    inner = np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    counts = np.bincount(words[train] - 1, minlength=len(named))
+    found = [Grams(np.arange(1, len(named) + 1), named, counts, _by_hash(named))]
+    number = words  # of the n-gram that ends at each token
+    for n in range(2, order + 1):
+        ends = np.flatnonzero(inner >= n - 1)
+        keys, inverse = np.unique((number[ends - 1] << 32) | words[ends], return_inverse=True)
+        hashes = _joined(found[-1].hashes[(keys >> 32) - 1], named[(keys & 0xFFFFFFFF) - 1])
+        counts = np.bincount(inverse[train[ends]], minlength=len(keys))
+        found.append(Grams(keys, hashes, counts, _by_hash(hashes)))
+        number = np.zeros(len(words), dtype=np.int64)
+        number[ends] = inverse + 1
+    return found
+
+
+def _by_hash(hashes: np.ndarray) -> np.ndarray:
+    return np.argsort(hashes.view(np.uint64))
+
+
+def _answers(rows: pa.Table, n: int, order: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Corpus counts, leaves and first flags of a block's n-grams, in the order of their keys."""
+    own = rows.filter(pa.compute.equal(rows.column("n"), n)).sort_by("range")
+    parts = [_unpack(p, 3) for p in own.column("packed").to_pylist()]
+    columns = []
+    for k in range(3):
+        column = np.empty(len(order), dtype=np.int64)
+        column[order] = np.concatenate([p[k] for p in parts]) if parts else []
+        columns.append(column)
+    counts, leaves, first = columns
+    return counts, leaves.view(np.float64), first == 1
+
+
+def _sent(blocks: DataFrame, answers: DataFrame | None, n: int, bits: int, least: float) -> DataFrame:
+    """A row for each block and range of keys that it has n-grams of: sorted keys, training
+    counts and leaves.
 
-    def meet(block: pa.Table, words: pa.Table) -> pa.Table:
-        packed = words.column("packed").to_numpy()
-        order = np.argsort(packed)  # by place
-        row = block.select([c.split()[0] for c in _BLOCK.split(", ")])
-        row = row.append_column("counts", _one(words.column("count").to_numpy()[order], pa.int64()))
-        return row.append_column("words", _one((packed[order] & 0xFFFFFFFF).astype(np.int32), pa.int32()))
+    Leaves are what the kept arcs of a state have above the discount. Each arc is added
+    in the first block that holds it, so that the sum over blocks counts it once.
+    """
 
-    left = blocks.drop("vocab", "train").groupBy("block")
-    return left.cogroup(named.groupBy("block")).applyInArrow(meet, MAPPED)
+    def rows(block, row: int, grams: list[Grams], leaves: np.ndarray) -> Iterator[pa.RecordBatch]:
+        own = grams[n - 1]
+        hashes = own.hashes[own.order].view(np.uint64)
+        columns = hashes.view(np.int64), own.train[own.order].astype(np.int64), leaves[own.order].view(np.int64)
+        ranges = (hashes >> np.uint64(64 - bits)).astype(np.int64)
+        cuts = np.flatnonzero(np.diff(ranges, prepend=-1, append=-1))
+        place = block.column("block")[row].as_py()
+        packed = [
+            _pack(np.diff(columns[0][a:b], prepend=np.int64(0)), *(c[a:b] for c in columns[1:]))
+            for a, b in zip(cuts, cuts[1:])
+        ]
+        names = pa.array(ranges[cuts[:-1]], pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [names, pa.array([place] * len(packed), pa.int64()), pa.array(packed, pa.binary())],
+            names=["range", "block", "packed"],
+        )
+
+    if answers is None:
+        def longest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in range(batch.num_rows):
+                    grams = _grams(batch, row, n)
+                    yield from rows(batch, row, grams, np.zeros(len(grams[-1].keys)))
+
+        return blocks.mapInArrow(longest, SENT)
+
+    def shorter(block: pa.Table, answered: pa.Table) -> pa.Table:
+        grams = _grams(block, 0, n + 1)
+        counts, _, first = _answers(answered, n + 1, grams[n].order)
+        new = first & (counts >= least)
+        leaves = np.bincount((grams[n].keys[new] >> 32) - 1, counts[new] - DISCOUNT, minlength=len(grams[n - 1].keys))
+        return pa.Table.from_batches(rows(block, 0, grams, leaves.astype(np.float64)))
+
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(shorter, SENT)
+
+
+def _answered(sent: DataFrame, n: int) -> DataFrame:
+    """Gives every block the corpus counts and leaves of the n-grams it sent, and whether it is
+    the first block with each in training documents."""
+
+    def count(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("block")
+        parts = [_unpack(p, 3) for p in rows.column("packed").to_pylist()]
+        ends = np.cumsum([len(p[0]) for p in parts])
+        keys, inverse = np.unique(np.concatenate([np.cumsum(p[0]) for p in parts]), return_inverse=True)
+        train = np.concatenate([p[1] for p in parts])
+        counts = np.bincount(inverse, train, minlength=len(keys)).astype(np.int64)
+        leaves = np.bincount(inverse, np.concatenate([p[2] for p in parts]).view(np.float64), minlength=len(keys))
+        at = np.flatnonzero(train)[::-1]
+        first = np.full(len(keys), -1)
+        first[inverse[at]] = at  # the smallest place comes last and stays
+        first = (first[inverse] == np.arange(len(inverse))).astype(np.int64)
+        counts, leaves = counts[inverse], leaves[inverse].view(np.int64)
+        slices = [slice(b - len(p[0]), b) for p, b in zip(parts, ends)]
+        return pa.table([
+            rows.column("block"), pa.array([n] * len(parts), pa.int32()), rows.column("range"),
+            pa.array([int(first[s].sum()) for s in slices], pa.int64()),
+            pa.array([_pack(counts[s], leaves[s], first[s]) for s in slices], pa.binary()),
+        ], names=[c.split()[0] for c in ANSWERED.split(", ")])
+
+    return sent.groupBy("range").applyInArrow(count, ANSWERED)
 
 
 # --- the automaton ------------------------------------------------------------------
@@ -156,59 +295,17 @@ class Level:
         return np.where(self.keys[at] == keys, at + 1, 0)
 
 
-def _numbers(words: np.ndarray, inner: np.ndarray, levels: list[Level]) -> np.ndarray:
-    """Number of the longest kind of kept n-gram so far that ends at each token, or 0.
-
-    ``inner`` counts the tokens before each one in its document.
-    """
-    number = words.astype(np.int64)
-    for n, level in enumerate(levels, 2):
-        prefix = np.concatenate(([0], number[:-1]))
-        there = np.flatnonzero((prefix > 0) & (words > 0) & (inner >= n - 1))
-        number = np.zeros(len(words), dtype=np.int64)
-        number[there] = level.number((prefix[there] << 32) | words[there])
-    return number
-
-
-def _ngram_counts(blocks: DataFrame, levels: list[Level]) -> DataFrame:
-    """(key, count) of the n-grams one longer than ``levels``, in training documents, whose
-    prefix and suffix are kept."""
-    shared = blocks.sparkSession.sparkContext.broadcast(levels)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                lengths = _list(batch, "lengths", row).to_numpy()
-                held = np.asarray(_list(batch, "held", row).to_pylist(), dtype=bool)
-                words = _list(batch, "words", row).to_numpy()[_list(batch, "codes", row).to_numpy()]
-                starts = np.cumsum(lengths) - lengths
-                inner = (np.arange(len(words)) - np.repeat(starts, lengths)).astype(np.int32)
-                last = _numbers(words, inner, shared.value)
-                # the n-gram that ends here and the one that ended a token before share all but the ends
-                use = (last > 0) & ~np.repeat(held, lengths) & (inner >= len(shared.value) + 1)
-                before = np.concatenate(([0], last[:-1]))
-                use &= before > 0
-                keys, counts = np.unique((before[use] << 32) | words[use], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(counts, pa.int64())], names=["key", "count"])
-
-    return blocks.select("lengths", "held", "codes", "words").mapInArrow(count, "key long, count long")
-
-
-def _kept(counts: DataFrame, least: float) -> Level:
-    """Collects n-grams with at least ``least`` occurrences: no more than the tokens divided by that."""
-    sums = counts.groupBy("key").agg(F.sum("count").alias("count")).filter(F.col("count") >= least)
-    frame = sums.toPandas()
-    order = np.argsort(frame["key"].to_numpy(np.int64))
-    return Level(frame["key"].to_numpy(np.int64)[order], frame["count"].to_numpy(np.int64)[order])
-
-
-def automaton(word_counts: np.ndarray, levels: list[Level], tokens: int, types: int, end: int) -> Automaton:
+def automaton(
+    word_counts: np.ndarray, levels: list[Level], tokens: int, types: int, end: int, leaves: np.ndarray | None = None
+) -> Automaton:
     """Interpolated absolute discounting over the kept n-grams.
 
     word_counts[g] is the count of frequent word g, word_counts[0] unused. An arc's
     probability is (count - discount) / count of its state plus the failure weight
     times the probability one state down; a failure weight is what the arcs' own
-    parts leave of one. So the words of every state share exactly one.
+    parts leave of one. So the words of every state share exactly one. ``leaves`` gives
+    the sum of (count - discount) of all arcs of each state where ``levels`` holds but
+    some of them.
     """
     words = len(word_counts) - 1
     offsets = [0]  # state of the n-gram with number i of order n is offsets[n - 1] + i
@@ -221,13 +318,13 @@ def automaton(word_counts: np.ndarray, levels: list[Level], tokens: int, types:
     unigram = (word_counts + PRIOR) / (tokens + PRIOR * (types + 1))
     tails = np.arange(words + 1)  # number of the longest proper suffix, one order down, of each n-gram
     last = np.arange(words + 1)  # last word of each n-gram
-    leaves = np.zeros(states)
+    own_leaves = np.zeros(states)
     arcs = []
     for n, level in enumerate(levels, 2):
         prefix, word = level.keys >> 32, level.keys & 0xFFFFFFFF
         source = offsets[n - 2] + prefix
         own = (level.counts - DISCOUNT) / counts[source]
-        leaves += np.bincount(source, weights=own, minlength=states)
+        own_leaves += np.bincount(source, weights=own, minlength=states)
         state = offsets[n - 1] + 1 + np.arange(len(level.keys))
         counts[state] = level.counts
         if n == 2:
@@ -237,10 +334,9 @@ def automaton(word_counts: np.ndarray, levels: list[Level], tokens: int, types:
         fail[state] = np.where(suffix > 0, offsets[n - 2] + suffix, word)
         arcs.append((source, word, own, state, suffix))
         tails, last = np.concatenate(([0], suffix)), np.concatenate(([0], word))
+    leaves = own_leaves if leaves is None else leaves / counts
     weight = np.clip(1 - leaves, 1e-12, 1.0)
-    has_arcs = np.zeros(states, dtype=bool)
-    for source, *_ in arcs:
-        has_arcs[source] = True
+    has_arcs = leaves > 0
     # probabilities from short to long: one state down the arc's word is an arc as well, or a word at the root
     below = None
     keys, logs, to = [], [], []
@@ -310,26 +406,36 @@ def traverse(model: Automaton, words: np.ndarray, unigrams: np.ndarray, lengths:
     return result
 
 
-def _scored(blocks: DataFrame, model: Automaton, tokens: int, types: int) -> DataFrame:
-    shared = blocks.sparkSession.sparkContext.broadcast(model)
-
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                codes, lengths = _list(batch, "codes", row).to_numpy(), _list(batch, "lengths", row).to_numpy()
-                counts = _list(batch, "counts", row).to_numpy()
-                logs = np.log10((counts + PRIOR) / (tokens + PRIOR * (types + 1)))[codes]
-                starts = np.cumsum(lengths) - lengths
-                words = _list(batch, "words", row).to_numpy()[codes].astype(np.int64)
-                columns = [
-                    _list(batch, "doc_ids", row), _list(batch, "held", row), pa.array(lengths, pa.int64()),
-                    pa.array(np.add.reduceat((counts > 0)[codes].astype(np.int64), starts), pa.int64()),
-                    pa.array(np.add.reduceat(logs, starts)),
-                    pa.array(traverse(shared.value, words, logs, lengths)),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in SCORED.split(", ")])
-
-    return blocks.mapInArrow(walk, SCORED)
+def _scored(blocks: DataFrame, answers: DataFrame, order: int, tokens: int, types: int, least: float) -> DataFrame:
+    def walk(block: pa.Table, answered: pa.Table) -> pa.Table:
+        grams = _grams(block, 0, order)
+        levels, leaves, number = [], [np.zeros(1)], None
+        for n, own in enumerate(grams, 1):
+            counts, left, _ = _answers(answered, n, own.order)
+            kept = counts >= least
+            leaves.append(left[kept])
+            # a kept n-gram has kept prefixes and words, and numbers keep their order
+            if n == 1:
+                words, word_counts = np.concatenate(([0], np.where(kept, np.cumsum(kept), 0))), counts
+                number = words
+            else:
+                keys = own.keys[kept]
+                levels.append(Level((number[keys >> 32] << 32) | words[keys & 0xFFFFFFFF], counts[kept]))
+                number = np.concatenate(([0], np.where(kept, np.cumsum(kept), 0)))
+        end = words[1:][grams[0].hashes == _hash(END)]
+        frequent = np.concatenate(([0], word_counts[words[1:] > 0])).astype(np.float64)
+        model = automaton(frequent, levels, tokens, types, int(end[0]) or -1, np.concatenate(leaves))
+        codes, lengths = _unpack(block.column("codes")[0].as_py(), 1)[0], _list(block, "lengths", 0).to_numpy()
+        logs = np.log10((word_counts + PRIOR) / (tokens + PRIOR * (types + 1)))[codes]
+        starts = np.cumsum(lengths) - lengths
+        return pa.table([
+            _list(block, "doc_ids", 0), _list(block, "held", 0), pa.array(lengths, pa.int64()),
+            pa.array(np.add.reduceat((word_counts > 0)[codes].astype(np.int64), starts), pa.int64()),
+            pa.array(np.add.reduceat(logs, starts)),
+            pa.array(traverse(model, words[codes + 1].astype(np.int64), logs, lengths)),
+        ], names=[c.split()[0] for c in SCORED.split(", ")])
+
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(walk, SCORED)
 
 
 def language_model_scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
@@ -341,38 +447,16 @@ def language_model_scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
     without training documents every token is unknown. Other columns aren't looked at.
     """
     blocks = written(encoded(docs), "lm-blocks")
-    totals = blocks.select(F.aggregate("train", F.lit(0).cast("long"), lambda a, b: a + b).alias("n"))
-    tokens = int(totals.agg(F.sum("n")).first()[0] or 0)
-    placed = blocks.select("block", F.posexplode(F.arrays_zip("vocab", "train")).alias("place", "w"))
-    # a row for each block and word, so that no word has more rows than there are blocks
-    placed = placed.select(
-        "block", F.col("w.vocab").alias("word"),
-        (F.shiftleft(F.col("place").cast("long"), 32) + F.col("w.train")).alias("packed"),
-    )
-    whole = Window.partitionBy("word")
-    count = F.sum(F.col("packed").bitwiseAND(F.lit(0xFFFFFFFF))).over(whole)
-    counted = placed.withColumn("count", count).withColumn("first", F.min("block").over(whole))
-    usual = (F.col("count") >= WORD_SHARE * tokens) & (F.col("count") > 0)
-    counted = written(
-        counted.select(
-            "block", F.shiftright("packed", 32).alias("place"), "count", F.when(usual, F.col("word")).alias("word"),
-            ((F.col("first") == F.col("block")) & (F.col("count") > 0)).cast("int").alias("type"),
-        ),
-        "lm-counts",
-    )
-    types = int(counted.agg(F.sum("type")).first()[0] or 0)
-    rows = counted.filter("type = 1 and word is not null").select("word", "count").collect()
-    rows = sorted((-r["count"], bytes(r["word"])) for r in rows)
-    frequent = [w for _, w in rows]
-    word_counts = np.array([0] + [-c for c, _ in rows], dtype=np.float64)
-    known = written(mapped(blocks, counted, frequent), "lm-mapped")
-
-    levels: list[Level] = []
-    for _ in range(order - 1):
-        levels.append(_kept(_ngram_counts(known, levels), max(1.0, NGRAM_SHARE * tokens)))
-    end = frequent.index(END) + 1 if END in frequent else -1
-    model = automaton(word_counts, levels, tokens, types, end)
-    scored = _scored(known, model, tokens, types)
+    lengths = F.aggregate("lengths", F.lit(0).cast("long"), lambda a, b: a + b)
+    tokens, every = (int(v or 0) for v in blocks.agg(F.sum("n_train"), F.sum(lengths)).first())
+    bits = max(RANGES, -(-every // RANGE_KEYS) - 1).bit_length() if every > RANGES * RANGE_KEYS else RANGES.bit_length() - 1
+    least = max(MIN_COUNT, WORD_SHARE * tokens, NGRAM_SHARE * tokens)
+    answers, parts = None, []
+    for n in range(order, 0, -1):
+        answers = written(_answered(_sent(blocks, answers, n, bits, least), n), f"lm-counts-{n}")
+        parts.append(answers)
+    types = int(answers.agg(F.sum("types")).first()[0] or 0)
+    scored = _scored(blocks, reduce(DataFrame.unionAll, parts), order, tokens, types, least)
     return scored.withColumn("train_tokens", F.lit(tokens).cast("long"))
 
 
