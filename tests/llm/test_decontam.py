@@ -106,3 +106,27 @@ def test_native_plan(spark):
     bench = spark.createDataFrame(items, "item_id long, text string")
     plan = decontam.contaminated_windows(docs(spark, rows), bench)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_moved_blocks_match_brute_force(spark):
+    """Items whose parts are swapped or shifted in the document."""
+    rng = random.Random(8)
+    items, rows = [], []
+    text = lambda name, n: [f"{name}x{k}" for k in range(n)]
+    for k in range(24):
+        own = text(f"i{k}", rng.choice([20, 40, 60, 61]))
+        items.append((k, " ".join(own)))
+        cut = rng.choice([len(own) // 2, len(own) // 3, 2])
+        moved = own[cut:] + own[:cut]
+        if k % 4 == 0:
+            moved[cut:cut] = ["between"] * rng.randrange(3)
+        rows.append((k, " ".join(text(f"a{k}", rng.choice([0, 70])) + moved + text(f"b{k}", rng.choice([0, 70]))), "s"))
+    halves = text("s", 30), text("t", 30)
+    items.append((50, " ".join(halves[0] + halves[1])))
+    rows.append((50, " ".join(text("f", 80) + halves[1] + halves[0] + text("g", 80)), "s"))
+    expected = brute(rows, items)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontam.contaminated_windows(docs(spark, rows), bench).collect()
+    assert (50, 50) in expected and {(r.doc_id, r.item_id) for r in found} == expected
+    best = next(r for r in found if r.doc_id == 50)
+    assert (best.start, round(best.similarity, 3)) == (80, 0.867)

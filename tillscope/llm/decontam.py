@@ -1,12 +1,13 @@
 """Benchmark decontamination: item-sized windows, SimHash blocks, exact similarity.
 
 DataFrame expressions only. A window of a document is similar to an item only if
-they share a shingle, so windows are laid where a shingle of the document is one
-of the benchmark's: as long as the item, and placed so that the shared shingle
-lies where the item has it. Fingerprints of windows and items meet in
-multi-index Hamming blocks: with more blocks than differing bits at least one
-block is equal, so every pair within the radius becomes a candidate. Candidates
-are then verified by exact weighted-shingle similarity.
+enough of its shingles are the item's: t / (1 + t) of the shingles of both, for a
+similarity of t. Windows as long as an item are laid at every start, one by one,
+from which that many shared shingles are in reach, wherever the item has them.
+Fingerprints of windows and of items of that length meet in multi-index Hamming
+blocks: with more blocks than differing bits at least one block is equal, so every
+pair within the radius becomes a candidate. Candidates are then verified by exact
+weighted-shingle similarity.
 """
 
 from __future__ import annotations
@@ -111,6 +112,17 @@ def contaminated_windows(
     and rows that repeat an id are documents of their own, reported under it. Empty
     tables give an empty result; other columns aren't looked at.
     """
+    hits = _hits(docs, benchmark, shingle_words, similarity, radius, broadcast_shingles)
+    best = hits.groupBy("doc_id", "item_id").agg(
+        F.min(F.struct((-F.col("similarity")).alias("less"), "start")).alias("best")
+    )
+    return best.select("doc_id", "item_id", F.col("best.start").alias("start"), (-F.col("best.less")).alias("similarity"))
+
+
+def _hits(
+    docs: DataFrame, benchmark: DataFrame, shingle_words: int, similarity: float, radius: int, broadcast_shingles: int
+) -> DataFrame:
+    """doc_id, text_hash, item_id, start, similarity of every window that repeats an item."""
     items = written(benchmark_items(benchmark, shingle_words), "benchmark-shingles")
     # a row is told by its id and text, so that repeated ids do not mix their windows
     texts = docs.select(
@@ -121,22 +133,25 @@ def contaminated_windows(
     for n in short:  # at most shingle_words - 1 lengths
         lists.append(_runs(F.col("tokens"), n))
     found = None
-    first = items.groupBy("item_id", "item", "words", "hash").agg(F.min("offset").alias("offset"))
+    sizes = F.greatest(F.lit(1), F.col("words") - (shingle_words - 1)).alias("item_size")
+    first = items.select("item", "words", sizes, F.col("hash").alias("item_hash")).distinct()
     count = first.count()
     for place, hashes in enumerate(lists):
         keys = first.filter(F.col("words") >= shingle_words) if place == 0 else first.filter(F.col("words") == short[place - 1])
-        keys = keys.withColumnRenamed("hash", "item_hash")
         if count <= broadcast_shingles:
             keys = F.broadcast(keys)
-        runs = texts.select("doc_id", "text_hash", F.size("tokens").alias("doc_words"), F.posexplode(hashes).alias("at", "hash"))
+        runs = texts.select("doc_id", "text_hash", F.size(hashes).alias("doc_size"), F.posexplode(hashes).alias("at", "hash"))
         met = runs.join(keys, F.col("hash") == F.col("item_hash"))
-        start = F.greatest(F.lit(0), F.least(F.col("at") - F.col("offset"), F.col("doc_words") - F.col("words")))
-        met = met.select("doc_id", "text_hash", "item_id", "item", "words", start.alias("start"))
+        met = met.select("doc_id", "text_hash", "item", "words", "item_size", "doc_size", "at")
         found = met if found is None else found.unionAll(met)
-    anchors = found.groupBy("doc_id", "text_hash", "item_id", "item", "words", "start").agg(F.count("*").alias("met"))
-    windows = written(anchors.drop("met"), "benchmark-windows")
+    met = found.groupBy("doc_id", "text_hash", "item", "words", "item_size", "doc_size").agg(
+        F.sort_array(F.collect_set("at")).alias("at")
+    )
+    starts = met.select("doc_id", "text_hash", "words", F.explode(_starts(similarity)).alias("start"))
+    windows = written(starts.distinct(), "benchmark-windows")
     if windows.isEmpty():
-        return windows.select("doc_id", "item_id", "start", F.lit(0.0).alias("similarity"))
+        nothing = windows.join(items.select("item_id", "words").limit(0), "words")
+        return nothing.select("doc_id", "text_hash", "item_id", "start", F.lit(0.0).alias("similarity"))
 
     # the words of the windows come from the documents that have any
     wanted = windows.groupBy("doc_id", "text_hash").agg(
@@ -161,23 +176,38 @@ def contaminated_windows(
     )
     shingles = shingles.groupBy("window_id", "hash").agg(F.count("*").alias("weight"))
     own = items.groupBy("item", "hash").agg(F.count("*").alias("weight"))
-    seen = placed.select(
-        F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), F.col("words").alias("w"),
-        F.col("start").alias("s"), "window_id",
-    )
-    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h"))
-    same = same & (F.col("words") == F.col("w")) & (F.col("start") == F.col("s"))
-    named = windows.join(seen, same).select("doc_id", "item_id", "item", "start", "window_id")
     prints = _simhash(shingles, ["window_id"])
-    laid = named.select("window_id", "item").distinct().join(prints, "window_id")
-    candidates = _candidates(laid, _simhash(own, ["item"]), radius)
+    laid = placed.select("window_id", "words").distinct().join(prints, "window_id")
+    lengths = items.select("item", "item_id", "words").distinct()
+    candidates = _candidates(laid, _simhash(own, ["item"]).join(lengths.select("item", "words"), "item"), radius)
     similar = written(_verified(candidates, shingles, own).filter(F.col("similarity") >= similarity), "benchmark-similar")
 
-    hits = named.join(similar, ["window_id", "item"])
-    best = hits.groupBy("doc_id", "item_id").agg(
-        F.min(F.struct((-F.col("similarity")).alias("less"), "start")).alias("best")
-    )
-    return best.select("doc_id", "item_id", F.col("best.start").alias("start"), (-F.col("best.less")).alias("similarity"))
+    similar = similar.join(lengths, "item").select("window_id", "words", "item_id", "similarity")
+    hits = placed.select("doc_id", "text_hash", "words", "start", "window_id").join(similar, ["window_id", "words"])
+    return hits.select("doc_id", "text_hash", "item_id", "start", "similarity")
+
+
+def _starts(similarity: float) -> Column:
+    """Every start whose window holds as many shared shingles as the similarity needs.
+
+    ``at`` has the sorted places of shared shingles in the document. A window of n places
+    with the i-th as its first shared one holds ``need`` if the one need - 1 further on is
+    less than n from its start, and starts behind the one before.
+    """
+    size = F.least("item_size", "doc_size")
+    share = similarity / (1 + similarity)
+    # a little less, against rounding
+    need = F.greatest(F.lit(1), F.ceil(share * (F.col("item_size") + size) - 1e-6).cast("int"))
+    last = F.col("doc_size") - size
+
+    def spans(i: Column) -> Column:
+        before = F.when(i > 0, F.get("at", i - 1) + 1).otherwise(F.lit(0))
+        low = F.greatest(F.lit(0), before, F.get("at", i + need - 1) - size + 1)
+        high = F.least(F.get("at", i), last)
+        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    there = F.size("at") - need
+    return F.when(there >= 0, F.flatten(F.transform(F.sequence(F.lit(0), F.greatest(there, F.lit(0))), spans)))
 
 
 def _runs(words: Column, size: int) -> Column:
@@ -189,13 +219,15 @@ def _runs(words: Column, size: int) -> Column:
 
 
 def _candidates(windows: DataFrame, items: DataFrame, radius: int) -> DataFrame:
-    """window_id, item: the laid windows at most ``radius`` bits apart from their item."""
+    """window_id, item: windows and items of their length at most ``radius`` bits apart."""
     left = windows.select(
-        "window_id", "item", F.col("fingerprint").alias("print"), F.inline(_blocks(F.col("fingerprint"), radius))
+        "window_id", "words", F.col("fingerprint").alias("print"), F.inline(_blocks(F.col("fingerprint"), radius))
+    )
+    right = items.select(
+        "item", "words", F.col("fingerprint").alias("item_print"), F.inline(_blocks(F.col("fingerprint"), radius))
     )
-    right = items.select("item", F.col("fingerprint").alias("item_print"), F.inline(_blocks(F.col("fingerprint"), radius)))
     near = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius
-    return left.join(right, ["item", "block", "value"]).filter(near).select("window_id", "item").distinct()
+    return left.join(right, ["words", "block", "value"]).filter(near).select("window_id", "item").distinct()
 
 
 def _verified(candidates: DataFrame, shingles: DataFrame, items: DataFrame) -> DataFrame:
