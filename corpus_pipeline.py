@@ -20,7 +20,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window that repeats a benchmark item."""
-    return decontam.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return decontam.without_contaminated(docs, table(spark, sf_dir, "benchmark"), by_text=True)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

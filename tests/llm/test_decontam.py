@@ -130,3 +130,15 @@ def test_moved_blocks_match_brute_force(spark):
     assert (50, 50) in expected and {(r.doc_id, r.item_id) for r in found} == expected
     best = next(r for r in found if r.doc_id == 50)
     assert (best.start, round(best.similarity, 3)) == (80, 0.867)
+
+
+def test_the_pipeline_keeps_clean_rows_of_a_contaminated_id(spark, tmp_path):
+    import corpus_pipeline
+
+    item = " ".join(f"w{k}" for k in range(20))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, item, "s"), (None, "clean text here", "s"), (7, f"so {item} so", "s"), (7, "clean too", "s"), (7, None, "s"), (8, "", "s")]
+    df = docs(spark, rows, extra="contaminated_text")
+    kept = corpus_pipeline.decontamination(spark, df, str(tmp_path))
+    assert kept.columns == df.columns
+    assert rows_of(kept, "doc_id", "text") == sorted([r[:2] for r in (rows[1], *rows[3:])], key=repr)

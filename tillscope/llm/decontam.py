@@ -243,17 +243,29 @@ def _verified(candidates: DataFrame, shingles: DataFrame, items: DataFrame) -> D
     return every.select("window_id", "item", (F.col("shared") / whole).alias("similarity"))
 
 
-def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, by_text: bool = False, **options) -> DataFrame:
     """The rows of ``docs`` whose doc_id has no contaminated window, all columns as they are.
 
-    Rows with a null doc_id go if any such row is contaminated.
+    Rows with a null doc_id go if any such row is contaminated. ``by_text`` tells rows
+    apart by their text as well: clean rows stay whatever their id, null or repeated.
     """
-    found = contaminated_windows(docs, benchmark, **options).select("doc_id").distinct()
+    if by_text:
+        defaults = {
+            "shingle_words": SHINGLE_WORDS, "similarity": SIMILARITY, "radius": RADIUS,
+            "broadcast_shingles": BROADCAST_SHINGLES,
+        }
+        found = _hits(docs, benchmark, **(defaults | options)).select("doc_id", "text_hash").distinct()
+    else:
+        found = contaminated_windows(docs, benchmark, **options).select("doc_id").distinct()
     found = written(found, "contaminated")
-    name = free_name(docs, "contaminated_id")
-    marks = found.select(F.col("doc_id").alias(name))
+    name, text = free_name(docs, "contaminated_id"), free_name(docs, "contaminated_text")
+    same = docs.doc_id.eqNullSafe(F.col(name))
+    marks = found.withColumnRenamed("doc_id", name)
+    if by_text:
+        marks = marks.withColumnRenamed("text_hash", text)
+        same = same & (F.xxhash64(docs.text) == F.col(text))
     found = F.broadcast(marks) if found.count() <= BROADCAST_DOCS else marks.hint("merge")
-    return docs.join(found, docs.doc_id.eqNullSafe(F.col(name)), "left_anti")
+    return docs.join(found, same, "left_anti")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
