@@ -132,6 +132,51 @@ def test_moved_blocks_match_brute_force(spark):
     assert (best.start, round(best.similarity, 3)) == (80, 0.867)
 
 
+def test_long_texts_end_and_match_brute_force(spark):
+    """One text of 20,000 words, one that repeats an item through, and many items of one length."""
+    rng = random.Random(3)
+    items = [(k, " ".join(rng.choice("abcdefgh") + str(rng.randrange(900)) for _ in range(40))) for k in range(1000)]
+    filler = [f"f{rng.randrange(3000)}" for _ in range(20_000)]
+    filler[11_000:11_000] = items[17][1].split()
+    filler[:0] = items[18][1].split()[:38]
+    rows = [(1, " ".join(filler), "s"), (2, " ".join([items[5][1]] * 300), "s"), (3, items[9][1], "s")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontam.contaminated_windows(docs(spark, rows), bench).collect()
+    assert {(r.doc_id, r.item_id): r.start for r in found} == {(1, 17): 11_038, (1, 18): 0, (2, 5): 0, (3, 9): 0}
+
+
+def test_prefixes_lose_no_similar_window(spark):
+    """Every window at the bound has a shingle among the rarest of its item."""
+    rows, items = sample()
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    own = decontam.benchmark_items(bench, 5)
+    kept = decontam.prefix_shingles(own, 0.8).groupBy("item").count().collect()
+    sizes = {r.item: r["count"] for r in own.groupBy("item").count().collect()}
+    for row in kept:
+        assert 1 <= row["count"] <= sizes[row.item] - -(-sizes[row.item] * 4 // 5) + 1
+
+
+def test_shingles_are_hashed_once_per_document(spark):
+    """No projection behind an exploded list of shingles makes them anew for each of them."""
+    import re as regex
+
+    rows, items = sample()
+    seen = []
+    original = decontam.written
+    decontam.written = lambda df, name: seen.append(df) or original(df, name)
+    try:
+        decontam.contaminated_windows(docs(spark, rows), spark.createDataFrame(items, "item_id long, text string")).count()
+    finally:
+        decontam.written = original
+    for df in seen:
+        lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        depth = [len(regex.match(r"[\s:+-]*", line)[0]) for line in lines]
+        for i, line in enumerate(lines):
+            below = next((k for k in range(i + 1, len(lines)) if depth[k] > depth[i]), None)
+            if "Project [" in line and below is not None and "Generate " in lines[below]:
+                assert "transform(sequence" not in line
+
+
 def test_the_pipeline_keeps_clean_rows_of_a_contaminated_id(spark, tmp_path):
     import corpus_pipeline
 

@@ -2,8 +2,10 @@
 
 DataFrame expressions only. A window of a document is similar to an item only if
 enough of its shingles are the item's: t / (1 + t) of the shingles of both, for a
-similarity of t. Windows as long as an item are laid at every start, one by one,
-from which that many shared shingles are in reach, wherever the item has them.
+similarity of t. Documents are met by the rarest shingles of the items, of which any
+such window has one. There, windows as long as an item are laid at every start, one by
+one, from which that many shared shingles are in reach, wherever the item has them.
+Windows are runs of shingle hashes; no text is copied for them.
 Fingerprints of windows and of items of that length meet in multi-index Hamming
 blocks: with more blocks than differing bits at least one block is equal, so every
 pair within the radius becomes a candidate. Candidates are then verified by exact
@@ -15,7 +17,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillscope.llm.common import ascii_lower, free_name, table, written
@@ -61,10 +63,15 @@ def _simhash(weighted: DataFrame, keys: list[str]) -> DataFrame:
     return sums.select(*keys, fingerprint.alias("fingerprint"))
 
 
+def _edges(radius: int) -> list[int]:
+    """Bit positions that part 64 bits into radius + 1 blocks."""
+    count = min(radius + 1, 64)
+    return [64 * i // count for i in range(count + 1)]
+
+
 def _blocks(fingerprint: Column, radius: int) -> Column:
     """The value of each of radius + 1 blocks of the fingerprint, with the block's number."""
-    count = min(radius + 1, 64)
-    edges = [64 * i // count for i in range(count + 1)]
+    edges = _edges(radius)
     return F.array(
         *(
             F.struct(
@@ -124,67 +131,130 @@ def _hits(
 ) -> DataFrame:
     """doc_id, text_hash, item_id, start, similarity of every window that repeats an item."""
     items = written(benchmark_items(benchmark, shingle_words), "benchmark-shingles")
+    lengths = items.select("item", "item_id", "words").distinct()
     # a row is told by its id and text, so that repeated ids do not mix their windows
     texts = docs.select(
         "doc_id", F.xxhash64("text").alias("text_hash"), normal_words(F.col("text")).alias("tokens")
     )
-    short = [r.words for r in items.filter(F.col("words") < shingle_words).select("words").distinct().collect()]
-    lists = [shingle_hashes(F.col("tokens"), shingle_words)]
-    for n in short:  # at most shingle_words - 1 lengths
-        lists.append(_runs(F.col("tokens"), n))
-    found = None
-    sizes = F.greatest(F.lit(1), F.col("words") - (shingle_words - 1)).alias("item_size")
-    first = items.select("item", "words", sizes, F.col("hash").alias("item_hash")).distinct()
-    count = first.count()
-    for place, hashes in enumerate(lists):
-        keys = first.filter(F.col("words") >= shingle_words) if place == 0 else first.filter(F.col("words") == short[place - 1])
-        if count <= broadcast_shingles:
-            keys = F.broadcast(keys)
-        runs = texts.select("doc_id", "text_hash", F.size(hashes).alias("doc_size"), F.posexplode(hashes).alias("at", "hash"))
-        met = runs.join(keys, F.col("hash") == F.col("item_hash"))
-        met = met.select("doc_id", "text_hash", "item", "words", "item_size", "doc_size", "at")
-        found = met if found is None else found.unionAll(met)
-    met = found.groupBy("doc_id", "text_hash", "item", "words", "item_size", "doc_size").agg(
-        F.sort_array(F.collect_set("at")).alias("at")
-    )
-    starts = met.select("doc_id", "text_hash", "words", F.explode(_starts(similarity)).alias("start"))
-    windows = written(starts.distinct(), "benchmark-windows")
-    if windows.isEmpty():
-        nothing = windows.join(items.select("item_id", "words").limit(0), "words")
-        return nothing.select("doc_id", "text_hash", "item_id", "start", F.lit(0.0).alias("similarity"))
-
-    # the words of the windows come from the documents that have any
-    wanted = windows.groupBy("doc_id", "text_hash").agg(
-        F.collect_set(F.struct("words", "start")).alias("windows")
-    ).select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), "windows")
-    wanted = written(wanted, "benchmark-documents")
-    if wanted.count() <= BROADCAST_DOCS:
-        wanted = F.broadcast(wanted)
-    own = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    cut = own.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")))
-    cut = cut.dropDuplicates(["doc_id", "text_hash"])
-    cut = cut.select("doc_id", "text_hash", "windows", normal_words(F.col("text")).alias("tokens"))
-    cut = cut.select("doc_id", "text_hash", F.explode("windows").alias("w"), "tokens")
-    cut = cut.select(
-        "doc_id", "text_hash", "w.words", "w.start",
-        F.slice("tokens", F.col("w.start") + 1, F.col("w.words")).alias("window"),
-    )
-    window = F.xxhash64("window")  # equal windows are fingerprinted and compared once
-    placed = written(cut.select("doc_id", "text_hash", "words", "start", window.alias("window_id"), "window"), "benchmark-cuts")
-    shingles = placed.dropDuplicates(["window_id"]).select(
-        "window_id", F.explode(shingle_hashes(F.col("window"), shingle_words)).alias("hash")
-    )
-    shingles = shingles.groupBy("window_id", "hash").agg(F.count("*").alias("weight"))
-    own = items.groupBy("item", "hash").agg(F.count("*").alias("weight"))
+    short = _short_hits(texts, items, shingle_words, broadcast_shingles)
+    long = items.filter(F.col("words") >= shingle_words)
+    windows = _windows(texts, long, shingle_words, similarity, broadcast_shingles)
+    placed = written(windows, "benchmark-windows")
+    shingles = placed.dropDuplicates(["window_id"]).select("window_id", F.explode("window").alias("hash"))
+    shingles = written(shingles.groupBy("window_id", "hash").agg(F.count("*").alias("weight")), "benchmark-weights")
+    own = long.groupBy("item", "hash").agg(F.count("*").alias("weight"))
     prints = _simhash(shingles, ["window_id"])
     laid = placed.select("window_id", "words").distinct().join(prints, "window_id")
-    lengths = items.select("item", "item_id", "words").distinct()
     candidates = _candidates(laid, _simhash(own, ["item"]).join(lengths.select("item", "words"), "item"), radius)
     similar = written(_verified(candidates, shingles, own).filter(F.col("similarity") >= similarity), "benchmark-similar")
 
     similar = similar.join(lengths, "item").select("window_id", "words", "item_id", "similarity")
     hits = placed.select("doc_id", "text_hash", "words", "start", "window_id").join(similar, ["window_id", "words"])
-    return hits.select("doc_id", "text_hash", "item_id", "start", "similarity")
+    hits = hits.select("doc_id", "text_hash", "item_id", "start", "similarity")
+    return hits if short is None else hits.unionByName(short)
+
+
+def _short_hits(
+    texts: DataFrame, items: DataFrame, shingle_words: int, broadcast_shingles: int
+) -> DataFrame | None:
+    """Items of fewer words than a shingle, found where the same run of words is; None without such items."""
+    found = None
+    counts = items.filter(F.col("words") < shingle_words).groupBy("words").count().collect()
+    for n, count in sorted((r["words"], r["count"]) for r in counts):  # at most shingle_words - 1 lengths
+        keys = items.filter(F.col("words") == n).select("item_id", F.col("hash").alias("item_hash"))
+        keys = F.broadcast(keys) if count <= broadcast_shingles else keys
+        runs = texts.select("doc_id", "text_hash", F.posexplode(_runs(F.col("tokens"), n)).alias("start", "hash"))
+        met = runs.join(keys, F.col("hash") == F.col("item_hash"))
+        met = met.select("doc_id", "text_hash", "item_id", "start", F.lit(1.0).alias("similarity"))
+        found = met if found is None else found.unionAll(met)
+    return found
+
+
+def prefix_shingles(items: DataFrame, similarity: float) -> DataFrame:
+    """item, words, item_size, hash: the rarest shingles of each item.
+
+    A window of that similarity shares at least ``similarity`` of the item's shingles,
+    so it has one of them among any more than the rest. They are taken from the fewest
+    items up, which keeps shingles that many items have out of the first join.
+    """
+    own = items.groupBy("item", "words", "hash").agg(F.count("*").alias("weight"))
+    rarity = own.groupBy("hash").agg(F.count("*").alias("holders"))
+    mine = Window.partitionBy("item")
+    ranked = own.join(rarity, "hash").withColumn("item_size", F.sum("weight").over(mine))
+    before = mine.orderBy("holders", "hash").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = ranked.withColumn("before", F.coalesce(F.sum("weight").over(before), F.lit(0)))
+    # a little less, against rounding
+    spare = F.col("item_size") - F.ceil(similarity * F.col("item_size") - 1e-6)
+    return ranked.filter(F.col("before") <= spare).select("item", "words", F.col("item_size").cast("int"), "hash")
+
+
+def _windows(
+    texts: DataFrame, items: DataFrame, shingle_words: int, similarity: float, broadcast_shingles: int
+) -> DataFrame:
+    """doc_id, text_hash, words, start, window_id, window (hashes of its shingles): the windows to compare.
+
+    Documents are met by the rarest shingles of the items alone. Around those places, in
+    cells as long as the item, all shared shingles are looked up, and windows are laid at
+    every start that has enough of them in reach.
+    """
+    prefixes = written(prefix_shingles(items, similarity), "benchmark-prefixes")
+    keys = prefixes.withColumnRenamed("hash", "item_hash")
+    if prefixes.count() <= broadcast_shingles:
+        keys = F.broadcast(keys)
+    size = F.greatest(F.lit(1), F.size("tokens") - (shingle_words - 1)).alias("doc_size")
+    hashes = shingle_hashes(F.col("tokens"), shingle_words)
+    runs = texts.select("doc_id", "text_hash", size, F.posexplode(hashes).alias("at", "hash"))
+    met = runs.join(keys, F.col("hash") == F.col("item_hash"))
+    cell = F.floor(F.col("at") / F.col("item_size")).cast("int")
+    cells = F.sequence(
+        F.greatest(F.lit(0), cell - 1),
+        F.least(cell + 1, F.floor((F.col("doc_size") - 1) / F.col("item_size")).cast("int")),
+    )
+    near = met.select("doc_id", "text_hash", F.explode(cells).alias("cell"), "item", "words", "item_size")
+    near = near.groupBy("doc_id", "text_hash").agg(
+        F.collect_set(F.struct("item", "words", "item_size", "cell")).alias("cells")
+    )
+    near = written(near, "benchmark-places")
+
+    own = _with_marks(texts, near, "cells").select(
+        "doc_id", "text_hash", "cells", shingle_hashes(F.col("tokens"), shingle_words).alias("hashes")
+    )
+    own = written(own.dropDuplicates(["doc_id", "text_hash"]), "benchmark-documents")
+    spread = own.select("doc_id", "text_hash", F.size("hashes").alias("doc_size"), "hashes", F.explode("cells").alias("c"))
+    first = F.col("c.cell") * F.col("c.item_size")
+    spread = spread.select(
+        "doc_id", "text_hash", "doc_size", "c.item", "c.words", "c.item_size", first.alias("first"),
+        F.posexplode(F.slice("hashes", first + 1, F.col("c.item_size"))).alias("place", "hash"),
+    )
+    shared = spread.join(items.select("item", "hash").distinct(), ["item", "hash"])
+    shared = shared.groupBy("doc_id", "text_hash", "item", "words", "item_size", "doc_size").agg(
+        F.sort_array(F.collect_set(F.col("first") + F.col("place"))).alias("at")
+    )
+    starts = shared.select(
+        "doc_id", "text_hash", "words", F.least("item_size", "doc_size").alias("size"),
+        F.explode(_starts(similarity)).alias("start"),
+    )
+    starts = starts.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("words", "size", "start")).alias("windows"))
+    laid = _with_marks(own.drop("cells"), written(starts, "benchmark-starts"), "windows")
+    laid = laid.select("doc_id", "text_hash", "hashes", F.explode("windows").alias("w")).select(
+        "doc_id", "text_hash", "w.words", "w.start",
+        F.slice("hashes", F.col("w.start") + 1, F.col("w.size")).alias("window"),
+    )
+    # equal windows are fingerprinted and compared once
+    return laid.withColumn("window_id", F.xxhash64("window"))
+
+
+def _with_marks(rows: DataFrame, marks: DataFrame, column: str) -> DataFrame:
+    """The rows of marked documents with their marks; a row is told by doc_id and text_hash."""
+    marks = marks.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), column)
+    marks = F.broadcast(marks) if _sent_whole(marks, column) else marks.hint("merge")
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h"))
+    return rows.join(marks, same).drop("d", "h")
+
+
+def _sent_whole(marks: DataFrame, column: str) -> bool:
+    found = marks.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.size(column)), F.lit(0)).alias("marks")).first()
+    return found["rows"] + found["marks"] <= BROADCAST_DOCS
 
 
 def _starts(similarity: float) -> Column:
@@ -219,15 +289,25 @@ def _runs(words: Column, size: int) -> Column:
 
 
 def _candidates(windows: DataFrame, items: DataFrame, radius: int) -> DataFrame:
-    """window_id, item: windows and items of their length at most ``radius`` bits apart."""
+    """window_id, item: windows and items of their length at most ``radius`` bits apart.
+
+    A pair comes from the first of the blocks that it shares, and so but once.
+    """
     left = windows.select(
         "window_id", "words", F.col("fingerprint").alias("print"), F.inline(_blocks(F.col("fingerprint"), radius))
     )
     right = items.select(
         "item", "words", F.col("fingerprint").alias("item_print"), F.inline(_blocks(F.col("fingerprint"), radius))
     )
-    near = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius
-    return left.join(right, ["words", "block", "value"]).filter(near).select("window_id", "item").distinct()
+    differing = F.col("print").bitwiseXOR(F.col("item_print"))
+    edges = _edges(radius)
+    shared = F
+    for i, (lo, hi) in enumerate(zip(edges, edges[1:])):
+        mask = ((1 << (hi - lo)) - 1) << lo
+        mask -= (1 << 64) if mask >> 63 else 0
+        shared = shared.when(differing.bitwiseAND(F.lit(mask)) == 0, i)
+    near = (F.bit_count(differing) <= radius) & (shared == F.col("block"))
+    return left.join(right, ["words", "block", "value"]).filter(near).select("window_id", "item")
 
 
 def _verified(candidates: DataFrame, shingles: DataFrame, items: DataFrame) -> DataFrame:
