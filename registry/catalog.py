@@ -14,7 +14,6 @@ from tillscope.plans.summary import Summary
 from tillscope.sinks.results import api_rows
 from tillscope.sources.demo import generate_transactions
 from tillscope.sources.files import nulls_from_text
-from tillscope.sources.tables import tenant_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -110,9 +109,9 @@ def _large_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.validation_report(standardize.standardize(rows, date_format="yyyy-MM-dd"))
 
 
-def _empty_health(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nobody = tenant_rows(inputs.transactions(spark, sf_dir, country=True), -1)
-    return _joined(quality.table_health(nobody), "missing_columns")
+def _owner_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    owners = inputs.table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("owner_id"))
+    return quality.owners_health(inputs.transactions(spark, sf_dir, country=True), owners)
 
 
 def _preview_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,7 +124,7 @@ def _quality_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _preview_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = quality.preview_scan(inputs.preview_upload(spark, sf_dir))
-    return quality.scan_verdicts(report, "preview_rows")
+    return quality.scan_verdicts(report)
 
 
 def _describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -224,7 +223,7 @@ QUERIES: dict[str, Query] = {
     "csv_quality_partial": _partial_upload,
     "csv_quality_dates": _dated_quality,
     "validation_large_numbers": _large_numbers,
-    "empty_health": _empty_health,
+    "owner_health": _owner_health,
     # Cleaning and profiling
     "clean_transactions": _on_raw(lambda raw: clean.to_transactions(clean.clean(raw))),
     "profile_shape": _on_raw(profile.shape),

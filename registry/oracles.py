@@ -25,6 +25,11 @@ def _transactions(yearly: bool = False) -> str:
     )"""
 
 
+def _tenths(value: str) -> str:
+    """A double to 1 place by its binary value."""
+    return f"cast(printf('%.1f', cast({value} as double)) as double)"
+
+
 def _percent(part: str, whole: str) -> str:
     """Percentage to 2 places, halves up, in whole-number arithmetic."""
     return f"((({part}) * 20000 + ({whole})) // (2 * ({whole}))) / 100.0::double"
@@ -64,13 +69,13 @@ def _summary(part: str, where: str = "", yearly: bool = False) -> str:
     select cast(ifnull(sum(value), 0) as double) as revenue, count(invoice_no) as orders,
            round(ifnull(avg(value), 0), 4) as aov
     from (select invoice_no, sum(value) as value from orders group by invoice_no)"""
-    return lines + """,
+    return lines + f""",
     products as (
       select description as name, cast(sum(revenue) as double) as revenue,
              cast(sum(sum(revenue)) over () as double) as whole
       from chosen group by description
     )
-    select name, revenue, if(whole = 0, 0, round(revenue * 100 / whole, 1)) as share
+    select name, revenue, if(whole = 0, 0, {_tenths('revenue * 100 / whole')}) as share
     from products where name is not null
     qualify row_number() over (order by revenue desc, name) <= 5"""
 
@@ -140,7 +145,7 @@ UPLOAD_REPORT = f"""with {UPLOAD},
              count(*) filter (where q < 0) as cancellations
       from typed
     ),
-    scored as (select *, round(greatest(0, 100 - incomplete / rows * 100), 1) as quality from report)"""
+    scored as (select *, {_tenths('greatest(0, 100 - incomplete / rows * 100)')} as quality from report)"""
 
 PREVIEW_REPORT = """with p as (
       select case when event_id % 17 = 0 then '' else cast(event_id % 4000 as varchar) end as "Invoice No",
@@ -168,19 +173,14 @@ PREVIEW_REPORT = """with p as (
     )"""
 
 
-def _scan_verdicts(label: str) -> str:
+def _scan_verdicts() -> str:
+    faults = 'incomplete + "duplicateRows" + "invalidDates" + "invalidNumbers"'
     return f"""
-    select 0 as position, '{label}' as label,
-           format('{{:,}}', rows) || ' rows · ' || columns || ' columns · '
-             || regexp_replace(cast(quality as varchar), '\\.0$', '') || '% complete' as value,
+    select 0 as position, 'scan_completeness' as check_code, incomplete as failing, rows as total,
            case when quality >= 90 then 'pass' else 'warn' end as state from scored
-    union all select 1, 'Required fields mapped', mapped || '/9 mapped · missing ' || missing, 'warn' from scored
-    union all select 2, 'Data anomalies', incomplete || ' incomplete · ' || "duplicateRows" || ' duplicate rows · '
-             || "invalidDates" || ' invalid dates · ' || "invalidNumbers" || ' invalid numeric values',
-           case when incomplete + "duplicateRows" + "invalidDates" + "invalidNumbers" > 0 then 'warn' else 'pass' end
-           from scored
-    union all select 3, 'Cancellations / returns', format('{{:,}}', cancellations) || ' flagged in active data', 'info'
-           from scored"""
+    union all select 1, 'scan_mapping', 9 - mapped, 9, 'warn' from scored
+    union all select 2, 'scan_faults', {faults}, rows, case when {faults} > 0 then 'warn' else 'pass' end from scored
+    union all select 3, 'scan_returns', cancellations, rows, 'info' from scored"""
 
 
 SCAN_COLUMNS = (
@@ -198,7 +198,7 @@ HEALTH = f"""with {_transactions()},
       select case when rows_analyzed > 0 then 'connected' else 'dataset_empty' end as status,
              'transactions' as source_table, rows_analyzed, 9 as columns_mapped, 9 as columns_expected,
              '' as missing_columns,
-             case when rows_analyzed > 0 then round(greatest(0, 100 - incomplete_rows / rows_analyzed * 100), 1) end as quality_score,
+             case when rows_analyzed > 0 then {_tenths('greatest(0, 100 - incomplete_rows / rows_analyzed * 100)')} end as quality_score,
              cancellations, incomplete_rows
       from report
     )"""
@@ -326,22 +326,29 @@ ORACLES: dict[str, str] = {
     "table_health": HEALTH + " select * from scored",
     "health_verdicts": HEALTH
     + """
-        select 0 as position, 'Table rows analyzed' as label,
-               format('{:,}', rows_analyzed) || ' rows · 9 required columns · '
-                 || regexp_replace(cast(quality_score as varchar), '\\.0$', '') || '% complete' as value,
-               case when quality_score >= 90 then 'pass' else 'warn' end as state from scored
-        union all select 1, 'Required fields mapped', '9/9 present', 'pass'
-        union all select 2, 'Data anomalies', incomplete_rows
-               || ' incomplete · duplicate, date, and numeric checks not reported for table rows',
-               case when incomplete_rows > 0 then 'warn' else 'info' end from scored
-        union all select 3, 'Cancellations / returns', format('{:,}', cancellations) || ' flagged in active data', 'info' from scored
-        union all select 4, 'Dataset', 'Connected', 'pass'
-        union all select 5, 'Required columns', '9/9 present', 'pass'
-        union all select 6, 'Rows analyzed', format('{:,}', rows_analyzed), case when rows_analyzed > 0 then 'pass' else 'info' end from scored
-        union all select 7, 'Required values', format('{:,}', incomplete_rows) || ' incomplete rows · '
-               || regexp_replace(cast(quality_score as varchar), '\\.0$', '') || '% complete',
+        select 0 as position, 'table_present' as check_code, null::bigint as failing, null::bigint as total,
+               case when rows_analyzed > 0 then 'pass' else 'warn' end as state from scored
+        union all select 1, 'table_mapping', 0, 9, 'pass'
+        union all select 2, 'table_rows', null, rows_analyzed, case when rows_analyzed > 0 then 'pass' else 'info' end from scored
+        union all select 3, 'table_completeness', incomplete_rows, rows_analyzed,
+               case when quality_score >= 90 then 'pass' else 'warn' end from scored
+        union all select 4, 'table_values', incomplete_rows, rows_analyzed,
                case when incomplete_rows > 0 then 'warn' else 'pass' end from scored
-        union all select 8, 'Cancellations', format('{:,}', cancellations) || ' flagged', 'info' from scored""",
+        union all select 5, 'table_faults', incomplete_rows, rows_analyzed,
+               case when incomplete_rows > 0 then 'warn' else 'info' end from scored
+        union all select 6, 'table_returns', cancellations, rows_analyzed, 'info' from scored""",
+    "owner_health": f"""with {_transactions()},
+        counted as (
+          select n_nationkey as owner_id, count(t.owner_id) as rows_analyzed,
+                 count(*) filter (where is_cancellation) as cancellations,
+                 count(*) filter (where t.owner_id is not null
+                   and (description is null or invoice_date is null or revenue is null)) as incomplete_rows
+          from nation left join t on owner_id = n_nationkey group by 1
+        )
+        select owner_id, if(rows_analyzed > 0, 'connected', 'dataset_empty') as status, rows_analyzed,
+               if(rows_analyzed > 0, {_tenths('greatest(0, 100 - incomplete_rows / rows_analyzed * 100)')}, null) as quality_score,
+               cancellations, incomplete_rows
+        from counted""",
     "csv_quality": UPLOAD_REPORT + f" select {SCAN_COLUMNS} from scored",
     "csv_quality_partial": f"""with {UPLOAD},
         p as (select * exclude (qty) from u)
@@ -349,7 +356,7 @@ ORACLES: dict[str, str] = {
                0::bigint as incomplete, count(*) - (select count(*) from (select distinct * from p)) as "duplicateRows",
                0::bigint as "invalidDates", 0::bigint as "invalidNumbers", 0::bigint as cancellations,
                cast(null as double) as quality from p""",
-    "csv_quality_dates": """with u as (
+    "csv_quality_dates": f"""with u as (
           select cast(event_id % 4000 as varchar) as o, user_id, event_type, event_id % 7 as q,
                  cast(value as decimal(18,2)) as p, if(event_id % 23 = 0, null, date_trunc('minute', ts)) as d
           from events
@@ -359,7 +366,7 @@ ORACLES: dict[str, str] = {
                count(*) - (select count(*) from (select distinct * from u)) as "duplicateRows",
                count(*) filter (where d is null) as "invalidDates", 0::bigint as "invalidNumbers",
                0::bigint as cancellations,
-               round(100 - count(*) filter (where d is null) / count(*) * 100, 1) as quality from u""",
+               {_tenths('100 - count(*) filter (where d is null) / count(*) * 100')} as quality from u""",
     "validation_large_numbers": """with n as (
           select count(*) filter (where event_id % 43 = 0 or event_id % 47 = 0 or event_id % 59 = 0) as large from events
         )
@@ -370,12 +377,9 @@ ORACLES: dict[str, str] = {
         union all select 4, 'quantity_not_positive', 'Some rows have zero or negative quantities.', 0
         union all select 5, 'price_not_positive', 'Some rows have zero or negative prices.', 0
         union all select 6, 'number_not_stored', 'Some rows have numbers too large to store.', large from n""",
-    "empty_health": """select 'dataset_empty' as status, 'transactions' as source_table, count(*) as rows_analyzed,
-               9 as columns_mapped, 9 as columns_expected, '' as missing_columns, cast(null as double) as quality_score,
-               0::bigint as cancellations, 0::bigint as incomplete_rows from customer where c_nationkey = -1""",
-    "quality_verdicts": UPLOAD_REPORT + _scan_verdicts("CSV rows validated"),
+    "quality_verdicts": UPLOAD_REPORT + _scan_verdicts(),
     "preview_scan": PREVIEW_REPORT + f" select {SCAN_COLUMNS} from scored",
-    "preview_verdicts": PREVIEW_REPORT + _scan_verdicts("Loaded preview rows"),
+    "preview_verdicts": PREVIEW_REPORT + _scan_verdicts(),
     "validation_rules": f"""with {UPLOAD}
         select 0 as position, 'order_id_missing' as rule, 'Some orders are missing order IDs.' as message,
                count(*) filter (where order_id is null) as rows from typed

@@ -130,6 +130,18 @@ def test_percentages(spark):
     assert row.select(numbers.quality_score(F.col("three"), F.col("one"))).first()[0] == 66.7
 
 
+def test_tenths_by_binary_value(spark):
+    """Against Python's own rounding: near ties, exact ties, all scores of small counts, large and odd values."""
+    numbers_ = [95.65, 0.25, 0.75, 0.35, -0.25, -95.65, 0.05, 0.04999, 0.0, 1e-300, 2.0**-57, 99.95, 1e15 + 0.25]
+    numbers_ += [2.0**52 + 1, 1e300, 12345678.05, 4.5e15 + 0.5, float("inf")]
+    numbers_ += [100 - k / n * 100 for n in (7, 40, 200, 1000) for k in range(0, n, 3)]
+    numbers_ += [k / 20 for k in range(2100)]
+    df = spark.createDataFrame([(x,) for x in numbers_], "x double")
+    got = [r[0] for r in df.select(numbers.rounded_to_tenths(F.col("x"))).collect()]
+    assert got == [x if x == float("inf") else round(x, 1) for x in numbers_]
+    assert df.limit(1).select(numbers.rounded_to_tenths(F.lit(None).cast("double"))).first()[0] is None
+
+
 def test_header_detection():
     raw = ["InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate", "UnitPrice", "CustomerID", "Country"]
     assert headers.detect_columns(raw) == {

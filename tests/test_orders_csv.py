@@ -96,8 +96,8 @@ def test_quality_report(spark, path):
         "cancellations": 0, "quality": 100.0,
     }
     verdicts = tuples(scan_verdicts(csv_quality(read_upload(spark, path))))
-    assert verdicts[0][2:] == ("5 rows · 6 columns · 100% complete", "pass")
-    assert verdicts[1][2:] == ("6/9 mapped · missing Revenue, Country, Cancellation flag", "warn")
+    assert verdicts[0] == (0, "scan_completeness", 0, 5, "pass")
+    assert verdicts[1] == (1, "scan_mapping", 3, 9, "warn")
 
 
 def test_preview_asks_for_revenue(spark, path):

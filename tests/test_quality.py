@@ -55,7 +55,7 @@ def test_missing_field_gives_no_score(spark):
     assert (row["rows"], row["duplicateRows"], row["incomplete"], row["quality"]) == (2, 1, 0, None)
     assert quality.missing_upload_columns(df.columns) == ["customer_id", "date", "product", "unit_price"]
     verdict = tuples(quality.scan_verdicts(quality.csv_quality(df)))[0]
-    assert verdict[2:] == ("2 rows · 2 columns · no score", "warn")
+    assert verdict == (0, "scan_completeness", 0, 2, "warn")
 
 
 def test_empty_upload(spark):
@@ -118,17 +118,27 @@ def test_health_states(spark, lines):
 
 def test_health_verdicts(spark, lines):
     def states(df):
-        return [r["state"] for r in quality.health_verdicts(df).orderBy("position").collect()]
+        return {r["check_code"]: r["state"] for r in quality.health_verdicts(df).collect()}
 
     fact = lines(("1", "A", "2024-01-01", "x", 1), ("2", None, "2024-01-01", "x", 1))
-    assert states(quality.table_health(fact)) == ["warn", "pass", "warn", "info", "pass", "pass", "pass", "warn", "info"]
-    assert states(quality.catalog_health(spark, "no_such_table")) == [
-        "info", "info", "info", "info", "fail", "info", "info", "info", "info"
-    ]
-    assert states(quality.table_health(fact.limit(0))) == ["info", "info", "info", "info", "warn", "pass", "info", "info", "info"]
-    assert states(quality.table_health(fact.drop("country"))) == [
-        "info", "info", "info", "info", "pass", "fail", "info", "info", "info"
+    every = ("present", "mapping", "rows", "completeness", "values", "faults", "returns")
+    names = [f"table_{n}" for n in every]
+    assert states(quality.table_health(fact)) == dict(zip(names, ["pass", "pass", "pass", "warn", "warn", "warn", "info"]))
+    assert states(quality.catalog_health(spark, "no_such_table")) == dict(zip(names, ["fail", *["info"] * 6]))
+    assert states(quality.table_health(fact.limit(0))) == dict(zip(names, ["warn", "pass", *["info"] * 5]))
+    assert states(quality.table_health(fact.drop("country"))) == dict(zip(names, ["pass", "fail", *["info"] * 5]))
+    counts = [tuple(r)[2:4] for r in quality.health_verdicts(quality.table_health(fact)).orderBy("position").collect()]
+    assert counts == [(None, None), (0, 9), (None, 2), (1, 2), (1, 2), (1, 2), (0, 2)]
+
+
+def test_health_of_every_owner(spark, lines):
+    fact = lines(
+        ("1", "A", "2024-01-01", "x", 1), ("2", None, "2024-01-01", "x", 1, {"cancelled": True}),
+        ("3", "A", "2024-01-01", "y", 1, {"owner": 2}), ("4", "A", "2024-01-01", "y", 1, {"owner": None}),
+    )
+    owners = spark.createDataFrame([(1,), (2,), (2,), (3,), (None,)], "owner_id int")
+    assert sorted(tuples(quality.owners_health(fact, owners)), key=repr) == [
+        (1, "connected", 2, 50.0, 1, 1), (2, "connected", 1, 100.0, 0, 0),
+        (3, "dataset_empty", 0, None, 0, 0), (None, "connected", 1, 100.0, 0, 0),
     ]
-    values = [r["value"] for r in quality.health_verdicts(quality.table_health(fact)).orderBy("position").collect()]
-    assert values[0] == "2 rows · 9 required columns · 50% complete"
-    assert values[7] == "1 incomplete rows · 50% complete"
+    assert quality.owners_health(fact.limit(0), owners).count() == 4

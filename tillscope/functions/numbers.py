@@ -27,16 +27,37 @@ def percentage(part: Column, whole: Column) -> Column:
     return F.round(ratio, 2).cast("decimal(9,2)")
 
 
+def rounded_to_tenths(value: Column) -> Column:
+    """A double to 1 place by its binary value: 95.65 is stored a little above the tie and gives 95.7.
+
+    Exact ties go to the even digit. Below the point a double above 1/32 is a whole
+    number of 2**-57, so the digit and what is left over are found in whole numbers;
+    smaller values round to 0. From 2**52 up there is nothing to round.
+    """
+    magnitude = F.abs(value)
+    whole = F.floor(magnitude)
+    ticks = ((magnitude - whole) * float(1 << 57)).cast("bigint") * 10
+    digit = F.shiftright(ticks, 57)
+    rest = ticks.bitwiseAND(F.lit((1 << 57) - 1))
+    half = F.lit(1 << 56)
+    up = (rest > half) | ((rest == half) & (digit % 2 == 1))
+    tenths = whole * 10 + digit + F.when(up, 1).otherwise(0)
+    rounded = (tenths.cast("decimal(20,0)") / 10).cast("decimal(21,1)").cast("double")
+    small = F.when(value < 0, -rounded).otherwise(rounded)
+    return F.when(magnitude < float(1 << 52), small).otherwise(value)
+
+
 def share(part: Column, total: Column) -> Column:
     """Share of a total in percent to 1 place; 0 when the total is 0."""
     part, total = part.cast("double"), total.cast("double")
-    return F.when(total != 0, F.bround(F.try_divide(part * 100, total), 1)).otherwise(F.lit(0.0))
+    percent = F.try_divide(part * 100, total)
+    return F.when(total != 0, rounded_to_tenths(percent)).otherwise(F.lit(0.0))
 
 
 def quality_score(rows: Column, incomplete: Column) -> Column:
     """Percent of complete rows to 1 place; null when there are no rows."""
     bad = F.try_divide(incomplete.cast("double"), rows.cast("double")) * 100
-    return F.when(rows > 0, F.bround(F.greatest(F.lit(0.0), F.lit(100.0) - bad), 1))
+    return F.when(rows > 0, rounded_to_tenths(F.greatest(F.lit(0.0), F.lit(100.0) - bad)))
 
 
 def rounded_percent(part: Column, rows: Column) -> Column:

@@ -20,8 +20,6 @@ from tillscope.schemas import (
     REQUIRED_COLUMNS,
     UPLOAD_ALIASES,
     VALIDATION_MESSAGES,
-    VERDICT_LABELS,
-    VERDICT_TEXTS,
 )
 from tillscope.sources.tables import PUBLIC_TABLE, tenant_rows
 
@@ -240,32 +238,30 @@ def catalog_health(
     return table_health(rows if owner_id is None else tenant_rows(rows, owner_id), table)
 
 
-def _sentence(*parts: Column | str) -> Column:
-    """Texts and values run together; counts are written without separators."""
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+def owners_health(rows: DataFrame, owners: DataFrame) -> DataFrame:
+    """A health report per row of ``owners`` (owner_id), those without any row included.
 
-
-def _text(name: str) -> Column:
-    return F.lit(VERDICT_TEXTS[name])
-
-
-def _grouped(number: Column) -> Column:
-    """A count with thousands separators."""
-    return F.format_number(number, 0)
-
-
-def _plain(score: Column) -> Column:
-    """A score without a needless decimal: 100, not 100.0."""
-    return F.regexp_replace(score.cast("string"), r"\.0$", "")
-
-
-def _complete(score: Column) -> Column:
-    return F.coalesce(_sentence(_plain(score), "% complete"), _text("no_score"))
-
-
-def _mapped(found: Column, expected: Column, word: str, missing: Column) -> Column:
-    lacking = F.when(F.size(missing) > 0, _sentence(" · missing ", F.array_join(missing, ", ")))
-    return _sentence(found, "/", expected, word, F.coalesce(lacking, F.lit("")))
+    One aggregation that merges before it moves, so an owner with most rows is one row
+    per task; the table of owners meets results of its own size.
+    """
+    lacking = any_of([F.col(c).isNull() for c in ("description", "invoice_date", "revenue")])
+    counted = rows.groupBy(F.col("owner_id").alias("_owner")).agg(
+        F.count("*").alias("rows_analyzed"),
+        F.count_if(F.col("is_cancellation")).alias("cancellations"),
+        F.count_if(lacking).alias("incomplete_rows"),
+    )
+    met = owners.select("owner_id").distinct().join(counted, F.col("owner_id").eqNullSafe(F.col("_owner")), "left")
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("rows_analyzed", "cancellations", "incomplete_rows")]
+    met = met.select("owner_id", *counts)
+    analyzed = F.col("rows_analyzed")
+    return met.select(
+        "owner_id",
+        F.when(analyzed > 0, "connected").otherwise("dataset_empty").alias("status"),
+        "rows_analyzed",
+        quality_score(analyzed, F.col("incomplete_rows")).alias("quality_score"),
+        "cancellations",
+        "incomplete_rows",
+    )
 
 
 def _state(*cases: tuple[Column, str], otherwise: str) -> Column:
@@ -275,117 +271,70 @@ def _state(*cases: tuple[Column, str], otherwise: str) -> Column:
     return state.otherwise(otherwise)
 
 
-def _verdicts(report: DataFrame, checks: list[tuple[str, Column, Column]]) -> DataFrame:
+def _verdicts(report: DataFrame, checks: list[tuple[str, Column | None, Column | None, Column]]) -> DataFrame:
     """One row per check; the report itself is one row."""
+    unknown = F.lit(None)
     cells = [
         F.struct(
             F.lit(i).alias("position"),
-            F.lit(VERDICT_LABELS[label]).alias("label"),
-            value.alias("value"),
+            F.lit(code).alias("check_code"),
+            (unknown if failing is None else failing).cast("bigint").alias("failing"),
+            (unknown if total is None else total).cast("bigint").alias("total"),
             state.alias("state"),
         )
-        for i, (label, value, state) in enumerate(checks)
+        for i, (code, failing, total, state) in enumerate(checks)
     ]
     return report.select(F.inline(F.array(*cells)))
 
 
-def scan_verdicts(report: DataFrame, rows_label: str = "csv_rows") -> DataFrame:
-    """(position, label, value, state) for a csv_quality or preview_scan report."""
-    rows, columns, missing, quality = (F.col(c) for c in ("rows", "columns", "missing", "quality"))
+def scan_verdicts(report: DataFrame) -> DataFrame:
+    """(position, check_code, failing, total, state) for a csv_quality or preview_scan report.
+
+    ``failing`` of ``total`` rows, or fields for the mapping, fail the check.
+    """
+    rows, missing, quality = F.col("rows"), F.size("missing"), F.col("quality")
     counts = [F.col(c) for c in ("incomplete", "duplicateRows", "invalidDates", "invalidNumbers")]
-    incomplete, duplicates, dates, numbers = counts
-    labels = F.col("mapped") + F.size(missing)
+    passing = _state((quality >= PASSING_SCORE, "pass"), otherwise="warn")
     return _verdicts(
         report,
         [
-            (
-                rows_label,
-                _sentence(_grouped(rows), " rows · ", columns, " columns · ", _complete(quality)),
-                _state((quality >= PASSING_SCORE, "pass"), otherwise="warn"),
-            ),
-            (
-                "fields",
-                _mapped(F.col("mapped"), labels, " mapped", missing),
-                _state((F.size(missing) > 0, "warn"), otherwise="pass"),
-            ),
-            (
-                "anomalies",
-                _sentence(
-                    incomplete, " incomplete · ", duplicates, " duplicate rows · ",
-                    dates, " invalid dates · ", numbers, " invalid numeric values",
-                ),
-                _state((any_of([c > 0 for c in counts]), "warn"), otherwise="pass"),
-            ),
-            (
-                "returns",
-                _sentence(_grouped(F.col("cancellations")), VERDICT_TEXTS["flagged_active"]),
-                F.lit("info"),
-            ),
+            ("scan_completeness", counts[0], rows, passing),
+            ("scan_mapping", missing, F.col("mapped") + missing, _state((missing > 0, "warn"), otherwise="pass")),
+            ("scan_faults", sum(counts[1:], counts[0]), rows, _state((any_of([c > 0 for c in counts]), "warn"), otherwise="pass")),
+            ("scan_returns", F.col("cancellations"), rows, F.lit("info")),
         ],
     )
 
 
 def health_verdicts(report: DataFrame) -> DataFrame:
-    """(position, label, value, state) for a table_health report."""
-    status, score, rows = F.col("status"), F.col("quality_score"), F.col("rows_analyzed")
-    incomplete, expected, missing = F.col("incomplete_rows"), F.col("columns_expected"), F.col("missing_columns")
+    """(position, check_code, failing, total, state) for a table_health report; what was not read is null."""
+    status, score = F.col("status"), F.col("quality_score")
     connected, absent, empty = (status == s for s in ("connected", "dataset_missing", "dataset_empty"))
-    mapped = _mapped(F.col("columns_mapped"), expected, " present", missing)
-    cancelled = _grouped(F.col("cancellations"))
-    lacking = F.size(missing) > 0
-
-    def known(condition: Column, value: Column, fallback: str) -> Column:
-        return F.when(condition, value).otherwise(_text(fallback))
-
-    summary = _sentence(_grouped(rows), " rows · ", expected, " required columns · ", _complete(score))
-    dataset = (
-        F.when(absent, _sentence(F.col("source_table"), VERDICT_TEXTS["not_found"]))
-        .when(empty, _text("empty"))
-        .otherwise(_text("connected"))
-    )
+    lacking = F.size("missing_columns")
+    incomplete, cancelled = F.col("incomplete_rows"), F.col("cancellations")
+    rows = F.when(~absent, F.col("rows_analyzed"))
+    scored = score.isNotNull()
     return _verdicts(
         report,
         [
+            ("table_present", None, None, _state((absent, "fail"), (empty, "warn"), otherwise="pass")),
             (
-                "table_rows",
-                known(connected, summary, "no_rows"),
-                _state((~connected, "info"), (score >= PASSING_SCORE, "pass"), otherwise="warn"),
-            ),
-            (
-                "fields",
-                known(connected, mapped, "not_checked"),
-                _state((~connected, "info"), (lacking, "fail"), otherwise="pass"),
-            ),
-            (
-                "anomalies",
-                known(connected, _sentence(incomplete, VERDICT_TEXTS["table_anomalies"]), "no_scan"),
-                _state((connected & (incomplete > 0), "warn"), otherwise="info"),
-            ),
-            ("returns", _sentence(cancelled, VERDICT_TEXTS["flagged_active"]), F.lit("info")),
-            ("dataset", dataset, _state((absent, "fail"), (empty, "warn"), otherwise="pass")),
-            (
-                "columns",
-                known(~absent, mapped, "not_checked"),
-                _state((absent, "info"), (lacking, "fail"), otherwise="pass"),
+                "table_mapping", F.when(~absent, lacking), F.col("columns_expected"),
+                _state((absent, "info"), (lacking > 0, "fail"), otherwise="pass"),
             ),
+            ("table_rows", None, rows, _state((~absent & (rows > 0), "pass"), otherwise="info")),
             (
-                "rows",
-                known(~absent, _grouped(rows), "unavailable"),
-                _state((~absent & (rows > 0), "pass"), otherwise="info"),
+                "table_completeness", F.when(connected, incomplete), rows,
+                _state((~connected, "info"), (score >= PASSING_SCORE, "pass"), otherwise="warn"),
             ),
             (
-                "values",
-                known(
-                    score.isNotNull(),
-                    _sentence(_grouped(incomplete), " incomplete rows · ", _plain(score), "% complete"),
-                    "not_available",
-                ),
-                _state((score.isNull(), "info"), (incomplete > 0, "warn"), otherwise="pass"),
+                "table_values", F.when(scored, incomplete), rows,
+                _state((~scored, "info"), (incomplete > 0, "warn"), otherwise="pass"),
             ),
             (
-                "cancellations",
-                known(~absent, _sentence(cancelled, VERDICT_TEXTS["flagged"]), "not_checked"),
-                F.lit("info"),
+                "table_faults", F.when(connected, incomplete), rows,
+                _state((connected & (incomplete > 0), "warn"), otherwise="info"),
             ),
+            ("table_returns", F.when(~absent, cancelled), rows, F.lit("info")),
         ],
     )
