@@ -4,7 +4,6 @@ import re
 
 import numpy as np
 import xxhash
-from pyspark.sql import functions as F
 
 from tests.llm.shapes import rows_of
 from tillscope.llm import urls
@@ -95,7 +94,8 @@ def test_fit_matches_gradient_descent_on_the_weights(spark):
 def test_held_out_words(spark):
     """Words that are left out of the table with their URLs, but share parts with others, and fresh wanted hosts."""
     table = urls.labelled_urls()
-    known = spark.createDataFrame(table, "url string, label int")
+    known = urls.labelled_table(spark)
+    assert rows_of(known, "url", "label") == sorted(table, key=repr)
     bad = ["online-casino", "pokerstars", "cheap-pills", "free-bets", "adultxxx", "spam-blog", "adtracker", "bestlottery"]
     good = ["theatres", "weatherman", "newsroom", "gardener", "historian", "ththing", "tionsh", "rivers", "lorem", "quartz"]
     fresh = [(i, f"https://www.{w}.example.org/en/{i}") for i, w in enumerate(bad + good)]

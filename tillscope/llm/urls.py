@@ -11,10 +11,12 @@ judging is one pass over the URLs without any shuffle.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillscope.llm.common import ascii_lower, table
+from tillscope.llm.common import ascii_lower, table, written
 
 #: (verdict, host, start of the path)
 RULES = (
@@ -64,6 +66,12 @@ def labelled_urls() -> list[tuple[str, int]]:
     return rows
 
 
+def labelled_table(spark: SparkSession) -> DataFrame:
+    """``labelled_urls()`` as a table (url, label), made by Spark from one literal."""
+    text = json.dumps([{"url": url, "label": label} for url, label in labelled_urls()])
+    return spark.range(1).select(F.inline(F.from_json(F.lit(text), "array<struct<url:string,label:int>>")))
+
+
 def host(url: Column) -> Column:
     """After the first ``://`` up to ``/``, ``?``, ``#`` or the end, in lower-case ASCII; else empty."""
     return ascii_lower(_part(url, 1))
@@ -161,10 +169,8 @@ def fitted(
         return 1 + F.size(F.array_intersect(a, b)) / F.sqrt(F.greatest(F.size(a) * F.size(b), F.lit(1)).cast("double"))
 
     kernel = F.transform("own", lambda a: F.transform("own", lambda b: alike(a, b)))
-    # a row of its own before the steps use it, so that it isn't made anew in each
-    rows = examples.select("own", "labels", kernel.alias("kernel")).collect()[0]
-    spark = labelled.sparkSession
-    kernel = spark.createDataFrame([(rows["own"], rows["labels"], rows["kernel"])], "own array<array<int>>, labels array<double>, kernel array<array<double>>")
+    # one written row, so that the kernel isn't made anew in each step
+    kernel = written(examples.select("own", "labels", kernel.alias("kernel")), "url-kernel")
     rate = 1.0 / (found / 2 + penalty)  # no kernel of n examples has more than 2n in any direction
 
     def step(alpha: Column, _: Column) -> Column:
@@ -207,7 +213,7 @@ def judged(
     looked at.
     """
     if labelled is None:
-        labelled = pages.sparkSession.createDataFrame(labelled_urls(), "url string, label int")
+        labelled = labelled_table(pages.sparkSession)
     weights = fitted(labelled, **options)
     sizes, count = options.get("sizes", SIZES), options.get("count", BUCKETS)
     spelt = with_buckets(pages.select("page_id", "url"), sizes, count)
