@@ -1,0 +1,144 @@
+from __future__ import annotations
+
+import hashlib
+import heapq
+import itertools
+import random
+import re
+import zlib
+
+import pytest
+
+from tests.llm.shapes import rows_of
+from tillscope.llm import repair
+from tillscope.llm.common import table
+
+ROWS = "conv_id long, turn long, role string, text string, digest string"
+COLUMNS = ("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
+def brute_damage(rows):
+    kept = {}
+    for conv_id, turn, role, text, *_ in rows:
+        kept.setdefault(conv_id, [])
+        role, text = (" " if v is None else v for v in (role, text))
+        kind = zlib.crc32(f"{' ' if conv_id is None else conv_id}:{' ' if turn is None else turn}".encode()) % 20
+        if kind == 0:
+            continue
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        role = "user" if kind == 4 else role
+        kept[conv_id] += [(turn, role, text)] * (2 if kind == 3 else 1)
+    for conv_id in kept:
+        kept[conv_id].sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1], hashlib.sha256(r[2].encode()).digest()))
+    return kept
+
+
+def brute_repair(rows):
+    """Cheapest edits by best-first search over whole edit strings."""
+    seen, marks = set(), []
+    for _, role, text in rows:
+        solid = text.strip(" \t\n\v\f\r")
+        if not solid:
+            marks.append("blank")
+        elif (role, text) in seen:
+            marks.append("duplicate")
+        else:
+            marks.append("truncated" if solid[-1] not in ".!?" else "")
+        seen.add((role, text))
+    goal = re.compile("(s?(ua)+)?")
+    start = re.compile("s?(ua)*u?")
+    queue, done = [(0, "", 0, "", ())], set()
+    while queue:
+        cost, audit, i, roles, lines = heapq.heappop(queue)
+        state = (i, roles[-1:], len(roles) > 0)
+        if i == len(rows) and goal.fullmatch(roles):
+            break
+        if state in done:
+            continue
+        done.add(state)
+
+        def push(more, letter, step, line):
+            initial = line[0][:1] if line else ""
+            if not line or (initial and start.fullmatch(roles + initial)):
+                heapq.heappush(queue, (cost + more, audit + letter, i + step, roles + initial, lines + ((line,) if line else ())))
+
+        for role in ("user", "assistant"):
+            push(3, "I", 0, (role, ""))
+        if i < len(rows):
+            _, role, text = rows[i]
+            push(4, "D", 1, None)
+            if marks[i] not in ("blank", "duplicate"):
+                late = 3 if marks[i] else 0
+                push(late, "K", 1, (role, text))
+                for new in ("user", "assistant"):
+                    push(3 + late, "R", 1, (new, text))
+    turns = sorted({t for t, *_ in rows if t is not None})
+    initials = [r[:1] for _, r, _ in rows]
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+    digest = hashlib.sha256("\n".join(f"{r}:{t}" for r, t in lines).encode()).hexdigest()
+    gaps = turns[-1] - turns[0] + 1 - len(turns) if turns else 0
+    return (gaps, *(marks.count(m) for m in ("blank", "duplicate", "truncated")), illegal, cost, audit, digest)
+
+
+def expected(rows):
+    return sorted(((c, *brute_repair(own)) for c, own in brute_damage(rows).items()), key=repr)
+
+
+def sample(n=160):
+    rng = random.Random(5)
+    roles = ["system", "user", "user", "assistant", "assistant", "tool", "", None]
+    texts = ["Yes.", "No!", "cut off", "", None, " \t ", "Why? ", "é…", "Go.\n", "ends\u3000", "line\nline."]
+    rows = []
+    for conv_id in range(n):
+        turn = rng.randrange(3)
+        for _ in range(rng.randrange(1, 9)):
+            turn += rng.choice([0, 1, 1, 1, 1, 2])
+            own = turn if rng.random() > 0.05 else None
+            rows.append((conv_id, own, rng.choice(roles), rng.choice(texts) if rng.random() < 0.6 else f"w{rng.random()}.", "x"))
+    for conv_id in (1000, 1001, 1002, None):
+        rows += [(conv_id, 0, "system", "Be kind.", "x"), (conv_id, 1, "user", "Hi.", "x"), (conv_id, 2, "assistant", "Oh.", "x")]
+    rows += [(2000, None, None, None, "x"), (2001, None, "user", "a.", "x"), (2001, None, "user", "a.", "x")]
+    return rows
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 4096])
+def test_matches_best_first_search(spark, chunk):
+    rows = sample()
+    df = repair.damaged(spark.createDataFrame(rows, ROWS))
+    assert rows_of(repair.repaired(df, chunk=chunk, broadcast_bytes=0 if chunk == 3 else 10**9), *COLUMNS) == expected(rows)
+
+
+def test_given_table_matches(spark):
+    source = table(spark, "/root/testdata/sf0.001", "conversations")
+    got = rows_of(repair.query(spark, "/root/testdata/sf0.001"), *COLUMNS)
+    assert got == expected([tuple(r) for r in source.collect()])
+
+
+def test_every_signature_up_to_five_letters():
+    """Costs and edits of all short signatures against search."""
+    letters = {"s": ("system", "t."), "u": ("user", "t."), "a": ("assistant", "t."), "o": ("tool", "t."), "U": ("user", "t"), "x": ("user", "")}
+    signatures = ["".join(p) for n in range(5) for p in itertools.product(letters, repeat=n)]
+    for signature, costs, edits in repair.repairs(sorted(signatures, key=lambda s: s[::-1])):
+        rows = [(i, role, text if not text else f"{i}{text}") for i, (role, text) in enumerate(letters[c] for c in signature)]
+        assert repair.whole([(costs, edits)]) == brute_repair(rows)[5:7]
+
+
+def test_nodes_are_shared(monkeypatch):
+    made = []
+    original = repair.node
+    monkeypatch.setattr(repair, "node", lambda letter, below: made.append(letter) or original(letter, below))
+    signatures = sorted({"".join(random.Random(i).choices("suax", k=6)) + "uaua" for i in range(200)}, key=lambda s: s[::-1])
+    list(repair.repairs(signatures))
+    assert len(made) == len({s[k:] for s in signatures for k in range(len(s))})
+
+
+def test_long_conversation_and_empty_table(spark):
+    rows = [(1, i, ("user", "assistant")[i % 2], f"t{i}.", "x") for i in range(20_000)]
+    df = spark.createDataFrame(rows, ROWS)
+    got = rows_of(repair.repaired(repair.damaged(df), chunk=512), *COLUMNS)
+    kept = brute_damage(rows)[1]
+    assert len(got) == 1 and sum(got[0][7].count(c) for c in "KRD") == len(kept)
+    assert got == rows_of(repair.repaired(repair.damaged(df), chunk=100_000), *COLUMNS)
+    assert repair.repaired(repair.damaged(df.limit(0))).count() == 0
+    nothing = repair.repaired(spark.createDataFrame([("c", 3, "user", "t", 0)], "conv_id string, turn int, role string, text string, copies int"))
+    assert rows_of(nothing, *COLUMNS) == [("c", 0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())]

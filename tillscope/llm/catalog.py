@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillscope.llm import crosspolytope, decontam, lm, mixing, nbsvm, pii, quotes, simhash, toxicity, urls, warc
+from tillscope.llm import crosspolytope, decontam, lm, mixing, nbsvm, pii, quotes, repair, simhash, toxicity, urls, warc
 
 LLM_QUERIES = {
     "op1_mixing": mixing.query,
@@ -15,6 +15,7 @@ LLM_QUERIES = {
     "op8_decontamination": decontam.query,
     "op9_embeddings": crosspolytope.query,
     "op10_simhash": simhash.query,
+    "op11_conversation_repair": repair.query,
     "op12_url_filter": urls.query,
 }
 
