@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from tillscope.llm import crosspolytope, decontam, lm, mixing, nbsvm, pii, quotes, repair, simhash, toxicity, urls, warc
+from tillscope.llm import (
+    collocations, crosspolytope, decontam, lm, mixing, nbsvm, pii, quotes, repair, simhash, toxicity, urls, warc,
+)
 
 LLM_QUERIES = {
     "op1_mixing": mixing.query,
@@ -17,8 +19,10 @@ LLM_QUERIES = {
     "op10_simhash": simhash.query,
     "op11_conversation_repair": repair.query,
     "op12_url_filter": urls.query,
+    "op13_collocations": collocations.query,
 }
 
 LLM_ORACLES = {
     "op5_quotations": quotes.ORACLE,
+    "op13_collocations": collocations.ORACLE,
 }
