@@ -88,6 +88,16 @@ def test_matches_the_sql(spark):
     assert rows_of(collocations.query(spark, "/root/testdata/sf0.001"), *COLUMNS) == expected and expected
 
 
+def test_suffixes_of_small_and_large_vocabularies():
+    rng = np.random.default_rng(7)
+    codes = rng.integers(0, 5, 400)
+    wide = np.where(codes > 0, codes + (1 << 30), 0)  # too large to be put into one number
+    keys, weights = collocations.suffixes(codes, 3)
+    same, also = collocations.suffixes(wide, 3)
+    assert (np.where(keys > 0, keys + (1 << 30), 0) == same).all() and (weights == also).all()
+    assert weights.sum() == (codes > 0).sum() and collocations.suffixes(codes[:0], 3)[0].shape == (3, 0)
+
+
 def test_quicksort_matches_counting():
     rng = np.random.default_rng(2)
     for n, least in ((0, 1), (1, 1), (1, 5), (300, 3), (4000, 25), (4000, 1)):
