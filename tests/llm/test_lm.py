@@ -105,6 +105,26 @@ def test_words_of_every_state_share_one():
         assert whole == pytest.approx(1.0)
 
 
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_pieces_score_like_whole_documents(order):
+    rng = np.random.default_rng(order)
+    lengths = np.array([1, 500, 2, 7, 0, 64, 3])
+    words = rng.choice([1, 2, 3, 4, 5], lengths.sum(), p=[0.4, 0.3, 0.15, 0.1, 0.05])
+    grams, levels = {(w,): w for w in range(1, 6)}, []
+    for n in range(2, order + 1):
+        seen = collections.Counter(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
+        found = sorted((grams[g[:-1]] << 32 | int(g[-1]), c) for g, c in seen.items())
+        numbers = {k: i for i, (k, _) in enumerate(found, 1)}
+        grams = {g: numbers[grams[g[:-1]] << 32 | int(g[-1])] for g in seen}
+        levels.append(lm.Level(np.array([k for k, _ in found]), np.array([c for _, c in found])))
+    counts = np.concatenate(([0], np.bincount(words, minlength=6)[1:])).astype(float)
+    model = lm.automaton(counts, levels, len(words), 5, -1)
+    roots = np.log10((counts + 0.5) / (len(words) + 3))[words]
+    whole = lm.traverse(model, words, roots, lengths, size=10_000)
+    for size in (1, 2, 5, 64):
+        assert lm.traverse(model, words, roots, lengths, size=size) == pytest.approx(whole)
+
+
 def test_nothing_to_learn_from(spark):
     only_held = [i for i in range(50) if held(i)][:2]
     got = lm.language_model_scores(docs(spark, [(i, "a b", "s") for i in only_held])).collect()

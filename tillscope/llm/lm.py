@@ -39,6 +39,8 @@ MIN_COUNT = 1
 WORD_SHARE, NGRAM_SHARE = 0.0, 0.0
 #: N-grams of an order that meet in one task on average, at most, and least number of ranges.
 RANGE_KEYS, RANGES = 4_000_000, 64
+#: Tokens of a document that are walked one after the other; pieces go side by side.
+PIECE_TOKENS = 128
 DISCOUNT = 0.5
 PRIOR = 0.5
 HELD_OUT_MODULUS, HELD_OUT = 5, 1
@@ -362,23 +364,40 @@ def automaton(
     return Automaton(keys[order], logs[order], to[order], back, fail, end, len(levels) + 1)
 
 
-def traverse(model: Automaton, words: np.ndarray, unigrams: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Log probability of each document: all move one token at a time, each in its state.
+def _pieces(lengths: np.ndarray, order: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document, start, tokens, run-in) of the pieces that documents are walked in.
+
+    A state depends on no more than the order - 1 tokens before it, so a piece that
+    begins that many tokens early comes into the state of the whole walk.
+    """
+    counts = -(-lengths // size)
+    document = np.repeat(np.arange(len(lengths)), counts)
+    number = np.arange(len(document)) - np.repeat(np.cumsum(counts) - counts, counts)
+    run_in = np.minimum(number * size, order - 1)
+    first = (np.cumsum(lengths) - lengths)[document] + number * size
+    tokens = np.minimum(lengths[document] - number * size, size)
+    return document, first - run_in, tokens + run_in, run_in
+
+
+def traverse(
+    model: Automaton, words: np.ndarray, unigrams: np.ndarray, lengths: np.ndarray, size: int = PIECE_TOKENS
+) -> np.ndarray:
+    """Log probability of each document: pieces of all move one token at a time, each in its state.
 
     ``words`` and ``unigrams`` hold the frequent word's number (or 0) and the log
     probability at the root of every token, documents one behind the other.
     """
-    order = np.argsort(-lengths, kind="stable")
-    starts = (np.cumsum(lengths) - lengths)[order]
-    sizes = lengths[order]
-    total, state = np.zeros(len(lengths)), np.zeros(len(lengths), dtype=np.int64)
+    document, starts, sizes, run_in = _pieces(lengths, model.order, size)
+    order = np.argsort(-sizes, kind="stable")
+    document, starts, sizes, run_in = document[order], starts[order], sizes[order], run_in[order]
+    total, state = np.zeros(len(sizes)), np.zeros(len(sizes), dtype=np.int64)
     arcs, most = len(model.keys), len(model.keys) - 1
     longest = int(sizes[0]) if len(sizes) else 0
-    alive = np.searchsorted(-sizes, -np.arange(longest), side="left")  # documents longer than t
+    alive = np.searchsorted(-sizes, -np.arange(longest), side="left")  # pieces longer than t
     for t in range(longest):
         k = alive[t]
         at = starts[:k] + t
-        word, now = words[at], state[:k]
+        word, now = words[at], state[:k].copy()
         gained, ahead = np.zeros(k), np.zeros(k, dtype=np.int64)
         open_ = np.arange(k)
         for _ in range(model.order if arcs else 0):
@@ -391,7 +410,6 @@ def traverse(model: Automaton, words: np.ndarray, unigrams: np.ndarray, lengths:
             taken = open_[hit]
             gained[taken] += model.logs[place[hit]]
             ahead[taken] = model.to[place[hit]]
-            now = now.copy()
             now[taken] = -1  # settled by an arc
             open_ = open_[~hit]
             gained[open_] += model.back[now[open_]]
@@ -399,11 +417,9 @@ def traverse(model: Automaton, words: np.ndarray, unigrams: np.ndarray, lengths:
         rooted = now >= 0
         gained[rooted] += unigrams[at[rooted]]
         ahead[rooted] = np.where(word[rooted] == model.end, 0, word[rooted])
-        total[:k] += gained
+        total[:k] += np.where(run_in[:k] <= t, gained, 0.0)
         state[:k] = ahead
-    result = np.empty(len(lengths))
-    result[order] = total
-    return result
+    return np.bincount(document, total, minlength=len(lengths))
 
 
 def _scored(blocks: DataFrame, answers: DataFrame, order: int, tokens: int, types: int, least: float) -> DataFrame:
