@@ -16,7 +16,6 @@ nothing is collected or broadcast. N-grams are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
@@ -24,6 +23,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -84,8 +84,8 @@ def _unpack(packed: bytes, columns: int) -> list[np.ndarray]:
     return [np.ascontiguousarray(c.T).view(np.int64).reshape(-1) for c in planes]
 
 
-def _hash(word: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little", signed=True)
+def _hash(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).view(np.int64)
 
 
 def _joined(prefix: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -106,11 +106,11 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = np.argsort(-np.bincount(numbers, minlength=len(vocab)), kind="stable")
         place = np.empty(len(vocab), dtype=np.int64)
         place[order] = np.arange(len(vocab))
-        words = list(vocab)
+        named = _hash(list(vocab))[order]
         return _row({
             "block": ((part << 32) + made, None), "doc_ids": (ids, pa.int64()), "held": (held, pa.bool_()),
             "lengths": (lengths, pa.int64()), "codes": (_pack(place[numbers]), bytes),
-            "hashes": ([_hash(words[i]) for i in order], pa.int64()),
+            "hashes": (named, pa.int64()),
             "n_train": (sum(n for n, out in zip(lengths, held) if not out), None),
         })
 
@@ -144,13 +144,15 @@ class Grams:
     """Distinct n-grams of one order in a block.
 
     ``keys`` are sorted (number of the prefix << 32 | number of the word), numbers
-    count from 1; ``order`` sorts by ``hashes``, and ``train`` counts training documents.
+    count from 1; ``order`` sorts by ``hashes``, ``train`` counts training documents and
+    ``suffix`` is the number of the n-gram without its first word, one order down.
     """
 
     keys: np.ndarray
     hashes: np.ndarray
     train: np.ndarray
     order: np.ndarray
+    suffix: np.ndarray
 
 
 def _grams(block: pa.Table | pa.RecordBatch, row: int, order: int) -> list[Grams]:
@@ -162,14 +164,16 @@ def _grams(block: pa.Table | pa.RecordBatch, row: int, order: int) -> list[Grams
     train = np.repeat(~held, lengths)
     inner = np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     counts = np.bincount(words[train] - 1, minlength=len(named))
-    found = [Grams(np.arange(1, len(named) + 1), named, counts, _by_hash(named))]
+    found = [Grams(np.arange(1, len(named) + 1), named, counts, _by_hash(named), np.zeros(len(named), np.int64))]
     number = words  # of the n-gram that ends at each token
     for n in range(2, order + 1):
         ends = np.flatnonzero(inner >= n - 1)
         keys, inverse = np.unique((number[ends - 1] << 32) | words[ends], return_inverse=True)
         hashes = _joined(found[-1].hashes[(keys >> 32) - 1], named[(keys & 0xFFFFFFFF) - 1])
         counts = np.bincount(inverse[train[ends]], minlength=len(keys))
-        found.append(Grams(keys, hashes, counts, _by_hash(hashes)))
+        suffix = np.empty(len(keys), dtype=np.int64)
+        suffix[inverse] = number[ends]  # the shorter n-gram that ends at the same token
+        found.append(Grams(keys, hashes, counts, _by_hash(hashes), suffix))
         number = np.zeros(len(words), dtype=np.int64)
         number[ends] = inverse + 1
     return found
@@ -288,6 +292,8 @@ class Level:
 
     keys: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
     counts: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
+    #: number of the suffix one order down, 0 where it isn't kept; looked up where it isn't given
+    suffix: np.ndarray | None = None
 
     def number(self, keys: np.ndarray) -> np.ndarray:
         """Number from 1 of each key, 0 where it isn't kept."""
@@ -331,6 +337,8 @@ def automaton(
         counts[state] = level.counts
         if n == 2:
             suffix = word
+        elif level.suffix is not None:
+            suffix = level.suffix
         else:  # the suffix of (prefix, word) is (suffix of prefix, word), kept one order down
             suffix = levels[n - 3].number((tails[prefix] << 32) | word)
         fail[state] = np.where(suffix > 0, offsets[n - 2] + suffix, word)
@@ -436,9 +444,10 @@ def _scored(blocks: DataFrame, answers: DataFrame, order: int, tokens: int, type
                 number = words
             else:
                 keys = own.keys[kept]
-                levels.append(Level((number[keys >> 32] << 32) | words[keys & 0xFFFFFFFF], counts[kept]))
+                shorter = number[own.suffix[kept]]
+                levels.append(Level((number[keys >> 32] << 32) | words[keys & 0xFFFFFFFF], counts[kept], shorter))
                 number = np.concatenate(([0], np.where(kept, np.cumsum(kept), 0)))
-        end = words[1:][grams[0].hashes == _hash(END)]
+        end = words[1:][grams[0].hashes == _hash([END])[0]]
         frequent = np.concatenate(([0], word_counts[words[1:] > 0])).astype(np.float64)
         model = automaton(frequent, levels, tokens, types, int(end[0]) or -1, np.concatenate(leaves))
         codes, lengths = _unpack(block.column("codes")[0].as_py(), 1)[0], _list(block, "lengths", 0).to_numpy()
