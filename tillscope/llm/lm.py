@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -151,9 +151,12 @@ class Grams:
     keys: np.ndarray
     hashes: np.ndarray
     train: np.ndarray
-    order: np.ndarray
     suffix: np.ndarray
 
+    @cached_property
+    def order(self) -> np.ndarray:
+        return np.argsort(self.hashes.view(np.uint64))
+
 
 def _grams(block: pa.Table | pa.RecordBatch, row: int, order: int) -> list[Grams]:
     """The n-grams of a block up to ``order``. For words ``keys`` are their numbers."""
@@ -164,7 +167,7 @@ def _grams(block: pa.Table | pa.RecordBatch, row: int, order: int) -> list[Grams
     train = np.repeat(~held, lengths)
     inner = np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     counts = np.bincount(words[train] - 1, minlength=len(named))
-    found = [Grams(np.arange(1, len(named) + 1), named, counts, _by_hash(named), np.zeros(len(named), np.int64))]
+    found = [Grams(np.arange(1, len(named) + 1), named, counts, np.zeros(len(named), np.int64))]
     number = words  # of the n-gram that ends at each token
     for n in range(2, order + 1):
         ends = np.flatnonzero(inner >= n - 1)
@@ -173,16 +176,12 @@ def _grams(block: pa.Table | pa.RecordBatch, row: int, order: int) -> list[Grams
         counts = np.bincount(inverse[train[ends]], minlength=len(keys))
         suffix = np.empty(len(keys), dtype=np.int64)
         suffix[inverse] = number[ends]  # the shorter n-gram that ends at the same token
-        found.append(Grams(keys, hashes, counts, _by_hash(hashes), suffix))
+        found.append(Grams(keys, hashes, counts, suffix))
         number = np.zeros(len(words), dtype=np.int64)
         number[ends] = inverse + 1
     return found
 
 
-def _by_hash(hashes: np.ndarray) -> np.ndarray:
-    return np.argsort(hashes.view(np.uint64))
-
-
 def _answers(rows: pa.Table, n: int, order: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Corpus counts, leaves and first flags of a block's n-grams, in the order of their keys."""
     own = rows.filter(pa.compute.equal(rows.column("n"), n)).sort_by("range")
