@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,15 +12,20 @@ from registry import inputs
 from tillscope.operators import clean, profile, quality, standardize, upsert
 from tillscope.plans import cohorts, context, customers, products, revenue
 from tillscope.plans.summary import Summary
+from tillscope.session import shared_folder
+from tillscope.sinks import keyed, writers
 from tillscope.sinks.results import api_rows
 from tillscope.sources.demo import generate_transactions
-from tillscope.sources.files import nulls_from_text
+from tillscope.sources.files import nulls_from_text, read_csv_text, read_preview, read_upload
+from tillscope.sources.tables import as_transactions, ensure_tenant_table, tenant_rows
+from tillscope.sources.uploads import upload_reports
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 COUNTRY = "NATION_7"
 PRODUCT = "small ring"
 OWNER = 7
+OTHER_OWNER = 11
 RANKED = 200
 STAMP = "2026-01-01 12:00:00"
 QUESTION = "Which products should we promote?"
@@ -160,6 +166,67 @@ def _upsert_stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _upsert(spark, sf_dir, F.expr(f"timestamp_ntz'{STAMP}'"))
 
 
+def _stored_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The settings as a stored table in buckets; the changes of some customers applied to it."""
+    name = f"keyed_{uuid.uuid4().hex}"
+    keyed.create_keyed(
+        inputs.account_settings(spark, sf_dir), name, ["owner_id"], location=f"{shared_folder(spark)}/{name}"
+    )
+    keyed.upsert_stored(inputs.settings_changes(spark, sf_dir), name, "updated_at")
+    return keyed.keyed_rows(spark, name)
+
+
+def _stored_tenants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of two owners stored; one owner's replaced by what wasn't cancelled; totals by owner."""
+    name = f"tenants_{uuid.uuid4().hex}"
+    ensure_tenant_table(spark, name, f"{shared_folder(spark)}/{name}")
+    rows = inputs.transactions(spark, sf_dir, country=True).drop("stock_code")
+    for owner in (OWNER, OTHER_OWNER):
+        writers.replace_owner(tenant_rows(rows, owner), owner, name)
+    kept = tenant_rows(spark.table(name), OWNER).where(~F.col("is_cancellation"))
+    writers.replace_owner(kept, OWNER, name)
+    totals = as_transactions(spark.table(name)).groupBy("owner_id").agg(
+        F.count("*").alias("lines"), F.countDistinct("invoice_no").alias("orders"), F.sum("revenue").alias("revenue")
+    )
+    return api_rows(totals)
+
+
+def _csv(df: DataFrame, name: str) -> str:
+    """``df`` as CSV files with headers in the shared folder, one for each task."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.option("header", True).option("escape", '"').csv(path)
+    return path
+
+
+def _csv_file_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _csv(inputs.raw_upload(spark, sf_dir), "upload")
+    return _joined(quality.csv_quality(read_upload(spark, f"{path}/*.csv")), "missing")
+
+
+def _csv_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notes with line breaks, quotes and commas, written to CSV and read back in splits."""
+    path = _csv(inputs.noted_events(spark, sf_dir), "notes")
+    return read_csv_text(spark, f"{path}/*.csv", multi_line=True)
+
+
+def _csv_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first lines of files that hold the events in order."""
+    path = _csv(inputs.raw_upload(spark, sf_dir, numbered=True).orderBy("event_id"), "preview")
+    return read_preview(spark, f"{path}/*.csv")
+
+
+def _upload_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three uploads with headers of their own, a folder each, in one job; figures summed by folder."""
+    root = f"{shared_folder(spark)}/uploads-{uuid.uuid4().hex}"
+    for name, df in inputs.uploads(spark, sf_dir).items():
+        df.write.option("header", True).option("escape", '"').csv(f"{root}/{name}")
+    report = upload_reports(spark, f"{root}/*/*.csv")
+    figures = ("rows", "incomplete", "invalidDates", "invalidNumbers", "cancellations")
+    return report.groupBy(F.regexp_extract("file", "/([a-z]+)/[^/]*$", 1).alias("upload"), "status", "columns", "mapped").agg(
+        F.array_join(F.max("missing"), ", ").alias("missing"), *[F.sum(f).alias(f) for f in figures]
+    )
+
+
 QUERIES: dict[str, Query] = {
     # Revenue and orders
     "monthly_net_revenue": _on_transactions(revenue.monthly_net_revenue),
@@ -244,4 +311,11 @@ QUERIES: dict[str, Query] = {
     ),
     "upsert_latest": _upsert,
     "upsert_stamped": _upsert_stamped,
+    # Stored tables and files
+    "stored_upsert": _stored_upsert,
+    "stored_tenants": _stored_tenants,
+    "csv_file_quality": _csv_file_quality,
+    "csv_records": _csv_records,
+    "csv_preview": _csv_preview,
+    "upload_reports": _upload_reports,
 }

@@ -122,10 +122,11 @@ def raw_retail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sheet.withColumn("_time", F.explode(times)).drop("_time")
 
 
-def raw_upload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A dirty all-text upload."""
+def raw_upload(spark: SparkSession, sf_dir: str, numbered: bool = False) -> DataFrame:
+    """A dirty all-text upload; ``numbered`` by event."""
     event = F.col("event_id")
     return table(spark, sf_dir, "events").select(
+        *(["event_id"] if numbered else []),
         F.when(event % 17 != 0, (event % 4000).cast("string")).alias("order_id"),
         F.col("user_id").cast("string").alias("customer_id"),
         F.when(event % 23 == 0, "not-a-date")
@@ -137,6 +138,28 @@ def raw_upload(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def noted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with a note of up to three lines, with quotes and commas."""
+    event = F.col("event_id")
+    note = F.concat(
+        F.lit('said "'), F.col("event_type"), F.lit('", '),
+        F.repeat(F.lit("then\n"), (event % 4).cast("int")), F.when(event % 5 == 0, '"').otherwise("end"),
+    )
+    return table(spark, sf_dir, "events").select(
+        event.cast("string").alias("event_id"), note.alias("note"), F.col("event_type").alias("kind")
+    )
+
+
+def uploads(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Uploads with headers of their own: the dirty one, the one with month-first dates, one without prices."""
+    raw = raw_upload(spark, sf_dir)
+    return {
+        "plain": raw,
+        "dated": dated_upload(spark, sf_dir).withColumnsRenamed({"order_id": "Invoice", "qty": "Units", "unit_price": "Price"}),
+        "bare": raw.select(F.col("product").alias("Item"), F.col("qty").alias("Quantity"), "order_id"),
+    }
+
+
 def dated_upload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same upload with month-first dates; its first date is none."""
     event = F.col("event_id")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from registry.catalog import COUNTRY, OWNER, PRODUCT, QUESTION, RANKED, STAMP
+from registry.catalog import COUNTRY, OTHER_OWNER, OWNER, PRODUCT, QUESTION, RANKED, STAMP
 
 
 def _transactions(yearly: bool = False) -> str:
@@ -183,6 +183,16 @@ def _scan_verdicts() -> str:
     union all select 3, 'scan_returns', cancellations, rows, 'info' from scored"""
 
 
+UPSERTED = """with rows as (
+          select c_custkey as owner_id, c_name as workspace_name, c_mktsegment as currency,
+                 timestamp '1990-01-01 00:00:00' as updated_at, 0 as change from customer
+          union all
+          select o_custkey, 'after order ' || o_orderkey, o_orderpriority, o_orderdate, 1 from orders
+        )
+        select owner_id, workspace_name, currency, updated_at from rows
+        qualify row_number() over (partition by owner_id
+                                   order by updated_at desc, change desc, workspace_name desc, currency desc) = 1"""
+
 SCAN_COLUMNS = (
     'rows, columns, mapped, missing, incomplete, "duplicateRows", "invalidDates", "invalidNumbers", '
     "cancellations, quality"
@@ -474,13 +484,32 @@ ORACLES: dict[str, str] = {
         union all
         select c_custkey, c_name, c_mktsegment, timestamp '1990-01-01 00:00:00' from customer
         where c_custkey not in (select owner_id from changed)""",
-    "upsert_latest": """with rows as (
-          select c_custkey as owner_id, c_name as workspace_name, c_mktsegment as currency,
-                 timestamp '1990-01-01 00:00:00' as updated_at, 0 as change from customer
-          union all
-          select o_custkey, 'after order ' || o_orderkey, o_orderpriority, o_orderdate, 1 from orders
-        )
-        select owner_id, workspace_name, currency, updated_at from rows
-        qualify row_number() over (partition by owner_id
-                                   order by updated_at desc, change desc, workspace_name desc, currency desc) = 1""",
+    "upsert_latest": UPSERTED,
+    "stored_upsert": UPSERTED,
+    "stored_tenants": f"""with {_transactions()},
+        kept as (select * from t where owner_id = {OTHER_OWNER} or (owner_id = {OWNER} and not is_cancellation))
+        select owner_id, count(*) as lines, count(distinct invoice_no) as orders, cast(sum(revenue) as double) as revenue
+        from kept group by owner_id""",
+    "csv_file_quality": UPLOAD_REPORT + f" select {SCAN_COLUMNS} from scored",
+    "csv_records": """select cast(event_id as varchar) as event_id,
+               'said "' || event_type || '", ' || repeat('then' || chr(10), (event_id % 4)::int)
+                 || if(event_id % 5 = 0, '"', 'end') as note, event_type as kind
+        from events""",
+    "csv_preview": f"""with {UPLOAD.replace("select case when event_id % 17", "select event_id, case when event_id % 17", 1)}
+        select cast(event_id as varchar) as event_id, coalesce(order_id, '') as order_id, customer_id,
+               coalesce(order_date, '') as order_date, product, qty, coalesce(unit_price, '') as unit_price
+        from u order by u.event_id limit 300""",
+    "upload_reports": f"""with {UPLOAD},
+        marked as (select event_id % 23 = 0 as bad from events)
+        select 'plain' as upload, 'ok' as status, 6 as columns, 6 as mapped, 'Revenue, Country, Cancellation flag' as missing,
+               count(*) as rows,
+               count(*) filter (where order_id is null or product is null or d is null or q is null or p is null) as incomplete,
+               count(*) filter (where d is null) as "invalidDates", count(*) filter (where q is null or p is null) as "invalidNumbers",
+               count(*) filter (where q < 0) as cancellations
+        from typed
+        union all
+        select 'dated', 'ok', 6, 6, 'Revenue, Country, Cancellation flag', count(*), count(*) filter (where bad),
+               count(*) filter (where bad), 0, 0 from marked
+        union all
+        select 'bare', 'ok', 3, 3, 'Customer ID, Order date, Revenue, Unit price, Country, Cancellation flag', count(*), 0, 0, 0, 0 from u""",
 }

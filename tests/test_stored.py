@@ -1,0 +1,172 @@
+"""Partitions switched as a whole, and upserts that touch their buckets only."""
+
+from __future__ import annotations
+
+import os
+import threading
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import tuples
+from tillscope.operators.upsert import upsert_latest
+from tillscope.schemas import TENANT_TRANSACTIONS
+from tillscope.sinks import keyed, versions, writers
+
+TABLE = "stored_tenants"
+KEYED = "stored_settings"
+SETTINGS = "owner_id int, name string, updated_at timestamp_ntz"
+
+
+def records(spark, *values):
+    rows = [(7, f"i{v}", None, "pen", None, None, None, "UK", v, False) for v in values]
+    short = spark.createDataFrame([(r[1], float(r[8])) for r in rows], "invoice_no string, revenue double")
+    columns = [
+        F.col(f.name).cast(f.dataType).alias(f.name) if f.name in short.columns else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in TENANT_TRANSACTIONS
+    ]
+    return short.select(*columns)
+
+
+def files(folder):
+    """Data files with their time of change."""
+    found = {}
+    for root, _, names in os.walk(folder):
+        for name in names:
+            if name.endswith(".parquet"):
+                path = os.path.join(root, name)
+                found[path] = os.stat(path).st_mtime_ns
+    return found
+
+
+def mine(spark, owner=1):
+    return sorted(float(r[0]) for r in spark.table(TABLE).where(F.col("owner_id") == owner).select("revenue").collect())
+
+
+@pytest.fixture
+def tenants(spark):
+    spark.sql(f"drop table if exists {TABLE}")
+    assert writers.replace_owner(records(spark, 1, 2), 1, TABLE) == 2
+    assert writers.replace_owner(records(spark, 50), 2, TABLE) == 1
+    yield versions.table_location(spark, TABLE).removeprefix("file:")
+    spark.sql(f"drop table {TABLE}")
+
+
+def test_planned_readers_keep_the_old_rows(spark, tenants):
+    before = spark.table(TABLE).where("owner_id = 1").select("revenue")
+    before._jdf.queryExecution().executedPlan().execute().getNumPartitions()  # files are chosen
+    others = {p: t for p, t in files(tenants).items() if "owner_id=2" in p}
+    assert writers.replace_owner(records(spark, 3, 4, 5), 1, TABLE) == 3
+    assert sorted(float(r[0]) for r in before.collect()) == [1, 2]
+    assert mine(spark) == [3, 4, 5] and mine(spark, 2) == [50]
+    assert others and others.items() <= files(tenants).items()
+
+
+def test_readers_during_switches_see_whole_sets(spark, tenants):
+    sets = [[1, 2], [10, 20, 30], [], [7]]
+    seen, over = [], threading.Event()
+
+    def read():
+        while not over.is_set():
+            seen.append(mine(spark))
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        for new in sets[1:] + sets[:1] + sets[1:]:
+            writers.replace_owner(records(spark, *new), 1, TABLE)
+    finally:
+        over.set()
+        reader.join()
+    assert len(seen) > 3 and all(s in sets for s in seen) and mine(spark) == [7]
+
+
+def test_a_writer_that_dies_changes_nothing(spark, tenants, monkeypatch):
+    def killed(*_):
+        raise RuntimeError("killed before the switch")
+
+    monkeypatch.setattr(versions, "switch_partition", killed)
+    with pytest.raises(RuntimeError, match="killed"):
+        writers.replace_owner(records(spark, 9), 1, TABLE)
+    bad = records(spark, 9).withColumn("invoice_no", F.raise_error(F.lit("a task fails")).cast("string"))
+    monkeypatch.undo()
+    with pytest.raises(Exception, match="a task fails"):
+        writers.replace_owner(bad, 1, TABLE)
+    assert mine(spark) == [1, 2] and mine(spark, 2) == [50]
+
+
+def test_an_empty_set_and_an_owner_from_the_old_layout(spark, tenants, lines):
+    assert writers.replace_owner(records(spark), 1, TABLE) == 0
+    assert mine(spark) == [] and mine(spark, 2) == [50]
+    spark.sql(f"drop table {TABLE}")
+    fact = lines(("1", "A", "2024-01-01", "x", 1, {"owner": 1}), ("2", "A", "2024-01-01", "x", 5, {"owner": 2}))
+    fact.drop("stock_code").write.partitionBy("owner_id").saveAsTable(TABLE)
+    assert writers.replace_owner(records(spark, 8), 2, TABLE) == 1
+    assert mine(spark) == [1] and mine(spark, 2) == [8]
+
+
+def test_old_versions_go_after_their_time(spark, tenants):
+    for value in (3, 4):
+        writers.replace_owner(records(spark, value), 1, TABLE)
+    kept = len(files(tenants))
+    assert versions.drop_old_versions(spark, TABLE, "owner_id") == 0 and len(files(tenants)) == kept
+    assert versions.drop_old_versions(spark, TABLE, "owner_id", retention=-10) == 2
+    assert mine(spark) == [4] and mine(spark, 2) == [50]
+    assert versions.drop_old_versions(spark, TABLE, "owner_id", retention=-10) == 0
+
+
+# --- keyed tables -----------------------------------------------------------------------
+
+def day(n):
+    return datetime(2024, 1, n)
+
+
+@pytest.fixture
+def settings(spark):
+    spark.sql(f"drop table if exists {KEYED}")
+    base = spark.createDataFrame([(i, f"n{i}", day(2)) for i in range(200)], SETTINGS)
+    keyed.create_keyed(base, KEYED, ["owner_id"], buckets=16)
+    yield base
+    spark.sql(f"drop table {KEYED}")
+
+
+CHANGES = [(3, "later", day(3)), (3, "latest", day(4)), (5, "older", day(1)), (5, "same time", day(2)), (900, "new", day(1)), (None, "no key", day(1))]
+
+
+def test_stored_upsert_is_the_upsert(spark, settings):
+    changes = spark.createDataFrame(CHANGES, SETTINGS)
+    touched = keyed.upsert_stored(changes, KEYED, "updated_at")
+    assert 0 < len(touched) <= 4
+    expected = upsert_latest(settings, changes, ["owner_id"], "updated_at")
+    assert sorted(tuples(keyed.keyed_rows(spark, KEYED)), key=repr) == sorted(tuples(expected), key=repr)
+    assert keyed.upsert_stored(changes, KEYED, "updated_at") == touched  # run again, nothing moves
+    assert sorted(tuples(keyed.keyed_rows(spark, KEYED)), key=repr) == sorted(tuples(expected), key=repr)
+    assert keyed.upsert_stored(changes.limit(0), KEYED, "updated_at") == []
+
+
+def test_other_buckets_are_neither_read_nor_written(spark, settings):
+    folder = versions.table_location(spark, KEYED).removeprefix("file:")
+    before = files(folder)
+    places = {n: versions.partition_location(spark, KEYED, keyed.BUCKET, n) for n in range(16)}
+    changes = spark.createDataFrame(CHANGES[:4], SETTINGS)
+    touched = keyed.touched_buckets(changes, ["owner_id"], 16)
+    read = keyed.rows_to_merge(spark, KEYED, touched)
+    assert {os.path.basename(os.path.dirname(p)) for p in read.inputFiles()} == {f"_bucket={n}" for n in touched}
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert keyed.BUCKET in plan.partition("PartitionFilters: [")[2].partition("]")[0]
+    assert keyed.upsert_stored(changes, KEYED, "updated_at") == touched
+    for number, place in places.items():
+        now = versions.partition_location(spark, KEYED, keyed.BUCKET, number)
+        assert (now == place) == (number not in touched)
+    assert before.items() <= files(folder).items()
+
+
+def test_stamped_changes_and_an_empty_base(spark):
+    spark.sql(f"drop table if exists {KEYED}")
+    keyed.create_keyed(spark.createDataFrame([], SETTINGS), KEYED, ["owner_id", "name"], buckets=4)
+    assert keyed.keyed_rows(spark, KEYED).count() == 0
+    stamp = F.lit(day(9)).cast("timestamp_ntz")
+    keyed.upsert_stored(spark.createDataFrame(CHANGES[:2], SETTINGS), KEYED, "updated_at", stamp)
+    assert sorted(tuples(keyed.keyed_rows(spark, KEYED))) == [(3, "later", day(9)), (3, "latest", day(9))]
+    spark.sql(f"drop table {KEYED}")

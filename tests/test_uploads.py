@@ -1,0 +1,83 @@
+"""One report per file of a folder, whatever their headers."""
+
+from __future__ import annotations
+
+import csv
+import os
+import random
+
+import pytest
+
+from tillscope.operators.quality import csv_quality
+from tillscope.sources.files import read_upload
+from tillscope.sources.uploads import upload_reports
+
+HEADERS = [
+    ["order_id", "customer_id", "date", "product", "quantity", "unit_price"],
+    ["Invoice", "Client_ID", "Order_Date", "Item", "Qty", "Amount"],
+    ["unit_price", "quantity", "product", "date", "order_id"],
+    ["note", "Order ID", "Date", "Product Name", "Units", "Price", "extra, quoted"],
+    ["order_id", "qty"],
+    ["date", "Order Date", "orderid", "item", "qty", "price", "Country", "Revenue"],
+    ["a", "b"],
+    ["order_id", "order_id", "date", "product", "quantity", "unit_price"],
+    ["ORDER_ID", "CUSTOMER_ID", "TRANSACTION_DATE", "DESCRIPTION", "UNITS", "UNIT_PRICE"],
+    ["product", "product_name", "description", "date", "order id", "units", "amount", "status"],
+]
+DATES = [["2024-01-05", "2024-02-30", "x", ""], ["1/5/2024 8:26", "13/45/2024", "NA"], ["2024-03-01 10:00:00", "2024-03-01"]]
+
+
+def cell(rng, name, i):
+    low = name.lower().replace(" ", "_")
+    if "date" in low:
+        return rng.choice(DATES[i % 3])
+    if low in ("quantity", "qty", "units", "unit_price", "price", "amount"):
+        return rng.choice(["1", "-2", "3.5", "x", "", "NaN", "1e2"])
+    return rng.choice(["k1", "k2", "", "a, b", 'say "x"'])
+
+
+@pytest.fixture
+def folder(tmp_path):
+    rng = random.Random(9)
+    for i, header in enumerate(HEADERS):
+        with open(tmp_path / f"f{i}.csv", "w", newline="") as file:
+            out = csv.writer(file, lineterminator="\n")
+            out.writerow(header)
+            rows = [[cell(rng, name, i) for name in header] for _ in range(40)]
+            out.writerows(rows + rows[:5] + [rows[0][:2]])
+    return tmp_path
+
+
+FIGURES = ("rows", "columns", "mapped", "missing", "incomplete", "duplicateRows", "invalidDates", "invalidNumbers", "cancellations", "quality")
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_ten_headers_in_one_job(spark, folder, multi_line):
+    got = {os.path.basename(r.file): r for r in upload_reports(spark, f"{folder}/*.csv", multi_line).collect()}
+    assert len(got) == 10 and {r.status for r in got.values()} == {"ok"}
+    for i in range(len(HEADERS)):
+        if i == 7:
+            continue  # Spark renames equal headers when it reads a file alone
+        alone = csv_quality(read_upload(spark, f"{folder}/f{i}.csv")).first()
+        assert [got[f"f{i}.csv"][n] for n in FIGURES] == [alone[n] for n in FIGURES], i
+    assert got["f7.csv"]["rows"] == 46 and got["f7.csv"]["quality"] is not None
+
+
+def test_bad_files_do_not_stop_the_others(spark, folder):
+    (folder / "long.csv").write_text("order_id,qty\n1,2\n1,2,3\n")
+    (folder / "wide.csv").write_text("order_id,qty\n" + ",".join("1" * 30) + "\n")
+    (folder / "empty.csv").write_text("")
+    (folder / "blank.csv").write_text("\n \n")
+    (folder / "header.csv").write_text("\norder_id,date,product,quantity,unit_price\n")
+    (folder / "notes.txt").write_text("order_id,qty\n1,2\n")
+    (folder / "two words.csv").write_text("order_id,qty\n1,2\n3,4\n")
+    (folder / "tail.csv").write_text("order_id,qty\n1,2,, \n")
+    got = {os.path.basename(r.file): r for r in upload_reports(spark, str(folder)).collect()}
+    status = {n: r.status for n, r in got.items() if not n.startswith("f")}
+    assert status == {
+        "long.csv": "too_long", "wide.csv": "too_long", "empty.csv": "empty", "blank.csv": "empty",
+        "header.csv": "ok", "notes.txt": "not_csv", "tail.csv": "ok", "two%20words.csv": "ok",
+    }
+    assert all(got[n][f] is None for n in ("long.csv", "empty.csv", "notes.txt") for f in FIGURES)
+    assert (got["header.csv"]["rows"], got["header.csv"]["quality"], got["tail.csv"]["rows"]) == (0, None, 1)
+    assert sum(r.status == "ok" for r in got.values()) == 13 and got["two%20words.csv"]["rows"] == 2

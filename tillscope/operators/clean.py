@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tillscope.functions.cancellations import by_invoice_prefix
 from tillscope.schemas import MONEY, PRICE, QUANTITY, TRANSACTIONS
+from tillscope.sources.files import PLACE
 
 
 def _whole_number(number: Column) -> Column:
@@ -15,14 +16,22 @@ def _whole_number(number: Column) -> Column:
     return F.when(exact == F.floor(exact), exact.try_cast("bigint"))
 
 
+def _distinct(raw: DataFrame) -> DataFrame:
+    if PLACE not in raw.columns:
+        return raw.dropDuplicates()
+    return raw.groupBy(*[c for c in raw.columns if c != PLACE]).agg(F.min(PLACE).alias(PLACE))
+
+
 def price_lines(raw: DataFrame) -> DataFrame:
     """Distinct described rows with customer number, revenue and cancellation flag.
 
+    Rows that have their place in a file keep the first of it.
+
     Whole-row duplicates go first. The description filter depends on the row
     alone, so Spark moves it below the deduplication and down to the scan.
     """
     return (
-        raw.dropDuplicates()
+        _distinct(raw)
         .where(F.col("Description").isNotNull())
         .withColumn("CustomerID", _whole_number(F.col("CustomerID")))
         .withColumn("Revenue", (F.col("Quantity") * F.col("UnitPrice")).cast(MONEY))

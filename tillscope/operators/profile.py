@@ -11,6 +11,7 @@ from tillscope.functions.columns import named
 from tillscope.functions.dates import epoch_seconds, from_epoch_seconds
 from tillscope.operators.quantiles import quantiles_of, value_counts
 from tillscope.session import stored
+from tillscope.sources.files import PLACE, first_rows
 
 
 def dtypes(df: DataFrame) -> DataFrame:
@@ -124,7 +125,8 @@ def cancelled_rows(raw: DataFrame) -> DataFrame:
 
 
 def cancellation_sample(raw: DataFrame, rows: int = 5) -> DataFrame:
-    return cancelled_rows(raw).limit(rows)
+    """The first cancelled rows; in the order of the file where rows have their place."""
+    return first_rows(cancelled_rows(raw), rows)
 
 
 def price_sign_counts(raw: DataFrame) -> DataFrame:
@@ -176,20 +178,24 @@ def _flags(counts: DataFrame, name: str) -> DataFrame:
 
 
 def profile_raw(raw: DataFrame, head: int = 5) -> dict[str, DataFrame]:
-    """Every part of the raw-data profile. Counts and value counts are taken at once and stored."""
+    """Every part of the raw-data profile. Counts and value counts are taken at once and stored.
+
+    Heads are the first rows of the file if ``raw`` was read with its place.
+    """
+    placed, raw = raw, raw.drop(PLACE)
     cancelled = cancelled_rows(raw)
     times = [f.name for f in raw.schema if isinstance(f.dataType, T.TimestampNTZType)]
     counts = _counts(raw, by_invoice_prefix(named("InvoiceNo")), [])
     described = describe(cancelled, ["Quantity", "UnitPrice"])
     parts = {
-        "head": raw.limit(head),
+        "head": first_rows(placed, head),
         "shape": counts.select("rows", F.lit(len(raw.columns)).alias("columns")),
         "dtypes": dtypes(raw),
         "nulls": counts.select(F.inline("nulls")),
         "duplicates": duplicate_count(raw),
         "describe": describe(raw),
         "cancellation_flags": _flags(counts, "is_cancellation"),
-        "cancellation_sample": cancellation_sample(raw),
+        "cancellation_sample": cancellation_sample(placed),
         "cancelled_quantity": described.where(F.col("column") == "Quantity"),
         "cancelled_price": described.where(F.col("column") == "UnitPrice"),
     }
@@ -204,13 +210,14 @@ def profile_cleaning(priced: DataFrame) -> dict[str, DataFrame]:
     The priced rows are deduplicated and stored once; all counts come from one pass
     over them.
     """
-    priced = stored(priced, "priced")
+    head = first_rows(priced, 5)
+    priced = stored(priced.drop(PLACE), "priced")
     every, sellable = F.lit(True), named("UnitPrice") > 0
     counts = _counts(priced, named("IsCancellation"), [("before", every), ("after", F.coalesce(sellable, F.lit(False)))])
     signs = ("negative_prices", "zero_prices", "positive_prices")
     columns = F.lit(len(priced.columns)).alias("columns")
     return {
-        "head": priced.limit(5),
+        "head": head,
         "shape": counts.select("rows", columns),
         "dtypes": dtypes(priced),
         "nulls": counts.select(F.inline("nulls")),

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillscope.functions.headers import detect_columns
 from tillscope.operators.quality import missing_upload_columns, validation_errors
 from tillscope.operators.standardize import standardize, upload_records
 from tillscope.schemas import DEFAULTS, MESSAGES, TENANT_TRANSACTIONS
+from tillscope.sinks.versions import replace_partition
 from tillscope.sources.demo import demo_transactions
 from tillscope.sources.files import read_upload
 from tillscope.sources.tables import PUBLIC_TABLE, TENANT_TABLE, ensure_tenant_table
@@ -35,24 +36,14 @@ def write_cleaned(cleaned: DataFrame, path: str, file_format: str = "parquet") -
 def replace_owner(records: DataFrame, owner_id: int, table: str = TENANT_TABLE) -> int:
     """Replace all of the owner's rows in the tenants' table; other owners' files stay.
 
-    Returns the number of rows, which is counted while they are written.
-
-    Rows are written from the tasks they are in: gathering them by owner would
-    put an owner with most rows into one task. New files are staged and moved
-    into place when the job commits, and lost tasks are simply run again. An
-    empty frame would leave no row of the owner, so it is refused.
+    Returns the number of rows. New rows are written beside the old ones and become the
+    owner's partition in one catalog command, so a reader has all old or all new rows
+    and a writer that dies before changes nothing. An empty frame leaves the owner
+    without rows.
     """
-    if records.isEmpty():
-        raise ValueError("Refusing to replace an owner's rows by an empty dataset")
-    spark = records.sparkSession
-    ensure_tenant_table(spark, table)
-    written = Observation()
+    ensure_tenant_table(records.sparkSession, table)
     columns = [f.name for f in TENANT_TRANSACTIONS if f.name != "owner_id"]
-    rows = records.select(*columns).observe(written, F.count("*").alias("rows"))
-    spark.sql(
-        f"INSERT OVERWRITE TABLE {table} PARTITION (owner_id = {int(owner_id)}) SELECT * FROM {{rows}}", rows=rows
-    )
-    return written.get["rows"]
+    return replace_partition(records.select(*columns), table, "owner_id", owner_id)
 
 
 def create_if_absent(
@@ -82,8 +73,8 @@ def ingest_upload(
 
     It goes into the tenants' table, which all reports of the owner read.
 
-    The file is read twice, once to validate and once to write, rather than kept
-    in memory in between.
+    An upload without rows is refused. The file is read twice, once to validate and
+    once to write, rather than kept in memory in between.
     """
     raw = read_upload(spark, csv_path)
     column_map = detect_columns(raw.columns, strict=strict)
@@ -96,6 +87,8 @@ def ingest_upload(
     errors = validation_errors(rows, allow_returns)
     if errors:
         raise ValueError("; ".join(errors))
+    if rows.isEmpty():
+        raise ValueError("Refusing to replace an owner's rows by an empty dataset")
     stored = replace_owner(with_defaults(upload_records(rows, owner_id)), owner_id, table)
     return upload_receipt(rows, stored, csv_path)
 

@@ -11,11 +11,12 @@ PUBLIC_TABLE = "transactions"
 TENANT_TABLE = "user_transactions"
 
 
-def ensure_tenant_table(spark: SparkSession, table: str = TENANT_TABLE) -> None:
+def ensure_tenant_table(spark: SparkSession, table: str = TENANT_TABLE, location: str | None = None) -> None:
     """Creates the tenants' table, a partition per owner, unless it exists."""
+    at = f" LOCATION '{location}'" if location else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({TENANT_TRANSACTIONS.toDDL()}) "
-        "USING parquet PARTITIONED BY (owner_id)"
+        f"USING parquet PARTITIONED BY (owner_id){at}"
     )
 
 
