@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import collections
+import math
 import random
 import re
 
@@ -92,6 +93,72 @@ def test_pieces_cover_each_pass_once_and_blocks_are_equal(spark):
         assert abs(first[s] - whole[s] / 2) <= 64 * 6
 
 
+def brute_slots(rows, got, block, repeats=2):
+    """First slot and number of slots of every document, from golden-ratio points in a plain loop."""
+    import xxhash
+
+    def long_hash(value, seed):
+        return xxhash.xxh64_intdigest((value % (1 << 64)).to_bytes(8, "little"), seed=seed)
+
+    def signed(value):
+        return value - (1 << 64) if value >> 63 else value
+
+    sources = sorted({s for _, _, s in rows if s is not None}, key=lambda s: s.encode()) + [None] * any(s is None for _, _, s in rows)
+    by_id = {r.doc_id: r for r in got}
+    target = {s: next(by_id[i].target for i, _, own in rows if own == s) for s in sources}
+    ends, upto = [], 0.0
+    for s in sources:
+        upto += target[s]
+        ends.append(upto)
+    slots = collections.defaultdict(list)
+    for n in range(math.ceil(sum(target.values()) / block)):
+        point = n % (1 << 31) * 1327217885 % (1 << 31) / (1 << 31)
+        slots[next(s for s, e in zip(sources, ends) if point < e / ends[-1])].append(n)
+    found = {}
+    for s in sources:
+        own = []
+        for i, text, source in rows:
+            if source == s and by_id[i]["size"]:
+                # a null leaves the seed of a hash as it is
+                h = xxhash.xxh64_intdigest((11).to_bytes(4, "little"), seed=42)
+                h = long_hash(i, h) if i is not None else h
+                h = long_hash(by_id[i]["size"], h)
+                h = long_hash(xxhash.xxh64_intdigest(text.encode(), seed=42), h)
+                own.append((h >> 50, signed(h), i, by_id[i]["size"]))
+        at, total = 0, sum(x[-1] for x in own)
+        limit = int(target[s] + 0.5)
+        for *_, i, size in sorted(own):
+            rounds = set()
+            for k in range(repeats):
+                low, high = at + k * total, min(at + k * total + size, limit)
+                rounds |= set(range(low // block, -(-high // block))) if low < high else set()
+            held = [slots[s][r] for r in rounds if r < len(slots[s])]
+            found[i] = (min(held, default=None), len(held))
+            at += size
+    return found
+
+
+@pytest.mark.parametrize("block", [16, 1024])
+def test_slots_are_those_of_the_schedule(spark, monkeypatch, block):
+    rows = [(i, t, s) for i, t, s in sample(5) if t is not None]
+    got = mixing.mixed_documents(docs(spark, rows), block_words=block).collect()
+    expected = brute_slots(rows, got, block)
+    assert {r.doc_id: (r.first_slot, r.n_slots) for r in got if r["size"]} == expected
+    assert all((r.first_slot, r.n_slots) == (None, 0) for r in got if not r["size"])
+    monkeypatch.setattr(mixing, "GOLDEN", 987654321)  # another schedule is seen in the result
+    other = mixing.mixed_documents(docs(spark, rows), block_words=block).collect()
+    assert {r.doc_id: (r.first_slot, r.n_slots) for r in other if r["size"]} != expected
+
+
+def test_equal_rows_are_dealt_one_by_one(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "COPIES", 3)
+    rows = [(None, "a b c", "x")] * 10 + [(1, "d e", "x"), (1, "f g", "x"), (1, "d e", "x"), (2, None, "x"), (2, None, "x")]
+    got = mixing.mixed_documents(docs(spark, rows), block_words=4).collect()
+    assert len(got) == 15 and sum(r.taken for r in got) == 54 and all(r.taken <= 2 * r["size"] for r in got)
+    again = mixing.mixed_documents(docs(spark, rows).repartition(6), block_words=4).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, again))
+
+
 def test_repeated_ids_and_empty_tables(spark):
     df = docs(spark, [(1, "a b c", "x"), (1, "a b c", "x"), (None, "d e", "x"), (None, "d", None)])
     got = mixing.mixed_documents(df).collect()

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillscope.llm.common import WORD, table, written
+from tillscope.llm.common import WORD, partitions, table, written
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -23,6 +23,8 @@ SEED = 11
 GOLDEN, POINTS = 1327217885, 1 << 31
 #: The shuffled order of a source is summed up in FAN * FAN runs.
 FAN = 128
+#: Equal rows that are dealt out together.
+COPIES = 65_536
 
 
 def word_count(text: Column) -> Column:
@@ -119,18 +121,66 @@ def _offsets(sums: DataFrame, keys: list[str], run: str, value: str, width_of: i
     return joined.select(*keys, run, (F.col("near") + F.col("far")).alias("offset"))
 
 
-def _placed(sizes: DataFrame, seed: int) -> DataFrame:
-    """Adds ``start``: where a document begins in its source's shuffled word stream."""
-    order = F.xxhash64(F.lit(seed), "doc_id", "size")
-    docs = sizes.filter("size > 0").withColumn("order", order)
+def _placed(units: DataFrame, seed: int) -> DataFrame:
+    """Adds ``start``: where the copies of a document begin in its source's shuffled word stream."""
+    order = F.xxhash64(F.lit(seed), "doc_id", "size", "text_hash")
+    docs = units.filter("size > 0").withColumn("order", order).withColumn("words", F.col("size") * F.col("copies"))
     docs = docs.withColumn("run", F.shiftrightunsigned("order", 64 - 14))
-    own = Window.partitionBy("rank", "run").orderBy("order", "doc_id", "size")
+    own = Window.partitionBy("rank", "run").orderBy("order", "doc_id", "size", "text_hash")
     docs = docs.withColumn(
-        "near_start", F.coalesce(F.sum("size").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        "near_start", F.coalesce(F.sum("words").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     )
-    runs = docs.groupBy("rank", "run").agg(F.sum("size").alias("words"))
+    runs = docs.groupBy("rank", "run").agg(F.sum("words").alias("words"))
     runs = _offsets(runs, ["rank"], "run", "words", width_of=FAN)
-    return docs.join(runs, ["rank", "run"]).withColumn("start", F.col("near_start") + F.col("offset"))
+    return docs.drop("words").join(runs, ["rank", "run"]).withColumn("start", F.col("near_start") + F.col("offset"))
+
+
+def _copies(units: DataFrame) -> DataFrame:
+    """A row per copy, each with its own start. Many copies go to tasks in runs of ``COPIES``."""
+    last = F.col("copies") - 1
+    runs = units.withColumn("from", F.explode(F.sequence(F.lit(0).cast("long"), last, F.lit(COPIES).cast("long"))))
+    runs = runs.repartition(partitions(units.sparkSession))
+    copy = F.explode(F.sequence("from", F.least(F.col("from") + (COPIES - 1), last)))
+    rows = runs.withColumn("copy", copy)
+    return rows.select(
+        "doc_id", "source", "rank", "size", "source_size", "target",
+        (F.col("start") + F.col("copy") * F.col("size")).alias("start"),
+    )
+
+
+def _mix(
+    docs: DataFrame, weights, share: float, repeats: int, block_words: int, seed: int
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, pieces): every row of ``docs`` with its start, null without words, and its pieces with their slots."""
+    units = docs.select(
+        "doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("text_hash")
+    )
+    # equal rows are one until they are dealt, so that however many there are they share no window
+    units = units.groupBy("doc_id", "source", "size", "text_hash").agg(F.count("*").alias("copies"))
+    units = written(units, "mix-sizes")
+    sizes = units.select("source", (F.col("size") * F.col("copies")).alias("size"))
+    targets = written(source_targets(sizes, weights, share, repeats), "mix-targets")
+    known = targets.withColumnRenamed("source", "name")
+    sized = units.join(known, F.col("source").eqNullSafe(F.col("name"))).drop("name", "weight")
+    empty = sized.filter("size = 0").withColumn("start", F.lit(None).cast("long"))
+    columns = [*sized.columns, "start"]
+    rows = written(_copies(_placed(sized, seed).select(*columns).unionAll(empty.select(*columns))), "mix-rows")
+
+    # the stream of a source ends at its target; a document is met once per pass
+    taken = F.round("target").cast("long")
+    passes = F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))
+    met = rows.filter("size > 0").withColumn("pass", passes)
+    met = met.withColumn("at", F.col("start") + F.col("pass") * F.col("source_size"))
+    met = met.withColumn("end", F.least(F.col("at") + F.col("size"), taken)).filter("at < end")
+    block = F.lit(block_words)
+    met = met.withColumn(
+        "round", F.explode(F.sequence(F.floor(F.col("at") / block), F.floor((F.col("end") - 1) / block)))
+    )
+    first = F.greatest(F.col("at"), F.col("round") * block)
+    last = F.least(F.col("end"), (F.col("round") + 1) * block)
+    pieces = met.withColumns({"from_word": first - F.col("at"), "words": last - first})
+    pieces = pieces.join(schedule(targets, block_words), ["rank", "round"], "left")
+    return rows, pieces.select(*rows.columns, "slot", "pass", "from_word", "words")
 
 
 def mix(
@@ -154,58 +204,38 @@ def mix(
     order; a null doc_id is an id like any other; repeated rows are documents of
     their own. An empty table gives empty results. Other columns are not looked at.
     """
-    sizes = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    sizes = written(sizes, "mix-sizes")
-    targets = written(source_targets(sizes, weights, share, repeats), "mix-targets")
-    known = targets.withColumnRenamed("source", "name")
-    sized = sizes.join(known, F.col("source").eqNullSafe(F.col("name"))).drop("name", "weight")
-    placed = _placed(sized, seed)
-    # the stream of a source ends at its target; a document is met once per pass
-    taken = F.round("target").cast("long")
-    passes = F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))
-    met = placed.withColumn("pass", passes).withColumn("at", F.col("start") + F.col("pass") * F.col("source_size"))
-    met = met.withColumn("end", F.least(F.col("at") + F.col("size"), taken)).filter("at < end")
-    block = F.lit(block_words)
-    met = met.withColumn(
-        "round", F.explode(F.sequence(F.floor(F.col("at") / block), F.floor((F.col("end") - 1) / block)))
-    )
-    first = F.greatest(F.col("at"), F.col("round") * block)
-    last = F.least(F.col("end"), (F.col("round") + 1) * block)
-    pieces = met.select(
-        "doc_id", "source", "rank", "round", "pass",
-        (first - F.col("at")).alias("from_word"), (last - first).alias("words"),
-    )
-    slots = schedule(targets, block_words)
-    pieces = pieces.join(slots, ["rank", "round"], "left").select(
-        "doc_id", "source", "slot", "pass", "from_word", "words"
-    )
-    return pieces, sized.select("doc_id", "source", "size", "source_size", "target")
-
-
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, size, source_size, target, taken: the words the mix takes of each document."""
-    pieces, sizes = mix(docs, **options)
-    taken = pieces.groupBy("source", "doc_id").agg(F.sum("words").alias("words"))
-    taken = taken.select(F.col("source").alias("s"), F.col("doc_id").alias("d"), "words")
-    copies = sizes.groupBy("source", "doc_id").agg(F.count("*").alias("copies"))
-    repeated = copies.filter("copies > 1").limit(1).count()
-    if repeated:  # rows that share an id share its words in proportion to their sizes
-        return _shared(sizes, taken)
-    same = F.col("doc_id").eqNullSafe(F.col("d")) & F.col("source").eqNullSafe(F.col("s"))
-    joined = sizes.join(taken, same, "left")
-    return joined.select(
-        "doc_id", "size", "source_size", "target", F.coalesce("words", F.lit(0)).cast("long").alias("taken")
+    rows, pieces = _mix(docs, weights, share, repeats, block_words, seed)
+    return (
+        pieces.select("doc_id", "source", "slot", "pass", "from_word", "words"),
+        rows.select("doc_id", "source", "size", "source_size", "target"),
     )
 
 
-def _shared(sizes: DataFrame, taken: DataFrame) -> DataFrame:
-    total = sizes.groupBy("source", "doc_id").agg(F.sum("size").alias("all"))
-    total = total.select(F.col("source").alias("s0"), F.col("doc_id").alias("d0"), "all")
-    joined = sizes.join(
-        total, F.col("doc_id").eqNullSafe(F.col("d0")) & F.col("source").eqNullSafe(F.col("s0"))
-    ).join(taken, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("source").eqNullSafe(F.col("s")), "left")
-    words = F.coalesce(F.floor(F.col("words") * F.col("size") / F.col("all")), F.lit(0))
-    return joined.select("doc_id", "size", "source_size", "target", words.cast("long").alias("taken"))
+def mixed_documents(
+    docs: DataFrame,
+    weights=WEIGHTS,
+    share: float = SHARE,
+    repeats: int = REPEATS,
+    block_words: int = BLOCK_WORDS,
+    seed: int = SEED,
+) -> DataFrame:
+    """doc_id, size, source_size, target, taken, first_slot, n_slots of every row of ``docs``.
+
+    ``taken`` are the words that the mix takes of the document, ``n_slots`` the slots of
+    the schedule that hold them and ``first_slot`` the first of these in the mix, null if
+    none does. Rules for odd rows are those of ``mix``.
+    """
+    rows, pieces = _mix(docs, weights, share, repeats, block_words, seed)
+    own = ["doc_id", "source", "rank", "size", "source_size", "target", "start"]  # a start is no other row's
+    none = rows.filter("size > 0").select(*own, F.lit(None).cast("long").alias("slot"), F.lit(0).cast("long").alias("words"))
+    met = pieces.select(*own, "slot", F.col("words").cast("long").alias("words")).unionAll(none)
+    found = met.groupBy(*own).agg(
+        F.sum("words").alias("taken"), F.min("slot").alias("first_slot"), F.count_distinct("slot").alias("n_slots")
+    )
+    columns = ["doc_id", "size", "source_size", "target", "taken", "first_slot", "n_slots"]
+    zero = F.lit(0).cast("long")
+    empty = rows.filter("size = 0").withColumns({"taken": zero, "first_slot": F.lit(None).cast("long"), "n_slots": zero})
+    return found.select(*columns).unionAll(empty.select(*columns))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
