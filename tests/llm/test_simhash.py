@@ -63,6 +63,19 @@ def test_filter_keeps_one_of_each_group_and_all_columns(spark):
     assert got == [-1, 3, 8]
 
 
+def test_repeated_ids_are_told_apart_by_their_fingerprints(spark):
+    """One id in several groups: each group keeps one row, and near copies go whatever their id."""
+    rows = [
+        (1, "a b c d", "keep"), (1, "A b c d", "copy"), (1, "e f g h", "keep"), (2, "a b c d", "copy"),
+        (3, "e f g h", "copy"), (4, "i j k l", "keep"), (5, "i j k l", "copy"), (5, "m n o p", "keep"), (4, "a b c d", "copy"),
+        (6, "q r s t", "keep"), (6, "q r s t", "copy"), (0, "u v w x", "keep"), (6, "u v w x", "copy"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, kept_print string")
+    kept = sorted(tuple(r) for r in simhash.without_near_duplicates(df).collect())
+    assert sorted((i, t.lower()) for i, t, _ in kept) == sorted((i, t.lower()) for i, t, mark in rows if mark == "keep")
+    assert kept == sorted(tuple(r) for r in simhash.without_near_duplicates(df.repartition(7)).collect())
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(df).count() == 0

@@ -181,6 +181,26 @@ def fingerprint_links(
 
 # --- documents ----------------------------------------------------------------------
 
+def _grouped(docs: DataFrame, shingle_words: int, max_bits: int, options: dict) -> tuple[DataFrame, DataFrame]:
+    """((doc_id, fp), (fp, first_id, component, component_id)): the rows, and their classes by fingerprint.
+
+    ``first_id`` is the smallest doc_id of a class, ``component`` the smallest
+    fingerprint that is reached from it and ``component_id`` the smallest doc_id.
+    """
+    prints = written(docs.select("doc_id", fingerprint(F.col("text"), shingle_words).alias("fp")), "simhash")
+    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    classes = written(classes, "simhash-classes")
+    links = fingerprint_links(classes.select("fp"), max_bits, **options)
+    reached = written(connected_components(links, "a", "b"), "simhash-components")
+    linked = classes.join(reached, classes.fp == reached.node)
+    least = linked.groupBy("component").agg(F.min("first_id").alias("least_id"))
+    joined = reached.join(least, "component").select(F.col("node").alias("fp"), "component", "least_id")
+    return prints, classes.join(joined, "fp", "left").select(
+        "fp", "first_id", F.coalesce("component", "fp").alias("component"),
+        F.coalesce("least_id", "first_id").alias("component_id"),
+    )
+
+
 def near_duplicates(
     docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, **options
 ) -> DataFrame:
@@ -193,39 +213,42 @@ def near_duplicates(
     and component of its text but is never the smallest; a component of such rows
     alone has none. An empty table gives an empty result.
     """
-    prints = written(docs.select("doc_id", fingerprint(F.col("text"), shingle_words).alias("fp")), "simhash")
-    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    classes = written(classes, "simhash-classes")
-    links = fingerprint_links(classes.select("fp"), max_bits, **options)
-    reached = written(connected_components(links, "a", "b"), "simhash-components")
-    least = (
-        reached.join(classes, reached.node == classes.fp)
-        .groupBy("component").agg(F.min("first_id").alias("least_id"))
-    )
-    joined = reached.join(least, "component").select(F.col("node").alias("fp"), "least_id")
-    classes = classes.join(joined, "fp", "left").select(
-        "fp", F.coalesce("least_id", "first_id").alias("component_id")
-    )
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    prints, classes = _grouped(docs, shingle_words, max_bits, options)
+    return prints.join(classes.select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
-def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
+def without_near_duplicates(
+    docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, **options
+) -> DataFrame:
     """The rows of ``docs`` but for all documents of a group except its smallest doc_id.
 
-    All columns stay as they are. Of rows that repeat a doc_id in the same group one
-    stays. Rows without doc_id name no document and stay.
+    All columns stay as they are. Of several rows of a group that have this id one stays:
+    the one with the smallest fingerprint, of these the one with the smallest hash of
+    its text, then of its other columns. Rows that repeat an id in other groups are
+    judged there. Rows without doc_id name no document and stay.
     """
-    found = near_duplicates(docs, **options).filter("doc_id = component_id")
-    kept = written(found.groupBy("doc_id").agg(F.count("*").alias("rows")), "simhash-kept")
-    id_ = free_name(docs, "kept_id")
+    prints, classes = _grouped(docs, shingle_words, max_bits, options)
+    own = classes.filter(F.col("first_id") == F.col("component_id"))
+    kept = own.groupBy("component").agg(F.min(F.struct("fp", "first_id")).alias("kept"))
+    rows = prints.groupBy("doc_id").agg(F.count("*").alias("rows"))
+    kept = kept.select(F.col("kept.first_id").alias("doc_id"), "kept.fp").join(rows, "doc_id")
+    kept = written(kept, "simhash-kept")
+    id_, print_ = free_name(docs, "kept_id"), free_name(docs, "kept_print")
     single = kept.filter("rows = 1").select(F.col("doc_id").alias(id_))
     unnamed = docs.filter(F.col("doc_id").isNull())
     # merged at every size: the kept ids grow with the documents and are not to be broadcast
     result = docs.join(single.hint("merge"), docs.doc_id == F.col(id_), "left_semi")
-    repeated = kept.filter("rows > 1").select(F.col("doc_id").alias(id_))
-    if not repeated.isEmpty():
-        again = docs.join(repeated.hint("merge"), docs.doc_id == F.col(id_), "left_semi")
-        result = result.unionAll(again.dropDuplicates(["doc_id"]))
+    repeated = kept.filter("rows > 1")
+    if not repeated.isEmpty():  # fingerprints tell the rows of an id apart; made anew for these alone
+        again = docs.join(repeated.select(F.col("doc_id").alias(id_)).hint("merge"), docs.doc_id == F.col(id_), "left_semi")
+        again = again.withColumn(print_, fingerprint(F.col("text"), shingle_words))
+        pairs = repeated.select(F.col("doc_id").alias(id_), F.col("fp").alias(print_ + "_"))
+        same = (F.col("doc_id") == F.col(id_)) & (F.col(print_) == F.col(print_ + "_"))
+        again = again.join(pairs.hint("merge"), same, "left_semi")
+        whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+        order = F.struct(F.xxhash64("text"), F.xxhash64(F.to_json(whole)))
+        one = again.groupBy("doc_id", print_).agg(F.min_by(whole, order).alias("row"))
+        result = result.unionAll(one.select("row.*"))
     return result.unionAll(unnamed)
 
 
