@@ -125,6 +125,35 @@ def test_windows_overlap_and_cover_everything():
         assert all(b - a <= toxicity.STRIDE for a, b in zip(starts, starts[1:]))
 
 
+def test_short_passages_are_whole_in_a_window():
+    """Wherever a passage of WINDOW - STRIDE + 1 words lies, one window holds all of it."""
+    length = toxicity.WINDOW - toxicity.STRIDE + 1
+    for n in (24, 25, 60, 101):
+        starts = toxicity.window_starts(n)
+        for at in range(n - length + 1):
+            assert any(s <= at and at + length <= s + toxicity.WINDOW for s in starts)
+
+
+def test_the_curve_is_the_logistic_fit():
+    """Against a fine grid, also where classes overlap, are parted, or the logits are large."""
+    rng = np.random.default_rng(4)
+    for scale, gap in ((1, 1), (5, 0.5), (40, 3), (0.1, 0)):
+        labels = (rng.random(300) < 0.1).astype(int)
+        logits = scale * (rng.standard_normal(300) + gap * labels) - 3 * scale
+        slope, shift = toxicity._curve(logits, labels)
+        good, bad = labels.sum(), (1 - labels).sum()
+        goal = np.where(labels == 1, (good + 1) / (good + 2), 1 / (bad + 2))
+
+        def loss(a, b):
+            return np.sum(np.logaddexp(0, a * logits + b) - goal * (a * logits + b))
+
+        own = loss(slope, shift)
+        assert slope >= 0 and all(
+            own <= loss(slope + da / scale, shift + db) + 1e-2 for da in (-0.05, 0, 0.05) for db in (-0.1, 0, 0.1) if slope + da / scale >= 0
+        )
+    assert toxicity._curve(np.array([1.0, 1.0, 1.0]), np.array([0, 1, 0]))[0] >= 0
+
+
 @pytest.mark.parametrize("scores", [nbsvm.quality_scores, toxicity.toxicity_scores])
 def test_odd_rows(spark, scores):
     rows = [(i, t.decode(), "s") for i, (t, _) in enumerate(toy(40))]

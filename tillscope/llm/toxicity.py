@@ -19,10 +19,13 @@ from pyspark.sql import functions as F
 
 from tillscope.llm.common import remainder, table
 from tillscope.llm.labelled import SAMPLE_ROWS, labelled_sample
-from tillscope.llm.nbsvm import _platt
 
 #: Words of a window, and between the starts of two.
-WINDOW, STRIDE = 24, 12
+WINDOW, STRIDE = 24, 6
+#: The same for windows that are trained on.
+TRAIN_STRIDE = 12
+#: Parts of the examples that are left out in turn to set the curve.
+FOLDS = 2
 INPUT, HIDDEN = 16, 8
 WORD_SLOTS, GRAM_SLOTS = 1 << 15, 1 << 15
 GRAMS = (3, 4)
@@ -79,11 +82,11 @@ def _means(vectors: np.ndarray, slots: np.ndarray, counts: np.ndarray) -> np.nda
     return np.add.reduceat(vectors[slots], starts, axis=0) / counts[:, None].astype(vectors.dtype)
 
 
-def window_starts(count: int) -> np.ndarray:
+def window_starts(count: int, stride: int = STRIDE) -> np.ndarray:
     """Starts of the windows of a text of ``count`` words: every word is in one, the last ends it."""
     if count <= WINDOW:
         return np.zeros(1, dtype=np.int64)
-    return np.append(np.arange(0, count - WINDOW, STRIDE), count - WINDOW)
+    return np.append(np.arange(0, count - WINDOW, stride), count - WINDOW)
 
 
 # --- the network -------------------------------------------------------------------------
@@ -266,8 +269,8 @@ class _Trainer:
                 self.step(windows[rows], labels[rows].astype(np.float32), costs[rows])
 
 
-def _windows(codes: np.ndarray) -> np.ndarray:
-    starts = window_starts(len(codes))
+def _windows(codes: np.ndarray, stride: int) -> np.ndarray:
+    starts = window_starts(len(codes), stride)
     out = np.full((len(starts), WINDOW), PAD)
     for k, at in enumerate(starts):
         part = codes[at : at + WINDOW]
@@ -275,10 +278,13 @@ def _windows(codes: np.ndarray) -> np.ndarray:
     return out
 
 
-def fit(examples: list[tuple[bytes, int]]) -> Network:
-    """Trains on the windows of labelled texts; the curve to a score is set on the documents.
+def fit(examples: list[tuple[bytes, int]], folds: int = FOLDS) -> Network:
+    """Trains on the windows of labelled texts; the curve to a score is set on rows left out.
 
-    Without examples of both classes every score is the smoothed share of label 1.
+    Each of ``folds`` parts of the examples is judged by a network that is trained on the
+    others, and the curve is laid through these logits. Without examples of both classes
+    every score is the smoothed share of label 1; with fewer than ``folds`` of a class
+    the curve is laid through the examples' own logits.
     """
     network = Network()
     labels = np.array([y for _, y in examples], dtype=int)
@@ -286,10 +292,54 @@ def fit(examples: list[tuple[bytes, int]]) -> Network:
         share = (labels.sum() + 1) / (len(labels) + 2)
         network.slope, network.shift = 0.0, float(np.log(share / (1 - share)))
         return network
+    best = _train(network, examples, labels)
+    if folds > 1 and min(labels.sum(), (1 - labels).sum()) >= folds:
+        # every class in turn goes to the parts, so that none lacks one
+        part = np.empty(len(labels), dtype=int)
+        for label in (0, 1):
+            rows = np.flatnonzero(labels == label)
+            part[rows] = np.arange(len(rows)) % folds
+        for k in range(folds):
+            other = Network()
+            _train(other, [e for e, p in zip(examples, part) if p != k], labels[part != k])
+            left = np.flatnonzero(part == k)
+            best[left] = _best(other, [tokens(examples[i][0]) for i in left])
+    network.slope, network.shift = _curve(best, labels)
+    return network
+
+
+def _curve(logits: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
+    """Slope and shift of the logistic curve through the logits: Newton's steps, halved until the loss falls."""
+    centre, width = logits.mean(), max(logits.std(), 1e-6)
+    design = np.stack([(logits - centre) / width, np.ones_like(logits)], axis=1)
+    good, bad = labels.sum(), (1 - labels).sum()
+    goal = np.where(labels == 1, (good + 1) / (good + 2), 1 / (bad + 2))
+
+    def loss(beta: np.ndarray) -> float:
+        margin = design @ beta
+        return float((np.logaddexp(0, margin) - goal * margin).sum() + 5e-4 * beta @ beta)
+
+    beta, now = np.zeros(2), loss(np.zeros(2))
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
+        gradient = design.T @ (p - goal) + 1e-3 * beta
+        step = np.linalg.solve((design * (p * (1 - p))[:, None]).T @ design + 1e-3 * np.eye(2), gradient)
+        while np.abs(step).max() > 1e-9 and loss(beta - step) > now:
+            step /= 2
+        beta, before = beta - step, now
+        now = loss(beta)
+        if before - now < 1e-10:
+            break
+    slope = max(float(beta[0] / width), 0.0)
+    return slope, float(beta[1] - slope * centre)
+
+
+def _train(network: Network, examples: list[tuple[bytes, int]], labels: np.ndarray) -> np.ndarray:
+    """Trains the network; returns the greatest logit of each example."""
     vocab: dict[bytes, int] = {}
     texts = [np.array([vocab.setdefault(w, len(vocab)) for w in tokens(t)], dtype=np.int64) for t, _ in examples]
     words = list(vocab)
-    windows = [_windows(c) for c in texts]
+    windows = [_windows(c, TRAIN_STRIDE) for c in texts]
     # how much likelier a word is in toxic documents than in others
     seen = np.zeros((2, len(words)))
     for codes, label in zip(texts, labels):
@@ -311,8 +361,7 @@ def fit(examples: list[tuple[bytes, int]]) -> Network:
         trainer.epochs(chosen, (np.arange(len(chosen)) < sum(map(len, toxic))).astype(int), epochs)
         every = network.logits(network.projections(words), np.concatenate(windows))
         guess = np.split(every, np.cumsum([len(w) for w in windows])[:-1])
-    network.slope, network.shift = _platt(np.array([g.max() for g in guess], dtype=float), labels)
-    return network
+    return _best(network, [tokens(t) for t, _ in examples])
 
 
 def fitted(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Network:
@@ -322,8 +371,8 @@ def fitted(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Netwo
 
 # --- scoring -----------------------------------------------------------------------------
 
-def _scores(network: Network, texts: list[list[bytes]]) -> np.ndarray:
-    """Score of each text: the greatest logit of its windows, on the fitted curve."""
+def _best(network: Network, texts: list[list[bytes]], stride: int = STRIDE) -> np.ndarray:
+    """The greatest logit of the windows of each text."""
     vocab: dict[bytes, int] = {}
     codes = [np.array([vocab.setdefault(w, len(vocab)) for w in t], dtype=np.int32) for t in texts]
     table_ = network.projections(list(vocab)) if vocab else np.zeros((1, 6 * HIDDEN), np.float32)
@@ -332,7 +381,7 @@ def _scores(network: Network, texts: list[list[bytes]]) -> np.ndarray:
     if long:
         every = np.concatenate([codes[i] for i in long])
         offsets = np.cumsum([0] + [len(codes[i]) for i in long])
-        starts = [window_starts(len(codes[i])) + at for i, at in zip(long, offsets)]
+        starts = [window_starts(len(codes[i]), stride) + at for i, at in zip(long, offsets)]
         owner = np.repeat(long, [len(s) for s in starts])
         starts = np.concatenate(starts)
         for at in range(0, len(starts), 20_000):
@@ -346,7 +395,12 @@ def _scores(network: Network, texts: list[list[bytes]]) -> np.ndarray:
         for k, i in enumerate(part):
             windows[k, : len(codes[i])] = codes[i]
         best[part] = network.logits(table_, windows)
-    return 1 / (1 + np.exp(-np.clip(network.slope * best + network.shift, -30, 30)))
+    return best
+
+
+def _scores(network: Network, texts: list[list[bytes]]) -> np.ndarray:
+    """Score of each text: the greatest logit of its windows, on the fitted curve."""
+    return 1 / (1 + np.exp(-np.clip(network.slope * _best(network, texts) + network.shift, -30, 30)))
 
 
 def score(docs: DataFrame, text: Column, network: Network) -> Column:
