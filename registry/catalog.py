@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registry import inputs
+from tillscope import sql
 from tillscope.operators import clean, profile, quality, standardize, upsert
 from tillscope.plans import cohorts, context, customers, products, revenue
 from tillscope.plans.summary import Summary
@@ -166,6 +167,15 @@ def _upsert_stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _upsert(spark, sf_dir, F.expr(f"timestamp_ntz'{STAMP}'"))
 
 
+def _from_sql(name: str, yearly: bool = False, **parameters) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        inputs.transactions(spark, sf_dir, country=True, yearly_accounts=yearly).createOrReplaceTempView("sql_lines")
+        sql.register(spark, "sql_lines")
+        return api_rows(sql.call(spark, name, **parameters))
+
+    return run
+
+
 def _stored_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The settings as a stored table in buckets; the changes of some customers applied to it."""
     name = f"keyed_{uuid.uuid4().hex}"
@@ -311,6 +321,11 @@ QUERIES: dict[str, Query] = {
     ),
     "upsert_latest": _upsert,
     "upsert_stamped": _upsert_stamped,
+    # The same reports as SQL functions with bound parameters
+    "sql_cohort_retention": _from_sql("cohort_retention", yearly=True),
+    "sql_customer_segments": _from_sql("customer_segments", yearly=True),
+    "sql_summary_products": _from_sql("summary_products", yearly=True, segment="Repeat customers"),
+    "sql_summary_monthly": _from_sql("summary_monthly", country=COUNTRY),
     # Stored tables and files
     "stored_upsert": _stored_upsert,
     "stored_tenants": _stored_tenants,

@@ -513,3 +513,11 @@ ORACLES: dict[str, str] = {
         union all
         select 'bare', 'ok', 3, 3, 'Customer ID, Order date, Revenue, Unit price, Country, Cancellation flag', count(*), 0, 0, 0, 0 from u""",
 }
+
+# The SQL functions answer the same questions.
+ORACLES |= {
+    "sql_cohort_retention": ORACLES["cohort_retention"],
+    "sql_customer_segments": ORACLES["customer_segments"],
+    "sql_summary_products": ORACLES["summary_products_repeat"],
+    "sql_summary_monthly": ORACLES["summary_monthly_country"],
+}

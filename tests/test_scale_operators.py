@@ -139,3 +139,37 @@ def test_upsert_does_not_depend_on_row_order(spark):
     for order in (rows, rows[::-1]):
         changes = spark.createDataFrame(order, ddl)
         assert tuples(upsert_latest(base, changes, ["owner_id"], "updated_at")) == [(1, "f", 5)]
+
+
+def test_duplicates_by_fingerprint(spark, monkeypatch):
+    """Same counts with few and with many fingerprints, and when all fingerprints collide."""
+    from pyspark.sql import functions as F
+
+    from tillscope.operators import profile
+
+    rows = [(i % 40, None if i % 3 else "x", float(i % 7)) for i in range(600)] + [(None, None, None)] * 3 + [(None, "x", None)]
+    df = spark.createDataFrame(rows, "a int, `b.c` string, d double")
+    expected = len(rows) - len(set(rows))
+    assert profile.duplicate_count(df).first()[0] == expected
+    assert profile.duplicate_count(df, few=0).first()[0] == expected
+    assert profile.duplicate_count(df.limit(0)).first()[0] == 0 and profile.duplicate_count(df.dropDuplicates()).first()[0] == 0
+    monkeypatch.setattr(profile, "fingerprint", lambda df: F.struct(F.lit(1).alias("a"), F.lit(2).alias("b")))
+    assert profile.duplicate_count(df).first()[0] == expected
+
+
+def test_fingerprints_move_without_the_cells(spark, tmp_path):
+    from tillscope.operators import profile
+
+    wide = spark.range(1000).selectExpr("id % 900 as id", *[f"repeat('x', 200) as c{i}" for i in range(30)])
+    wide.write.parquet(str(tmp_path / "wide"))
+    df = spark.read.parquet(str(tmp_path / "wide"))
+    seen = []
+    original = profile.stored
+    profile.stored = lambda frame, name: seen.append(frame) or original(frame, name)
+    try:
+        assert profile.duplicate_count(df).first()[0] == 100
+    finally:
+        profile.stored = original
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    exchange = next(line for line in plan.splitlines() if "Exchange hashpartitioning" in line)
+    assert "c1#" not in exchange and "_fingerprint" in exchange

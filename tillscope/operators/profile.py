@@ -14,6 +14,11 @@ from tillscope.session import stored
 from tillscope.sources.files import PLACE, first_rows
 
 
+PRINT, REPEATED = "_fingerprint", "_repeated"
+#: Fingerprints that are sent to every executor at most, 16 bytes each.
+FEW_FINGERPRINTS = 500_000
+
+
 def dtypes(df: DataFrame) -> DataFrame:
     """Column names and types, in file order."""
     rows = [(i, name, kind) for i, (name, kind) in enumerate(df.dtypes)]
@@ -46,8 +51,25 @@ def row_copies(df: DataFrame, name: str = "copies") -> DataFrame:
     return df.groupBy(*[named(c) for c in df.columns]).agg(F.count("*").alias(name))
 
 
-def duplicate_count(df: DataFrame) -> DataFrame:
-    """Rows that repeat an earlier row."""
+def fingerprint(df: DataFrame) -> Column:
+    """128 bits of a row: two hashes of its cells, the second also of which are null."""
+    cells = [named(c) for c in df.columns]
+    return F.struct(F.xxhash64(*cells).alias("a"), F.xxhash64(F.lit(1), *cells, *[c.isNull() for c in cells]).alias("b"))
+
+
+def duplicate_count(df: DataFrame, few: int = FEW_FINGERPRINTS) -> DataFrame:
+    """Rows that repeat an earlier row.
+
+    Rows move as fingerprints, whatever their width. Only rows whose fingerprint
+    occurs twice are compared cell by cell: they are picked by the list of these
+    fingerprints, and equal ones merge before they move. With more than ``few`` such
+    fingerprints, which is a sheet made of copies, all rows are merged by their cells.
+    """
+    marked = df.withColumn(PRINT, fingerprint(df))
+    counts = marked.groupBy(PRINT).agg(F.count("*").alias("rows")).where("rows > 1")
+    repeated = stored(counts.select(F.col(PRINT).alias(REPEATED)), "fingerprints")
+    if repeated.count() <= few:
+        df = marked.join(F.broadcast(repeated), F.col(PRINT) == F.col(REPEATED), "left_semi").drop(PRINT)
     extra = row_copies(df, "_copies").agg(F.sum(F.col("_copies") - 1).alias("duplicates"))
     return extra.select(F.coalesce("duplicates", F.lit(0)).cast("bigint").alias("duplicates"))
 
