@@ -14,7 +14,7 @@ SCHEMA = "message_id long, sent long, role string, text string, depth string"
 def test_matches_sql(spark):
     con = duckdb.connect()
     con.execute(f"create view conversations as select * from '{SF_DIR}/conversations.parquet'")
-    columns = ["message_id", "conversation_id", "parent_id", "depth", "place", "role", "text"]
+    columns = ["conv_id", "turn", "parent_conv_id", "parent_turn", "first_conv_id", "first_turn", "depth", "place", "role", "text"]
     expected = con.execute(f"select {', '.join(columns)} from ({quotes.ORACLE})").fetchall()
     assert rows_of(quotes.query(spark, SF_DIR), *columns) == sorted(expected, key=repr)
 
@@ -52,6 +52,34 @@ def test_nested_interleaved_and_partial_quotes(spark):
     }
 
 
+def test_nested_announcements_and_trimmed_quotes(spark):
+    long = "The user of the old address, who moved away" + " a long time ago" * 40 + ", wrote:"
+    got = threads(spark, [
+        (1, 10, "user", "First line here.\nSecond line there.\n\nLast one."),
+        (2, 20, "assistant", "Yes.\nA wrote:\n> First line here.\n> Second line there.\n>\n> Last one."),
+        (3, 30, "user", "So?\nB wrote:\n> Yes.\n> A wrote:\n>> First line here.\n>> Second line there."),
+        (4, 40, "assistant", "Trimmed\n> Second line there."),
+        (5, 50, "user", f"Late\n{long}\n> So?"),
+        (6, 60, "user", "She wrote:\nnothing quoted"),
+    ])
+    assert {k: v[1] for k, v in got.items()} == {
+        (1, "First line here.\nSecond line there.\n\nLast one."): None, (2, "Yes."): 1, (3, "So?"): 2,
+        (4, "Trimmed"): 1, (5, "Late"): 3, (6, "She wrote:\nnothing quoted"): None,
+    }
+
+
+def test_ids_of_any_size_and_nulls(spark):
+    """Pairs as ids: nothing is computed with them, so no id overflows or meets another."""
+    big = (1 << 62) + 5
+    turns = [(big, 0, "user", "one thing"), (big, 1, "assistant", "another"), (big, 70_000, "user", "far"), (1, 65_536, "user", "a"),
+             (2, 0, "user", "b"), (None, 1, "user", "no conversation"), (3, None, "user", "no turn")]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    got = {r.text: r for r in quotes.conversations(quotes.quoting_messages(df)).collect()}
+    assert len(got) == 7 and got["another"].parent_id == (big, 0) and got["far"].parent_id is None
+    assert got["a"].message_id == (1, 65_536) and got["b"].conversation_id == (2, 0)
+    assert got["no turn"].message_id is None and got["no conversation"].conversation_id is None
+
+
 def test_nulls_repeats_and_ties(spark):
     got = threads(spark, [
         (1, 1, "user", "same words"), (2, 1, "user", "same words"), (None, 1, "user", "x\n> same words"),

@@ -17,7 +17,7 @@ from tillscope.llm.common import partitions, table, written
 #: Leading quote signs of a line, with the white space between and behind them.
 QUOTE = r"^(?:[ \t]*>)+[ \t]?"
 #: A line that announces a quote and is dropped with it.
-ATTRIBUTION = r"(?i)^[^\n]{0,200}\bwrote:[ \t]*$"
+ATTRIBUTION = r"(?i)^[^\n]*\bwrote:[ \t]*$"
 #: Turns that a message of the registered query quotes, each a level deeper.
 QUOTED_TURNS = 3
 
@@ -37,10 +37,10 @@ def parsed_lines(text: Column) -> Column:
 
 
 def without_announcements(lines: Column) -> Column:
-    """Parsed lines without those at level 0 that announce the quote behind them."""
+    """Parsed lines without those, of any level, that announce the deeper quote behind them."""
     ahead = lambda i: F.coalesce(F.get(lines, i + 1)["level"], F.lit(0))
     return F.filter(
-        lines, lambda line, i: ~((line["level"] == 0) & line["content"].rlike(ATTRIBUTION) & (ahead(i) > 0))
+        lines, lambda line, i: ~(line["content"].rlike(ATTRIBUTION) & (ahead(i) > line["level"]))
     )
 
 
@@ -66,10 +66,14 @@ def normal(text: Column) -> Column:
 
 
 def _units(texts: Column) -> Column:
-    """Normalised forms to hash of an array of passages: each whole, and each of its paragraphs."""
+    """(hash, size) of the normalised forms of an array of passages: each whole, its paragraphs and its lines.
+
+    Hashed before they are dealt, so that no text moves to be linked.
+    """
     paragraphs = F.flatten(F.transform(texts, lambda t: F.split(t, r"\n[ \t]*\n")))
-    every = F.transform(F.concat(texts, paragraphs), normal)
-    return F.array_distinct(F.filter(every, lambda t: t != ""))
+    lines = F.flatten(F.transform(texts, lambda t: F.split(t, r"\n")))
+    every = F.filter(F.transform(F.concat(texts, paragraphs, lines), normal), lambda t: t != "")
+    return F.array_distinct(F.transform(every, lambda t: F.struct(F.xxhash64(t).alias("hash"), F.length(t).alias("size"))))
 
 
 # --- linking -----------------------------------------------------------------------------
@@ -77,19 +81,17 @@ def _units(texts: Column) -> Column:
 def linked_messages(messages: DataFrame) -> DataFrame:
     """message_id, parent_id, level, matched of every message with a quote that is found.
 
-    ``messages``: message_id, sent, text. The original of a passage is the earliest
-    message, by sent and message_id, that says it at level 0, whole or as a paragraph;
+    ``messages``: message_id (of any type with an order), sent, own_parts, quoted. The
+    original of a passage is the earliest message, by sent and message_id, that says it
+    at level 0, whole, as a paragraph or as a line, so quotes that are trimmed to these are found;
     it has to be earlier than the quoting one. Of the nearest level that finds any, the
     parent is the message with the most characters found, then the earliest.
     """
     named = messages.filter("message_id is not null and sent is not null")
-    own = named.select("message_id", "sent", F.explode(_units(F.col("own_parts"))).alias("unit"))
-    first = own.groupBy(F.xxhash64("unit").alias("hash"), F.length("unit").alias("size")).agg(
-        F.min(F.struct("sent", "message_id")).alias("origin")
-    )
+    own = named.select("message_id", "sent", F.inline(_units(F.col("own_parts"))))
+    first = own.groupBy("hash", "size").agg(F.min(F.struct("sent", "message_id")).alias("origin"))
     quoted = named.select("message_id", "sent", F.explode("quoted").alias("q"))
-    quoted = quoted.select("message_id", "sent", "q.level", F.explode(_units(F.array("q.text"))).alias("unit"))
-    quoted = quoted.select("message_id", "sent", "level", F.xxhash64("unit").alias("hash"), F.length("unit").alias("size"))
+    quoted = quoted.select("message_id", "sent", "q.level", F.inline(_units(F.array("q.text"))))
     met = quoted.distinct().join(first, ["hash", "size"])
     met = met.filter(F.col("origin") < F.struct("sent", "message_id"))
     votes = met.groupBy("message_id", "level", "origin").agg(F.sum("size").alias("matched"))
@@ -189,36 +191,45 @@ def quoting_messages(turns: DataFrame, quoted: int = QUOTED_TURNS) -> DataFrame:
     """Mail-like messages from turns (conv_id, turn, role, text): each quotes the turns before
     it in its conversation, the one before at level 1, the one before that at level 2, ...
 
-    Turns are met by equality of conversation and number, so a long conversation is no
-    group. message_id is conv_id * 65536 + turn, sent is the turn.
+    Every quote is announced a level above it, and the deepest is trimmed to its first
+    line. Turns are met by equality of conversation and number, so a long conversation
+    is no group. message_id is the pair of conv_id and turn, null if either is; sent is the turn.
     """
+    id_ = F.when(F.col("conv_id").isNotNull() & F.col("turn").isNotNull(), F.struct("conv_id", "turn"))
     text = turns.select(
-        "conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"),
-        (F.col("conv_id") * 65536 + F.col("turn")).alias("message_id"),
+        "conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"), id_.alias("message_id")
     )
     said = text.groupBy("conv_id", "turn").agg(F.min("text").alias("said"), F.min("role").alias("by"))
     result = text.withColumn("quotes", F.lit(""))
     for level in range(1, quoted + 1):
+        words = F.split("said", "\n")[0] if level == quoted else F.col("said")
         earlier = said.select(
-            F.col("conv_id").alias("c"), (F.col("turn") + level).alias("t"), F.col("said").alias("q"), F.col("by").alias("who")
+            F.col("conv_id").alias("c"), (F.col("turn") + level).alias("t"), words.alias("q"), F.col("by").alias("who")
         )
         result = result.join(earlier, (F.col("conv_id") == F.col("c")) & (F.col("turn") == F.col("t")), "left")
-        sign = "\n" + ">" * level + " "
-        announced = F.concat(F.lit("\n\nThe "), F.coalesce("who", F.lit("other")), F.lit(" wrote:")) if level == 1 else F.lit("")
+        sign, above = "\n" + ">" * level + " ", "\n\n" if level == 1 else "\n" + ">" * (level - 1) + " "
+        announced = F.concat(F.lit(above + "The "), F.coalesce("who", F.lit("other")), F.lit(" wrote:"))
         added = F.concat(announced, F.lit(sign), F.replace(F.col("q"), F.lit("\n"), F.lit(sign)))
         result = result.withColumn("quotes", F.concat("quotes", F.coalesce(added, F.lit("")))).drop("c", "t", "q", "who")
     return result.select("message_id", F.col("turn").alias("sent"), "role", F.concat("text", "quotes").alias("text"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    return conversations(quoting_messages(table(spark, sf_dir, "conversations")))
+    """The pairs of ids as columns: conv_id and turn of the message, of its parent and of its conversation."""
+    found = conversations(quoting_messages(table(spark, sf_dir, "conversations")))
+    pairs = {"": "message_id", "parent_": "parent_id", "first_": "conversation_id"}
+    return found.select(
+        *[F.col(f"{c}.{part}").alias(prefix + part) for prefix, c in pairs.items() for part in ("conv_id", "turn")],
+        "depth", "place", "role", "text",
+    )
 
 
 #: Without quotes: the parent is the earliest message that says what the turn before says,
-#: whole or as a paragraph, and so on one level deeper where nothing is found.
+#: whole, as a paragraph or as a line, and so on one level deeper where nothing is found.
+#: Of the third turn before only the first line is quoted.
 ORACLE = r"""
 with recursive said as (
-    select conv_id * 65536 + turn as message_id, conv_id, turn, role, coalesce(text, '') as text,
+    select struct_pack(conv_id := conv_id, turn := turn) as message_id, conv_id, turn, role, coalesce(text, '') as text,
         trim(regexp_replace(lower(coalesce(text, '')), '\s+', ' ', 'g')) as plain
     from conversations
 ),
@@ -227,16 +238,23 @@ units as (
     union
     select message_id, turn, trim(regexp_replace(lower(p), '\s+', ' ', 'g'))
     from (select message_id, turn, unnest(regexp_split_to_array(text, '\n[ \t]*\n')) as p from said)
+    union
+    select message_id, turn, trim(regexp_replace(lower(p), '\s+', ' ', 'g'))
+    from (select message_id, turn, unnest(string_split(text, chr(10))) as p from said)
 ),
 origin as (
     select unit, min(struct_pack(sent := turn, message_id := message_id)) as origin
     from units where unit <> '' group by unit
 ),
+quoted as (
+    select message_id, 1 as level, unit from units union all select message_id, 2, unit from units
+    union all
+    select message_id, 3, trim(regexp_replace(lower(string_split(text, chr(10))[1]), '\s+', ' ', 'g')) from said
+),
 asked as (
-    select distinct a.message_id, a.turn, l.level, u.unit
-    from said a cross join (select unnest([1, 2, 3]) as level) l
-    join said b on b.conv_id = a.conv_id and b.turn = a.turn - l.level
-    join units u on u.message_id = b.message_id
+    select distinct a.message_id, a.turn, u.level, u.unit
+    from said a join said b on b.conv_id = a.conv_id and b.turn between a.turn - 3 and a.turn - 1
+    join quoted u on u.message_id = b.message_id and u.level = a.turn - b.turn
     where u.unit <> ''
 ),
 votes as (
@@ -251,13 +269,15 @@ parents as (
     qualify row_number() over (partition by message_id order by level, matched desc, origin) = 1
 ),
 tree as (
-    select message_id, message_id as conversation_id, cast(null as bigint) as parent_id, 0 as depth
+    select message_id, message_id as conversation_id,
+           cast(null as struct(conv_id bigint, turn bigint)) as parent_id, 0 as depth
     from said where message_id not in (select message_id from parents)
     union all
     select p.message_id, t.conversation_id, p.parent_id, t.depth + 1
     from parents p join tree t on t.message_id = p.parent_id
 )
-select s.message_id, t.conversation_id, t.parent_id, cast(t.depth as bigint) as depth,
+select s.conv_id, s.turn, t.parent_id.conv_id as parent_conv_id, t.parent_id.turn as parent_turn,
+    t.conversation_id.conv_id as first_conv_id, t.conversation_id.turn as first_turn, cast(t.depth as bigint) as depth,
     row_number() over (partition by t.conversation_id order by t.depth, s.turn, s.message_id) - 1 as place,
     s.role, trim(s.text, ' ' || chr(9) || chr(10) || chr(13)) as text
 from said s join tree t using (message_id)
