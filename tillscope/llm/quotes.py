@@ -73,7 +73,8 @@ def _units(texts: Column) -> Column:
     paragraphs = F.flatten(F.transform(texts, lambda t: F.split(t, r"\n[ \t]*\n")))
     lines = F.flatten(F.transform(texts, lambda t: F.split(t, r"\n")))
     every = F.filter(F.transform(F.concat(texts, paragraphs, lines), normal), lambda t: t != "")
-    return F.array_distinct(F.transform(every, lambda t: F.struct(F.xxhash64(t).alias("hash"), F.length(t).alias("size"))))
+    # distinct as texts, which Spark does by hash; pairs it would compare one with another
+    return F.transform(F.array_distinct(every), lambda t: F.struct(F.xxhash64(t).alias("hash"), F.length(t).alias("size")))
 
 
 # --- linking -----------------------------------------------------------------------------
