@@ -76,6 +76,34 @@ def test_repeated_and_null_ids(spark):
     assert crosspolytope.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_very_large_and_small_components(spark):
+    rows = [(1, [1e200, 1e199], 1), (2, [1e-200, 1.0001e-201], 1), (3, [-1e300, 0.0], 1), (4, [5e-324, 0.0], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in crosspolytope.near_duplicates(df).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 3: (0, 3), 4: (2, 1)}
+
+
+def test_rotations_grow_with_the_label(spark):
+    df = spark.createDataFrame([(5, 64), (600, 64), (50_000, 64), (200_000, 64), (5, 2), (600, 10), (50_000, 384)], "n long, w int")
+    got = df.select("n", "w", crosspolytope.label_rotations("n", "w", 4).alias("r")).collect()
+    assert {(r.n, r.w): r.r for r in got} == {
+        (5, 64): 2, (600, 64): 3, (50_000, 64): 3, (200_000, 64): 4, (5, 2): 2, (600, 10): 3, (50_000, 384): 3,
+    }
+
+
+@pytest.mark.parametrize("rotations", [2, 3, 4])
+def test_recall_at_the_bound(rotations):
+    """Pairs of exactly the least cosine, 64 dimensions: at least 0.95 share a bucket."""
+    rng = np.random.default_rng(rotations)
+    a = crosspolytope._unit(rng.standard_normal((1500, 64)))
+    b = rng.standard_normal(a.shape)
+    b = crosspolytope._unit(b - (b * a).sum(axis=1, keepdims=True) * a)
+    b = 0.93 * a + np.sqrt(1 - 0.93**2) * b
+    both = [crosspolytope.bucket_codes(x, crosspolytope.TABLES[rotations], rotations, crosspolytope.PROBES, 29) for x in (a, b)]
+    met = (both[0][:, :, :, None] == both[1][:, :, None, :]).any(axis=(1, 2, 3))
+    assert met.mean() >= 0.95
+
+
 def test_transform_is_an_isometry():
     rows = np.random.default_rng(0).standard_normal((5, 16))
     turned = crosspolytope.hadamard(rows)
