@@ -100,6 +100,35 @@ def test_segments_do_not_overlap_and_are_the_best(field):
     assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
 
 
+def test_blocked_spans_match_looking_at_each(field):
+    """Candidates that overlap any blocked span go, whatever the spans' order and overlaps."""
+    rng = random.Random(8)
+    for _ in range(40):
+        text = " ".join(rng.choice(["call 702 555 0924", "la", "12 34", "1 702 555 0924", "x at y dot com"]) for _ in range(12))
+        blocked = []
+        for _ in range(rng.randrange(6)):
+            a = rng.randrange(len(text))
+            blocked.append((a, min(len(text), a + rng.randrange(1, 20)), rng.randrange(4)))
+        found = field.decode(text, blocked)
+        assert not any(s < b and a < e for a, b, _ in found for s, e, _ in blocked)
+        free = [span for span in field.decode(text, []) if not any(s < span[1] and span[0] < e for s, e, _ in blocked)]
+        assert len(found) >= len(free) - len(blocked)
+
+
+def test_many_addresses_stay_linear(field):
+    import time
+
+    def seconds(n):
+        text = " ".join(f"user{i}@host{i}.example.com at 10.0.{i % 250}.7" for i in range(n))
+        blocked = brute(text)
+        start = time.perf_counter()
+        field.decode(text, blocked)
+        return time.perf_counter() - start
+
+    seconds(200)
+    assert seconds(4000) < 10 * max(seconds(1000), 0.05)
+
+
 def test_query_columns(spark, field):
     rows = sample()[:20] + [(500, None, "s"), (501, "", "s"), (None, "a@b.c é x@y.zz", None), (502, "é@b.c a1@b.c", "s")]
     df = docs(spark, rows, extra="found")

@@ -13,8 +13,10 @@ from __future__ import annotations
 import math
 import random
 import re
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -201,13 +203,17 @@ class Field:
     def decode(self, text: str, blocked: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
         """The best set of spans that overlap neither each other nor the ``blocked`` ones."""
         found = []
+        # of the blocked spans that start before a place, the one that reaches furthest tells whether any overlaps
+        order = sorted(blocked)
+        starts, reach = [s for s, _, _ in order], list(accumulate((e for _, e, _ in order), max))
         for tokens in regions(text):
             ends = self._candidates(text, tokens)
             best, back = [0.0] * (len(tokens) + 1), [None] * (len(tokens) + 1)
             for j in range(1, len(tokens) + 1):
                 best[j] = best[j - 1]
                 for i, features in ends[j]:
-                    if any(s < tokens[j - 1][1] and tokens[i][0] < e for s, e, _ in blocked):
+                    before = bisect_left(starts, tokens[j - 1][1])
+                    if before and reach[before - 1] > tokens[i][0]:
                         continue
                     for kind in range(len(KINDS)):
                         value = best[i] + self._score(kind, features) - MARGIN
