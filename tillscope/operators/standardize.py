@@ -30,7 +30,7 @@ def standardize(
 ) -> DataFrame:
     """Canonical names, numbers and dates; texts that do not parse become null.
 
-    Without a ``date_format`` the first date present decides it. ``revenue`` is
+    Without a ``date_format`` the one that fits most dates is taken. ``revenue`` is
     quantity times price and replaces an uploaded column of that name.
     """
     column_map = detect_columns(df.columns) if column_map is None else column_map
