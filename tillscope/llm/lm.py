@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillscope.llm.common import remainder, table, written
+from tillscope.llm.common import release, remainder, table, written
 
 ORDER = 3
 #: Bytes of text in a block at which it is closed; one document is never parted.
@@ -479,6 +479,7 @@ def language_model_scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
     for n in range(order, 0, -1):
         answers = written(_answered(_sent(blocks, answers, n, bits, least), n), f"lm-counts-{n}")
         parts.append(answers)
+        release(docs.sparkSession)
     types = int(answers.agg(F.sum("types")).first()[0] or 0)
     scored = _scored(blocks, reduce(DataFrame.unionAll, parts), order, tokens, types, least)
     return scored.withColumn("train_tokens", F.lit(tokens).cast("long"))
