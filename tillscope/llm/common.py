@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import uuid
 import zlib
 
@@ -32,16 +31,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of steps whose results are written.
-
-    It does so once the driver's JVM has collected its garbage, which a driver with
-    little to do may put off until the disks of its executors are full.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it, in any case."""
     taken = {c.lower() for c in df.columns}
