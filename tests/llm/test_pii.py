@@ -145,6 +145,15 @@ def test_query_columns(spark, field):
         assert set(listed.split(",")) <= set(r.spans.split(",")) | {""}
 
 
+def test_query_counts_each_kind(spark, tmp_path):
+    texts = ["a@b.c d@e.f", "10.0.0.7 in a@b.c", "4111111111111111 4111 1111 1111 1111 or 1.2.3.4", "+1 (702) 555-0924", "", None]
+    docs(spark, [(i, t, "s") for i, t in enumerate(texts)]).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in pii.query(spark, str(tmp_path)).collect()}
+    for i, text in enumerate(texts):
+        kinds = [k for _, _, k in brute(text or "")]
+        assert [got[i][f"n_{name}"] for name in pii.KINDS] == [kinds.count(k) for k in range(4)], text
+
+
 def test_redaction(spark, field):
     df = docs(spark, [(1, "é a1@b.co, +1 (702) 555-0924!", "s"), (2, None, "s"), (3, "plain", "s")], extra="redacted_text")
     clean = pii.without_personal_data(df, field)

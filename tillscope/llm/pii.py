@@ -433,12 +433,14 @@ def _listed(spans: Column) -> Column:
     )
 
 
+def _count(spans: Column, kind: int) -> Column:
+    # the condition takes the span alone: a second argument would be given its place
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     found = personal_data(table(spark, sf_dir, "documents"))
     base = F.filter("found", lambda s: s["base"])
-    counts = [
-        F.size(F.filter("found", lambda s, k=k: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{name}")
-        for k, name in enumerate(KINDS)
-    ]
+    counts = [_count(base, k).alias(f"n_{name}") for k, name in enumerate(KINDS)]
     digest = F.sha2(_listed(base).cast("binary"), 256)
     return found.select("doc_id", *counts, digest.alias("base_sha256"), _listed(F.col("found")).alias("spans"))
