@@ -101,11 +101,13 @@ def raw_retail(spark: SparkSession, sf_dir: str) -> DataFrame:
     returned = F.col("l_returnflag") == "R"
     order = F.col("l_orderkey").cast("string")
     quantity = F.col("l_quantity").cast("bigint")
+    # orders get their country before they meet their lines, which are many more; names are the widest and come last
+    placed = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).join(
+        nations, F.col("c_nationkey") == F.col("n_nationkey")
+    )
     sheet = (
-        lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+        lines.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .select(
             F.when(returned, F.concat(F.lit("C"), order)).otherwise(order).alias("InvoiceNo"),
             F.col("l_partkey").cast("string").alias("StockCode"),

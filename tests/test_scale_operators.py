@@ -173,3 +173,29 @@ def test_fingerprints_move_without_the_cells(spark, tmp_path):
     plan = seen[0]._jdf.queryExecution().executedPlan().toString()
     exchange = next(line for line in plan.splitlines() if "Exchange hashpartitioning" in line)
     assert "c1#" not in exchange and "_fingerprint" in exchange
+
+
+def test_many_fingerprints_pick_rows_by_bits(spark, monkeypatch):
+    """With many repeated fingerprints, rows that occur once mostly stay where they are."""
+    from tillscope.operators import profile
+
+    df = spark.range(20_000).selectExpr("if(id < 2000, id % 1000, id) as id", "if(id % 3 = 0, null, 'x') as c", "null as _copy")
+    seen = []
+    original = profile.row_copies
+    monkeypatch.setattr(profile, "row_copies", lambda frame, name="copies": seen.append(frame) or original(frame, name))
+    expected = df.count() - df.distinct().count()
+    assert expected > 0 and profile.duplicate_count(df, few=0).first()[0] == expected
+    assert seen[0].columns == df.columns
+    repeated = df.groupBy(*df.columns).count().where("count > 1").agg({"count": "sum"}).first()[0]
+    assert repeated <= seen[0].count() < repeated + 4000
+
+
+def test_sheet_is_made_once(spark, monkeypatch, tmp_path):
+    """The stored sheet is what the operator reads, not the joins behind it."""
+    from registry import catalog
+    from tillscope.operators import profile
+
+    seen = []
+    monkeypatch.setattr(profile, "duplicate_count", lambda df: seen.append(df) or df)
+    catalog._stored_duplicates(spark.createDataFrame([(1,), (1,)], "a int").join(spark.range(1)))
+    assert "Join" not in seen[0]._jdf.queryExecution().optimizedPlan().toString() and seen[0].count() == 2

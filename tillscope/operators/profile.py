@@ -15,8 +15,11 @@ from tillscope.sources.files import PLACE, first_rows
 
 
 PRINT, REPEATED = "_fingerprint", "_repeated"
-#: Fingerprints that are sent to every executor at most, 16 bytes each.
+PLACE_BIT, BUCKET, BITMAP = "_fingerprint_bit", "_fingerprint_bucket", "_fingerprint_bitmap"
+#: Fingerprints that are sent to every executor at most, 8 bytes each.
 FEW_FINGERPRINTS = 500_000
+#: Bits for each of more fingerprints than that, and bits at most: 32 MB.
+PRINT_BITS, MOST_BITS = 16, 1 << 28
 
 
 def dtypes(df: DataFrame) -> DataFrame:
@@ -52,25 +55,50 @@ def row_copies(df: DataFrame, name: str = "copies") -> DataFrame:
 
 
 def fingerprint(df: DataFrame) -> Column:
-    """128 bits of a row: two hashes of its cells, the second also of which are null."""
+    """64 bits of a row: its cells, and which of them are null."""
     cells = [named(c) for c in df.columns]
-    return F.struct(F.xxhash64(*cells).alias("a"), F.xxhash64(F.lit(1), *cells, *[c.isNull() for c in cells]).alias("b"))
+    return F.xxhash64(*cells, *[c.isNull() for c in cells])
+
+
+def _bits_for(prints: int) -> int:
+    """A power of two of bits, whole bitmaps of Spark (32,768 bits), at least ``PRINT_BITS`` a fingerprint."""
+    return min(max(1 << (prints * PRINT_BITS - 1).bit_length(), 1 << 15), MOST_BITS)
+
+
+def _maybe_repeated(marked: DataFrame, repeated: DataFrame, prints: int) -> DataFrame:
+    """Rows whose fingerprint has its bit set by the ``repeated`` ones: all rows of these, and few others."""
+    bits = _bits_for(prints)
+    bit = lambda value: F.pmod(F.xxhash64(value), F.lit(bits))
+    found = repeated.select(bit(F.col(REPEATED)).alias(PLACE_BIT))
+    maps = found.groupBy(F.bitmap_bucket_number(PLACE_BIT).alias(BUCKET)).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(PLACE_BIT)).alias(BITMAP)
+    )
+    place = F.bitmap_bit_position(PLACE_BIT)
+    byte = F.conv(F.hex(F.substring(BITMAP, (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    placed = marked.withColumn(PLACE_BIT, bit(F.col(PRINT)))
+    # at most 8,192 maps of 4 kB, whatever the number of fingerprints
+    met = placed.join(F.broadcast(maps), F.bitmap_bucket_number(PLACE_BIT) == F.col(BUCKET))
+    return met.where(F.getbit(byte, (place % 8).cast("int")) == 1).drop(PLACE_BIT, BUCKET, BITMAP)
 
 
 def duplicate_count(df: DataFrame, few: int = FEW_FINGERPRINTS) -> DataFrame:
     """Rows that repeat an earlier row.
 
     Rows move as fingerprints, whatever their width. Only rows whose fingerprint
-    occurs twice are compared cell by cell: they are picked by the list of these
-    fingerprints, and equal ones merge before they move. With more than ``few`` such
-    fingerprints, which is a sheet made of copies, all rows are merged by their cells.
+    occurs twice are compared cell by cell, and equal ones merge before they move.
+    They are picked by the list of these fingerprints, or, with more than ``few`` of
+    them, by bitmaps of the list, which let some other rows through. ``df`` is read
+    twice: store it first if it is dear to make.
     """
     marked = df.withColumn(PRINT, fingerprint(df))
     counts = marked.groupBy(PRINT).agg(F.count("*").alias("rows")).where("rows > 1")
     repeated = stored(counts.select(F.col(PRINT).alias(REPEATED)), "fingerprints")
-    if repeated.count() <= few:
-        df = marked.join(F.broadcast(repeated), F.col(PRINT) == F.col(REPEATED), "left_semi").drop(PRINT)
-    extra = row_copies(df, "_copies").agg(F.sum(F.col("_copies") - 1).alias("duplicates"))
+    prints = repeated.count()
+    if prints <= few:
+        picked = marked.join(F.broadcast(repeated), F.col(PRINT) == F.col(REPEATED), "left_semi")
+    else:
+        picked = _maybe_repeated(marked, repeated, prints)
+    extra = row_copies(picked.drop(PRINT), "_copies").agg(F.sum(F.col("_copies") - 1).alias("duplicates"))
     return extra.select(F.coalesce("duplicates", F.lit(0)).cast("bigint").alias("duplicates"))
 
 
