@@ -81,3 +81,39 @@ def test_bad_files_do_not_stop_the_others(spark, folder):
     assert all(got[n][f] is None for n in ("long.csv", "empty.csv", "notes.txt") for f in FIGURES)
     assert (got["header.csv"]["rows"], got["header.csv"]["quality"], got["tail.csv"]["rows"]) == (0, None, 1)
     assert sum(r.status == "ok" for r in got.values()) == 13 and got["two%20words.csv"]["rows"] == 2
+
+
+def test_rows_are_looked_at_once(spark, folder, monkeypatch):
+    """What is kept of the rows doesn't grow with them, only with their kinds of faults."""
+    from tillscope.sources import uploads
+
+    kept = {}
+    original = uploads.stored
+    monkeypatch.setattr(uploads, "stored", lambda df, name: kept.setdefault(name, original(df, name)))
+    with open(folder / "f0.csv", "a", newline="") as file:
+        csv.writer(file, lineterminator="\n").writerows([f"k{i}", "c", "2024-01-05", f"p{i}", i, "1"] for i in range(1, 3000))
+    got = {os.path.basename(r.file): r for r in upload_reports(spark, f"{folder}/*.csv").collect()}
+    assert got["f0.csv"]["rows"] == 46 + 2999
+    assert all(df.count() < 400 for df in kept.values())
+
+
+def test_texts_of_other_shape_do_not_fit(spark):
+    """The cheap look at a date's shape turns away nothing that the format reads."""
+    from pyspark.sql import functions as F
+
+    from tillscope.functions import dates
+
+    rng = random.Random(4)
+    number = ["0", "1", "5", "05", "007", "12", "13", "31", "32", "+3", "-3", "2024", "02024", "12024", "+12024", "24", "Jan", "jan", "MAY", "May.", ""]
+    texts = {"20240105", "+0120240105", "2024015", "5 Jan 2024", "Jan 5, 2024", "jan 05, 2024", "1/1/-2024", "1/5/2024", "12/31/2024"}
+    for _ in range(1500):
+        sign = rng.choice("/-. ")
+        day = sign.join(rng.choice(number) for _ in range(3))
+        texts.add(day + rng.choice(["", "", " 8:26", " 08:26:00", " 25:00", " 8:5", " "]))
+    formats = sorted({f for f in dates.DATE_FORMATS + dates.BROWSER_FORMATS if dates.shape_pattern(f)})
+    df = spark.createDataFrame([(t,) for t in sorted(texts)], "t string")
+    read = lambda f: F.try_to_timestamp(F.concat("t", F.lit(" +0000")), F.lit(f + " xx")).isNotNull()
+    for f in formats:
+        fits = read(f)
+        assert df.where(fits & ~F.col("t").rlike(dates.shape_pattern(f))).count() == 0, f
+    assert df.where(read("M/d/yyyy")).count() > 1 and df.where(read("yyyyMMdd")).count() > 0

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,9 +78,36 @@ ISO_PATTERNS = {
 ZONED_PATTERN = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})$"
 
 
+#: What the fields of a format can be at most; a text that isn't of this shape can't fit.
+_MONTH, _DAY, _NAME, _NUMBER = r"0*(?:1[0-2]|[1-9])", r"0*(?:[12]\d|3[01]|[1-9])", r"\D+", r"[-+]?\d++"
+
+
+def shape_pattern(date_format: str) -> str | None:
+    """A pattern that every text of the format matches, far cheaper than a failed parse; None if there's none."""
+    if not re.fullmatch(r"[yMdHms/.:, -]+", date_format):
+        return None
+    parts = []
+    for letters, sign in re.findall(r"([A-Za-z]+)|([^A-Za-z])", date_format):
+        if sign:
+            parts.append(re.escape(sign))
+        elif len(set(letters)) > 1:  # fields without a sign between them
+            if "MMM" in letters:
+                return None
+            parts.append(_NUMBER)
+        elif letters.startswith("MMM"):
+            parts.append(_NAME)
+        else:
+            parts.append({"M": _MONTH, "d": _DAY}.get(letters[0], _NUMBER))
+    return f"^{''.join(parts)}$"
+
+
 def parse_timestamp(column: Column, date_format: str) -> Column:
     """Zone-free timestamp; null where the text does not fit the format."""
-    text = stripped(column)
+    return parse_stripped(stripped(column), date_format)
+
+
+def parse_stripped(text: Column, date_format: str) -> Column:
+    """The same for a text without white space around it."""
     if date_format in ISO_PATTERNS:
         return F.when(text.rlike(ISO_PATTERNS[date_format]), text.try_cast("timestamp_ntz"))
     if date_format == ISO_ZONED:
@@ -89,6 +118,8 @@ def parse_timestamp(column: Column, date_format: str) -> Column:
     # Read as UTC and counted from the epoch, so that a daylight-saving gap of the
     # session's zone cannot move the time.
     instant = F.try_to_timestamp(F.concat(text, F.lit(" +0000")), F.lit(date_format + " xx"))
+    if shape := shape_pattern(date_format):
+        instant = F.when(text.rlike(shape), instant)
     return F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch_ntz())
 
 

@@ -13,7 +13,11 @@ PLAIN_NUMBER = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?)$"
 
 def to_number(column: Column) -> Column:
     """Double, or null where the text is not a number."""
-    text = stripped(column)
+    return stripped_number(stripped(column))
+
+
+def stripped_number(text: Column) -> Column:
+    """The same for a text without white space around it."""
     return F.when(text.rlike(PLAIN_NUMBER), text.try_cast("double"))
 
 

@@ -33,11 +33,13 @@ def _stays(line: Column) -> Column:
 def placed_lines(spark: SparkSession, path: str) -> DataFrame:
     """file, block, row, line: the lines of text files with their place, which orders them."""
     lines = spark.read.option("lineSep", "\n").text(path)
+    value = F.col("value")
+    marked = value.contains("\r") | value.startswith("\ufeff")  # few lines need the pattern
     return lines.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
-        F.regexp_replace("value", r"^\ufeff|\r$", "").alias("line"),
+        F.when(marked, F.regexp_replace(value, r"^\ufeff|\r$", "")).otherwise(value).alias("line"),
     )
 
 

@@ -9,16 +9,17 @@ are grouped by file.
 from __future__ import annotations
 
 import csv
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillscope.functions.cancellations import by_negative_quantity
-from tillscope.functions.columns import any_of, count_where, na_to_null
-from tillscope.functions.dates import DATE_FORMATS, parse_timestamp
+from tillscope.functions.columns import any_of, count_where, na_to_null, stripped
+from tillscope.functions.dates import DATE_FORMATS, parse_stripped
 from tillscope.functions.headers import detect_columns, field_coverage
-from tillscope.functions.numbers import quality_score, to_number
+from tillscope.functions.numbers import quality_score, stripped_number
 from tillscope.operators.quality import missing_upload_columns
 from tillscope.schemas import NA_TOKENS, UPLOAD_ALIASES
 from tillscope.session import stored
@@ -52,15 +53,20 @@ def layout(header: str) -> tuple:
 
 
 def file_layouts(spark: SparkSession, lines: DataFrame) -> tuple[DataFrame, int]:
-    """((file, first, layout columns), greatest width) from the first record of every file."""
-    first = lines.groupBy("file").agg(F.min_by(F.struct("block", "row", "record"), F.struct("block", "row")).alias("head"))
-    heads = stored(first.select("file", F.struct("head.block", "head.row").alias("first"), F.col("head.record").alias("header")), "headers")
+    """((file, first, layout columns), greatest width) from the first record of every CSV file."""
+    # numbers only until the places are known: aggregates of texts would sort all lines
+    splits = lines.groupBy("file", "block").agg(F.min("row").alias("row"))
+    splits = splits.where(F.lower("file").endswith(".csv"))
+    first = stored(splits.groupBy("file").agg(F.min(F.struct("block", "row")).alias("first")), "first-places")
+    place = first.select("first", F.col("file").alias("f"), F.col("first.block").alias("b"), F.col("first.row").alias("r"))
+    met = lines.join(place, (F.col("file") == F.col("f")) & (F.col("block") == F.col("b")) & (F.col("row") == F.col("r")))
+    heads = stored(met.select("file", "first", F.col("record").alias("header")), "headers")
     known = [r["header"] for r in heads.select("header").distinct().limit(MOST_HEADERS + 1).collect()]
     if len(known) > MOST_HEADERS:
         raise ValueError(f"More than {MOST_HEADERS} different headers")
     layouts = [layout(h) for h in known]
     table = spark.createDataFrame(layouts, _LAYOUT)
-    return heads.join(table, "header"), max((row[1] for row in layouts), default=1)
+    return stored(heads.join(table, "header"), "layouts"), max((row[1] for row in layouts), default=1)
 
 
 def _plain(file: Column) -> Column:
@@ -80,12 +86,12 @@ def upload_reports(spark: SparkSession, path: str, multi_line: bool = False) ->
     listed = spark.createDataFrame([(f,) for f in spark.read.text(path).inputFiles()], "file string")
     listed = listed.select(_plain(F.col("file")).alias("file"))
     if multi_line:
-        lines = csv_records(spark, path)
+        lines = stored(csv_records(spark, path), "records")
     else:
         lines = placed_lines(spark, path).withColumnRenamed("line", "record").where(F.trim("record") != "")
-    lines = lines.withColumn("file", _plain(F.col("file")))
+    # lines keep the spelling that they come with; only files are spelled anew
     named = F.lower("file").endswith(".csv")
-    layouts, width = file_layouts(spark, lines.where(named))
+    layouts, width = file_layouts(spark, lines)
     columns = [f"c{i}" for i in range(width)]
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, RECORD]])
     # what the parser keeps of a row that doesn't have as many cells as the widest header
@@ -97,41 +103,60 @@ def upload_reports(spark: SparkSession, path: str, multi_line: bool = False) ->
     own = ["file", "width", "mapped", "missing", "complete", *UPLOAD_ALIASES]
     # equal rows of a file merge before they move; a file with most rows is met in parts
     copies = rows.groupBy("file", cells.alias("cells")).agg(F.count("*").alias("copies"), F.max(F.coalesce(too_long, F.lit(False))).alias("long"))
-    copies = stored(copies, "upload-rows")
-
     flat = copies.join(layouts.select(*own), "file")
     values = {field: F.get("cells", F.col(field)) for field in UPLOAD_ALIASES}
-    fits = [
-        F.coalesce(F.sum(F.when(parse_timestamp(values["date"], f).isNotNull(), F.col("copies"))), F.lit(0)) for f in DATE_FORMATS
-    ]
-    counted = flat.where("complete").groupBy("file").agg(F.array(*fits).alias("fits"))
+    # one look at each row: which date formats fit it (a bit each), and its other faults; rows of a file that
+    # agree in them are one row from here on, whatever format the file turns out to have
+    cut = flat.select(
+        "file", "copies", "long", "complete",
+        any_of([values[f].isNull() for f in ("order_id", "product")]).alias("no_name"),
+        *[stripped(values[f]).alias(f) for f in ("date", "quantity", "unit_price")],
+    )
+    numbers = cut.select(
+        "file", "copies", "long", "complete", "no_name", "date",
+        *[stripped_number(F.col(f)).alias(f) for f in ("quantity", "unit_price")],
+    )
+    fitting = reduce(
+        Column.bitwiseOR,
+        [F.when(parse_stripped(F.col("date"), f).isNotNull(), 1 << i).otherwise(0) for i, f in enumerate(DATE_FORMATS)],
+    )
+    seen = numbers.select(
+        "file", "copies", "long", "complete", "no_name",
+        F.when(F.col("complete") & F.col("date").isNotNull(), fitting).otherwise(0).alias("fitting"),
+        (F.col("quantity").isNull() | F.col("unit_price").isNull()).alias("bad_number"),
+        by_negative_quantity(F.col("quantity")).alias("cancelled"),
+    )
+    kinds = ("complete", "fitting", "no_name", "bad_number", "cancelled")
+    amount = F.col("copies")
+    kinds_of_rows = stored(
+        seen.groupBy("file", *kinds).agg(
+            F.sum("copies").alias("copies"), F.sum(amount - 1).alias("again"), F.max("long").alias("long")
+        ),
+        "upload-kinds",
+    )
+
+    fits = [F.sum(F.when(F.getbit("fitting", F.lit(i)) == 1, amount).otherwise(0)) for i in range(len(DATE_FORMATS))]
+    counted = kinds_of_rows.where("complete").groupBy("file").agg(F.array(*fits).alias("fits"))
     best = counted.select("file", (F.array_position("fits", F.array_max("fits")) - 1).cast("int").alias("format"))
-    flat = flat.join(best, "file", "left")
-
-    chosen = F
-    for i, f in enumerate(DATE_FORMATS):
-        chosen = chosen.when(F.col("format") == i, parse_timestamp(values["date"], f))
-    date: Column = chosen.otherwise(None)
-    typed = flat.select(
-        "file", "copies", "long", "complete", date.isNull().alias("bad_date"),
-        *[v.isNull().alias(f"no_{f}") for f, v in values.items() if f in ("order_id", "product")],
-        to_number(values["quantity"]).alias("q"), to_number(values["unit_price"]).alias("p"),
+    typed = kinds_of_rows.join(best, "file", "left").withColumn(
+        "bad_date", F.coalesce(F.getbit("fitting", F.col("format")) == 0, F.lit(True))
     )
-    bad_number = F.col("q").isNull() | F.col("p").isNull()
     checked = {
-        "incomplete": any_of([F.col("no_order_id"), F.col("no_product"), F.col("bad_date"), bad_number]),
+        "incomplete": any_of([F.col("no_name"), F.col("bad_date"), F.col("bad_number")]),
         "invalidDates": F.col("bad_date"),
-        "invalidNumbers": bad_number,
-        "cancellations": by_negative_quantity(F.col("q")),
+        "invalidNumbers": F.col("bad_number"),
+        "cancellations": F.col("cancelled"),
     }
-    amount = F.col("copies")
     figures = typed.groupBy("file").agg(
         F.sum("copies").alias("rows"),
-        F.sum(amount - 1).alias("duplicateRows"),
+        F.sum("again").alias("duplicateRows"),
         F.max("long").alias("long"),
         *[count_where(F.col("complete") & c, amount).alias(n) for n, c in checked.items()],
     )
-    report = listed.join(layouts.select("file", "width", "mapped", "missing", "complete"), "file", "left").join(figures, "file", "left")
+    plain = _plain(F.col("file")).alias("file")
+    heads = layouts.select(plain, "width", "mapped", "missing", "complete")
+    figures = figures.select(plain, *[c for c in figures.columns if c != "file"])
+    report = listed.join(heads, "file", "left").join(figures, "file", "left")
     status = (
         F.when(~named, "not_csv").when(F.col("width").isNull(), "empty")
         .when(F.coalesce("long", F.lit(False)), "too_long").otherwise("ok")
