@@ -126,7 +126,7 @@ def _preview_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _quality_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.scan_verdicts(quality.csv_quality(_uploaded(spark, sf_dir)))
+    return quality.scan_findings(quality.csv_quality(_uploaded(spark, sf_dir)))
 
 
 def _preview_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,6 +49,18 @@ def test_duplicates_weigh_every_figure(spark):
     assert (row["invalidDates"], row["invalidNumbers"], row["cancellations"], row["quality"]) == (3, 3, 2, 40.0)
 
 
+def test_findings_keep_the_single_figures(spark):
+    rows = [("1", "c", "bad", "p", "x", "1")] * 3 + [("2", "c", "2024-01-01", "p", "-2", "1")] * 2
+    report = quality.csv_quality(spark.createDataFrame(rows, HEADER), "yyyy-MM-dd")
+    got = {r.check_code: r for r in quality.scan_findings(report).collect()}
+    assert [tuple(r)[:5] for r in got.values()] == tuples(quality.scan_verdicts(report))
+    first, fields, faults = got["scan_completeness"], got["scan_mapping"], got["scan_faults"]
+    assert (first["columns"], first["quality"], first["missing"]) == (len(rows[0]), 40.0, None)
+    assert fields["missing"] == ", ".join(report.first()["missing"]) and fields["quality"] is None
+    assert [faults[n] for n in ("incomplete", "duplicateRows", "invalidDates", "invalidNumbers")] == [3, 3, 3, 3]
+    assert faults["failing"] == 12 and got["scan_returns"]["failing"] == 2
+
+
 def test_missing_field_gives_no_score(spark):
     df = spark.createDataFrame([("1", "2"), ("1", "2")], "order_id string, qty string")
     row = quality.csv_quality(df).first()
