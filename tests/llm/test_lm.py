@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.shapes import docs
@@ -151,3 +152,113 @@ def test_rare_ngrams_stay_in_a_large_table(spark):
         p *= q
     assert got[out].score == pytest.approx(math.log10(p), abs=1e-6)
     assert got[train].score == pytest.approx(got[out].score)
+
+
+@pytest.mark.parametrize("size", [0, 1, 1000])
+def test_packed_columns_come_back_and_zero_bytes_take_no_room(size):
+    rng = np.random.default_rng(size)
+    hashes = rng.integers(-(2**63), 2**63 - 1, size)
+    columns = [hashes, np.zeros(size, np.int64), rng.integers(0, 300, size), (rng.integers(0, 9, size) / 2).view(np.int64)]
+    for found, given in zip(lm._unpack(lm._pack(*columns), 4), columns, strict=True):
+        assert found.dtype == np.int64 and found.tolist() == given.tolist()
+    assert len(lm._pack(hashes, columns[1])) == len(lm._pack(hashes)) + 1
+
+
+def test_tokens_are_those_of_bytes_split():
+    texts = [b" A\tb\x0bC\x0cd\re\nF  ", b"", b" \n", b"\xc3\x89 \xff\xfe \x1cx\x85Y", b"a\x00b  a\xa0", b"b"]
+    numbers, lengths, vocab = lm._tokens(pa.array(texts, pa.binary()))
+    expected = [t.lower().split() + [b""] for t in texts]
+    assert [vocab[n] for n in numbers] == [w for words in expected for w in words]
+    assert lengths.tolist() == [len(words) for words in expected]
+    assert vocab[0] == lm.END and len(set(vocab)) == len(vocab)
+
+
+def blocks_of(texts, monkeypatch, block_bytes, batch_rows):
+    class Context:
+        partitionId = staticmethod(lambda: 3)  # noqa: N815
+
+    monkeypatch.setattr(lm, "TaskContext", type("Task", (), {"get": staticmethod(lambda: Context)}))
+    monkeypatch.setattr(lm, "BLOCK_BYTES", block_bytes)
+    rows = pa.table({
+        "doc_id": pa.array([None if i == 2 else i for i in range(len(texts))], pa.int64()),
+        "held": [i % 5 == 1 for i in range(len(texts))], "text": pa.array(texts, pa.binary()),
+    })
+    return list(lm._encode(iter(rows.to_batches(max_chunksize=batch_rows))))
+
+
+@pytest.mark.parametrize("batch_rows", [1, 3, 100])
+def test_blocks_close_with_the_document_that_fills_them(monkeypatch, batch_rows):
+    texts = [b"one two", None, b"", b"x " * 40, b"three", b"four five six", b" ", b"y"] * 3
+    sizes, expected, own, size = [len(t or b"") + 1 for t in texts], [], [], 0
+    for i, n in enumerate(sizes):
+        own.append(None if i == 2 else i)
+        size += n
+        if size >= 20:
+            expected.append(own)
+            own, size = [], 0
+    expected += [own] * bool(own)
+    blocks = blocks_of(texts, monkeypatch, 20, batch_rows)
+    assert [b.column("doc_ids")[0].as_py() for b in blocks] == expected
+    assert [b.column("block")[0].as_py() for b in blocks] == [(3 << 32) + k for k in range(len(blocks))]
+    counts = [len(tokens(t and t.decode())) for t in texts]
+    assert [n for b in blocks for n in b.column("lengths")[0].as_py()] == counts
+    assert sum(b.column("n_train")[0].as_py() for b in blocks) == sum(n for i, n in enumerate(counts) if i % 5 != 1)
+
+
+def test_ngrams_of_a_block_are_sorted_once_and_only_where_asked_for(monkeypatch):
+    texts = [b"a b a b c", b"b a b", b"", b"c c c a b"]
+    block = blocks_of(texts, monkeypatch, 10_000, 10)[0]
+    sorts = []
+    unique = np.unique
+    monkeypatch.setattr(np, "unique", lambda *a, **k: sorts.append(1) or unique(*a, **k))
+    alone = lm._grams(block, 0, 3, 3)
+    assert len(alone) == 1 and len(sorts) == 1
+    every = lm._grams(block, 0, 1, 3)
+    assert len(every) == 3 and len(sorts) == 3
+    assert alone[0].hashes.tolist() == every[2].hashes.tolist() == sorted(every[2].hashes, key=lambda h: int(h) % 2**64)
+    words = [tokens(t.decode()) for t in texts]
+    for n, own in enumerate(every, 1):
+        seen = [tuple(w[k : k + n]) for w in words for k in range(len(w) - n + 1)]
+        train = collections.Counter(tuple(w[k : k + n]) for i, w in enumerate(words) if i != 1 for k in range(len(w) - n + 1))
+        ends = [int(x) for x in own.ending if x]
+        assert len(own.hashes) == len(set(seen)) == len(set(zip(seen, ends, strict=True)))
+        assert all(own.train[number - 1] == train[g] for g, number in zip(seen, ends, strict=True))
+    text_of = {int(number): g for number, g in zip(every[1].ending, [g for w in words for g in [None, *zip(w, w[1:])]], strict=True) if number}
+    for number, g in zip([x for x in every[2].ending if x], [g for w in words for g in zip(w, w[1:], w[2:])], strict=True):
+        assert text_of[every[2].keys[number - 1] >> 32] == g[:2] and text_of[every[2].suffix[number - 1]] == g[1:]
+
+
+def test_arcs_known_before_the_walk_are_those_that_a_search_finds():
+    rng = np.random.default_rng(4)
+    lengths = np.array([300, 1, 40, 0, 9])
+    starts = np.repeat(np.cumsum(lengths) - lengths, lengths)
+    words = rng.choice([1, 2, 3, 4], lengths.sum())
+    ending, levels, arcs, before = words, [], [], 0
+    for n in (2, 3):  # half of the n-grams, with their prefixes and suffixes
+        ends = np.flatnonzero(np.arange(len(words)) - starts >= n - 1)
+        ends = ends[(ending[ends - 1] > 0) & (ending[ends] > 0)]
+        keys = (ending[ends - 1] << 32) | words[ends]
+        kept = np.unique(keys)[::2]
+        number = np.zeros(len(words), dtype=np.int64)
+        number[ends] = np.where(np.isin(keys, kept), np.searchsorted(kept, keys) + 1, 0)
+        levels.append(lm.Level(kept, rng.integers(1, 5, len(kept))))
+        arcs.append(np.where(number > 0, number + before - 1, -1))
+        ending, before = number, before + len(kept)
+    counts = np.concatenate(([0], np.bincount(words, minlength=5)[1:])).astype(float)
+    model = lm.automaton(counts, levels, len(words), 4, 4)
+    roots = np.log10((counts + 0.5) / (len(words) + 2.5))[words]
+    for size in (4, 1000):
+        searched = lm.traverse(model, words, roots, lengths, size=size)
+        assert lm.traverse(model, words, roots, lengths, size=size, arcs=np.array(arcs)) == pytest.approx(searched)
+
+
+def test_shuffles_of_written_counts_are_let_go(spark, monkeypatch):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, seen, written = spark.conf.get(name, None), [], lm.written
+    monkeypatch.setattr(lm, "written", lambda df, to: seen.append((to, spark.conf.get(name, None))) or written(df, to))
+    lm.language_model_scores(docs(spark, [(1, "a b c", "s")]))
+    assert [to for to, on in seen if on == "true"] == ["lm-counts-3", "lm-counts-2", "lm-counts-1"]
+    assert spark.conf.get(name, None) == before
+    with pytest.raises(ZeroDivisionError), lm.shuffles_let_go(spark):
+        1 / 0  # noqa: B018
+    assert spark.conf.get(name, None) == before

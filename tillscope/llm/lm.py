@@ -18,17 +18,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillscope.llm.common import remainder, table, written
+from tillscope.llm.common import remainder, shuffles_let_go, table, written
 
 ORDER = 3
 #: Bytes of text in a block at which it is closed; one document is never parted.
@@ -55,7 +55,7 @@ SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score
 
 def _one(values, kind: pa.DataType) -> pa.ListArray:
     """A list array of one row."""
-    flat = pa.array(values, type=kind)
+    flat = values if isinstance(values, pa.Array) else pa.array(values, type=kind)
     return pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat)
 
 
@@ -70,18 +70,36 @@ def _list(batch: pa.Table | pa.RecordBatch, name: str, row: int) -> pa.Array:
     return batch.column(name)[row].values
 
 
+def _used(bits: int) -> list[int]:
+    return [k for k in range(8) if bits >> k & 1]
+
+
 def _pack(*columns: np.ndarray) -> bytes:
-    """Columns of 8-byte values of one length, byte by byte, which compresses the empty high ones away."""
-    planes = [np.ascontiguousarray(c).view(np.uint8).reshape(-1, 8).T for c in columns]
-    raw = np.concatenate(planes).tobytes()
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+    """Columns of 8-byte values of one length, byte by byte without the bytes that are zero in all
+    rows. Each byte is compressed alone: random ones next to it would spoil its code."""
+    masks, packed = bytearray(), []
+    for column in columns:
+        values = np.ascontiguousarray(column).view(np.uint64)
+        any_set = int(np.bitwise_or.reduce(values)).to_bytes(8, "little")
+        masks.append(sum(1 << k for k in range(8) if any_set[k]))
+        for k in _used(masks[-1]):
+            plane = pa.compress(np.ascontiguousarray(values.view(np.uint8)[k::8]), codec="zstd", asbytes=True)
+            packed += [len(plane).to_bytes(8, "little"), plane]
+    return b"".join([len(values).to_bytes(8, "little"), masks, *packed])
 
 
 def _unpack(packed: bytes, columns: int) -> list[np.ndarray]:
     """The columns as int64."""
-    raw = pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True)
-    planes = np.frombuffer(raw, np.uint8).reshape(columns, 8, -1)
-    return [np.ascontiguousarray(c.T).view(np.int64).reshape(-1) for c in planes]
+    size, masks, at = int.from_bytes(packed[:8], "little"), packed[8 : 8 + columns], 8 + columns
+    found = []
+    for mask in masks:
+        values = np.zeros(size, np.int64)
+        for k in _used(mask):
+            at, end = at + 8, at + 8 + int.from_bytes(packed[at : at + 8], "little")
+            plane = pa.decompress(packed[at:end], size, codec="zstd", asbytes=True)
+            values.view(np.uint8)[k::8], at = np.frombuffer(plane, np.uint8), end
+        found.append(values)
+    return found
 
 
 def _hash(words: list[bytes]) -> np.ndarray:
@@ -96,37 +114,51 @@ def _joined(prefix: np.ndarray, word: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(31))).view(np.int64)
 
 
+def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Numbers of all tokens, tokens of each text, and the token of each number; ``END`` has 0."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts.view(pa.string())))  # byte by byte, ASCII only
+    coded = pc.dictionary_encode(pa.concat_arrays([pa.array([END.decode()]), split.flatten()]))
+    numbers = coded.indices.to_numpy()[1:]
+    text = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy())
+    words = numbers > 0  # white space at either end of a text leaves an empty piece there
+    counts = np.bincount(text[words], minlength=len(texts))
+    return np.insert(numbers[words], np.cumsum(counts), 0), counts + 1, coded.dictionary.view(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+
+
 def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part, made = TaskContext.get().partitionId(), 0
-    ids, held, lengths, codes, vocab, size = [], [], [], [], {END: 0}, 0
+    ids, held, texts, size = [], [], [], 0
 
     def block() -> pa.RecordBatch:
-        numbers = np.concatenate(codes)
+        numbers, lengths, vocab = _tokens(pa.concat_arrays(texts))
+        out = np.concatenate(held)
         # frequent words get small numbers, which compress better
         order = np.argsort(-np.bincount(numbers, minlength=len(vocab)), kind="stable")
         place = np.empty(len(vocab), dtype=np.int64)
         place[order] = np.arange(len(vocab))
-        named = _hash(list(vocab))[order]
+        named = _hash(vocab)[order]
         return _row({
-            "block": ((part << 32) + made, None), "doc_ids": (ids, pa.int64()), "held": (held, pa.bool_()),
+            "block": ((part << 32) + made, None), "doc_ids": (pa.concat_arrays(ids), pa.int64()), "held": (out, pa.bool_()),
             "lengths": (lengths, pa.int64()), "codes": (_pack(place[numbers]), bytes),
-            "hashes": (named, pa.int64()),
-            "n_train": (sum(n for n, out in zip(lengths, held) if not out), None),
+            "hashes": (named, pa.int64()), "n_train": (int(lengths[~out].sum()), None),
         })
 
     for batch in batches:
-        for doc_id, out, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "held", "text"))):
-            words = (text or b"").lower().split()  # both act on ASCII only
-            words.append(END)
-            codes.append(np.array([vocab.setdefault(w, len(vocab)) for w in words], dtype=np.int32))
-            ids.append(doc_id)
-            held.append(out)
-            lengths.append(len(words))
-            size += len(text or b"") + 1
+        doc_ids, out = batch.column("doc_id"), np.asarray(batch.column("held").to_pylist(), dtype=bool)
+        text = batch.column("text").cast(pa.binary()).fill_null(b"")
+        ends, at = np.cumsum(pc.binary_length(text).to_numpy().astype(np.int64) + 1), 0
+        while at < len(text):
+            before = int(ends[at - 1]) if at else 0
+            to = min(int(np.searchsorted(ends, before + BLOCK_BYTES - size)) + 1, len(text))
+            ids.append(doc_ids[at:to])
+            held.append(out[at:to])
+            texts.append(text[at:to])
+            size += int(ends[to - 1]) - before
+            at = to
             if size >= BLOCK_BYTES:
                 yield block()
                 made += 1
-                ids, held, lengths, codes, vocab, size = [], [], [], [], {END: 0}, 0
+                ids, held, texts, size = [], [], [], 0
     if ids:
         yield block()
 
@@ -141,56 +173,61 @@ def encoded(docs: DataFrame) -> DataFrame:
 
 @dataclass
 class Grams:
-    """Distinct n-grams of one order in a block.
+    """Distinct n-grams of one order in a block, numbered from 1, and ``order``, which sorts them by ``hashes``.
 
-    ``keys`` are sorted (number of the prefix << 32 | number of the word), numbers
-    count from 1; ``order`` sorts by ``hashes``, ``train`` counts training documents and
-    ``suffix`` is the number of the n-gram without its first word, one order down.
+    Words keep their numbers, longer n-grams have them by hash. ``train`` counts training
+    documents. For every n-gram ``keys`` holds (number of the prefix << 32 | number of
+    the word) and ``suffix`` the number without the first word, one order down, if that
+    order was asked for; ``ending`` has the number of the n-gram that ends at each token, or 0.
     """
 
-    keys: np.ndarray
     hashes: np.ndarray
     train: np.ndarray
-    order: np.ndarray
-    suffix: np.ndarray
+    order: np.ndarray | slice
+    ending: np.ndarray
+    keys: np.ndarray | None = None
+    suffix: np.ndarray | None = None
 
 
-def _grams(block: pa.Table | pa.RecordBatch, row: int, order: int) -> list[Grams]:
-    """The n-grams of a block up to ``order``. For words ``keys`` are their numbers."""
+def _grams(block: pa.Table | pa.RecordBatch, row: int, first: int, last: int) -> list[Grams]:
+    """The n-grams of a block from order ``first`` to ``last``."""
     lengths = _list(block, "lengths", row).to_numpy()
     held = np.asarray(_list(block, "held", row).to_pylist(), dtype=bool)
     words = _unpack(block.column("codes")[row].as_py(), 1)[0] + 1
     named = _list(block, "hashes", row).to_numpy()
     train = np.repeat(~held, lengths)
     inner = np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    counts = np.bincount(words[train] - 1, minlength=len(named))
-    found = [Grams(np.arange(1, len(named) + 1), named, counts, _by_hash(named), np.zeros(len(named), np.int64))]
-    number = words  # of the n-gram that ends at each token
-    for n in range(2, order + 1):
+    found = []
+    if first == 1:
+        counts = np.bincount(words[train] - 1, minlength=len(named))
+        found.append(Grams(named, counts, np.argsort(named.view(np.uint64)), words))
+    word_hashes = hashes = named[words - 1]  # of the n-gram that ends at each token
+    for n in range(2, last + 1):
         ends = np.flatnonzero(inner >= n - 1)
-        keys, inverse = np.unique((number[ends - 1] << 32) | words[ends], return_inverse=True)
-        hashes = _joined(found[-1].hashes[(keys >> 32) - 1], named[(keys & 0xFFFFFFFF) - 1])
-        counts = np.bincount(inverse[train[ends]], minlength=len(keys))
-        suffix = np.empty(len(keys), dtype=np.int64)
-        suffix[inverse] = number[ends]  # the shorter n-gram that ends at the same token
-        found.append(Grams(keys, hashes, counts, _by_hash(hashes), suffix))
-        number = np.zeros(len(words), dtype=np.int64)
+        ending, hashes = hashes, np.zeros(len(words), dtype=np.int64)
+        hashes[ends] = _joined(ending[ends - 1], word_hashes[ends])
+        if n < first:
+            continue
+        distinct, inverse = np.unique(hashes[ends].view(np.uint64), return_inverse=True)
+        counts, number = np.bincount(inverse[train[ends]], minlength=len(distinct)), np.zeros(len(words), dtype=np.int64)
         number[ends] = inverse + 1
+        own = Grams(distinct.view(np.int64), counts, slice(None), number)
+        if found:
+            own.keys, own.suffix = np.empty((2, len(distinct)), dtype=np.int64)
+            own.keys[inverse] = (found[-1].ending[ends - 1] << 32) | words[ends]
+            own.suffix[inverse] = found[-1].ending[ends]  # the shorter n-gram that ends at the same token
+        found.append(own)
     return found
 
 
-def _by_hash(hashes: np.ndarray) -> np.ndarray:
-    return np.argsort(hashes.view(np.uint64))
-
-
-def _answers(rows: pa.Table, n: int, order: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Corpus counts, leaves and first flags of a block's n-grams, in the order of their keys."""
-    own = rows.filter(pa.compute.equal(rows.column("n"), n)).sort_by("range")
+def _answers(rows: pa.Table, n: int, grams: Grams) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Corpus counts, leaves and first flags of a block's n-grams, in the order of their numbers."""
+    own = rows.filter(pc.equal(rows.column("n"), n)).sort_by("range")
     parts = [_unpack(p, 3) for p in own.column("packed").to_pylist()]
     columns = []
     for k in range(3):
-        column = np.empty(len(order), dtype=np.int64)
-        column[order] = np.concatenate([p[k] for p in parts]) if parts else []
+        column = np.empty(len(grams.hashes), dtype=np.int64)
+        column[grams.order] = np.concatenate([p[k] for p in parts]) if parts else []
         columns.append(column)
     counts, leaves, first = columns
     return counts, leaves.view(np.float64), first == 1
@@ -204,8 +241,7 @@ def _sent(blocks: DataFrame, answers: DataFrame | None, n: int, bits: int, least
     in the first block that holds it, so that the sum over blocks counts it once.
     """
 
-    def rows(block, row: int, grams: list[Grams], leaves: np.ndarray) -> Iterator[pa.RecordBatch]:
-        own = grams[n - 1]
+    def rows(block, row: int, own: Grams, leaves: np.ndarray) -> Iterator[pa.RecordBatch]:
         hashes = own.hashes[own.order].view(np.uint64)
         columns = hashes.view(np.int64), own.train[own.order].astype(np.int64), leaves[own.order].view(np.int64)
         ranges = (hashes >> np.uint64(64 - bits)).astype(np.int64)
@@ -225,17 +261,17 @@ def _sent(blocks: DataFrame, answers: DataFrame | None, n: int, bits: int, least
         def longest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for row in range(batch.num_rows):
-                    grams = _grams(batch, row, n)
-                    yield from rows(batch, row, grams, np.zeros(len(grams[-1].keys)))
+                    own = _grams(batch, row, n, n)[0]
+                    yield from rows(batch, row, own, np.zeros(len(own.hashes)))
 
         return blocks.mapInArrow(longest, SENT)
 
     def shorter(block: pa.Table, answered: pa.Table) -> pa.Table:
-        grams = _grams(block, 0, n + 1)
-        counts, _, first = _answers(answered, n + 1, grams[n].order)
+        own, longer = _grams(block, 0, n, n + 1)
+        counts, _, first = _answers(answered, n + 1, longer)
         new = first & (counts >= least)
-        leaves = np.bincount((grams[n].keys[new] >> 32) - 1, counts[new] - DISCOUNT, minlength=len(grams[n - 1].keys))
-        return pa.Table.from_batches(rows(block, 0, grams, leaves.astype(np.float64)))
+        leaves = np.bincount((longer.keys[new] >> 32) - 1, counts[new] - DISCOUNT, minlength=len(own.hashes))
+        return pa.Table.from_batches(rows(block, 0, own, leaves.astype(np.float64)))
 
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(shorter, SENT)
 
@@ -273,7 +309,8 @@ def _answered(sent: DataFrame, n: int) -> DataFrame:
 class Automaton:
     """States: 0 the root, 1 to words the frequent words, above them longer n-grams.
 
-    ``keys`` are sorted (state << 32 | word) with ``logs`` and ``to`` for each arc;
+    ``offsets`` has the last state of each length. Arcs are numbered like the n-grams they
+    spell, from the shortest on: ``keys`` are (state << 32 | word), with ``logs`` and ``to``;
     ``back`` is the log weight of a state's failure arc and ``fail`` where it leads.
     """
 
@@ -284,6 +321,19 @@ class Automaton:
     fail: np.ndarray
     end: int
     order: int
+    offsets: np.ndarray
+
+    @cached_property
+    def by_key(self) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(self.keys)
+        return order, self.keys[order]
+
+    def find(self, states: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Number of the arc with each word at each state, or -1."""
+        order, keys = self.by_key
+        wanted = (states << 32) | words
+        place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        return np.where(keys[place] == wanted, order[place], -1)
 
 
 @dataclass
@@ -327,12 +377,13 @@ def automaton(
     tails = np.arange(words + 1)  # number of the longest proper suffix, one order down, of each n-gram
     last = np.arange(words + 1)  # last word of each n-gram
     own_leaves = np.zeros(states)
-    arcs = []
+    arcs: list[tuple] = []
     for n, level in enumerate(levels, 2):
         prefix, word = level.keys >> 32, level.keys & 0xFFFFFFFF
         source = offsets[n - 2] + prefix
         own = (level.counts - DISCOUNT) / counts[source]
-        own_leaves += np.bincount(source, weights=own, minlength=states)
+        if leaves is None:
+            own_leaves += np.bincount(source, weights=own, minlength=states)
         state = offsets[n - 1] + 1 + np.arange(len(level.keys))
         counts[state] = level.counts
         if n == 2:
@@ -349,27 +400,24 @@ def automaton(
     has_arcs = leaves > 0
     # probabilities from short to long: one state down the arc's word is an arc as well, or a word at the root
     below = None
-    keys, logs, to = [], [], []
+    keys, logs, to = [np.empty(0, np.int64)], [np.empty(0)], [np.empty(0, np.int64)]
     for n, (source, word, own, state, suffix) in enumerate(arcs, 2):
         down = unigram[word] if n == 2 else np.where(suffix > 0, below[np.maximum(suffix - 1, 0)], unigram[word])
         whole = own + weight[source] * down
         keys.append((source << 32) | word)
         logs.append(np.log10(whole))
-        ahead = state.copy()
-        for _ in range(n):  # to the longest suffix that has arcs of its own
-            ahead = np.where(has_arcs[ahead] | (ahead == 0), ahead, fail[ahead])
+        # failure arcs pass states without arcs by; those of shorter states do already
+        fail[state] = np.where(has_arcs[fail[state]], fail[state], fail[fail[state]])
+        ahead = np.where(has_arcs[state], state, fail[state])  # the longest suffix that has arcs of its own
         to.append(np.where(word == end, 0, ahead))
         below = whole
-    for _ in range(len(levels)):  # failure arcs pass states without arcs by
-        fail = np.where(has_arcs[fail] | (fail == 0), fail, fail[fail])
-    if not keys:
-        keys, logs, to = [np.empty(0, np.int64)], [np.empty(0)], [np.empty(0, np.int64)]
-    keys, logs, to = np.concatenate(keys), np.concatenate(logs), np.concatenate(to)
-    order = np.argsort(keys)
     # a word without arcs of its own leads to the root
-    back = np.where(has_arcs, np.log10(weight), 0.0)
+    back = np.zeros(states)
+    back[has_arcs] = np.log10(weight[has_arcs])
     fail[~has_arcs] = 0
-    return Automaton(keys[order], logs[order], to[order], back, fail, end, len(levels) + 1)
+    return Automaton(
+        np.concatenate(keys), np.concatenate(logs), np.concatenate(to), back, fail, end, len(levels) + 1, np.array(offsets)
+    )
 
 
 def _pieces(lengths: np.ndarray, order: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -388,18 +436,20 @@ def _pieces(lengths: np.ndarray, order: int, size: int) -> tuple[np.ndarray, np.
 
 
 def traverse(
-    model: Automaton, words: np.ndarray, unigrams: np.ndarray, lengths: np.ndarray, size: int = PIECE_TOKENS
+    model: Automaton, words: np.ndarray, unigrams: np.ndarray, lengths: np.ndarray, size: int = PIECE_TOKENS,
+    arcs: np.ndarray | None = None,
 ) -> np.ndarray:
     """Log probability of each document: pieces of all move one token at a time, each in its state.
 
     ``words`` and ``unigrams`` hold the frequent word's number (or 0) and the log
-    probability at the root of every token, documents one behind the other.
+    probability at the root of every token, documents one behind the other. ``arcs`` has a
+    row for each length of a state, and in it the arc that a state of that length, reached
+    over the tokens before, takes with each token, or -1; without it arcs are looked up.
     """
     document, starts, sizes, run_in = _pieces(lengths, model.order, size)
     order = np.argsort(-sizes, kind="stable")
     document, starts, sizes, run_in = document[order], starts[order], sizes[order], run_in[order]
     total, state = np.zeros(len(sizes)), np.zeros(len(sizes), dtype=np.int64)
-    arcs, most = len(model.keys), len(model.keys) - 1
     longest = int(sizes[0]) if len(sizes) else 0
     alive = np.searchsorted(-sizes, -np.arange(longest), side="left")  # pieces longer than t
     for t in range(longest):
@@ -408,13 +458,15 @@ def traverse(
         word, now = words[at], state[:k].copy()
         gained, ahead = np.zeros(k), np.zeros(k, dtype=np.int64)
         open_ = np.arange(k)
-        for _ in range(model.order if arcs else 0):
+        for _ in range(model.order if len(model.keys) else 0):
             open_ = open_[now[open_] > 0]
             if not len(open_):
                 break
-            key = (now[open_] << 32) | word[open_]
-            place = np.minimum(np.searchsorted(model.keys, key), most)
-            hit = model.keys[place] == key
+            if arcs is None:
+                place = model.find(now[open_], word[open_])
+            else:
+                place = arcs[np.searchsorted(model.offsets, now[open_]) - 1, at[open_]]
+            hit = place >= 0
             taken = open_[hit]
             gained[taken] += model.logs[place[hit]]
             ahead[taken] = model.to[place[hit]]
@@ -432,10 +484,11 @@ def traverse(
 
 def _scored(blocks: DataFrame, answers: DataFrame, order: int, tokens: int, types: int, least: float) -> DataFrame:
     def walk(block: pa.Table, answered: pa.Table) -> pa.Table:
-        grams = _grams(block, 0, order)
+        grams = _grams(block, 0, 1, order)
         levels, leaves, number = [], [np.zeros(1)], None
+        arcs, before = np.empty((order - 1, len(grams[0].ending)), dtype=np.int64), 0
         for n, own in enumerate(grams, 1):
-            counts, left, _ = _answers(answered, n, own.order)
+            counts, left, _ = _answers(answered, n, own)
             kept = counts >= least
             leaves.append(left[kept])
             # a kept n-gram has kept prefixes and words, and numbers keep their order
@@ -447,6 +500,8 @@ def _scored(blocks: DataFrame, answers: DataFrame, order: int, tokens: int, type
                 shorter = number[own.suffix[kept]]
                 levels.append(Level((number[keys >> 32] << 32) | words[keys & 0xFFFFFFFF], counts[kept], shorter))
                 number = np.concatenate(([0], np.where(kept, np.cumsum(kept), 0)))
+                arcs[n - 2] = np.where(number > 0, number + (before - 1), -1)[own.ending]
+                before += len(keys)
         end = words[1:][grams[0].hashes == _hash([END])[0]]
         frequent = np.concatenate(([0], word_counts[words[1:] > 0])).astype(np.float64)
         model = automaton(frequent, levels, tokens, types, int(end[0]) or -1, np.concatenate(leaves))
@@ -457,7 +512,7 @@ def _scored(blocks: DataFrame, answers: DataFrame, order: int, tokens: int, type
             _list(block, "doc_ids", 0), _list(block, "held", 0), pa.array(lengths, pa.int64()),
             pa.array(np.add.reduceat((word_counts > 0)[codes].astype(np.int64), starts), pa.int64()),
             pa.array(np.add.reduceat(logs, starts)),
-            pa.array(traverse(model, words[codes + 1].astype(np.int64), logs, lengths)),
+            pa.array(traverse(model, words[codes + 1].astype(np.int64), logs, lengths, arcs=arcs)),
         ], names=[c.split()[0] for c in SCORED.split(", ")])
 
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(walk, SCORED)
@@ -478,7 +533,9 @@ def language_model_scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
     least = max(MIN_COUNT, WORD_SHARE * tokens, NGRAM_SHARE * tokens)
     answers, parts = None, []
     for n in range(order, 0, -1):
-        answers = written(_answered(_sent(blocks, answers, n, bits, least), n), f"lm-counts-{n}")
+        step = _answered(_sent(blocks, answers, n, bits, least), n)
+        with shuffles_let_go(docs.sparkSession):  # they hold as much as the input, at each order
+            answers = written(step, f"lm-counts-{n}")
         parts.append(answers)
     types = int(answers.agg(F.sum("types")).first()[0] or 0)
     scored = _scored(blocks, reduce(DataFrame.unionAll, parts), order, tokens, types, least)
