@@ -187,3 +187,45 @@ def test_the_pipeline_keeps_clean_rows_of_a_contaminated_id(spark, tmp_path):
     kept = corpus_pipeline.decontamination(spark, df, str(tmp_path))
     assert kept.columns == df.columns
     assert rows_of(kept, "doc_id", "text") == sorted([r[:2] for r in (rows[1], *rows[3:])], key=repr)
+
+
+def test_fingerprints_match_counted_bits(spark):
+    rng = random.Random(9)
+    rows = [(k, rng.getrandbits(64) - (1 << 63), rng.choice([1, 1, 2, 50])) for k in range(40) for _ in range(k % 9 + 1)]
+    rows += [(100, -1, 1), (100, 0, 1), (101, -1, 2), (101, 0, 1), (102, -(1 << 63), (1 << 31) - 2), (102, 1, 1)]
+    found = decontam._simhash(spark.createDataFrame(rows, "id int, hash long, weight long"), ["id"])
+    wanted = collections.Counter()
+    for k in {r[0] for r in rows}:
+        own = [(h, w) for i, h, w in rows if i == k]
+        wanted[k] = sum(1 << b for b in range(64) if 2 * sum(w for h, w in own if h >> b & 1) > sum(w for _, w in own))
+    assert {r["id"]: r["fingerprint"] % (1 << 64) for r in found.collect()} == wanted
+
+
+def test_pairs_come_once_at_every_radius(spark):
+    rng = random.Random(10)
+    base = [rng.getrandbits(64) for _ in range(6)]
+    prints = [(k, 7, base[k % 6] ^ sum(1 << b for b in rng.sample(range(64), rng.choice([0, 1, 3, 9, 30])))) for k in range(60)]
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    windows = spark.createDataFrame([(k, n, signed(x)) for k, n, x in prints], "window_id long, words int, fingerprint long")
+    items = spark.createDataFrame([(k, 7, signed(x)) for k, x in enumerate(base)], "item long, words int, fingerprint long")
+    for radius in (0, 2, 24, 63, 64):
+        got = rows_of(decontam._candidates(windows, items, radius), "window_id", "item")
+        # pairs that differ in every block share none: with 64 blocks those that differ in all bits
+        near = [(k, i) for k, _, x in prints for i, y in enumerate(base) if (x ^ y).bit_count() <= min(radius, 63)]
+        assert got == sorted(near, key=repr), radius
+
+
+def test_no_step_has_a_plan_that_takes_much_of_the_driver(spark, monkeypatch):
+    rows, items = sample()
+    sizes = {}
+
+    def noted(df, name):
+        sizes[name] = len(df._jdf.queryExecution().optimizedPlan().toString())
+        return written(df, name)
+
+    written = decontam.written
+    monkeypatch.setattr(decontam, "written", noted)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    decontam.without_contaminated(docs(spark, rows), bench, by_text=True)
+    assert "benchmark-similar" in sizes
+    assert max(sizes.values()) < 8000, sizes

@@ -165,3 +165,8 @@ def test_repeated_ids_and_empty_tables(spark):
     assert len(got) == 4 and all(r.taken <= 2 * r["size"] for r in got)
     assert mixing.mixed_documents(docs(spark, [])).count() == 0
     assert mixing.mixed_documents(docs(spark, [(1, None, None)])).first().taken == 0
+
+
+def test_the_schedule_is_planned_apart_from_the_pieces(spark):
+    found = mixing.mixed_documents(docs(spark, sample()))
+    assert "Window [" not in found._jdf.queryExecution().optimizedPlan().toString()

@@ -51,16 +51,28 @@ def shingle_hashes(words: Column, size: int) -> Column:
 
 
 def _simhash(weighted: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, fingerprint: a bit is set where the shingles (hash, weight) that have it weigh over half."""
+    """keys, fingerprint: a bit is set where the shingles (hash, weight) that have it weigh over half.
+
+    A sum counts bit b in its lower and bit b + 32 in its upper half: what shares a key is
+    one text's, and weighs less than 2**31. Half the sums and one fold over them instead of
+    a term for each bit keep the plan, and the driver's memory for it, small.
+    """
     total = F.sum("weight").alias("total")
-    ones = [F.sum(F.when(F.getbit("hash", F.lit(b)) == 1, F.col("weight")).otherwise(0)).alias(f"b{b}") for b in range(64)]
-    sums = weighted.groupBy(*keys).agg(total, *ones)
-    bits = [
-        F.when(2 * F.col(f"b{b}") > F.col("total"), F.lit((1 << b) if b < 63 else -(1 << 63))).otherwise(0)
-        for b in range(64)
+    halves = F.lit((1 << 32) | 1)
+    pairs = [
+        F.sum(F.col("weight") * F.shiftrightunsigned("hash", b).bitwiseAND(halves)).alias(f"b{b}") for b in range(32)
     ]
-    fingerprint = reduce(lambda a, b: a.bitwiseOR(b), bits)
-    return sums.select(*keys, fingerprint.alias("fingerprint"))
+    sums = weighted.groupBy(*keys).agg(total, *pairs)
+
+    def over_half(count: Column) -> Column:
+        return F.shiftrightunsigned(F.col("total") - 2 * count, 63)  # the sign
+
+    def with_next(bits: Column, pair: Column) -> Column:
+        low, high = over_half(pair.bitwiseAND(F.lit((1 << 32) - 1))), over_half(F.shiftrightunsigned(pair, 32))
+        return F.shiftleft(bits, 1).bitwiseOR(low).bitwiseOR(F.shiftleft(high, 32))
+
+    from_top = F.array(*(f"b{b}" for b in reversed(range(32))))
+    return sums.select(*keys, F.aggregate(from_top, F.lit(0).cast("long"), with_next).alias("fingerprint"))
 
 
 def _edges(radius: int) -> list[int]:
@@ -69,18 +81,18 @@ def _edges(radius: int) -> list[int]:
     return [64 * i // count for i in range(count + 1)]
 
 
-def _blocks(fingerprint: Column, radius: int) -> Column:
-    """The value of each of radius + 1 blocks of the fingerprint, with the block's number."""
+def _masks(radius: int) -> list[int]:
+    """The bits of each of radius + 1 blocks, as signed longs."""
     edges = _edges(radius)
-    return F.array(
-        *(
-            F.struct(
-                F.lit(i).alias("block"),
-                F.shiftrightunsigned(fingerprint, lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1 if hi - lo < 64 else -1)).alias("value"),
-            )
-            for i, (lo, hi) in enumerate(zip(edges, edges[1:]))
-        )
-    )
+    masks = [((1 << (hi - lo)) - 1) << lo for lo, hi in zip(edges, edges[1:])]
+    return [mask - (1 << 64) if mask >> 63 else mask for mask in masks]
+
+
+def _in_blocks(prints: DataFrame, radius: int) -> DataFrame:
+    """A row for each of radius + 1 blocks of ``fingerprint``: its number and its own bits."""
+    masks = F.array(*map(F.lit, _masks(radius)))
+    placed = prints.select("*", F.posexplode(masks).alias("block", "mask"))
+    return placed.withColumn("value", F.col("fingerprint").bitwiseAND(F.col("mask"))).drop("mask")
 
 
 def benchmark_items(benchmark: DataFrame, shingle_words: int) -> DataFrame:
@@ -143,9 +155,10 @@ def _hits(
     shingles = placed.dropDuplicates(["window_id"]).select("window_id", F.explode("window").alias("hash"))
     shingles = written(shingles.groupBy("window_id", "hash").agg(F.count("*").alias("weight")), "benchmark-weights")
     own = long.groupBy("item", "hash").agg(F.count("*").alias("weight"))
-    prints = _simhash(shingles, ["window_id"])
-    laid = placed.select("window_id", "words").distinct().join(prints, "window_id")
-    candidates = _candidates(laid, _simhash(own, ["item"]).join(lengths.select("item", "words"), "item"), radius)
+    laid = placed.select("window_id", "words").distinct().join(_simhash(shingles, ["window_id"]), "window_id")
+    laid = written(laid, "benchmark-prints")
+    item_prints = _simhash(own, ["item"]).join(lengths.select("item", "words"), "item")
+    candidates = _candidates(laid, written(item_prints, "benchmark-item-prints"), radius)
     similar = written(_verified(candidates, shingles, own).filter(F.col("similarity") >= similarity), "benchmark-similar")
 
     similar = similar.join(lengths, "item").select("window_id", "words", "item_id", "similarity")
@@ -293,19 +306,12 @@ def _candidates(windows: DataFrame, items: DataFrame, radius: int) -> DataFrame:
 
     A pair comes from the first of the blocks that it shares, and so but once.
     """
-    left = windows.select(
-        "window_id", "words", F.col("fingerprint").alias("print"), F.inline(_blocks(F.col("fingerprint"), radius))
-    )
-    right = items.select(
-        "item", "words", F.col("fingerprint").alias("item_print"), F.inline(_blocks(F.col("fingerprint"), radius))
-    )
+    left = _in_blocks(windows, radius).withColumnRenamed("fingerprint", "print")
+    right = _in_blocks(items, radius).withColumnRenamed("fingerprint", "item_print")
     differing = F.col("print").bitwiseXOR(F.col("item_print"))
-    edges = _edges(radius)
-    shared = F
-    for i, (lo, hi) in enumerate(zip(edges, edges[1:])):
-        mask = ((1 << (hi - lo)) - 1) << lo
-        mask -= (1 << 64) if mask >> 63 else 0
-        shared = shared.when(differing.bitwiseAND(F.lit(mask)) == 0, i)
+    masks = F.array(*map(F.lit, _masks(radius)))
+    shared = F.array_position(F.transform(masks, lambda mask: differing.bitwiseAND(mask)), F.lit(0).cast("long")) - 1
+    # bits are counted first: few pairs are left to look for their first block
     near = (F.bit_count(differing) <= radius) & (shared == F.col("block"))
     return left.join(right, ["words", "block", "value"]).filter(near).select("window_id", "item")
 
