@@ -179,8 +179,9 @@ def _mix(
     first = F.greatest(F.col("at"), F.col("round") * block)
     last = F.least(F.col("end"), (F.col("round") + 1) * block)
     pieces = met.withColumns({"from_word": first - F.col("at"), "words": last - first})
-    # planned on its own: in one plan with the pieces it would take much of the driver's memory
-    slots = written(schedule(targets, block_words), "mix-schedule")
+    # planned on its own: in one plan with the pieces it would take much of the driver's memory;
+    # merged at every size: its files are much smaller than its rows, which are not to be broadcast
+    slots = written(schedule(targets, block_words), "mix-schedule").hint("merge")
     pieces = pieces.join(slots, ["rank", "round"], "left")
     return rows, pieces.select(*rows.columns, "slot", "pass", "from_word", "words")
 
